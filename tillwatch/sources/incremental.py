@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.sources.transactions import read_transactions_csv
@@ -46,9 +46,11 @@ def ingest_new_files(spark: SparkSession, folder: str, manifest_path: str, table
         return 0
     rows = (read_transactions_csv(spark, paths, comment)
             .withColumn("source_file", F.col("_metadata.file_name")))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    seen = Observation("ingest_new_files")
+    (rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source_file").parquet(table_path))
     names = [path.rsplit("/", 1)[-1] for path in paths]
     noted = spark.createDataFrame([(n,) for n in names], "file_name STRING")
     noted.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(manifest_path)
-    return (spark.read.parquet(table_path).filter(F.col("source_file").isin(names)).count())
+    return seen.get["rows"]
