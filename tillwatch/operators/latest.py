@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def instant(value, like: T.DataType) -> Column:
+    """A point in time as a literal of a column's type; text and naive values are session time."""
+    return F.lit(str(value)).cast("timestamp").cast(like)
 
 
 def latest_per_entity(df: DataFrame, keys: list[str], event_ts: str, created: str | None = None,
@@ -16,9 +22,9 @@ def latest_per_entity(df: DataFrame, keys: list[str], event_ts: str, created: st
     for name in keys:
         rows = rows.filter(F.col(name).isNotNull())
     if start is not None:
-        rows = rows.filter(F.col(event_ts) > F.lit(start))
+        rows = rows.filter(F.col(event_ts) > instant(start, df.schema[event_ts].dataType))
     if end is not None:
-        rows = rows.filter(F.col(event_ts) <= F.lit(end))
+        rows = rows.filter(F.col(event_ts) <= instant(end, df.schema[event_ts].dataType))
     order = [F.col(event_ts).desc_nulls_last()]
     if created:
         order.append(F.col(created).desc_nulls_last())

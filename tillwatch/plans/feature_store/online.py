@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.operators.latest import latest_per_entity
-from tillwatch.sources.incremental import read_table
+from tillwatch.sources.paths import read_table
 
 COMMITS_DDL = "version INT, mark TIMESTAMP"
 

@@ -8,8 +8,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwatch.operators.asof import asof_carry, within_ttl
+from tillwatch.operators.latest import instant
 from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_join
 from tillwatch.plans.feature_store.definitions import (
     FeatureService,
@@ -115,8 +117,8 @@ class FeatureStore:
     def features_for_scoring(self, spine: DataFrame, features: References, now: datetime,
                              timestamp: str = "event_timestamp", **options) -> DataFrame:
         """Historical retrieval with every spine row at ``now``."""
-        kind = spine.schema[timestamp].dataType if timestamp in spine.columns else "timestamp"
-        return self.get_historical_features(spine.withColumn(timestamp, F.lit(now).cast(kind)), features,
+        kind = spine.schema[timestamp].dataType if timestamp in spine.columns else T.TimestampType()
+        return self.get_historical_features(spine.withColumn(timestamp, instant(now, kind)), features,
                                             timestamp, **options)
 
     # ----- latest values -----
@@ -172,7 +174,8 @@ class FeatureStore:
             latest = (tables or {}).get(source.name)
             latest = self.latest_table(views[0]).read() if latest is None else latest
             if max_age is not None:
-                latest = latest.filter(F.col(source.batch.timestamp_field) >= F.lit(now) - F.lit(max_age))
+                at = source.batch.timestamp_field
+                latest = latest.filter(F.col(at) >= instant(now, latest.schema[at].dataType) - F.lit(max_age))
             values = latest.select(*keys, *[
                 F.col(n).cast(f.spark_type).alias(internal_name(v.name, n))
                 for v in views for n, f in v.fields.items()])
@@ -186,7 +189,7 @@ class FeatureStore:
         path = self.services[service].log_path
         if path is None:
             raise ValueError(f"service '{service}' has no log path")
-        (served.withColumns({"served_at": F.lit(served_at), "service": F.lit(service)})
+        (served.withColumns({"served_at": instant(served_at, T.TimestampType()), "service": F.lit(service)})
          .write.mode("append").parquet(path))
 
 

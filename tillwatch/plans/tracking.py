@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.schema import MODEL_VERSIONS_DDL, RUN_VALUES_DDL, RUNS_DDL
-from tillwatch.sources.incremental import read_table
+from tillwatch.sources.paths import read_table
 
 PRODUCTION, ARCHIVED, NO_STAGE = "Production", "Archived", "None"
 MAX_RUNS = 20

@@ -127,21 +127,20 @@ def train_and_compare(clean: DataFrame, options: TrainingOptions = TrainingOptio
     """Train both models, compare them on the held-out rows, return the deployable best one."""
     spark = clean.sparkSession
     frame = training_frame(clean, options)
-    split = random_split if options.compat else (lambda d, s, seed: split_by_key(d, "transaction_id", s, seed))
+    prepared = None
     if options.compat:
-        ready = preparation().fit(frame)
-        train, test = split(ready.transform(frame), options.train_share, options.seed)
-    else:
-        train, test = split(frame, options.train_share, options.seed)
+        prepared = preparation().fit(frame)
+        frame = prepared.transform(frame)
     # Read again by every iteration; spills to disk, and a lost block is computed again.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        train, test = (random_split(frame, options.train_share, options.seed) if options.compat else
+                       split_by_key(frame, "transaction_id", options.train_share, options.seed))
         train_rows, test_rows = train.count(), test.count()
         if train_rows == 0:
             raise ValueError("empty training data: run the cleaning job first")
         if options.compat:
-            ready_train, ready_test = train, test
+            ready, ready_train, ready_test = prepared, train, test
         else:
             ready = preparation().fit(train)
             ready_train, ready_test = ready.transform(train), ready.transform(test)
@@ -159,8 +158,7 @@ def train_and_compare(clean: DataFrame, options: TrainingOptions = TrainingOptio
         metrics |= evaluate_labels(models[best["model"]].transform(ready_test))
         metrics["test_rows"] = float(test_rows)
     finally:
-        train.unpersist()
-        test.unpersist()
+        frame.unpersist()
     params = {"n_rows": train_rows + test_rows, "sample_fraction": options.sample_fraction,
               "seed": options.seed, "feature_cols": ",".join(FEATURE_COLUMNS),
               "lr_max_iter": options.max_iter, "lr_reg_param": options.reg_param,

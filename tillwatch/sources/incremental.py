@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwatch.sources.paths import read_table
 from tillwatch.sources.transactions import read_transactions_csv
 
 MANIFEST_DDL = "file_name STRING, loaded_at TIMESTAMP"
@@ -18,16 +18,6 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> Data
                     F.col("length").alias("bytes")))
 
 
-def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A Parquet table, empty when nothing has been written yet."""
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition() or error):
-            raise
-        return spark.createDataFrame([], ddl)
-
-
 def not_loaded(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files whose name is not in the manifest."""
     return files.join(manifest.select("file_name"), "file_name", "left_anti")
@@ -46,11 +36,9 @@ def ingest_new_files(spark: SparkSession, folder: str, manifest_path: str, table
         return 0
     rows = (read_transactions_csv(spark, paths, comment)
             .withColumn("source_file", F.col("_metadata.file_name")))
-    seen = Observation("ingest_new_files")
-    (rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source_file").parquet(table_path))
     names = [path.rsplit("/", 1)[-1] for path in paths]
     noted = spark.createDataFrame([(n,) for n in names], "file_name STRING")
     noted.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(manifest_path)
-    return seen.get["rows"]
+    return spark.read.parquet(table_path).filter(F.col("source_file").isin(names)).count()

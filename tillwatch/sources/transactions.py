@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.schema import TRANSACTION_DDL
 
@@ -27,11 +26,13 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write Parquet/snappy and return the number of rows, counted while writing."""
-    seen = Observation("write_clean")
-    (df.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode(mode).option("compression", "snappy").parquet(path))
-    return seen.get["rows"]
+    """Write Parquet/snappy and return the table's number of rows, which the file footers hold.
+
+    (An ``Observation`` would count while writing, but a session that has used one can no longer
+    run the ML curve evaluators: their closures drag the session along.)
+    """
+    df.write.mode(mode).option("compression", "snappy").parquet(path)
+    return df.sparkSession.read.parquet(path).count()
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
