@@ -43,6 +43,14 @@ def clean_table(spark: SparkSession, folder: str) -> DataFrame:
     return tx_io.read_clean(spark, path)
 
 
+def kept_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid rows, one per id, amounts as they came; written once, as the history jobs read it often."""
+    path = scratch_path(spark, "kept-table")
+    kept = cleaning.dedupe_first(transactions(spark, folder).filter(cleaning.is_keepable()))
+    tx_io.write_clean(kept, path)
+    return tx_io.read_clean(spark, path)
+
+
 # ----- profile -----
 
 BAD_DATE = "TRY_CAST(tx_datetime AS TIMESTAMP) IS NULL"
@@ -196,10 +204,10 @@ def _past_sql(key: str, prefix: str) -> str:
 @query(with_parts(f"SELECT transaction_id, {_past_sql('customer_id', 'customer')}, "
                   f"{_past_sql('terminal_id', 'terminal')} FROM tx_kept", "tx_kept"))
 def past_only_features(spark, folder):
-    kept = cleaning.dedupe_first(transactions(spark, folder).filter(cleaning.is_keepable()))
-    slim = kept.select("transaction_id", "customer_id", "terminal_id", "tx_time_seconds", "tx_amount")
-    out = history.past_only_features(slim, "customer_id", FRAMES, "customer")
-    out = history.past_only_features(out, "terminal_id", FRAMES, "terminal")
+    slim = kept_table(spark, folder).select("transaction_id", "customer_id", "terminal_id", "tx_time_seconds",
+                                            "tx_amount")
+    out = history.past_only_features(slim, slim, "customer_id", FRAMES, "customer")
+    out = history.past_only_features(out, slim, "terminal_id", FRAMES, "terminal")
     made = [c for c in out.columns if "_tx_count_" in c or "_avg_amount_" in c]
     return out.select("transaction_id", *[steady(F.col(c), 5).alias(c) if "_avg_" in c else F.col(c) for c in made])
 
@@ -209,9 +217,8 @@ def past_only_features(spark, folder):
     f"AS customer_tx_last_{name}" for name, n in {"10m": 600, "1h": 3600, "1d": DAY}.items()) + " FROM tx_kept",
     "tx_kept"))
 def tx_frequency(spark, folder):
-    kept = cleaning.dedupe_first(transactions(spark, folder).filter(cleaning.is_keepable()))
-    slim = kept.select("transaction_id", "customer_id", "tx_time_seconds", "tx_amount")
-    out = history.tx_frequency(slim, "customer_id", {"10m": 600, "1h": 3600, "1d": DAY}, "customer")
+    slim = kept_table(spark, folder).select("transaction_id", "customer_id", "tx_time_seconds", "tx_amount")
+    out = history.tx_frequency(slim, slim, "customer_id", {"10m": 600, "1h": 3600, "1d": DAY}, "customer")
     return out.select("transaction_id", *[c for c in out.columns if "_last_" in c])
 
 

@@ -45,8 +45,8 @@ def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts:
     tagged = feature_rows.unionByName(spine_rows)
     hot = hot_keys.of(tagged.select(*keys), keys)
     placed = (mark_hot(tagged, hot, keys)
-              .withColumn("_bucket", F.when(F.col("_splits").isNotNull(), F.date_trunc(bucket, F.col("_ts"))))
-              .drop("_splits"))
+              .withColumn("_bucket", F.when(F.col("_hot"), F.date_trunc(bucket, F.col("_ts"))))
+              .drop("_hot"))
 
     # Hot keys only: newest feature row before each of the key's buckets.
     newest_first = F.struct("_ts", "_created", (-F.col("_tie").cast("decimal(20,0)")).alias("t"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.functions.amounts import safe_ratio
-from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_join
+from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_counted
 
 # key column -> (mean column, count column)
 ENTITY_COLUMNS = {
@@ -27,11 +27,9 @@ def attach_by_entity(rows: DataFrame, history: DataFrame, key: str,
     """``avg/count over (partition by key)`` of ``history`` as aggregate and join back to ``rows``.
 
     A whole-partition window puts all rows of a key into one task and buffers them. The aggregate
-    combines before its shuffle, and the join back deals a hot key's rows to several tasks.
+    combines before its shuffle, and the join back scatters a hot key's rows.
     """
-    per_key = amount_by_entity(history, key)
-    hot = hot_keys.find(per_key.select(key, "_rows"), [key])
-    return lookup_join(rows, per_key.drop("_rows"), [key], hot)
+    return lookup_counted(rows, amount_by_entity(history, key), [key], hot_keys.limit(history))
 
 
 def customer_terminal_features(df: DataFrame, hot_keys: HotKeys = DEFAULT_HOT_KEYS,

@@ -1,24 +1,30 @@
 """Counts and means over the recent past of a customer or terminal.
 
-Spark recomputes a sliding range frame for every row, which is quadratic for a key with many
-rows, and keeps the key in one task. Here time is cut into buckets as long as the frame, so a
-frame is the end of one bucket plus the start of the next: two running sums, linear in the rows,
-and a key is spread over its time buckets. Rows are first added up per key and second, so one
-bucket never has more rows than the frame has seconds.
+Spark recomputes a sliding range frame for every row: cheap while a key has few rows, quadratic
+when it has many, and always the whole key in one task. So keys with few rows use the sliding
+frame, and keys with many rows use running sums: time is cut into buckets as long as the frame,
+a frame is then the end of one bucket plus the start of the next, and both are running sums,
+linear in the rows. Such a key is spread over its time buckets, and its rows are first added up
+per second, so one bucket never has more rows than the frame has seconds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_join
+from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_counted
+
+# Above about this many rows of a key, running sums cost less than recomputed frames.
+SLIDING_ROWS = 2_000
 
 
 def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int = -1,
                     time: str = "tx_time_seconds", amount: str = "tx_amount") -> DataFrame:
     """Per (key, second): rows, known amounts and their sum in ``[t - frame, t + last]``.
 
+    ``_rows`` is the number of rows of that very second.
+
     ``last`` is -1 (the past only) or 0 (up to and including the row's own second).
     """
     if last not in (-1, 0):
@@ -37,42 +43,70 @@ def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int =
     # The row itself, and a marker where its frame starts: always in the bucket before.
     entries = placed.select(key, "_at", "_frame", F.explode(F.array(
         F.struct(F.col("_bucket").alias("bucket"), F.col("_at").alias("pos"), F.lit(False).alias("start"),
-                 *[F.col(m).alias(m) for m in measures]),
+                 F.col("_n").alias("_rows"), *[F.col(m).alias(m) for m in measures]),
         F.struct((F.col("_bucket") - 1).alias("bucket"), (F.col("_at") - F.col("_frame")).alias("pos"),
-                 F.lit(True).alias("start"),
+                 F.lit(True).alias("start"), F.lit(0).cast("bigint").alias("_rows"),
                  F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_known"),
                  F.lit(0.0).alias("_sum")))).alias("e")).select(key, "_at", "_frame", "e.*")
     block = Window.partitionBy(key, "_frame", "bucket")
     up_to = block.orderBy("pos").rangeBetween(Window.unboundedPreceding, last)
     onwards = block.orderBy(F.col("pos").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    halves = entries.select(key, "_at", "_frame", *[
+    halves = entries.select(key, "_at", "_frame", "_rows", *[
         F.when(F.col("start"), F.sum(m).over(onwards)).otherwise(F.sum(m).over(up_to)).alias(m)
         for m in measures])
-    return halves.groupBy(key, "_at").agg(*[
+    return halves.groupBy(key, "_at").agg(F.max("_rows").alias("_rows"), *[
         F.coalesce(F.sum(F.when(F.col("_frame") == length, F.col(m))), F.lit(0)).alias(f"{m}_{name}")
         for name, length in frames.items() for m in measures])
 
 
-def past_only_features(df: DataFrame, key: str, frames: dict[str, int], prefix: str,
+def _flag_busy(df: DataFrame, history: DataFrame, key: str, hot_keys: HotKeys, sliding_rows: int) -> DataFrame:
+    """Add ``_busy``: the key has more history rows than a sliding frame should see."""
+    counts = (history.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+              .filter(F.col("_rows") > sliding_rows).withColumn("_busy", F.lit(True)))
+    flagged = lookup_counted(df, counts, [key], hot_keys.limit(history))
+    return flagged.withColumn("_busy", F.coalesce(F.col("_busy"), F.lit(False)))
+
+
+def _over_frames(rows: DataFrame, history: DataFrame, key: str, frames: dict[str, int], last: int, time: str,
+                 amount: str, measures: dict[str, tuple[str, Column, Column]], hot_keys: HotKeys,
+                 sliding_rows: int) -> DataFrame:
+    """Attach measures, each given as frame name, aggregate to slide, the same from ``recent_activity``."""
+    flagged = _flag_busy(rows, history, key, hot_keys, sliding_rows)
+    # Rows of busy keys pass the window scattered: their frames come from the running sums.
+    scatter = F.when(F.col("_busy"), F.xxhash64(*[F.col(c) for c in rows.columns])).otherwise(F.lit(0))
+    by_time = Window.partitionBy(key, "_scatter").orderBy(time)
+    slid = flagged.withColumn("_scatter", scatter).withColumns({
+        f"_slid_{name}": aggregate.over(by_time.rangeBetween(-frames[frame], last))
+        for name, (frame, aggregate, _) in measures.items()}).drop("_scatter")
+    busy = _flag_busy(history.select(key, time, amount), history, key, hot_keys, sliding_rows).filter("_busy")
+    summed = recent_activity(busy, key, frames, last, time, amount).select(
+        key, F.col("_at").alias(time), "_rows",
+        *[value.alias(f"_summed_{name}") for name, (_, _, value) in measures.items()])
+    both = lookup_counted(slid, summed, [key, time], hot_keys.limit(history))
+    return both.select(*rows.columns, *[
+        F.when(F.col("_busy"), F.col(f"_summed_{name}"))
+        .when(F.col(time).isNotNull(), F.col(f"_slid_{name}")).alias(name) for name in measures])
+
+
+def past_only_features(rows: DataFrame, history: DataFrame, key: str, frames: dict[str, int], prefix: str,
                        hot_keys: HotKeys = DEFAULT_HOT_KEYS, time: str = "tx_time_seconds",
-                       amount: str = "tx_amount") -> DataFrame:
+                       amount: str = "tx_amount", sliding_rows: int = SLIDING_ROWS) -> DataFrame:
     """Count and mean of the key's earlier amounts per frame; never the row itself or a later row.
 
-    Transactions of the same second are not the past of each other.
+    Transactions of the same second are not the past of each other. ``rows`` are the rows of
+    ``history``, possibly with more columns; ``history`` is read several times, so pass a table.
     """
-    activity = recent_activity(df, key, frames, last=-1, time=time, amount=amount).select(
-        key, F.col("_at").alias(time),
-        *[c for name in frames for c in (
-            F.col(f"_known_{name}").alias(f"{prefix}_tx_count_{name}"),
-            F.try_divide(F.col(f"_sum_{name}"), F.col(f"_known_{name}")).alias(f"{prefix}_avg_amount_{name}"))])
-    return lookup_join(df, activity, [key, time], hot_keys.of(df, [key, time]))
+    measures = {}
+    for name in frames:
+        measures[f"{prefix}_tx_count_{name}"] = (name, F.count(amount), F.col(f"_known_{name}"))
+        measures[f"{prefix}_avg_amount_{name}"] = (
+            name, F.avg(amount), F.try_divide(F.col(f"_sum_{name}"), F.col(f"_known_{name}")))
+    return _over_frames(rows, history, key, frames, -1, time, amount, measures, hot_keys, sliding_rows)
 
 
-def tx_frequency(df: DataFrame, key: str, frames: dict[str, int], prefix: str,
+def tx_frequency(rows: DataFrame, history: DataFrame, key: str, frames: dict[str, int], prefix: str,
                  hot_keys: HotKeys = DEFAULT_HOT_KEYS, time: str = "tx_time_seconds",
-                 amount: str = "tx_amount") -> DataFrame:
+                 amount: str = "tx_amount", sliding_rows: int = SLIDING_ROWS) -> DataFrame:
     """Transactions of the key in the last N seconds, the row's own second included."""
-    activity = recent_activity(df, key, frames, last=0, time=time, amount=amount).select(
-        key, F.col("_at").alias(time),
-        *[F.col(f"_n_{name}").alias(f"{prefix}_tx_last_{name}") for name in frames])
-    return lookup_join(df, activity, [key, time], hot_keys.of(df, [key, time]))
+    measures = {f"{prefix}_tx_last_{name}": (name, F.count(F.lit(1)), F.col(f"_n_{name}")) for name in frames}
+    return _over_frames(rows, history, key, frames, 0, time, amount, measures, hot_keys, sliding_rows)

@@ -1,8 +1,8 @@
 """Hot keys: find them, and spread their rows over many tasks.
 
 A key is hot when it holds more rows than one task should take. The number of hot keys has a
-fixed bound whatever the table size (a key needs at least 1/``max_keys`` of all rows), so the
-table of hot keys may be broadcast.
+fixed bound whatever the table size (a key needs more than 1/``max_keys`` of all rows), so what
+belongs to the hot keys, one row each, may be broadcast.
 """
 
 from __future__ import annotations
@@ -16,59 +16,77 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotKeys:
-    """``rows_per_task``: size of one split; ``max_keys``: bound of the broadcast table."""
+    """``rows_per_task``: what one task takes; ``max_keys``: bound of the broadcast tables."""
 
     rows_per_task: int = 1_000_000
     max_keys: int = 100_000
 
-    def find(self, counts: DataFrame, keys: list[str], rows: str = "_rows") -> DataFrame:
-        """Rows ``keys, _splits`` of the hot keys, from a table of rows per key."""
-        total = counts.agg(F.sum(rows)).scalar()
-        limit = F.greatest(F.lit(self.rows_per_task).cast("double"), total / F.lit(self.max_keys))
-        return (counts.filter(F.col(rows) > limit)
-                .select(*keys, F.ceil(F.col(rows) / F.lit(self.rows_per_task)).cast("int").alias("_splits")))
+    def limit(self, df: DataFrame) -> Column:
+        """Rows above which a key of ``df`` is hot."""
+        total = df.agg(F.count(F.lit(1))).scalar()
+        return F.greatest(F.lit(float(self.rows_per_task)), total / F.lit(float(self.max_keys)))
 
     def of(self, df: DataFrame, keys: list[str]) -> DataFrame:
-        """Hot keys of ``df``: reads the key columns only and pre-aggregates before the shuffle."""
-        return self.find(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys)
+        """The hot keys of ``df``: reads the key columns only, adds up before the shuffle."""
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        return counts.filter(F.col("_rows") > self.limit(df)).select(*keys)
 
 
 DEFAULT_HOT_KEYS = HotKeys()
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality on ``keys``: a NULL key is a group of its own, as in a window."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def _match(keys: list[str], prefix: str) -> Column:
+    """NULL-safe: a NULL key is a group of its own, as in a window."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``_splits``: number of splits of the row's key, NULL when the key is not hot."""
-    small = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_splits"))
-    matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    return df.join(small, matches, "left").drop(*[f"_hot_{k}" for k in keys])
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    """Left join to a table with one row per key, hot keys spread.
+def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str], flag: str = "_hot") -> DataFrame:
+    """Add a flag for rows whose key is in the bounded table ``hot``."""
+    small = F.broadcast(_prefixed(hot.select(*keys), "_h_").withColumn(flag, F.lit(True)))
+    return (df.join(small, _match(keys, "_h_"), "left").drop(*[f"_h_{k}" for k in keys])
+            .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
-    A hot key's fact rows are dealt to ``_splits`` groups and its one ``dim`` row is copied to
-    each, so no task gets more than about one split. The deal depends on row content and on the
-    partition the row comes from (never on row order), so a retried task repeats it exactly.
+
+def lookup_join(fact: DataFrame, rest: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join to tables with one row per key: ``hot`` (bounded) by broadcast, ``rest`` by shuffle.
+
+    Rows of hot keys get their values from the broadcast and pass the shuffle scattered by
+    content, so no task gets a whole hot key. The scatter depends on the row and the partition it
+    comes from, never on row order: a retried task repeats it. ``hot`` must have a row for every
+    hot key, with NULL values where the key is unknown.
+    """
+    values = [c for c in rest.columns if c not in keys]
+    small = F.broadcast(_prefixed(hot.select(*keys, *values), "_h_").withColumn("_hot", F.lit(True)))
+    content = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(1 << 30))
+    marked = (fact.join(small, _match(keys, "_h_"), "left").drop(*[f"_h_{k}" for k in keys])
+              .withColumn("_scatter", F.when(F.col("_hot"), F.lit(1) + content + F.spark_partition_id())
+                          .otherwise(F.lit(0).cast("bigint"))))
+    large = _prefixed(rest, "_r_").withColumn("_r_scatter", F.lit(0).cast("bigint"))
+    joined = marked.join(large, _match(keys, "_r_") & (F.col("_scatter") == F.col("_r_scatter")), "left")
+    return joined.select(*fact.columns, *[
+        F.when(F.col("_hot"), F.col(f"_h_{c}")).otherwise(F.col(f"_r_{c}")).alias(c) for c in values])
+
+
+def lookup_counted(fact: DataFrame, dim: DataFrame, keys: list[str], limit: Column,
+                   rows: str = "_rows") -> DataFrame:
+    """``lookup_join`` where ``dim`` already knows the rows of each key (column ``rows``).
+
+    Both parts filter the same aggregate, so Spark runs it once and reuses its exchange.
     """
-    content = F.xxhash64(*[F.col(c) for c in fact.columns])
-    dealt = (mark_hot(fact, hot, keys)
-             .withColumn("_split", F.when(
-                 F.col("_splits").isNotNull(),
-                 F.pmod(F.pmod(content, F.lit(1 << 30)) + F.spark_partition_id(), F.col("_splits")).cast("int"))
-                 .otherwise(F.lit(0)))
-             .drop("_splits"))
-    copies = (mark_hot(dim, hot, keys)
-              .withColumn("_split", F.explode(
-                  F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)))
-              .drop("_splits"))
-    right = copies.select(*[F.col(k).alias(f"_dim_{k}") for k in keys],
-                          F.col("_split").alias("_dim_split"),
-                          *[c for c in dim.columns if c not in keys])
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_dim_{k}")) for k in keys])
-    return (dealt.join(right, on & (F.col("_split") == F.col("_dim_split")), "left")
-            .drop("_split", "_dim_split", *[f"_dim_{k}" for k in keys]))
+    values = [c for c in dim.columns if c != rows]
+    return lookup_join(fact, dim.filter(F.col(rows) <= limit).select(values),
+                       dim.filter(F.col(rows) > limit).select(values), keys)
+
+
+def lookup_any(fact: DataFrame, dim: DataFrame, keys: list[str], hot_keys: HotKeys) -> DataFrame:
+    """``lookup_join`` to a stored table with one row per key."""
+    hot = hot_keys.of(fact, keys)
+    found = dim.join(F.broadcast(_prefixed(hot, "_s_")), _match(keys, "_s_"), "left_semi")
+    known = (_prefixed(hot, "_k_").join(F.broadcast(found), reduce(
+        lambda a, b: a & b, [F.col(f"_k_{k}").eqNullSafe(F.col(k)) for k in keys]), "left")
+        .select(*[F.col(f"_k_{k}").alias(k) for k in keys], *[c for c in dim.columns if c not in keys]))
+    return lookup_join(fact, dim, known, keys)

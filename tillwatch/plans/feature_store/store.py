@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tillwatch.operators.asof import asof_carry, within_ttl
 from tillwatch.operators.latest import instant
-from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_join
+from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_any
 from tillwatch.plans.feature_store.definitions import (
     FeatureService,
     FeatureView,
@@ -179,7 +179,7 @@ class FeatureStore:
             values = latest.select(*keys, *[
                 F.col(n).cast(f.spark_type).alias(internal_name(v.name, n))
                 for v in views for n, f in v.fields.items()])
-            out = lookup_join(out, values, keys, self.hot_keys.of(out, keys))
+            out = lookup_any(out, values, keys, self.hot_keys)
         for view in computed:
             out = view.attach(out)
         return self._project(out, requests.columns, wanted, full_names)
