@@ -65,7 +65,9 @@ def lookup_join(fact: DataFrame, rest: DataFrame, hot: DataFrame, keys: list[str
     marked = (fact.join(small, _match(keys, "_h_"), "left").drop(*[f"_h_{k}" for k in keys])
               .withColumn("_scatter", F.when(F.col("_hot"), F.lit(1) + content + F.spark_partition_id())
                           .otherwise(F.lit(0).cast("bigint"))))
-    large = _prefixed(rest, "_r_").withColumn("_r_scatter", F.lit(0).cast("bigint"))
+    # Always 0, but not as a literal: Spark would fold that into a filter and shuffle by key alone.
+    zero = F.pmod(F.xxhash64(*[F.col(f"_r_{k}") for k in keys]), F.lit(1).cast("bigint"))
+    large = _prefixed(rest, "_r_").withColumn("_r_scatter", zero)
     joined = marked.join(large, _match(keys, "_r_") & (F.col("_scatter") == F.col("_r_scatter")), "left")
     return joined.select(*fact.columns, *[
         F.when(F.col("_hot"), F.col(f"_h_{c}")).otherwise(F.col(f"_r_{c}")).alias(c) for c in values])
