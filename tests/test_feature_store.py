@@ -96,11 +96,14 @@ def test_extra_spine_columns_and_scoring(store, spine):
 
 
 def test_views_of_one_source_share_a_join(store, spine):
-    out = store.get_historical_features(spine, [
-        "driver_quality_fv:conv_rate", "driver_activity_fv:avg_daily_trips", "driver_hourly_stats:acc_rate"])
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    # one carry window for the spine, one inside the hot-key branch
-    assert plan.count("Window [last") == 2
+    def windows(references):
+        plan = store.get_historical_features(spine, references)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Window [last")
+
+    one = windows(["driver_quality_fv:conv_rate"])
+    assert one > 0
+    assert windows(["driver_quality_fv:conv_rate", "driver_activity_fv:avg_daily_trips",
+                    "driver_hourly_stats:acc_rate"]) == one
 
 
 def test_names_must_be_unique(store, spine):
@@ -202,7 +205,7 @@ def test_describe_log_listing(spark, store, spine):
 
 def test_hot_driver(spark, store, spine):
     plain = _by_driver(store.get_historical_features(spine, store.get_feature_service("driver_activity_v2")))
-    store.hot_keys = HotKeys(1, 1_000_000)
+    store.hot_keys = HotKeys(1, 1_000_000, 0)
     assert _by_driver(store.get_historical_features(spine, store.get_feature_service("driver_activity_v2"))) == plain
 
 

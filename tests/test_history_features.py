@@ -22,7 +22,7 @@ def _mean(values):
     return sum(values) / len(values) if values else None
 
 
-WAYS = [(HotKeys(), 2_000), (HotKeys(), 0), (HotKeys(5, 1_000_000), 80), (HotKeys(1, 1_000_000), 0)]
+WAYS = [(HotKeys(), 2_000), (HotKeys(), 0), (HotKeys(5, 1_000_000, 0), 80), (HotKeys(1, 1_000_000, 0), 0)]
 
 
 @pytest.mark.parametrize("hot,sliding", WAYS)
@@ -53,7 +53,7 @@ def test_frequency_counts_own_second(spark, hot, sliding):
             assert r[f"c_tx_last_{name}"] == want
 
 
-@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(10, 1_000_000)])
+@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(10, 1_000_000, 0)])
 def test_entity_features_equal_windows(spark, hot):
     rng = random.Random(5)
     rows = [(i, rng.choice([1, 1, 2, None]), rng.choice([7, 7, 8, None]), rng.choice([None, float(rng.randrange(-3, 50))]))

@@ -12,7 +12,7 @@ DAY = timedelta(days=1)
 NOON = datetime(2024, 3, 10, 12)
 FEATURE_DDL = "k BIGINT, event_ts TIMESTAMP, created TIMESTAMP, v BIGINT"
 SPINE_DDL = "id BIGINT, k BIGINT, ts TIMESTAMP"
-SPLITS = [HotKeys(), HotKeys(rows_per_task=1, max_keys=1_000_000)]
+SPLITS = [HotKeys(), HotKeys(rows_per_task=1, max_keys=1_000_000, small_bytes=0)]
 
 HAND = [
     ([(1, NOON - timedelta(hours=1), None, 1), (1, NOON - timedelta(minutes=30), None, 2)], 2),
@@ -84,7 +84,7 @@ def _random_tables(seed):
     return spine, unique
 
 
-@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(20, 1_000_000), HotKeys(1, 1_000_000)])
+@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(20, 1_000_000, 0), HotKeys(1, 1_000_000, 0)])
 @pytest.mark.parametrize("ttl", [DAY, timedelta(hours=2), None])
 def test_against_loop(spark, hot, ttl):
     spine, features = _random_tables(7)

@@ -13,15 +13,15 @@ def _fact(spark):
 
 def test_hot_keys_and_bound(spark):
     fact = _fact(spark)
-    assert {r["k"] for r in HotKeys(100, 1_000).of(fact, ["k"]).collect()} == {1, 9, None}
+    assert {r["k"] for r in HotKeys(100, 1_000, 0).of(fact, ["k"]).collect()} == {1, 9, None}
     # no more than max_keys keys can be hot, however low the row limit is
-    assert HotKeys(0, 3).of(fact, ["k"]).count() <= 3
+    assert HotKeys(0, 3, 0).of(fact, ["k"]).count() <= 3
 
 
 def test_lookup_is_a_left_join(spark):
     fact = _fact(spark)
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k BIGINT, v STRING")
-    for hot in (HotKeys(), HotKeys(100, 1_000), HotKeys(1, 1_000)):
+    for hot in (HotKeys(), HotKeys(100, 1_000, 0), HotKeys(1, 1_000, 0)):
         got = {(r["k"], r["v"]): r["n"] for r in
                lookup_any(fact, dim, ["k"], hot).groupBy("k", "v").agg(F.count("*").alias("n")).collect()}
         assert got == {(1, "a"): 400, (2, "b"): 20, (9, None): 200, (None, None): 200}

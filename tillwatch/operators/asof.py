@@ -1,8 +1,12 @@
 """Point-in-time join: the newest feature row at or before each spine row.
 
 Feature and spine rows are tagged, united and carried forward by one window: one shuffle, one
-sort, work linear in the rows whatever the time-to-live. Keys with too many rows for a task are
-cut into time buckets; each bucket starts with the newest feature row of all earlier buckets.
+sort, work linear in the rows whatever the time-to-live.
+
+Keys with too many rows for a task go another way. Their rows are first reduced to one per moment
+(newest feature row, or the number of spine rows), then cut into time buckets; each bucket starts
+with the newest feature row of all earlier buckets. So a bucket is never larger than the moments
+it has, even when every spine row asks for the same one. The spine rows then look their moment up.
 """
 
 from __future__ import annotations
@@ -12,62 +16,89 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, mark_hot
+from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_counted, mark_hot
 
 CARRY, FEATURE, SPINE = -1, 0, 1
 
 
+def _feature_rows(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,
+                  created: str | None, fields: list[str]) -> DataFrame:
+    """``keys, _ts, _created, _tie, _row`` in the spine's key and time types."""
+    time_type = spine.schema[spine_ts].dataType
+    known = features.filter(F.col(feature_ts).isNotNull())
+    for name in keys:
+        known = known.filter(F.col(name).isNotNull())
+    return known.select(
+        *[F.col(k).cast(spine.schema[k].dataType).alias(k) for k in keys],
+        F.col(feature_ts).cast(time_type).alias("_ts"),
+        (F.col(created) if created else F.lit(None).cast("timestamp")).alias("_created"),
+        F.xxhash64(*[F.col(c) for c in fields]).alias("_tie"),
+        F.struct(F.col(feature_ts).cast(time_type).alias("event_ts"), *[F.col(c) for c in fields]).alias("_row"))
+
+
+def _newest(*before: str) -> Column:
+    """Order among feature rows: time, newest ``created``, lowest hash."""
+    return F.struct(*before, "_created", (-F.col("_tie").cast("decimal(20,0)")).alias("_low"))
+
+
+def _carry_in_window(spine: DataFrame, rows: DataFrame, keys: list[str], spine_ts: str) -> DataFrame:
+    """One window per key over the united rows."""
+    payload = F.struct(*[F.col(c) for c in spine.columns])
+    tagged = (rows.withColumns({"_side": F.lit(FEATURE), "_spine": F.lit(None).cast(spine.schema)})
+              .unionByName(spine.select(*keys, F.col(spine_ts).alias("_ts"), F.lit(SPINE).alias("_side"),
+                                        payload.alias("_spine")), allowMissingColumns=True))
+    so_far = (Window.partitionBy(*keys)
+              .orderBy(F.col("_ts").asc_nulls_first(), "_side", F.col("_created").asc_nulls_first(),
+                       F.col("_tie").desc())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (tagged.withColumn("_carried", F.last("_row", ignorenulls=True).over(so_far))
+            .filter(F.col("_side") == SPINE).select("_spine.*", "_carried"))
+
+
+def _carry_in_buckets(spine: DataFrame, rows: DataFrame, keys: list[str], spine_ts: str, bucket: str,
+                      limit: Column) -> DataFrame:
+    """The same for hot keys: moments, time buckets, and a look-up per spine row."""
+    row_type = rows.schema["_row"].dataType
+    moments = spine.groupBy(*keys, F.col(spine_ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_rows"))
+    tagged = (rows.groupBy(*keys, "_ts").agg(F.max_by("_row", _newest()).alias("_row"))
+              .withColumns({"_side": F.lit(FEATURE), "_rows": F.lit(0).cast("bigint")})
+              .unionByName(moments.withColumns({"_side": F.lit(SPINE), "_row": F.lit(None).cast(row_type)}))
+              .withColumn("_bucket", F.date_trunc(bucket, F.col("_ts"))))
+    per_bucket = tagged.groupBy(*keys, "_bucket").agg(
+        F.max_by("_row", F.when(F.col("_side") == FEATURE, F.col("_ts"))).alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried_in = (per_bucket.withColumn("_row", F.last("_last", ignorenulls=True).over(earlier))
+                  .filter(F.col("_row").isNotNull())
+                  .select(*keys, F.lit(None).cast(spine.schema[spine_ts].dataType).alias("_ts"), "_row",
+                          F.lit(CARRY).alias("_side"), F.lit(0).cast("bigint").alias("_rows"), "_bucket"))
+    so_far = (Window.partitionBy(*keys, "_bucket").orderBy(F.col("_ts").asc_nulls_first(), "_side")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    answered = (tagged.unionByName(carried_in)
+                .withColumn("_carried", F.last("_row", ignorenulls=True).over(so_far))
+                .filter(F.col("_side") == SPINE)
+                .select(*keys, F.col("_ts").alias(spine_ts), "_rows", "_carried"))
+    return lookup_counted(spine, answered, [*keys, spine_ts], limit)
+
+
 def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,
                created: str | None, fields: list[str], hot_keys: HotKeys = DEFAULT_HOT_KEYS,
-               bucket: str = "hour") -> DataFrame:
+               bucket: str = "minute") -> DataFrame:
     """All spine rows and columns plus ``_carried``: struct of ``event_ts`` and ``fields``, or NULL.
 
     The newest row wins even where its fields are NULL. Equal times match. Ties: newest
     ``created``, then lowest row hash. ``bucket`` is the ``date_trunc`` unit for hot keys.
     """
-    spine_type = spine.schema[spine_ts].dataType
-    known = features
-    for name in keys:
-        known = known.filter(F.col(name).isNotNull())
-    row = F.struct(F.col(feature_ts).cast(spine_type).alias("event_ts"), *[F.col(c) for c in fields])
-    made = F.col(created) if created else F.lit(None).cast("timestamp")
-    feature_rows = known.filter(F.col(feature_ts).isNotNull()).select(
-        *[F.col(k).cast(spine.schema[k].dataType).alias(k) for k in keys],
-        F.col(feature_ts).cast(spine_type).alias("_ts"), F.lit(FEATURE).alias("_side"),
-        made.alias("_created"), F.xxhash64(*[F.col(c) for c in fields]).alias("_tie"),
-        row.alias("_row"), F.lit(None).cast(spine.schema).alias("_spine"))
-    made_type = feature_rows.schema["_created"].dataType
-    row_type = feature_rows.schema["_row"].dataType
-    spine_rows = spine.select(
-        *keys, F.col(spine_ts).alias("_ts"), F.lit(SPINE).alias("_side"),
-        F.lit(None).cast(made_type).alias("_created"), F.lit(None).cast("bigint").alias("_tie"),
-        F.lit(None).cast(row_type).alias("_row"), F.struct(*[F.col(c) for c in spine.columns]).alias("_spine"))
-    tagged = feature_rows.unionByName(spine_rows)
-    hot = hot_keys.of(tagged.select(*keys), keys)
-    placed = (mark_hot(tagged, hot, keys)
-              .withColumn("_bucket", F.when(F.col("_hot"), F.date_trunc(bucket, F.col("_ts"))))
-              .drop("_hot"))
-
-    # Hot keys only: newest feature row before each of the key's buckets.
-    newest_first = F.struct("_ts", "_created", (-F.col("_tie").cast("decimal(20,0)")).alias("t"))
-    per_bucket = (placed.filter(F.col("_bucket").isNotNull())
-                  .groupBy(*keys, "_bucket")
-                  .agg(F.max_by("_row", F.when(F.col("_side") == FEATURE, newest_first)).alias("_newest")))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried_in = (per_bucket.withColumn("_row", F.last("_newest", ignorenulls=True).over(earlier))
-                  .filter(F.col("_row").isNotNull())
-                  .select(*keys, F.col("_bucket").cast(spine_type).alias("_ts"), F.lit(CARRY).alias("_side"),
-                          F.lit(None).cast(made_type).alias("_created"), F.lit(None).cast("bigint").alias("_tie"),
-                          "_row", F.lit(None).cast(spine.schema).alias("_spine"), "_bucket"))
-
-    block = (Window.partitionBy(*keys, "_bucket")
-             .orderBy(F.col("_ts").asc_nulls_first(), "_side", F.col("_created").asc_nulls_first(),
-                      F.col("_tie").desc())
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (placed.unionByName(carried_in)
-            .withColumn("_carried", F.last("_row", ignorenulls=True).over(block))
-            .filter(F.col("_side") == SPINE)
-            .select("_spine.*", "_carried"))
+    rows = _feature_rows(spine, features, keys, spine_ts, feature_ts, created, fields)
+    if not hot_keys.possible(spine, rows):
+        return _carry_in_window(spine, rows, keys, spine_ts)
+    both = rows.select(*keys).unionByName(spine.select(*keys))
+    hot = hot_keys.of(both, keys)
+    marked, marked_rows = mark_hot(spine, hot, keys), mark_hot(rows, hot, keys)
+    light = _carry_in_window(marked.filter(~F.col("_hot")).drop("_hot"),
+                             marked_rows.filter(~F.col("_hot")).drop("_hot"), keys, spine_ts)
+    heavy = _carry_in_buckets(marked.filter("_hot").drop("_hot"), marked_rows.filter("_hot").drop("_hot"),
+                              keys, spine_ts, bucket, hot_keys.limit(both))
+    return light.unionByName(heavy)
 
 
 def within_ttl(carried: Column, spine_ts: Column, ttl: timedelta | None) -> Column:
@@ -78,7 +109,7 @@ def within_ttl(carried: Column, spine_ts: Column, ttl: timedelta | None) -> Colu
 
 def point_in_time_join(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,
                        fields: list[str], created: str | None = None, ttl: timedelta | None = None,
-                       hot_keys: HotKeys = DEFAULT_HOT_KEYS, bucket: str = "hour") -> DataFrame:
+                       hot_keys: HotKeys = DEFAULT_HOT_KEYS, bucket: str = "minute") -> DataFrame:
     """Left as-of join; a spine row without a fresh match keeps NULL features."""
     carried = asof_carry(spine, features, keys, spine_ts, feature_ts, created, fields, hot_keys, bucket)
     fresh = within_ttl(F.col("_carried"), F.col(spine_ts), ttl)
@@ -100,7 +131,7 @@ def point_in_time_range_join(spine: DataFrame, features: DataFrame, keys: list[s
                             F.struct(*[F.col(c) for c in fields]).alias("_f_row"))
     on = [F.col(k) == F.col(f"_f_{k}") for k in keys]
     on += [F.col("_f_ts") <= F.col(spine_ts), F.col("_f_ts") >= F.col(spine_ts) - F.lit(ttl)]
-    newest = F.struct("_f_ts", "_f_created", (-F.col("_f_tie").cast("decimal(20,0)")).alias("t"))
+    newest = F.struct("_f_ts", "_f_created", (-F.col("_f_tie").cast("decimal(20,0)")).alias("_low"))
     best = (spine.join(right, on).groupBy(row_id)
             .agg(F.max_by("_f_row", newest).alias("_best"))
             .withColumnRenamed(row_id, "_best_id"))

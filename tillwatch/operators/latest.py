@@ -12,19 +12,25 @@ def instant(value, like: T.DataType) -> Column:
     return F.lit(str(value)).cast("timestamp").cast(like)
 
 
-def latest_per_entity(df: DataFrame, keys: list[str], event_ts: str, created: str | None = None,
-                      end=None, start=None) -> DataFrame:
-    """Newest row per key by (event time, created, lowest row hash), within ``(start, end]``.
+def between(df: DataFrame, event_ts: str, start=None, end=None) -> DataFrame:
+    """Rows with an event time in ``(start, end]``; a missing side is open."""
+    kind = df.schema[event_ts].dataType
+    rows = df
+    if start is not None:
+        rows = rows.filter(F.col(event_ts) > instant(start, kind))
+    if end is not None:
+        rows = rows.filter(F.col(event_ts) <= instant(end, kind))
+    return rows
+
+
+def latest_per_entity(df: DataFrame, keys: list[str], event_ts: str, created: str | None = None) -> DataFrame:
+    """Newest row per key by (event time, created, lowest row hash); rows without key are left out.
 
     Like the first-row form, each map task keeps one row per key before the shuffle.
     """
     rows = df
     for name in keys:
         rows = rows.filter(F.col(name).isNotNull())
-    if start is not None:
-        rows = rows.filter(F.col(event_ts) > instant(start, df.schema[event_ts].dataType))
-    if end is not None:
-        rows = rows.filter(F.col(event_ts) <= instant(end, df.schema[event_ts].dataType))
     order = [F.col(event_ts).desc_nulls_last()]
     if created:
         order.append(F.col(created).desc_nulls_last())

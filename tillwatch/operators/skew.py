@@ -3,6 +3,8 @@
 A key is hot when it holds more rows than one task should take. The number of hot keys has a
 fixed bound whatever the table size (a key needs more than 1/``max_keys`` of all rows), so what
 belongs to the hot keys, one row each, may be broadcast.
+
+A table that fits one task as a whole cannot have a hot key: there the plain join is planned.
 """
 
 from __future__ import annotations
@@ -16,20 +18,32 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotKeys:
-    """``rows_per_task``: what one task takes; ``max_keys``: bound of the broadcast tables."""
+    """``rows_per_task``: what one task takes; ``max_keys``: bound of the broadcast tables.
+
+    ``small_bytes``: a table up to this size (Spark's own estimate, no job) has no hot keys.
+    """
 
     rows_per_task: int = 1_000_000
     max_keys: int = 100_000
+    small_bytes: int = 32 << 20
 
-    def limit(self, df: DataFrame) -> Column:
-        """Rows above which a key of ``df`` is hot."""
+    def possible(self, *tables: DataFrame) -> bool:
+        """Whether the tables together are too large for one task."""
+        sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
+        return sum(sizes) > self.small_bytes
+
+    def limit(self, df: DataFrame) -> Column | None:
+        """Rows above which a key of ``df`` is hot; None when none can be."""
+        if not self.possible(df):
+            return None
         total = df.agg(F.count(F.lit(1))).scalar()
         return F.greatest(F.lit(float(self.rows_per_task)), total / F.lit(float(self.max_keys)))
 
     def of(self, df: DataFrame, keys: list[str]) -> DataFrame:
         """The hot keys of ``df``: reads the key columns only, adds up before the shuffle."""
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        return counts.filter(F.col("_rows") > self.limit(df)).select(*keys)
+        limit = self.limit(df)
+        return counts.filter(F.lit(False) if limit is None else F.col("_rows") > limit).select(*keys)
 
 
 DEFAULT_HOT_KEYS = HotKeys()
@@ -51,6 +65,12 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str], flag: str = "_hot")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
+def plain_lookup(fact: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join to a table with one row per key, NULL-safe."""
+    return (fact.join(_prefixed(dim, "_r_"), _match(keys, "_r_"), "left")
+            .select(*fact.columns, *[F.col(f"_r_{c}").alias(c) for c in dim.columns if c not in keys]))
+
+
 def lookup_join(fact: DataFrame, rest: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """Left join to tables with one row per key: ``hot`` (bounded) by broadcast, ``rest`` by shuffle.
 
@@ -73,19 +93,23 @@ def lookup_join(fact: DataFrame, rest: DataFrame, hot: DataFrame, keys: list[str
         F.when(F.col("_hot"), F.col(f"_h_{c}")).otherwise(F.col(f"_r_{c}")).alias(c) for c in values])
 
 
-def lookup_counted(fact: DataFrame, dim: DataFrame, keys: list[str], limit: Column,
+def lookup_counted(fact: DataFrame, dim: DataFrame, keys: list[str], limit: Column | None,
                    rows: str = "_rows") -> DataFrame:
     """``lookup_join`` where ``dim`` already knows the rows of each key (column ``rows``).
 
     Both parts filter the same aggregate, so Spark runs it once and reuses its exchange.
     """
     values = [c for c in dim.columns if c != rows]
+    if limit is None:
+        return plain_lookup(fact, dim.select(values), keys)
     return lookup_join(fact, dim.filter(F.col(rows) <= limit).select(values),
                        dim.filter(F.col(rows) > limit).select(values), keys)
 
 
 def lookup_any(fact: DataFrame, dim: DataFrame, keys: list[str], hot_keys: HotKeys) -> DataFrame:
     """``lookup_join`` to a stored table with one row per key."""
+    if not hot_keys.possible(fact):
+        return plain_lookup(fact, dim, keys)
     hot = hot_keys.of(fact, keys)
     found = dim.join(F.broadcast(_prefixed(hot, "_s_")), _match(keys, "_s_"), "left_semi")
     known = (_prefixed(hot, "_k_").join(F.broadcast(found), reduce(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwatch.operators.latest import latest_per_entity
+from tillwatch.operators.latest import between, latest_per_entity
 from tillwatch.sources.paths import read_table
 
 COMMITS_DDL = "version INT, mark TIMESTAMP"
@@ -60,9 +60,8 @@ class LatestTable:
     def materialize(self, history: DataFrame, end: datetime, start: datetime | None = None) -> int:
         """Fold history rows of ``(start or last mark, end]`` and pushed rows into a new snapshot."""
         version, mark = self.state()
-        window = latest_per_entity(self._typed(history), self.keys, self.event_ts, self.created,
-                                   end=end, start=start or mark)
-        merged = latest_per_entity(window.unionByName(self._pieces(version)), self.keys,
+        fresh = between(self._typed(history), self.event_ts, start or mark, end)
+        merged = latest_per_entity(fresh.unionByName(self._pieces(version)), self.keys,
                                    self.event_ts, self.created)
         merged.write.mode("overwrite").parquet(f"{self.root}/snapshot/version={version + 1}")
         (self.spark.createDataFrame([(version + 1, end)], COMMITS_DDL)
