@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tillwatch.functions.decisions import decide
@@ -10,7 +11,7 @@ from tillwatch.operators import evaluation as E
 from tillwatch.operators.ordered import running_totals
 from tillwatch.operators.quantiles import exact_quantiles
 from tillwatch.operators.sampling import sample_by_key, sample_fraction, split_by_key
-from tillwatch.plans.training import evaluate_curve
+from tillwatch.plans.training import evaluate_curve, evaluate_labels
 
 
 def _scored(n=300, seed=1, levels=25):
@@ -91,6 +92,16 @@ def test_loss_reduction(spark):
     assert (got["loss"], got["baseline_loss"], got["reduction"], got["target_met"]) == (0.0, 110.0, 1.0, True)
 
 
+def test_label_measures_equal_the_evaluator(spark):
+    rows = _df(spark, _scored(seed=4)).select((F.col("score") > 0.4).cast("double").alias("prediction"),
+                                              F.col("label").cast("double").alias("label"))
+    got = evaluate_labels(rows, "label")
+    by = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
+    for ours, theirs in {"precision": "weightedPrecision", "recall": "weightedRecall", "f1": "f1"}.items():
+        assert got[ours] == pytest.approx(by.setMetricName(theirs).evaluate(rows))
+    assert got["recall"] == pytest.approx(by.setMetricName("accuracy").evaluate(rows))
+
+
 def test_decisions(spark):
     df = spark.createDataFrame([(0.9, 1), (0.5, 1), (0.1, 1), (0.1, 99), (None, 1)], "score DOUBLE, amount INT")
     got = [r[0] for r in df.select(decide(F.col("score"), 0.4, 0.8, decline_rule=F.col("amount") > 50)).collect()]

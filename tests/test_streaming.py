@@ -56,10 +56,11 @@ def test_late_rows_are_dropped(spark, tmp_path):
         (9, 1), (10, 1), (12, 1), (14, 1), (15, 1)]
 
 
-def test_redelivered_rows_count_once(spark, tmp_path):
+@pytest.mark.parametrize("lanes", [1, 3])
+def test_redelivered_rows_count_once(spark, tmp_path, lanes):
     _files(spark, str(tmp_path / "in"), [[(1, _at(10), 1, 5.0), (1, _at(10), 1, 5.0)],
                                          [(1, _at(10), 1, 5.0), (2, _at(10, 30), 1, 5.0)]], DDL)
-    out = _run(spark, pipeline.dedupe_stream(_stream(spark, tmp_path / "in"), "ts", "1 hour"), tmp_path)
+    out = _run(spark, pipeline.dedupe_stream(_stream(spark, tmp_path / "in"), "ts", "1 hour", lanes=lanes), tmp_path)
     assert sorted(r["transaction_id"] for r in out.collect()) == [1, 2]
 
 

@@ -21,6 +21,7 @@ from tillwatch.catalog.registry import query
 from tillwatch.functions.decisions import decide
 from tillwatch.functions.predicates import reject_reason
 from tillwatch.operators import cleaning, entity_features, evaluation, history, quality, quantiles, sampling
+from tillwatch.operators.skew import HotKeys
 from tillwatch.plans import training
 from tillwatch.schema import FEATURE_COLUMNS, TRANSACTION_COLUMNS
 from tillwatch.session import scratch_path
@@ -189,6 +190,22 @@ def customer_terminal_features_orders(spark, folder):
     return _steady_features(entity_features.customer_terminal_features(order_transactions(spark, folder)))
 
 
+# Low limits: the paths for hot keys, which tables of this size would not need.
+SPLIT_EARLY = HotKeys(rows_per_task=50, max_keys=100_000, small_bytes=0)
+
+
+@query(with_parts(_entity_sql("tx_big"), "tx_big"))
+def customer_terminal_features_hot_keys(spark, folder):
+    return _steady_features(entity_features.customer_terminal_features(
+        order_transactions(spark, folder), SPLIT_EARLY))
+
+
+@query(with_parts(_entity_sql("tx_clean"), "tx_clean"))
+def customer_terminal_windows(spark, folder):
+    """The plain two-window plan."""
+    return _steady_features(entity_features.customer_terminal_features(clean_table(spark, folder), as_window=True))
+
+
 FRAMES = {"1d": DAY, "7d": 7 * DAY, "30d": 30 * DAY}
 
 
@@ -201,17 +218,30 @@ def _past_sql(key: str, prefix: str) -> str:
     return ", ".join(parts)
 
 
-@query(with_parts(f"SELECT transaction_id, {_past_sql('customer_id', 'customer')}, "
-                  f"{_past_sql('terminal_id', 'terminal')} FROM tx_kept", "tx_kept"))
-def past_only_features(spark, folder):
+PAST_SQL = with_parts(f"SELECT transaction_id, {_past_sql('customer_id', 'customer')}, "
+                      f"{_past_sql('terminal_id', 'terminal')} FROM tx_kept", "tx_kept")
+
+
+def _past_only(spark: SparkSession, folder: str, **options) -> DataFrame:
     slim = kept_table(spark, folder).select("transaction_id", "customer_id", "terminal_id", "tx_time_seconds",
                                             "tx_amount")
-    out = history.past_only_features(slim, slim, "customer_id", FRAMES, "customer")
-    out = history.past_only_features(out, slim, "terminal_id", FRAMES, "terminal")
+    out = history.past_only_features(slim, slim, "customer_id", FRAMES, "customer", **options)
+    out = history.past_only_features(out, slim, "terminal_id", FRAMES, "terminal", **options)
     made = [c for c in out.columns if "_tx_count_" in c or "_avg_amount_" in c]
     return out.select("transaction_id", *[steady(F.col(c), 5).alias(c) if "_avg_" in c else F.col(c) for c in made])
 
 
+@query(PAST_SQL)
+def past_only_features(spark, folder):
+    return _past_only(spark, folder)
+
+
+@query(PAST_SQL)
+def past_only_features_busy_keys(spark, folder):
+    """Running sums for every key with more than 60 rows, hot keys above 50."""
+    return _past_only(spark, folder, hot_keys=SPLIT_EARLY, sliding_rows=60)
+
+
 @query(with_parts("SELECT transaction_id, " + ", ".join(
     f"count(*) OVER (PARTITION BY customer_id ORDER BY tx_time_seconds RANGE BETWEEN {n} PRECEDING AND CURRENT ROW) "
     f"AS customer_tx_last_{name}" for name, n in {"10m": 600, "1h": 3600, "1d": DAY}.items()) + " FROM tx_kept",

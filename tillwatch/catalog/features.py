@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,9 @@ from tillwatch.operators.asof import point_in_time_join as join_asof
 from tillwatch.operators.asof import point_in_time_range_join as join_range
 from tillwatch.operators.evaluation import curve_areas, score_curve
 from tillwatch.operators.latest import latest_per_entity as newest
+from tillwatch.operators.skew import HotKeys
 from tillwatch.plans import tracking
-from tillwatch.plans.feature_store import FeatureSource, FeatureStore
+from tillwatch.plans.feature_store import FeatureSource, FeatureStore, Field, on_demand
 from tillwatch.plans.feature_store.driver import ONE_DAY, driver_definitions
 from tillwatch.plans.feature_store.store import sorted_listing
 from tillwatch.session import scratch_path
@@ -69,6 +72,14 @@ def point_in_time_range_join(spark, folder):
     return out.select("event_id", "driver_id", stamp("event_timestamp"), "label", *FIELDS)
 
 
+@query(PIT_SQL)
+def point_in_time_join_hot_keys(spark, folder):
+    """Every driver with more than ten rows goes through moments and time buckets."""
+    out = join_asof(driver_spine(spark, folder), driver_stats(spark, folder), ["driver_id"], "event_timestamp",
+                    "event_timestamp", FIELDS, "created", ONE_DAY, HotKeys(10, 100_000, 0), "hour")
+    return out.select("event_id", "driver_id", stamp("event_timestamp"), "label", *FIELDS)
+
+
 def _widened(df: DataFrame) -> DataFrame:
     """32-bit features as doubles, long decimals steadied."""
     out = df
@@ -111,6 +122,23 @@ _historical(["driver_quality_fv:conv_rate", "driver_activity_fv:avg_daily_trips"
             "conv_rate, avg_daily_trips, acc_rate", "multi_view_join")
 
 
+@query(with_parts(f"SELECT {SPINE_SQL}, {RATED_SQL} FROM driver_f32", "driver_f32"))
+def performance_metrics_pandas(spark, folder):
+    """The same features by a user's pandas function, batch by batch."""
+    base = driver_store(spark, folder)
+    hourly = base.get_feature_view("driver_hourly_stats")
+
+    @on_demand(sources=[hourly], schema=[Field("combined_rating", "Float64"), Field("performance_score", "Float64")])
+    def rated_in_pandas(inputs: pd.DataFrame) -> pd.DataFrame:
+        rating = 0.6 * inputs["conv_rate"].astype("float64") + 0.4 * inputs["acc_rate"].astype("float64")
+        return pd.DataFrame({"combined_rating": rating,
+                             "performance_score": rating * np.log1p(inputs["avg_daily_trips"])})
+
+    store = FeatureStore(spark, [hourly, rated_in_pandas])
+    return _widened(store.get_historical_features(
+        driver_spine(spark, folder), ["rated_in_pandas:combined_rating", "rated_in_pandas:performance_score"]))
+
+
 @query(with_parts(f"SELECT {SPINE_SQL}, conv_rate, CAST(acc_rate AS DOUBLE) AS acc_rate FROM (SELECT s.*, "
                   "CAST(CAST(f.conv_rate AS FLOAT) AS DOUBLE) AS conv_rate, CAST(f.acc_rate AS FLOAT) AS acc_rate "
                   "FROM driver_spine s LEFT JOIN (SELECT driver_id, arg_max(conv_rate, event_timestamp) AS conv_rate, "

@@ -14,6 +14,7 @@ from tillwatch.catalog.inputs import (
     as_transactions,
     driver_rows,
     driver_stats,
+    events,
     scored,
     steady,
     steady_sql,
@@ -102,6 +103,25 @@ def stream_tx_frequency_sliding(spark, folder):
     return _windows(spark, folder, "1 hour", "15 minutes")
 
 
+@query(with_parts(f"""SELECT {stamp_sql('window_start')}, customer_id, count(*) AS tx_count FROM (
+  SELECT customer_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM tx_timed
+  WHERE NOT (transaction_id % 13 = 0 AND ts < TIMESTAMP '2024-01-03 00:00:00'))
+  WHERE window_start + INTERVAL 1 HOUR <= {CLOSED} GROUP BY window_start, customer_id""", "tx_timed"))
+def stream_late_data(spark, folder):
+    """Events arrive in three deliveries; rows of the first days that come with the last one are too late."""
+    root = scratch_path(spark, "late")
+    rows = as_transactions(events(spark, folder)).withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.expr("transaction_id % 13 = 0 AND ts < TIMESTAMP'2024-01-03 00:00:00'")
+    third = F.when(late, 2).when(F.col("tx_time_days") < 10, 0).when(F.col("tx_time_days") < 20, 1).otherwise(2)
+    for delivery in range(3):
+        rows.filter(third == delivery).write.mode("append").parquet(f"{root}/in")
+        stream = pipeline.file_stream(spark, f"{root}/in", rows.schema)
+        windows = pipeline.frequency_windows(stream, "ts", DELAY, "1 hour")
+        pipeline.run_available(windows, f"{root}/out", f"{root}/checkpoint")
+    return (spark.read.schema(windows.schema).parquet(f"{root}/out")
+            .select(stamp("window_start"), "customer_id", "tx_count"))
+
+
 # ----- enrich, score, decide -----
 
 @query(with_parts("""SELECT transaction_id, customer_id, customer_tx_count, score,

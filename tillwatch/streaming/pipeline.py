@@ -55,9 +55,19 @@ def write_split(stream: DataFrame, good: str, rejected: str, checkpoint: str) ->
     return query
 
 
-def dedupe_stream(stream: DataFrame, time: str, delay: str, key: str = "transaction_id") -> DataFrame:
-    """One row per id among re-deliveries that arrive within ``delay`` of event time."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+def dedupe_stream(stream: DataFrame, time: str, delay: str, key: str = "transaction_id",
+                  lanes: int = 1) -> DataFrame:
+    """One row per id among re-deliveries that arrive within ``delay`` of event time.
+
+    ``lanes`` above 1 first removes copies within that many lanes per id, for intakes where copies
+    of one id fill much of a batch: the last step then sees at most one row per id and lane. It
+    costs a second state store.
+    """
+    timed = stream.withWatermark(time, delay)
+    if lanes > 1:
+        timed = (timed.withColumn("_lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
+                 .dropDuplicatesWithinWatermark([key, "_lane"]).drop("_lane"))
+    return timed.dropDuplicatesWithinWatermark([key])
 
 
 def frequency_windows(stream: DataFrame, time: str, delay: str, size: str, slide: str | None = None,
