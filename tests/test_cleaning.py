@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from tillwatch.functions.predicates import reject_reason
 from tillwatch.operators.cleaning import clean, dedupe_first
 from tillwatch.operators.quality import duplicate_ids, load_report, null_profile, quality_profile
-from tillwatch.operators.quantiles import amount_stats, approx_median, approx_quartiles
+from tillwatch.operators.quantiles import (
+    amount_stats,
+    amount_stats_by_tree,
+    approx_median,
+    approx_quartiles,
+)
 from tillwatch.plans.clean_job import run_cleaning
 from tillwatch.schema import TRANSACTION_COLUMNS, TRANSACTION_DDL
 from tillwatch.sources.transactions import read_transactions_csv
@@ -68,6 +73,9 @@ def test_sketches_are_close(spark):
     raw = spark.range(1, 10_001).select(F.col("id").cast("double").alias("tx_amount"))
     q = approx_quartiles(raw).first()
     assert abs(q["q1"] - 2500) <= 10 and abs(q["q3"] - 7500) <= 10
+    tree = amount_stats_by_tree(raw).first()
+    assert abs(tree["q1"] - 2500) <= 2 and abs(tree["q3"] - 7500) <= 2 and abs(tree["median"] - 5000) <= 110
+    assert amount_stats_by_tree(raw.limit(0)).first()["median"] is None
     assert abs(approx_median(raw).first()["median"] - 5000) <= 110
     exact = amount_stats(raw, exact=True).first()
     assert (exact["q1"], exact["median"], exact["q3"]) == (2500.0, 5000.0, 7500.0)

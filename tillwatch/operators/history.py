@@ -73,7 +73,8 @@ def _over_frames(rows: DataFrame, history: DataFrame, key: str, frames: dict[str
     """Attach measures, each given as frame name, aggregate to slide, the same from ``recent_activity``."""
     flagged = _flag_busy(rows, history, key, hot_keys, sliding_rows)
     # Rows of busy keys pass the window scattered: their frames come from the running sums.
-    scatter = F.when(F.col("_busy"), F.xxhash64(*[F.col(c) for c in rows.columns])).otherwise(F.lit(0))
+    content = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(1 << 30))
+    scatter = F.when(F.col("_busy"), content + F.spark_partition_id()).otherwise(F.lit(0))
     by_time = Window.partitionBy(key, "_scatter").orderBy(time)
     slid = flagged.withColumn("_scatter", scatter).withColumns({
         f"_slid_{name}": aggregate.over(by_time.rangeBetween(-frames[frame], last))

@@ -11,13 +11,14 @@ repeated push writes its own folder again.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.operators.latest import between, latest_per_entity
-from tillwatch.sources.paths import read_table
+from tillwatch.sources.paths import exists, read_table
 
 COMMITS_DDL = "version INT, mark TIMESTAMP"
 
@@ -30,10 +31,6 @@ class LatestTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.event_ts, self.created = keys, event_ts, created
 
-    def _ddl(self, *extra: str) -> str:
-        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields]
-        return ", ".join([*columns, *extra])
-
     def state(self) -> tuple[int, datetime | None]:
         """Current version and the event time up to which it was materialised."""
         commits = read_table(self.spark, f"{self.root}/commits", COMMITS_DDL)
@@ -41,11 +38,14 @@ class LatestTable:
         return (last["version"], last["mark"]) if last else (0, None)
 
     def _pieces(self, version: int) -> DataFrame:
-        snapshots = read_table(self.spark, f"{self.root}/snapshot", self._ddl("version INT"))
-        pushed = read_table(self.spark, f"{self.root}/pushed", self._ddl("epoch INT", "push STRING"))
         # A push that was under way during the last materialise run still carries the earlier epoch.
-        return (snapshots.filter(F.col("version") == version).drop("version")
-                .unionByName(pushed.filter(F.col("epoch") >= version - 1).drop("epoch", "push")))
+        # Folders are named one by one, so older ones are not even listed.
+        folders = [f"snapshot/version={version}", f"pushed/epoch={version - 1}", f"pushed/epoch={version}"]
+        found = [f for f in folders if exists(self.spark, f"{self.root}/{f}")]
+        empty = self.spark.createDataFrame([], self.schema)
+        return reduce(DataFrame.unionByName, [self._typed(self.spark.read.schema(self.schema)
+                                                          .option("recursiveFileLookup", "true")
+                                                          .parquet(f"{self.root}/{f}")) for f in found], empty)
 
     def read(self) -> DataFrame:
         version, _ = self.state()
