@@ -44,6 +44,13 @@ def clean_table(spark: SparkSession, folder: str) -> DataFrame:
     return tx_io.read_clean(spark, path)
 
 
+def order_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The order transactions as a table: the feature jobs read their input more than once."""
+    path = scratch_path(spark, "order-table")
+    order_transactions(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def kept_table(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows, one per id, amounts as they came; written once, as the history jobs read it often."""
     path = scratch_path(spark, "kept-table")
@@ -187,7 +194,7 @@ def customer_terminal_features(spark, folder):
 
 @query(with_parts(_entity_sql("tx_big"), "tx_big"))
 def customer_terminal_features_orders(spark, folder):
-    return _steady_features(entity_features.customer_terminal_features(order_transactions(spark, folder)))
+    return _steady_features(entity_features.customer_terminal_features(order_table(spark, folder)))
 
 
 # Low limits: the paths for hot keys, which tables of this size would not need.
@@ -197,7 +204,7 @@ SPLIT_EARLY = HotKeys(rows_per_task=50, max_keys=100_000, small_bytes=0)
 @query(with_parts(_entity_sql("tx_big"), "tx_big"))
 def customer_terminal_features_hot_keys(spark, folder):
     return _steady_features(entity_features.customer_terminal_features(
-        order_transactions(spark, folder), SPLIT_EARLY))
+        order_table(spark, folder), SPLIT_EARLY))
 
 
 @query(with_parts(_entity_sql("tx_clean"), "tx_clean"))
