@@ -9,7 +9,7 @@ from tillwatch.operators.asof import point_in_time_join
 from tillwatch.catalog.inputs import driver_spine, driver_stats
 
 LAZY = ["quality_profile", "load_report", "class_balance", "dedupe_first", "clean", "customer_terminal_features_orders",
-        "point_in_time_join", "point_in_time_join_hot_keys", "point_in_time_range_join", "multi_view_join",
+        "point_in_time_join", "point_in_time_join_hot_keys", "multi_view_join",
         "historical_features_v4", "latest_per_entity", "promote", "best_runs", "tune_threshold", "metrics_pivot"]
 
 

@@ -24,7 +24,6 @@ from tillwatch.catalog.inputs import (
 )
 from tillwatch.catalog.registry import query
 from tillwatch.operators.asof import point_in_time_join as join_asof
-from tillwatch.operators.asof import point_in_time_range_join as join_range
 from tillwatch.operators.evaluation import curve_areas, score_curve
 from tillwatch.operators.latest import latest_per_entity as newest
 from tillwatch.operators.skew import HotKeys
@@ -65,13 +64,6 @@ def point_in_time_join(spark, folder):
     return out.select("event_id", "driver_id", stamp("event_timestamp"), "label", *FIELDS)
 
 
-@query(PIT_SQL)
-def point_in_time_range_join(spark, folder):
-    out = join_range(driver_spine(spark, folder), driver_stats(spark, folder), ["driver_id"], "event_timestamp",
-                     "event_timestamp", FIELDS, "event_id", ONE_DAY, "created")
-    return out.select("event_id", "driver_id", stamp("event_timestamp"), "label", *FIELDS)
-
-
 @query(PIT_SQL)
 def point_in_time_join_hot_keys(spark, folder):
     """Every driver with more than ten rows goes through moments and time buckets."""

@@ -190,12 +190,11 @@ def stream_alerts(spark, folder):
     return found.select(stamp("window_start"), "volume", "fnr", "fpr", "alert")
 
 
-@query(with_parts("""SELECT transaction_id, score, tx_fraud AS label FROM tx_scored
-  WHERE tx_fraud IN (0, 1) AND transaction_id % 89 <> 0""", "tx_scored"))
+@query(with_parts("""SELECT DISTINCT transaction_id, score, tx_fraud AS label FROM tx_scored
+  WHERE tx_fraud IN (0, 1)""", "tx_scored"))
 def stream_late_labels(spark, folder):
     """Scores meet labels that arrive up to a day later."""
-    base = scored(transaction_stream(spark, folder)).filter("transaction_id % 89 <> 0")
-    scores = base.select("transaction_id", "ts", "score")
+    scores = scored(transaction_stream(spark, folder)).select("transaction_id", "ts", "score")
     labels = (transaction_stream(spark, folder).filter("tx_fraud IN (0, 1)")
               .select("transaction_id", F.col("tx_fraud").alias("label"),
                       F.expr("ts + make_dt_interval(0, 0, CAST(transaction_id % 1200 AS INT), 0)").alias("label_ts")))

@@ -115,25 +115,3 @@ def point_in_time_join(spine: DataFrame, features: DataFrame, keys: list[str], s
     fresh = within_ttl(F.col("_carried"), F.col(spine_ts), ttl)
     return carried.select(*spine.columns,
                           *[F.when(fresh, F.col("_carried")[c]).alias(c) for c in fields])
-
-
-def point_in_time_range_join(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str,
-                             feature_ts: str, fields: list[str], row_id: str, ttl: timedelta,
-                             created: str | None = None) -> DataFrame:
-    """The same result by a keyed range join and a newest-row aggregate per spine row.
-
-    For a small feature table or few feature rows per key inside the time-to-live: the
-    intermediate rows grow with that number. ``row_id`` must be unique in the spine.
-    """
-    made = F.col(created) if created else F.lit(None).cast("timestamp")
-    right = features.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col(feature_ts).alias("_f_ts"),
-                            made.alias("_f_created"), F.xxhash64(*[F.col(c) for c in fields]).alias("_f_tie"),
-                            F.struct(*[F.col(c) for c in fields]).alias("_f_row"))
-    on = [F.col(k) == F.col(f"_f_{k}") for k in keys]
-    on += [F.col("_f_ts") <= F.col(spine_ts), F.col("_f_ts") >= F.col(spine_ts) - F.lit(ttl)]
-    newest = F.struct("_f_ts", "_f_created", (-F.col("_f_tie").cast("decimal(20,0)")).alias("_low"))
-    best = (spine.join(right, on).groupBy(row_id)
-            .agg(F.max_by("_f_row", newest).alias("_best"))
-            .withColumnRenamed(row_id, "_best_id"))
-    return (spine.join(best, F.col(row_id) == F.col("_best_id"), "left")
-            .select(*spine.columns, *[F.col("_best")[c].alias(c) for c in fields]))

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.operators.evaluation import confusion_columns, with_error_rates, with_expected_loss
+from tillwatch.streaming.pipeline import dedupe_stream
 
 
 def join_late_labels(scores: DataFrame, labels: DataFrame, key: str, score_time: str, label_time: str,
                      score_delay: str, label_delay: str, max_wait: str) -> DataFrame:
-    """Scores with the labels that arrive up to ``max_wait`` later; both sides are streams."""
-    left = scores.withWatermark(score_time, score_delay)
-    right = labels.withColumnRenamed(key, "_label_key").withWatermark(label_time, label_delay)
+    """Scores with the labels that arrive up to ``max_wait`` later; both sides are streams.
+
+    Both are reduced to one row per key first: re-delivered copies on both sides would pair up.
+    """
+    left = dedupe_stream(scores, score_time, score_delay, key)
+    right = dedupe_stream(labels, label_time, label_delay, key).withColumnRenamed(key, "_label_key")
     on = ((F.col(key) == F.col("_label_key")) & (F.col(label_time) >= F.col(score_time))
           & (F.col(label_time) <= F.col(score_time) + F.expr(f"INTERVAL {max_wait}")))
     return left.join(right, on).drop("_label_key")
