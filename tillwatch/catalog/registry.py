@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwatch.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,6 +18,7 @@ def query(sql: str | None = None, name: str | None = None):
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return function(spark, folder.rstrip("/"))
 
         run.__name__, run.__doc__ = key, function.__doc__

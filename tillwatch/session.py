@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -32,7 +34,30 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
         builder = builder.master(master)
     for name, value in {**ENGINE_CONF, **(conf or {})}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    The driver serves the archive to each executor, so nothing needs to be installed there and the
+    driver's working directory does not matter.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tillwatch_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tillwatch-")), "tillwatch.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for top, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(top, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._tillwatch_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,5 +76,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; Spark's file system deletes it when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
