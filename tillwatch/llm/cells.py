@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Groups above this many rows are cut into blocks.
@@ -29,22 +29,15 @@ def hot_groups(rows: DataFrame, total: int, limit: int = BLOCK_ROWS) -> DataFram
             .select("grp", F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("n_blocks")))
 
 
-def _blocks(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    return (rows.join(F.broadcast(hot), "grp", "left")
-            .withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1))))
-
-
-def _own_block(row_id: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(row_id), F.lit(7)), F.col("n_blocks")).cast("int")
-
-
 def pair_cells(rows: DataFrame, row_id: str, total: int, limit: int = BLOCK_ROWS) -> DataFrame:
     """Each row once per cell of its group: adds ``cell`` and ``side``.
 
     ``side`` is 0 for all rows of a cell whose rows are compared with each other, and 1 or 2 where
     only rows of different sides are. Two rows of a group share exactly one cell that compares them.
     """
-    cut = _blocks(rows, hot_groups(rows, total, limit)).withColumn("own", _own_block(row_id))
+    cut = (rows.join(F.broadcast(hot_groups(rows, total, limit)), "grp", "left")
+           .withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1))))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64(F.col(row_id), F.lit(7)), F.col("n_blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     return (cut.withColumn("side", F.when(F.col("own") == F.col("other"), 0)
                            .when(F.col("own") < F.col("other"), 1).otherwise(2))
@@ -52,16 +45,27 @@ def pair_cells(rows: DataFrame, row_id: str, total: int, limit: int = BLOCK_ROWS
             .drop("grp", "own", "other", "n_blocks"))
 
 
-def search_cells(queries: DataFrame, rows: DataFrame, row_id: str, total: int,
-                 limit: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """``rows`` once, in its block; ``queries`` once for each block of the group. Adds ``cell``."""
-    hot = hot_groups(rows, total, limit)
-    there = (_blocks(rows, hot).withColumn("cell", F.xxhash64("grp", _own_block(row_id)))
-             .drop("grp", "n_blocks"))
-    asked = (_blocks(queries, hot)
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-             .withColumn("cell", F.xxhash64("grp", "block")).drop("grp", "n_blocks", "block"))
-    return asked, there
+def search_cells(queries: DataFrame, query_id: str, rows: DataFrame, row_id: str, n_queries: int,
+                 n_rows: int, limit: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows of a group side by side: adds ``cell``.
+
+    A group with many rows, many queries or both is cut into blocks on either side; each block of queries
+    meets each block of rows in one cell.
+    """
+    cut_rows = hot_groups(rows, n_rows, limit)
+    cut_queries = hot_groups(queries, n_queries, limit).withColumnRenamed("n_blocks", "q_blocks")
+
+    def side(table: DataFrame, own: str, own_id: str, other: str) -> DataFrame:
+        cut = (table.join(F.broadcast(cut_rows), "grp", "left").join(F.broadcast(cut_queries), "grp", "left")
+               .withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
+               .withColumn("q_blocks", F.coalesce("q_blocks", F.lit(1))))
+        mine = F.pmod(F.xxhash64(F.col(own_id), F.lit(7)), F.col(own)).cast("int")
+        cut = cut.withColumn("mine", mine).withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        pair = ("mine", "theirs") if own == "n_blocks" else ("theirs", "mine")
+        return (cut.withColumn("cell", F.xxhash64("grp", *pair))
+                .drop("grp", "n_blocks", "q_blocks", "mine", "theirs"))
+
+    return side(queries, "q_blocks", query_id, "n_blocks"), side(rows, "n_blocks", row_id, "q_blocks")
 
 
 def dealt(rows: DataFrame, *then: str) -> DataFrame:

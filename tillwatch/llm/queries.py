@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwatch.catalog.registry import query
-from tillwatch.llm import bpe, lines, mixing, quality, simhash
+from tillwatch.llm import bpe, lines, mixing, quality, simhash, vector_dedup, vector_search
 from tillwatch.llm.common import table
 
 
@@ -16,6 +16,11 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query()
+def op2_multiprobe_neighbours(spark, folder):
+    return vector_search.nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op3_byte_bpe(spark, folder):
     path, pattern = tokenizer()
@@ -33,6 +38,11 @@ def op6_simhash_near_dedup(spark, folder):
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
 
+@query()
+def op7_vector_near_dedup(spark, folder):
+    return vector_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 _MIX_SQL = f"""
 WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 t AS (SELECT sum(n) AS all_n, sum(pow(n, {mixing.TEMPERATURE})) AS all_share FROM c),
