@@ -1,11 +1,12 @@
 """License scans: MinHash bands over overlapping windows of a text retrieve templates, exact containment verifies.
 
-A template of m words falls into the class of the next power of two, s >= m. Texts of that class are read in
-windows of 2s words that start every s words, so that a whole copy of the template lies in some window. There
-its Jaccard similarity is known from below (its shingles against all of the window's), and the number of bands
-is set so that a window with ``containment`` of the template shares a band with it with probability ``found``.
-Bands have one row each: words of ordinary text share no shingle with a template, so that is selective enough.
-Retrieved windows are checked by the exact share of the template's shingles.
+A template of o shingles falls into the class of the next power of two, p >= o. For that class a text is read in
+windows of 3p/2 shingles that start every p/2 shingles (one or two shingles: at each), so that a whole copy of
+the template lies in some window. There its Jaccard similarity is known from below (its shingles against all of
+the window's), and the number of bands is set so that a window with ``containment`` of the template shares a
+band with it with probability ``found``. Bands have one row each: ordinary text shares no shingle with a
+template, so that is selective enough. Retrieved windows are checked by the exact share of the template's
+shingles.
 """
 
 from __future__ import annotations
@@ -86,15 +87,22 @@ class Bands:
 
     shingle: int = 5
     containment: float = 0.8
-    found: float = 0.99
+    found: float = 0.9999
     seed: int = 42
 
 
-def bands_for(words: int, shingle: int, step: int, spec: Bands) -> int:
-    """Bands that retrieve a window of 2 * step words with ``containment`` of a template of ``words`` words."""
-    own, window = words - shingle + 1, 2 * step - shingle + 1
-    shared = math.ceil(spec.containment * own)
-    jaccard = shared / (window + own - shared)
+def windows_for(shingles: int) -> tuple[int, int]:
+    """(step, blocks): windows of ``blocks`` * ``step`` shingles start every ``step`` shingles."""
+    top = 1 << (shingles - 1).bit_length()
+    step = max(1, top // 2)
+    return step, -(-(top + step - 1) // step)
+
+
+def bands_for(shingles: int, spec: Bands) -> int:
+    """Bands that retrieve a window with ``containment`` of a template of so many shingles."""
+    step, blocks = windows_for(shingles)
+    shared = math.ceil(spec.containment * shingles)
+    jaccard = shared / (blocks * step + shingles - shared)
     return 1 if jaccard >= 1 else math.ceil(math.log(1 - spec.found) / math.log(1 - jaccard))
 
 
@@ -140,7 +148,6 @@ class Template:
     name: str
     words: list[bytes]
     size: int
-    step: int
     hashes: np.ndarray
 
 
@@ -155,8 +162,7 @@ def prepare(templates, spec: Bands) -> list[Template]:
             low = text.encode().lower()
             words = [low[a:b] for a, b in zip(start, end)]
             size = min(spec.shingle, len(words))
-            step = 1 << max(2, (len(words) - 1).bit_length())
-            out.append(Template(f"{name}#{i + 1}", words, size, step, shingle_hashes(word_hashes(raw, start, end), size)))
+            out.append(Template(f"{name}#{i + 1}", words, size, shingle_hashes(word_hashes(raw, start, end), size)))
     return out
 
 
@@ -174,10 +180,10 @@ class Scanner:
 
     def __init__(self, templates, spec: Bands):
         self.spec = spec
-        self.classes: dict[tuple[int, int], list[Template]] = {}
+        self.classes: dict[tuple[int, tuple[int, int]], list[Template]] = {}
         for t in prepare(templates, spec):
-            self.classes.setdefault((t.size, t.step), []).append(t)
-        self.bands = {c: max(bands_for(len(t.words), c[0], c[1], spec) for t in own) for c, own in self.classes.items()}
+            self.classes.setdefault((t.size, windows_for(len(t.hashes))), []).append(t)
+        self.bands = {c: max(bands_for(len(t.hashes), spec) for t in own) for c, own in self.classes.items()}
         self.seeds = _seeds(max(self.bands.values(), default=1), spec.seed)
 
     def scan(self, raws: list[bytes]) -> list[list[dict]]:
@@ -190,14 +196,14 @@ class Scanner:
         last = np.append(first[1:], len(start))
         hashes = word_hashes(raw, start, end)
         found: list[dict] = [{} for _ in raws]
-        by_size: dict[int, list[int]] = {}
-        for size, step in self.classes:
-            by_size.setdefault(size, []).append(step)
-        for size, steps in by_size.items():
-            self._scan_size(size, steps, raw, start, end, first, last, hashes, found)
+        by_size: dict[int, list[tuple[int, int]]] = {}
+        for size, window in self.classes:
+            by_size.setdefault(size, []).append(window)
+        for size, windows in by_size.items():
+            self._scan_size(size, windows, raw, start, end, first, last, hashes, found)
         return [self._spans(f, b) for f, b in zip(found, base)]
 
-    def _scan_size(self, size, steps, raw, start, end, first, last, words, found):
+    def _scan_size(self, size, windows, raw, start, end, first, last, words, found):
         n = len(words) - size + 1
         if n <= 0:
             return
@@ -205,35 +211,38 @@ class Scanner:
         for f, l in zip(first, last):  # shingles that reach into the next text are none
             shingles[max(f, l - size + 1):l] = _LAST
         blocks = {}
-        for step in steps:
+        for window in windows:
+            step = window[0]
             counts = (last - first + step - 1) // step
             doc = np.repeat(np.arange(len(first)), counts)
             place = first[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)) * step
             inside = place < n
-            blocks[step] = (doc[inside], place[inside])
+            blocks[window] = (doc[inside], place[inside])
         none = shingles == _LAST
-        for b in range(max(self.bands[size, s] for s in steps)):
+        for b in range(max(self.bands[size, w] for w in windows)):
             with np.errstate(over="ignore"):
                 value = _mix(shingles * self.seeds[b])
             value[none] = _LAST
-            for step in steps:
-                doc, place = blocks[step]
-                if b >= self.bands[size, step] or not len(place):
+            for window in windows:
+                doc, place = blocks[window]
+                if b >= self.bands[size, window] or not len(place):
                     continue
-                least = np.minimum.reduceat(value, place)
-                follow = np.append(doc[1:] == doc[:-1], False)
-                least[:-1][follow[:-1]] = np.minimum(least[:-1], least[1:])[follow[:-1]]
-                for t in self.classes[size, step]:
+                block = np.minimum.reduceat(value, place) if window[0] > 1 else value[place]
+                least = block.copy()
+                for ahead in range(1, window[1]):
+                    same = doc[ahead:] == doc[:-ahead]
+                    least[:-ahead][same] = np.minimum(least[:-ahead], block[ahead:])[same]
+                for t in self.classes[size, window]:
                     with np.errstate(over="ignore"):
                         mine = _mix(t.hashes * self.seeds[b]).min()
                     for w in np.flatnonzero(least == mine):
-                        self._check(t, doc[w], place[w], last[doc[w]], raw, start, end, found)
+                        stop = min(last[doc[w]], place[w] + window[0] * window[1] + size - 1)
+                        self._check(t, doc[w], place[w], stop, raw, start, end, found)
 
     def _check(self, t, doc, place, stop, raw, start, end, found):
         seen = found[doc].setdefault(t.name, {})
         if place in seen:
             return
-        stop = min(stop, place + 2 * t.step)
         words = [raw[a:b].tobytes().lower() for a, b in zip(start[place:stop], end[place:stop])]
         hit = _verified(t, words, self.spec)
         seen[place] = hit and (hit[0], int(start[place + hit[1]]), int(end[place + hit[2] - 1]))
