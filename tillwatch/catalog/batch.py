@@ -198,7 +198,7 @@ def customer_terminal_features_orders(spark, folder):
 
 
 # Low limits: the paths for hot keys, which tables of this size would not need.
-SPLIT_EARLY = HotKeys(rows_per_task=50, max_keys=100_000, small_bytes=0)
+SPLIT_EARLY = HotKeys(rows_per_task=50, max_keys=100_000)
 
 
 @query(with_parts(_entity_sql("tx_big"), "tx_big"))

@@ -68,7 +68,7 @@ def point_in_time_join(spark, folder):
 def point_in_time_join_hot_keys(spark, folder):
     """Every driver with more than ten rows goes through moments and time buckets."""
     out = join_asof(driver_spine(spark, folder), driver_stats(spark, folder), ["driver_id"], "event_timestamp",
-                    "event_timestamp", FIELDS, "created", ONE_DAY, HotKeys(10, 100_000, 0), "hour")
+                    "event_timestamp", FIELDS, "created", ONE_DAY, HotKeys(10, 100_000), "hour")
     return out.select("event_id", "driver_id", stamp("event_timestamp"), "label", *FIELDS)
 
 
@@ -211,7 +211,7 @@ def append_offline(spark, folder):
     store = driver_store(spark, folder, root, path=f"{root}/history")
     store.push("driver_stats_push_source", driver_rows(events(spark, folder).filter("event_type = 'purchase'")),
                online=False)
-    return spark.read.parquet(f"{root}/history").select("driver_id", *FIELDS)
+    return store.push_sources["driver_stats_push_source"].batch.read(spark).select("driver_id", *FIELDS)
 
 
 @query(with_parts("""SELECT driver_id, u.feature, u.value FROM (SELECT driver_id,

@@ -15,6 +15,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_counted, mark_hot
 
@@ -23,7 +24,7 @@ CARRY, FEATURE, SPINE = -1, 0, 1
 
 def _feature_rows(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,
                   created: str | None, fields: list[str]) -> DataFrame:
-    """``keys, _ts, _created, _tie, _row`` in the spine's key and time types."""
+    """``keys, _ts, _created, _tie, _row`` in the spine's key and time types, which must be wide enough."""
     time_type = spine.schema[spine_ts].dataType
     known = features.filter(F.col(feature_ts).isNotNull())
     for name in keys:
@@ -56,7 +57,7 @@ def _carry_in_window(spine: DataFrame, rows: DataFrame, keys: list[str], spine_t
 
 
 def _carry_in_buckets(spine: DataFrame, rows: DataFrame, keys: list[str], spine_ts: str, bucket: str,
-                      limit: Column) -> DataFrame:
+                      limit: float) -> DataFrame:
     """The same for hot keys: moments, time buckets, and a look-up per spine row."""
     row_type = rows.schema["_row"].dataType
     moments = spine.groupBy(*keys, F.col(spine_ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -80,24 +81,57 @@ def _carry_in_buckets(spine: DataFrame, rows: DataFrame, keys: list[str], spine_
     return lookup_counted(spine, answered, [*keys, spine_ts], limit)
 
 
+def _wider(spark, one: T.DataType, other: T.DataType) -> T.DataType:
+    """The type that holds values of both; text with anything else is text."""
+    if one == other:
+        return one
+    if T.StringType() in (one, other):
+        return T.StringType()
+    none = spark.range(0)
+    return none.select(F.lit(None).cast(one)).union(none.select(F.lit(None).cast(other))).schema[0].dataType
+
+
+def _in_reach(features: DataFrame, spine: DataFrame, spine_ts: str, feature_ts: str, ttl: timedelta | None) -> DataFrame:
+    """Feature rows that some spine row may still see: not after the last one, not ``ttl`` before the first."""
+    bounds = spine.agg(F.min(spine_ts).alias("first"), F.max(spine_ts).alias("last"))
+    kept = F.col(feature_ts) <= bounds.select("last").scalar()
+    if ttl is not None:
+        kept = kept & (F.col(feature_ts) >= bounds.select("first").scalar() - F.lit(ttl))
+    return features.filter(kept)
+
+
 def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,
                created: str | None, fields: list[str], hot_keys: HotKeys = DEFAULT_HOT_KEYS,
-               bucket: str = "minute") -> DataFrame:
+               bucket: str = "minute", ttl: timedelta | None = None) -> DataFrame:
     """All spine rows and columns plus ``_carried``: struct of ``event_ts`` and ``fields``, or NULL.
 
     The newest row wins even where its fields are NULL. Equal times match. Ties: newest
-    ``created``, then lowest row hash. ``bucket`` is the ``date_trunc`` unit for hot keys.
+    ``created``, then lowest row hash. ``bucket`` is the ``date_trunc`` unit for hot keys. Keys and
+    times of different types are compared in the type that holds both; spine columns stay as they
+    are. ``ttl``: rows older than that at the first spine row may be left out.
     """
-    rows = _feature_rows(spine, features, keys, spine_ts, feature_ts, created, fields)
-    if not hot_keys.possible(spine, rows):
+    spark = spine.sparkSession
+    wide = {name: _wider(spark, spine.schema[name].dataType, features.schema[other].dataType)
+            for name, other in [*zip(keys, keys), (spine_ts, feature_ts)]}
+    change = {n: t for n, t in wide.items() if spine.schema[n].dataType != t}
+    if change:
+        inner = {n: f"_wide_{n}" for n in change}
+        widened = spine.withColumns({inner[n]: F.col(n).cast(t) for n, t in change.items()})
+        renamed = features.withColumnsRenamed({n: inner[n] for n in keys if n in change})
+        carried = asof_carry(widened, renamed, [inner.get(k, k) for k in keys], inner.get(spine_ts, spine_ts), feature_ts,
+                             created, fields, hot_keys, bucket, ttl)
+        return carried.select(*spine.columns, "_carried")
+    near = _in_reach(features, spine, spine_ts, feature_ts, ttl)
+    rows = _feature_rows(spine, near, keys, spine_ts, feature_ts, created, fields)
+    found = hot_keys.find([rows, spine], keys)
+    if found is None:
         return _carry_in_window(spine, rows, keys, spine_ts)
-    both = rows.select(*keys).unionByName(spine.select(*keys))
-    hot = hot_keys.of(both, keys)
+    hot, limit = found
     marked, marked_rows = mark_hot(spine, hot, keys), mark_hot(rows, hot, keys)
     light = _carry_in_window(marked.filter(~F.col("_hot")).drop("_hot"),
                              marked_rows.filter(~F.col("_hot")).drop("_hot"), keys, spine_ts)
     heavy = _carry_in_buckets(marked.filter("_hot").drop("_hot"), marked_rows.filter("_hot").drop("_hot"),
-                              keys, spine_ts, bucket, hot_keys.limit(both))
+                              keys, spine_ts, bucket, limit)
     return light.unionByName(heavy)
 
 
@@ -111,7 +145,7 @@ def point_in_time_join(spine: DataFrame, features: DataFrame, keys: list[str], s
                        fields: list[str], created: str | None = None, ttl: timedelta | None = None,
                        hot_keys: HotKeys = DEFAULT_HOT_KEYS, bucket: str = "minute") -> DataFrame:
     """Left as-of join; a spine row without a fresh match keeps NULL features."""
-    carried = asof_carry(spine, features, keys, spine_ts, feature_ts, created, fields, hot_keys, bucket)
+    carried = asof_carry(spine, features, keys, spine_ts, feature_ts, created, fields, hot_keys, bucket, ttl)
     fresh = within_ttl(F.col("_carried"), F.col(spine_ts), ttl)
     return carried.select(*spine.columns,
                           *[F.when(fresh, F.col("_carried")[c]).alias(c) for c in fields])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_counted
 
-# Above about this many rows of a key, running sums cost less than recomputed frames.
+# Above about this many rows of a key, running sums cost less than recomputed frames; both give the same.
 SLIDING_ROWS = 2_000
 
 
@@ -59,19 +59,28 @@ def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int =
         for name, length in frames.items() for m in measures])
 
 
-def _flag_busy(df: DataFrame, history: DataFrame, key: str, hot_keys: HotKeys, sliding_rows: int) -> DataFrame:
-    """Add ``_busy``: the key has more history rows than a sliding frame should see."""
-    counts = (history.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-              .filter(F.col("_rows") > sliding_rows).withColumn("_busy", F.lit(True)))
-    flagged = lookup_counted(df, counts, [key], hot_keys.limit(history))
+def _flag_busy(df: DataFrame, counts: DataFrame, key: str, limit: float | None) -> DataFrame:
+    """Add ``_busy``: the key is one of ``counts``."""
+    flagged = lookup_counted(df, counts.withColumn("_busy", F.lit(True)), [key], limit)
     return flagged.withColumn("_busy", F.coalesce(F.col("_busy"), F.lit(False)))
 
 
 def _over_frames(rows: DataFrame, history: DataFrame, key: str, frames: dict[str, int], last: int, time: str,
                  amount: str, measures: dict[str, tuple[str, Column, Column]], hot_keys: HotKeys,
                  sliding_rows: int) -> DataFrame:
-    """Attach measures, each given as frame name, aggregate to slide, the same from ``recent_activity``."""
-    flagged = _flag_busy(rows, history, key, hot_keys, sliding_rows)
+    """Attach measures, each given as frame name, aggregate to slide, the same from ``recent_activity``.
+
+    The rows per key are counted first, from the key column alone. Without a busy key, and so without a
+    hot one, everything is one window: one shuffle and one sort.
+    """
+    counts = (history.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > sliding_rows))
+    if counts.isEmpty():
+        by_time = Window.partitionBy(key).orderBy(time)
+        return rows.withColumns({
+            name: F.when(F.col(time).isNotNull(), aggregate.over(by_time.rangeBetween(-frames[frame], last)))
+            for name, (frame, aggregate, _) in measures.items()})
+    limit = hot_keys.limit(history)
+    flagged = _flag_busy(rows, counts, key, limit)
     # Rows of busy keys pass the window scattered: their frames come from the running sums.
     content = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(1 << 30))
     scatter = F.when(F.col("_busy"), content + F.spark_partition_id()).otherwise(F.lit(0))
@@ -79,11 +88,11 @@ def _over_frames(rows: DataFrame, history: DataFrame, key: str, frames: dict[str
     slid = flagged.withColumn("_scatter", scatter).withColumns({
         f"_slid_{name}": aggregate.over(by_time.rangeBetween(-frames[frame], last))
         for name, (frame, aggregate, _) in measures.items()}).drop("_scatter")
-    busy = _flag_busy(history.select(key, time, amount), history, key, hot_keys, sliding_rows).filter("_busy")
+    busy = _flag_busy(history.select(key, time, amount), counts, key, limit).filter("_busy")
     summed = recent_activity(busy, key, frames, last, time, amount).select(
         key, F.col("_at").alias(time), "_rows",
         *[value.alias(f"_summed_{name}") for name, (_, _, value) in measures.items()])
-    both = lookup_counted(slid, summed, [key, time], hot_keys.limit(history))
+    both = lookup_counted(slid, summed, [key, time], limit)
     return both.select(*rows.columns, *[
         F.when(F.col("_busy"), F.col(f"_summed_{name}"))
         .when(F.col(time).isNotNull(), F.col(f"_slid_{name}")).alias(name) for name in measures])

@@ -4,7 +4,9 @@ A key is hot when it holds more rows than one task should take. The number of ho
 fixed bound whatever the table size (a key needs more than 1/``max_keys`` of all rows), so what
 belongs to the hot keys, one row each, may be broadcast.
 
-A table that fits one task as a whole cannot have a hot key: there the plain join is planned.
+Rows are counted, not estimated: a small compressed file can hold any number of rows of one key. The
+count of a stored table comes from its file footers. Only a table with more rows than one task takes
+has its keys counted, and only if a key turns out to be hot is the other plan taken.
 """
 
 from __future__ import annotations
@@ -15,35 +17,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwatch.session import scratch_path
+
 
 @dataclass(frozen=True)
 class HotKeys:
-    """``rows_per_task``: what one task takes; ``max_keys``: bound of the broadcast tables.
-
-    ``small_bytes``: a table up to this size (Spark's own estimate, no job) has no hot keys.
-    """
+    """``rows_per_task``: what one task takes; ``max_keys``: bound of the broadcast tables."""
 
     rows_per_task: int = 1_000_000
     max_keys: int = 100_000
-    small_bytes: int = 32 << 20
 
-    def possible(self, *tables: DataFrame) -> bool:
-        """Whether the tables together are too large for one task."""
-        sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
-        return sum(sizes) > self.small_bytes
+    def limit(self, *tables: DataFrame) -> float | None:
+        """Rows above which a key of the tables together is hot; None when none can be."""
+        total = sum(t.count() for t in tables)
+        return float(max(self.rows_per_task, total / self.max_keys)) if total > self.rows_per_task else None
 
-    def limit(self, df: DataFrame) -> Column | None:
-        """Rows above which a key of ``df`` is hot; None when none can be."""
-        if not self.possible(df):
-            return None
-        total = df.agg(F.count(F.lit(1))).scalar()
-        return F.greatest(F.lit(float(self.rows_per_task)), total / F.lit(float(self.max_keys)))
+    def find(self, tables: list[DataFrame], keys: list[str]) -> tuple[DataFrame, float] | None:
+        """The hot keys of the tables together, as a stored table, and the limit; None when there are none.
 
-    def of(self, df: DataFrame, keys: list[str]) -> DataFrame:
-        """The hot keys of ``df``: reads the key columns only, adds up before the shuffle."""
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        limit = self.limit(df)
-        return counts.filter(F.lit(False) if limit is None else F.col("_rows") > limit).select(*keys)
+        Reads the key columns only and adds up before the shuffle.
+        """
+        limit = self.limit(*tables)
+        if limit is None:
+            return None
+        rows = reduce(DataFrame.unionByName, [t.select(*keys) for t in tables])
+        hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit).select(*keys)
+        path = scratch_path(hot.sparkSession, "hot-keys")
+        hot.write.parquet(path)
+        hot = hot.sparkSession.read.schema(hot.schema).parquet(path)
+        return None if hot.isEmpty() else (hot, limit)
 
 
 DEFAULT_HOT_KEYS = HotKeys()
@@ -93,7 +95,7 @@ def lookup_join(fact: DataFrame, rest: DataFrame, hot: DataFrame, keys: list[str
         F.when(F.col("_hot"), F.col(f"_h_{c}")).otherwise(F.col(f"_r_{c}")).alias(c) for c in values])
 
 
-def lookup_counted(fact: DataFrame, dim: DataFrame, keys: list[str], limit: Column | None,
+def lookup_counted(fact: DataFrame, dim: DataFrame, keys: list[str], limit: float | None,
                    rows: str = "_rows") -> DataFrame:
     """``lookup_join`` where ``dim`` already knows the rows of each key (column ``rows``).
 
@@ -108,11 +110,9 @@ def lookup_counted(fact: DataFrame, dim: DataFrame, keys: list[str], limit: Colu
 
 def lookup_any(fact: DataFrame, dim: DataFrame, keys: list[str], hot_keys: HotKeys) -> DataFrame:
     """``lookup_join`` to a stored table with one row per key."""
-    if not hot_keys.possible(fact):
+    found = hot_keys.find([fact], keys)
+    if found is None:
         return plain_lookup(fact, dim, keys)
-    hot = hot_keys.of(fact, keys)
-    found = dim.join(F.broadcast(_prefixed(hot, "_s_")), _match(keys, "_s_"), "left_semi")
-    known = (_prefixed(hot, "_k_").join(F.broadcast(found), reduce(
-        lambda a, b: a & b, [F.col(f"_k_{k}").eqNullSafe(F.col(k)) for k in keys]), "left")
-        .select(*[F.col(f"_k_{k}").alias(k) for k in keys], *[c for c in dim.columns if c not in keys]))
+    hot, _ = found
+    known = plain_lookup(hot, dim.join(F.broadcast(_prefixed(hot, "_s_")), _match(keys, "_s_"), "left_semi"), keys)
     return lookup_join(fact, dim, known, keys)

@@ -9,7 +9,7 @@ from datetime import timedelta
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from tillwatch.sources.paths import exists
 
 # declared type name -> Spark type (fixed values)
 TYPES = {"Int64": "bigint", "Float32": "float", "Float64": "double", "String": "string"}
@@ -36,7 +36,8 @@ class Entity:
 class FeatureSource:
     """A table with an event-time column and, for ties, a created-time column.
 
-    ``path`` is a Parquet path; ``table`` gives the rows of a source that is not a plain path.
+    ``path`` is a Parquet path; ``table`` gives the rows of a source that is not a plain path. Pushed
+    rows lie beside ``path``, one folder per push, and count as rows of the table.
     """
 
     name: str
@@ -49,8 +50,18 @@ class FeatureSource:
     def batch(self) -> "FeatureSource":
         return self
 
+    @property
+    def pushed_path(self) -> str:
+        return f"{self.path.rstrip('/')}_pushed"
+
     def read(self, spark: SparkSession) -> DataFrame:
-        return self.table(spark) if self.table else spark.read.parquet(self.path)
+        if self.table:
+            return self.table(spark)
+        rows = spark.read.parquet(self.path)
+        if not exists(spark, self.pushed_path):
+            return rows
+        pushed = spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(self.pushed_path)
+        return rows.unionByName(pushed)
 
 
 @dataclass(frozen=True)
@@ -154,16 +165,18 @@ class OnDemandView:
         return self._attach_pandas(df, place, out)
 
     def _attach_pandas(self, df: DataFrame, place: dict[str, str], out: dict[str, str]) -> DataFrame:
-        function, fields = self.pandas, self.schema
-        schema = T.StructType(list(df.schema.fields) + [
-            T.StructField(out[f.name], T._parse_datatype_string(f.spark_type)) for f in fields])
-
-        def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                made = function(pd.DataFrame({name: batch[column] for name, column in place.items()}))
-                yield batch.assign(**{out[f.name]: made[f.name].to_numpy() for f in fields})
-
-        return df.mapInPandas(per_batch, schema)
+        """Only the inputs pass through pandas; all other columns stay as they are."""
+        compute, names = self.pandas, [f.name for f in self.schema]
+        inputs = list(place)
+        kinds = ", ".join(f"`{f.name}` {f.spark_type}" for f in self.schema)
+
+        def per_batch(*columns: pd.Series) -> pd.DataFrame:
+            made = compute(pd.DataFrame(dict(zip(inputs, columns))))
+            return pd.DataFrame({n: made[n].to_numpy() for n in names})
+
+        made = F.pandas_udf(per_batch, kinds)(*[F.col(place[n]) for n in inputs])
+        box = "_" + internal_name(self.name, "made")
+        return df.withColumn(box, made).withColumns({out[n]: F.col(f"{box}.{n}") for n in names}).drop(box)
 
 
 def on_demand(sources: list, schema: list[Field]):

@@ -1,11 +1,13 @@
-"""One latest row per entity: a snapshot plus the rows pushed since.
+"""One latest row per entity: a snapshot plus the pushed rows it has not folded in.
 
     snapshot/version=N   latest rows, rebuilt by each materialise run
-    pushed/epoch=N/push=ID   rows pushed while N was the current version
-    commits              one row per finished snapshot
+    pushed/ID            rows of one push
+    commits              one row per finished snapshot, with the pushes it folded in
 
 Nothing is overwritten while it may be read: a snapshot counts once its commit row exists, and a
-repeated push writes its own folder again.
+repeated push writes its own folder again. A push is read until a snapshot names it, whatever
+number of runs pass while it is under way. Folders of pushes go one run after they were folded in,
+so that readers of the snapshot before still find them.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.operators.latest import between, latest_per_entity
-from tillwatch.sources.paths import exists, read_table
+from tillwatch.sources.paths import exists, folders, read_table, remove
 
-COMMITS_DDL = "version INT, mark TIMESTAMP"
+COMMITS_DDL = "version INT, mark TIMESTAMP, folded ARRAY<STRING>"
 
 
 class LatestTable:
@@ -31,41 +33,53 @@ class LatestTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.event_ts, self.created = keys, event_ts, created
 
+    def _commits(self) -> list:
+        return read_table(self.spark, f"{self.root}/commits", COMMITS_DDL).orderBy("version").collect()
+
     def state(self) -> tuple[int, datetime | None]:
         """Current version and the event time up to which it was materialised."""
-        commits = read_table(self.spark, f"{self.root}/commits", COMMITS_DDL)
-        last = commits.agg(F.max(F.struct("version", "mark")).alias("c")).first()["c"]
-        return (last["version"], last["mark"]) if last else (0, None)
-
-    def _pieces(self, version: int) -> DataFrame:
-        # A push that was under way during the last materialise run still carries the earlier epoch.
-        # Folders are named one by one, so older ones are not even listed.
-        folders = [f"snapshot/version={version}", f"pushed/epoch={version - 1}", f"pushed/epoch={version}"]
-        found = [f for f in folders if exists(self.spark, f"{self.root}/{f}")]
-        empty = self.spark.createDataFrame([], self.schema)
-        return reduce(DataFrame.unionByName, [self._typed(self.spark.read.schema(self.schema)
-                                                          .option("recursiveFileLookup", "true")
-                                                          .parquet(f"{self.root}/{f}")) for f in found], empty)
+        commits = self._commits()
+        return (commits[-1]["version"], commits[-1]["mark"]) if commits else (0, None)
+
+    def _open_pushes(self, commits: list) -> list[str]:
+        """Finished pushes that no snapshot has folded in."""
+        folded = {name for c in commits for name in c["folded"]}
+        return [name for name in folders(self.spark, f"{self.root}/pushed")
+                if name not in folded and exists(self.spark, f"{self.root}/pushed/{name}/_SUCCESS")]
+
+    def _pieces(self, version: int, pushes: list[str]) -> DataFrame:
+        paths = [f"{self.root}/pushed/{name}" for name in pushes]
+        snapshot = f"{self.root}/snapshot/version={version}"
+        if version and exists(self.spark, snapshot):
+            paths.append(snapshot)
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self._typed(self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(*paths))
 
     def read(self) -> DataFrame:
-        version, _ = self.state()
-        return latest_per_entity(self._pieces(version), self.keys, self.event_ts, self.created)
+        commits = self._commits()
+        version = commits[-1]["version"] if commits else 0
+        return latest_per_entity(self._pieces(version, self._open_pushes(commits)), self.keys, self.event_ts,
+                                 self.created)
 
     def push(self, rows: DataFrame, push_id: str) -> None:
         """Add rows under an id; the same id again replaces its rows."""
-        version, _ = self.state()
         newest = latest_per_entity(self._typed(rows), self.keys, self.event_ts, self.created)
-        newest.write.mode("overwrite").parquet(f"{self.root}/pushed/epoch={version}/push={push_id}")
+        newest.write.mode("overwrite").parquet(f"{self.root}/pushed/{push_id}")
 
     def materialize(self, history: DataFrame, end: datetime, start: datetime | None = None) -> int:
         """Fold history rows of ``(start or last mark, end]`` and pushed rows into a new snapshot."""
-        version, mark = self.state()
+        commits = self._commits()
+        version, mark = (commits[-1]["version"], commits[-1]["mark"]) if commits else (0, None)
+        pushes = self._open_pushes(commits)
         fresh = between(self._typed(history), self.event_ts, start or mark, end)
-        merged = latest_per_entity(fresh.unionByName(self._pieces(version)), self.keys,
+        merged = latest_per_entity(fresh.unionByName(self._pieces(version, pushes)), self.keys,
                                    self.event_ts, self.created)
         merged.write.mode("overwrite").parquet(f"{self.root}/snapshot/version={version + 1}")
-        (self.spark.createDataFrame([(version + 1, end)], COMMITS_DDL)
+        (self.spark.createDataFrame([(version + 1, end, pushes)], COMMITS_DDL)
          .coalesce(1).write.mode("append").parquet(f"{self.root}/commits"))
+        for name in commits[-1]["folded"] if commits else []:
+            remove(self.spark, f"{self.root}/pushed/{name}")
         return version + 1
 
     def _typed(self, rows: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.operators.asof import asof_carry, within_ttl
-from tillwatch.operators.latest import instant
+from tillwatch.operators.latest import instant, latest_per_entity
 from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_any
 from tillwatch.plans.feature_store.definitions import (
     FeatureService,
@@ -87,11 +87,13 @@ class FeatureStore:
 
     def get_historical_features(self, spine: DataFrame, features: References,
                                 timestamp: str = "event_timestamp", full_names: bool = False,
-                                tables: dict[str, DataFrame] | None = None) -> DataFrame:
+                                tables: dict[str, DataFrame] | None = None,
+                                now: datetime | None = None) -> DataFrame:
         """Each spine row with the features known at its time; all spine columns pass through.
 
         Views on the same table share one as-of join and differ only in columns and
-        time-to-live. ``tables`` overrides the rows of a source by name.
+        time-to-live. ``tables`` overrides the rows of a source by name. ``now``: the time of every
+        spine row, which makes the join a look-up of the newest rows of that moment.
         """
         wanted, stored, computed = self._resolve(features)
         groups: dict[tuple, list[FeatureView]] = {}
@@ -103,8 +105,13 @@ class FeatureStore:
             fields = {n: f for v in views for n, f in v.fields.items()}
             rows = (tables or {}).get(source.name)
             rows = source.read(self.spark) if rows is None else rows
-            out = asof_carry(out, rows, keys, timestamp, source.timestamp_field, source.created_field,
-                             list(fields), self.hot_keys)
+            ttls = [v.ttl for v in views]
+            ttl = None if None in ttls else max(ttls)
+            if now is None:
+                out = asof_carry(out, rows, keys, timestamp, source.timestamp_field, source.created_field,
+                                 list(fields), self.hot_keys, ttl=ttl)
+            else:
+                out = self._newest_at(out, rows, source, keys, list(fields), now, ttl)
             carried = F.col("_carried")
             out = out.withColumns({
                 internal_name(v.name, n): F.when(within_ttl(carried, F.col(timestamp), v.ttl),
@@ -119,31 +126,53 @@ class FeatureStore:
         """Historical retrieval with every spine row at ``now``."""
         kind = spine.schema[timestamp].dataType if timestamp in spine.columns else T.TimestampType()
         return self.get_historical_features(spine.withColumn(timestamp, instant(now, kind)), features,
-                                            timestamp, **options)
+                                            timestamp, now=now, **options)
+
+    def _newest_at(self, spine: DataFrame, rows: DataFrame, source, keys: list[str], fields: list[str],
+                   now: datetime, ttl: timedelta | None) -> DataFrame:
+        """``_carried`` for one moment: only rows of the time-to-live are read, one per key is looked up."""
+        at = source.timestamp_field
+        moment = instant(now, rows.schema[at].dataType)
+        known = rows.filter(F.col(at) <= moment)
+        if ttl is not None:
+            known = known.filter(F.col(at) >= moment - F.lit(ttl))
+        newest = latest_per_entity(known, keys, at, source.created_field)
+        carried = F.struct(F.col(at).alias("event_ts"), *[F.col(c) for c in fields]).alias("_carried")
+        return lookup_any(spine, newest.select(*keys, carried), keys, self.hot_keys)
 
     # ----- latest values -----
 
     def latest_table(self, view: FeatureView, history: DataFrame | None = None) -> LatestTable:
-        """The table of latest values behind a view; views on one source share it."""
+        """The table of latest values behind a view; views with the same source and keys share it."""
         if self.root is None:
             raise ValueError("this store has no root folder")
         source = view.source.batch
         rows = source.read(self.spark) if history is None else history
-        return LatestTable(self.spark, f"{self.root}/{view.source.name}", rows.schema, view.keys,
+        return LatestTable(self.spark, f"{self.root}/{view.source.name}/by={'+'.join(view.keys)}", rows.schema, view.keys,
                            source.timestamp_field, source.created_field)
 
-    def materialize_incremental(self, end: datetime) -> dict[str, int]:
-        """New snapshots up to ``end`` for every online source; returns version per source."""
-        done: dict[str, int] = {}
+    def _online_views(self) -> dict[tuple[str, ...], FeatureView]:
+        """One online view for each (source, keys): those with a latest table of their own."""
+        found: dict[tuple[str, ...], FeatureView] = {}
         for view in self.views.values():
-            if view.online and view.source.name not in done:
-                history = view.source.batch.read(self.spark)
-                done[view.source.name] = self.latest_table(view, history).materialize(history, end)
+            if view.online:
+                found.setdefault((view.source.name, *view.keys), view)
+        return found
+
+    def materialize_incremental(self, end: datetime) -> dict[tuple[str, ...], int]:
+        """New snapshots up to ``end`` for every online source and key; returns the version of each."""
+        done: dict[tuple[str, ...], int] = {}
+        for place, view in self._online_views().items():
+            history = view.source.batch.read(self.spark)
+            done[place] = self.latest_table(view, history).materialize(history, end)
         return done
 
     def push(self, source: str, rows: DataFrame, online: bool = True, offline: bool = True,
              push_id: str | None = None) -> None:
-        """Send rows to the latest values of the push source's views and to its batch table."""
+        """Send rows to the latest values of all of the push source's views and to its batch table.
+
+        The same ``push_id`` again replaces its rows in both places.
+        """
         pushed, name = self.push_sources[source], push_id or uuid.uuid4().hex
         batch = pushed.batch_source
         history = batch.read(self.spark)
@@ -151,10 +180,11 @@ class FeatureStore:
         if offline:
             if batch.path is None:
                 raise ValueError(f"source '{batch.name}' has no path to append to")
-            typed.write.mode("append").parquet(batch.path)
+            typed.write.mode("overwrite").parquet(f"{batch.pushed_path}/{name}")
         if online:
-            for view in [v for v in self.views.values() if v.source.name == source][:1]:
-                self.latest_table(view, history).push(typed, name)
+            for (of, *_), view in self._online_views().items():
+                if of == source:
+                    self.latest_table(view, history).push(typed, name)
 
     def get_online_features(self, requests: DataFrame, features: References, full_names: bool = False,
                             tables: dict[str, DataFrame] | None = None,

@@ -21,6 +21,19 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getFileStatus(target).isDirectory()
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``."""
+    files, target = _status(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _status(spark, path)
+    files.delete(target, True)
+
+
 def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A Parquet table, empty when nothing has been written yet."""
     if not exists(spark, path):
