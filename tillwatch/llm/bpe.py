@@ -10,7 +10,8 @@ table and is encoded whole in its task; nothing is shuffled.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
+from array import array
+from functools import cached_property, lru_cache
 from itertools import islice
 
 import numpy as np
@@ -25,7 +26,9 @@ NONE = np.iinfo(np.int64).max
 #: Pieces above so many bytes are merged one by one.
 SHORT = 64
 #: So many pieces a worker process remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Bytes of text worked on at once.
+AT_ONCE = 1 << 20
 
 
 class Vocabulary:
@@ -35,18 +38,29 @@ class Vocabulary:
         with open(path, "rb") as lines:
             entries = [line.split() for line in lines if line.strip()]
         self.rank = {base64.b64decode(token): int(rank) for token, rank in entries}
-        self.token = {rank: token for token, rank in self.rank.items()}
-        pairs = {}
+        self.token = [b""] * (max(self.rank.values()) + 2)
+        keys, ranks = array("q"), array("q")
         for token, rank in self.rank.items():
+            self.token[rank] = token
             for cut in range(1, len(token)):
                 left, right = self.rank.get(token[:cut]), self.rank.get(token[cut:])
                 if left is not None and right is not None:
-                    pairs[left << 32 | right] = rank
-        self.pairs = pairs
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+                    keys.append(left << 32 | right)
+                    ranks.append(rank)
+        order = np.argsort(np.asarray(keys))
+        self.keys, self.ranks = np.asarray(keys)[order], np.asarray(ranks)[order]
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int64)
 
+    def decode(self, flat: np.ndarray, sizes) -> list[bytes]:
+        """Bytes of each run of ids; ids that are no token give none."""
+        known = np.where((flat < 0) | (flat >= len(self.token)), len(self.token) - 1, flat).tolist()
+        ends = np.cumsum(np.asarray(sizes, np.int64)).tolist()
+        return [b"".join(map(self.token.__getitem__, known[e - n:e])) for e, n in zip(ends, sizes)]
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        return dict(zip(self.keys.tolist(), self.ranks.tolist()))
+
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank per pair of token ids, NONE where the two form no token."""
         key = left << 32 | right
@@ -256,26 +270,36 @@ def encoder_of(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: str = "tokens") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", into: str = "tokens",
+           decoded: str | None = None) -> DataFrame:
     """Replace ``text`` by ``into``, the ids (array<int>) of the whole text without special tokens.
 
-    ``path`` names a rank file that every executor can open. A NULL text counts as empty: no ids. All
-    other columns and all rows stay; ``into`` gets an underscore where a column has that name.
+    ``path`` names a rank file that every executor can open. With ``decoded``, a column of that name gets the
+    bytes that the ids decode to, in the same pass. A NULL text counts as empty: no ids. All other columns and
+    all rows stay; a new column gets an underscore where there is one of its name.
     """
-    rest = [c for c in docs.columns if c != text]
-    into = fresh(docs.drop(text), into)
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in rest] + [f"`{into}` array<int>"])
-    source = fresh(docs.drop(text), "text")
+    kept = docs.drop(text)
+    rest = kept.columns
+    into = fresh(kept, into)
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields] + [f"`{into}` array<int>"]
+    names = [*rest, into]
+    if decoded:
+        decoded = fresh(kept, decoded)
+        kinds.append(f"`{decoded}` binary")
+        names.append(decoded)
+    source = fresh(kept, "text")
 
     def work(batches):
         encoder = encoder_of(path, pattern)
-        for batch in slices(batches, source):
-            made = lists(*encoder.encode(batch.column(source).to_pylist()), pa.int32())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), made], names=[*rest, into])
+        for batch in slices(batches, source, AT_ONCE):
+            ids, sizes = encoder.encode(batch.column(source).to_pylist())
+            made = [lists(ids, sizes, pa.int32())]
+            if decoded:
+                made.append(pa.array(encoder.words.decode(ids, sizes), pa.binary()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *made], names=names)
 
-    whole = F.coalesce(F.col(text).cast("string"), F.lit("")).alias(source)
-    return docs.select(*[F.col(f"`{c}`") for c in rest], whole).mapInArrow(work, schema)
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(source)
+    return docs.select(*[F.col(f"`{c}`") for c in rest], whole).mapInArrow(work, ", ".join(kinds))
 
 
 def decode(frame: DataFrame, path: str, tokens: str = "tokens", into: str = "decoded") -> DataFrame:
@@ -285,16 +309,11 @@ def decode(frame: DataFrame, path: str, tokens: str = "tokens", into: str = "dec
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields] + [f"`{into}` binary"])
 
     def work(batches):
-        token = vocabulary(path).token
-        words = [token.get(i, b"") for i in range(max(token) + 1)]
+        words = vocabulary(path)
         for batch in batches:
             column = batch.column(tokens)
             flat = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-            flat = np.where((flat < 0) | (flat >= len(words)), len(words), flat).tolist()
-            each, at, made = words + [b""], 0, []
-            for n in np.diff(np.asarray(column.value_lengths().fill_null(0)).cumsum(), prepend=0).tolist():
-                made.append(b"".join(map(each.__getitem__, flat[at:at + n])))
-                at += n
+            made = words.decode(flat, column.value_lengths().fill_null(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*rest, into])
 
     return frame.mapInArrow(work, schema)

@@ -74,7 +74,7 @@ def op2_multiprobe_neighbours(spark, folder):
 def op3_byte_bpe(spark, folder):
     path, pattern = tokenizer()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern), path))
+    return bpe.digests(bpe.encode(docs, path, pattern, decoded="decoded"))
 
 
 @query()
