@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -59,10 +61,12 @@ def test_areas(spark):
     neg = [s for s, y in rows if not y]
     wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
     assert got["roc_auc"] == pytest.approx(wins / (len(pos) * len(neg)))
-    ml = evaluate_curve(_df(spark, rows).withColumnsRenamed({"score": "rawPrediction"})
-                        .withColumn("label", F.col("label").cast("double")), 0, label="label")
-    assert got["roc_auc"] == pytest.approx(ml["auc"])
-    assert got["pr_auc"] == pytest.approx(ml["pr_auc"])
+    doubles = _df(spark, rows).withColumn("label", F.col("label").cast("double"))
+    by = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    assert got["roc_auc"] == pytest.approx(by.evaluate(doubles))
+    assert got["pr_auc"] == pytest.approx(by.setMetricName("areaUnderPR").evaluate(doubles))
+    vectors = doubles.withColumn("probability", array_to_vector(F.array(1 - F.col("score"), F.col("score"))))
+    assert evaluate_curve(vectors, "label") == pytest.approx({"auc": got["roc_auc"], "pr_auc": got["pr_auc"]})
 
 
 @pytest.mark.parametrize("limits", [(None, None), (0.6, 0.5), (0.0, 0.0)])

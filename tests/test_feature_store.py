@@ -2,7 +2,6 @@
 
 from datetime import datetime, timedelta
 
-import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from tillwatch.plans.feature_store import (
     on_demand,
 )
 from tillwatch.plans.feature_store.driver import driver_definitions
+from tillwatch.plans.feature_store.online import LatestTable
 from tillwatch.plans.feature_store.store import sorted_listing
 
 STATS_DDL = ("driver_id BIGINT, event_timestamp TIMESTAMP, created TIMESTAMP, conv_rate FLOAT, acc_rate FLOAT, "
@@ -46,11 +46,9 @@ def store(spark, tmp_path):
 
 @pytest.fixture
 def spine(spark):
-    return spark.createDataFrame(
-        [(1001, datetime(2021, 4, 12, 10, 59, 42), 1, 1, 10), (1002, datetime(2021, 4, 12, 8, 12, 10), 5, 2, 20),
-         (1003, datetime(2021, 4, 12, 16, 40, 26), 3, 3, 30)],
-        "driver_id BIGINT, event_timestamp TIMESTAMP, label_driver_reported_satisfaction BIGINT, "
-        "val_to_add BIGINT, val_to_add_2 BIGINT")
+    rows = [(1001, _hours(10.5), 4, 1, 10), (1002, _hours(9), 9, 2, 20), (1003, _hours(17), 0, 3, 30)]
+    return spark.createDataFrame(rows, "driver_id BIGINT, event_timestamp TIMESTAMP, stars BIGINT, "
+                                       "val_to_add BIGINT, val_to_add_2 BIGINT")
 
 
 def _requests(spark):
@@ -71,7 +69,7 @@ def test_historical(store, spine):
     assert kinds["avg_daily_trips"] == "bigint"
     rows = _by_driver(out)
     assert rows[1001]["conv_rate"] == 0.75 and rows[1001]["conv_rate_plus_val2"] == 10.75
-    assert rows[1002]["label_driver_reported_satisfaction"] == 5 and rows[1002]["conv_rate_plus_val1"] == 2.125
+    assert rows[1002]["stars"] == 9 and rows[1002]["conv_rate_plus_val1"] == 2.125
     assert rows[1003]["conv_rate"] is None and rows[1003]["conv_rate_plus_val1"] is None  # older than a day
 
 
@@ -121,21 +119,19 @@ def test_names_must_be_unique(store, spine):
 def test_pandas_hook_equals_columns(spark, store, spine):
     hourly = store.get_feature_view("driver_hourly_stats")
 
-    @on_demand(sources=[hourly], schema=[Field("combined_rating", "Float64"), Field("performance_score", "Float64")])
-    def pandas_metrics(inputs: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame()
-        out["combined_rating"] = inputs["conv_rate"].astype("float64") * 0.6 + inputs["acc_rate"].astype("float64") * 0.4
-        out["performance_score"] = out["combined_rating"] * np.log1p(inputs["avg_daily_trips"])
-        return out
+    @on_demand(sources=[hourly], schema=[Field("busy", "Int64"), Field("spread", "Float64")])
+    def pandas_view(inputs: pd.DataFrame) -> pd.DataFrame:
+        gap = inputs["acc_rate"].astype("float64") - inputs["conv_rate"].astype("float64")
+        return pd.DataFrame({"busy": (inputs["avg_daily_trips"] > 15).astype("int64"), "spread": gap.abs()})
 
-    assert isinstance(pandas_metrics, OnDemandView)
-    both = FeatureStore(spark, [*store.views.values(), *store.on_demand_views.values(), pandas_metrics])
-    names = ["combined_rating", "performance_score"]
-    one = _by_driver(both.get_historical_features(spine, [f"pandas_metrics:{n}" for n in names]))
-    two = _by_driver(both.get_historical_features(spine, [f"driver_performance_metrics:{n}" for n in names]))
-    for key in (1001, 1002):
-        for name in names:
-            assert one[key][name] == pytest.approx(two[key][name])
+    assert isinstance(pandas_view, OnDemandView)
+    both = FeatureStore(spark, [*store.views.values(), pandas_view])
+    wide = spine.withColumn("big", F.when(F.col("driver_id") != 1002, F.lit(9007199254740993)))
+    rows = _by_driver(both.get_historical_features(wide, ["pandas_view:busy", "pandas_view:spread"]))
+    assert [rows[k]["busy"] for k in (1001, 1002)] == [1, 0]
+    assert [rows[k]["spread"] for k in (1001, 1002)] == [0.25, 0.875]
+    # what is no input does not pass through pandas
+    assert [rows[k]["big"] for k in (1001, 1002, 1003)] == [9007199254740993, None, 9007199254740993]
 
 
 def test_online_before_and_after_push(spark, store):
@@ -162,6 +158,48 @@ def test_online_before_and_after_push(spark, store):
     assert _by_driver(store.get_online_features(_requests(spark), asked))[1001]["acc_rate"] == 1.0
 
 
+def test_a_push_outlives_materialise_runs(spark, tmp_path):
+    """A push that began before two runs and ends after them is neither lost nor folded twice."""
+    rows = [(1, _hours(1), _hours(1), 0.5, 0.5, 1)]
+    latest = LatestTable(spark, str(tmp_path / "t"), spark.createDataFrame([], STATS_DDL).schema, ["driver_id"],
+                         "event_timestamp", "created")
+    history = spark.createDataFrame(rows, STATS_DDL)
+    latest.push(spark.createDataFrame([(2, _hours(2), _hours(2), 1.0, 1.0, 2)], STATS_DDL), "first")
+    late = str(tmp_path / "t" / "pushed" / "slow")
+    spark.createDataFrame([(3, _hours(3), _hours(3), 1.0, 1.0, 3)], STATS_DDL).write.parquet(late)
+    done = tmp_path / "t" / "pushed" / "slow" / "_SUCCESS"
+    done.unlink()  # still being written
+    latest.materialize(history, _hours(5))
+    latest.materialize(history, _hours(6))
+    assert sorted(r["driver_id"] for r in latest.read().collect()) == [1, 2]
+    done.touch()
+    assert sorted(r["driver_id"] for r in latest.read().collect()) == [1, 2, 3]
+    for hour in (7, 8, 9):
+        latest.materialize(history, _hours(hour))
+        assert sorted(r["driver_id"] for r in latest.read().collect()) == [1, 2, 3]
+    assert not (tmp_path / "t" / "pushed" / "first").exists()
+
+
+def test_views_with_other_keys_have_tables_of_their_own(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(1, 10, _hours(1), 5.0), (2, 10, _hours(2), 6.0)], "c BIGINT, t BIGINT, at TIMESTAMP, v DOUBLE").write.parquet(path)
+    source = PushSource("pushed", FeatureSource("rows", path, "at"))
+    views = [FeatureView(f"by_{k}", (Entity(k, (k,)),), (Field("v", "Float64"),), source) for k in ("c", "t")]
+    store = FeatureStore(spark, [*views, source], str(tmp_path / "online"))
+    assert set(store.materialize_incremental(_hours(5)).values()) == {1}
+    asked = spark.createDataFrame([(1, 10), (2, 11)], "c BIGINT, t BIGINT")
+
+    def values():
+        return [tuple(r) for r in store.get_online_features(asked, ["by_c:v", "by_t:v"], full_names=True).orderBy("c").collect()]
+
+    assert values() == [(1, 10, 5.0, 6.0), (2, 11, 6.0, None)]
+    new = spark.createDataFrame([(1, 11, _hours(6), 7.0)], "c BIGINT, t BIGINT, at TIMESTAMP, v DOUBLE")
+    for _ in range(2):
+        store.push("pushed", new, push_id="p")
+    assert values() == [(1, 10, 7.0, 6.0), (2, 11, 6.0, 7.0)]
+    assert source.batch.read(spark).count() == 3
+
+
 def test_incremental_equals_rebuild(spark, tmp_path):
     rows = [(k, _hours(h), _hours(h), h / 10, 0.5, h) for k in (1, 2, 3) for h in range(k, 30, k + 1)]
     source = FeatureSource("s", created_field="created", table=lambda s: s.createDataFrame(rows, STATS_DDL))

@@ -102,3 +102,21 @@ def test_full_ties_are_decided_the_same_way(spark):
             got.add(point_in_time_join(spine, features.repartition(parts), ["k"], "ts", "event_ts", ["v"],
                                        "created", DAY, hot).first()["v"])
     assert len(got) == 1
+
+
+def test_date_spine_does_not_see_its_own_day(spark):
+    """Both sides are compared in the finer type; the spine comes back as it was."""
+    spine = spark.createDataFrame([("7", datetime(2024, 1, 2).date())], "k STRING, day DATE")
+    rows = spark.createDataFrame([(7, datetime(2024, 1, 1), 1.0), (7, datetime(2024, 1, 2, 15), 9.0)], "k BIGINT, at TIMESTAMP, v DOUBLE")
+    for hot in SPLITS:
+        out = point_in_time_join(spine, rows, ["k"], "day", "at", ["v"], hot_keys=hot)
+        assert out.columns == ["k", "day", "v"] and [tuple(r) for r in out.collect()] == [("7", datetime(2024, 1, 2).date(), 1.0)]
+
+
+def test_rows_out_of_reach_stay_out_of_the_shuffle(spark):
+    spine = spark.createDataFrame([(1, datetime(2024, 1, 10))], "k BIGINT, at TIMESTAMP")
+    rows = spark.createDataFrame([(1, datetime(2024, 1, d), float(d)) for d in range(1, 20)], "k BIGINT, ts TIMESTAMP, v DOUBLE")
+    out = point_in_time_join(spine, rows, ["k"], "at", "ts", ["v"], ttl=timedelta(days=2))
+    assert out.first()["v"] == 10.0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan

@@ -37,26 +37,33 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean(raw, quantiles.amount_stats(raw, exact=True))
 
 
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, folder: str, name: str, rows) -> DataFrame:
+    """A table of this session and folder, written at first use; Spark deletes it at the end."""
+    place = (spark.sparkContext.applicationId, folder, name)
+    if place not in _KEPT:
+        path = scratch_path(spark, name)
+        tx_io.write_clean(rows(), path)
+        _KEPT[place] = path
+    return tx_io.read_clean(spark, _KEPT[place])
+
+
 def clean_table(spark: SparkSession, folder: str) -> DataFrame:
     """The cleaned rows as the table the later jobs read."""
-    path = scratch_path(spark, "clean-table")
-    tx_io.write_clean(cleaned(spark, folder), path)
-    return tx_io.read_clean(spark, path)
+    return _once(spark, folder, "clean-table", lambda: cleaned(spark, folder))
 
 
 def order_table(spark: SparkSession, folder: str) -> DataFrame:
     """The order transactions as a table: the feature jobs read their input more than once."""
-    path = scratch_path(spark, "order-table")
-    order_transactions(spark, folder).write.parquet(path)
-    return spark.read.parquet(path)
+    return _once(spark, folder, "order-table", lambda: order_transactions(spark, folder))
 
 
 def kept_table(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows, one per id, amounts as they came; written once, as the history jobs read it often."""
-    path = scratch_path(spark, "kept-table")
-    kept = cleaning.dedupe_first(transactions(spark, folder).filter(cleaning.is_keepable()))
-    tx_io.write_clean(kept, path)
-    return tx_io.read_clean(spark, path)
+    return _once(spark, folder, "kept-table", lambda: cleaning.dedupe_first(
+        transactions(spark, folder).filter(cleaning.is_keepable())))
 
 
 # ----- profile -----
@@ -95,10 +102,26 @@ def iqr_bounds(spark, folder):
     return quantiles.amount_stats(transactions(spark, folder), exact=True)
 
 
-@query()
+@query(with_parts("SELECT count(*) AS rows, true AS q1_within, true AS q3_within, true AS median_within, true AS same_by_tree "
+                  "FROM tx_raw", "tx_raw"))
 def iqr_bounds_approximate(spark, folder):
-    """Sketches with the usual accuracy: one pass, no twin in SQL."""
-    return quantiles.amount_stats(transactions(spark, folder))
+    """Sketched quantiles: their ranks among all rows lie within the promised error."""
+    rows = transactions(spark, folder)
+    quartiles, median, tree = quantiles.approx_quartiles(rows), quantiles.approx_median(rows), quantiles.amount_stats_by_tree(rows)
+    placed = rows.select("tx_amount", *[table.select(c).scalar().alias(n) for n, table, c in (
+        ("q1", quartiles, "q1"), ("q3", quartiles, "q3"), ("median", median, "median"),
+        ("t1", tree, "q1"), ("t3", tree, "q3"), ("tm", tree, "median"))])
+    known = F.count("tx_amount")
+
+    def within(value, share, error):
+        below, upto = F.count_if(F.col("tx_amount") < F.col(value)), F.count_if(F.col("tx_amount") <= F.col(value))
+        return (below <= (share + error) * known + 1) & (upto >= (share - error) * known - 1)
+
+    quarter, half = 1 / quantiles.QUARTILE_ACCURACY, quantiles.MEDIAN_ERROR
+    return placed.agg(
+        F.count(F.lit(1)).alias("rows"), within("q1", 0.25, quarter).alias("q1_within"),
+        within("q3", 0.75, quarter).alias("q3_within"), within("median", 0.5, half).alias("median_within"),
+        (within("t1", 0.25, quarter) & within("t3", 0.75, quarter) & within("tm", 0.5, half)).alias("same_by_tree"))
 
 
 @query(with_parts("SELECT tx_fraud, count(*) AS rows, "
@@ -309,17 +332,35 @@ def split_by_key(spark, folder):
             .unionByName(test.select("transaction_id", F.lit(False).alias("in_train"))))
 
 
-@query()
+def _share_near(n, total, share: float):
+    """Within five standard deviations of a Bernoulli sample."""
+    return F.abs(n - share * total) <= 5 * F.sqrt(share * (1 - share) * total)
+
+
+@query(with_parts("SELECT count(*) AS rows, true AS share_near, true AS only_given_rows FROM tx_raw", "tx_raw"))
 def sample_fraction(spark, folder):
-    """Bernoulli sample: which rows depends on the partitioning, so no twin."""
-    return sampling.sample_fraction(transactions(spark, folder), 0.1)
+    """Bernoulli sample: which rows depends on the partitioning, how many and that they are rows of the table does not."""
+    rows = transactions(spark, folder)
+    marked = sampling.sample_fraction(rows, 0.1).groupBy("transaction_id").agg(F.count(F.lit(1)).alias("taken"))
+    given = rows.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
+    both = given.join(marked, "transaction_id", "full")
+    taken = F.coalesce("taken", F.lit(0))
+    return both.agg(F.sum("n").alias("rows"), _share_near(F.sum(taken), F.sum("n"), 0.1).alias("share_near"),
+                    F.bool_and(taken <= F.coalesce("n", F.lit(0))).alias("only_given_rows"))
 
 
-@query()
+@query(with_parts("SELECT count(*) AS rows, true AS complete, true AS share_near FROM tx_raw", "tx_raw"))
 def random_split(spark, folder):
-    train, test = sampling.random_split(transactions(spark, folder))
-    return (train.select("transaction_id", F.lit("train").alias("part"))
-            .unionByName(test.select("transaction_id", F.lit("test").alias("part"))))
+    """Each row is in one part: counted per id over both parts."""
+    rows = transactions(spark, folder).persist()
+    train, test = sampling.random_split(rows)
+    parts = train.select("transaction_id", F.lit(1).alias("train")).unionByName(test.select("transaction_id", F.lit(0).alias("train")))
+    split = parts.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("parts"), F.sum("train").alias("train"))
+    given = rows.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n"))
+    out = given.join(split, "transaction_id", "full").agg(
+        F.sum("n").alias("rows"), F.bool_and(F.col("n").eqNullSafe(F.col("parts"))).alias("complete"),
+        _share_near(F.sum("train"), F.sum("n"), 0.8).alias("share_near"))
+    return out
 
 
 # ----- evaluation -----
@@ -448,32 +489,35 @@ def decide_transactions(spark, folder):
 
 # ----- models: fitted weights have no twin -----
 
-@query()
+@query("SELECT * FROM (VALUES ('logistic_regression', true), ('random_forest', true)) t(model, roc_area_above_70)")
 def train_compare_models(spark, folder):
     """Train both models on the cleaned rows and compare them on the held-out part."""
     trained = training.train_and_compare(clean_table(spark, folder))
-    return trained.comparison
+    return trained.comparison.select("model", (F.col("auc") > 0.7).alias("roc_area_above_70"))
 
 
-@query()
+@query(with_parts("SELECT transaction_id, tx_amount IS NOT NULL AS is_scored, true AS in_unit FROM tx_clean", "tx_clean"))
 def score_batch(spark, folder):
-    """Train, save, load, score all cleaned rows."""
-    frame = feature_frame(spark, folder)
-    trained = training.train_and_compare(clean_table(spark, folder), training.TrainingOptions(trees=5, depth=4))
+    """Train, save, load, score all cleaned rows; a row without amount stays, without a score."""
+    clean = clean_table(spark, folder)
+    trained = training.train_and_compare(clean, training.TrainingOptions(trees=5, depth=4))
     path = scratch_path(spark, "pipeline")
     training.save_pipeline(trained.pipeline, path)
-    return training.score(frame, training.load_pipeline(path)).select("transaction_id", "score")
+    rows = entity_features.customer_terminal_features(clean).select("transaction_id", *FEATURE_COLUMNS)
+    scored_rows = training.score(rows, training.load_pipeline(path))
+    return scored_rows.select("transaction_id", F.col("score").isNotNull().alias("is_scored"),
+                              F.coalesce(F.col("score").between(0, 1), F.lit(True)).alias("in_unit"))
 
 
-@query()
+@query("SELECT CAST(i AS INTEGER) AS candidate, true AS roc_area_in_range FROM range(2) t(i)")
 def grid_search(spark, folder):
     frame = feature_frame(spark, folder).persist()
     try:
         found = training.grid_search(frame, training.TrainingOptions(max_iter=10), (0.01, 0.1), (0.0,))
     finally:
         frame.unpersist()
-    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(found.validationMetrics)],
-                                 "candidate INT, roc_auc DOUBLE")
+    return spark.createDataFrame([(i, 0.5 < m <= 1.0) for i, m in enumerate(found.validationMetrics)],
+                                 "candidate INT, roc_area_in_range BOOLEAN")
 
 
 # ----- files -----
@@ -486,6 +530,30 @@ def read_transactions_csv(spark, folder):
     return tx_io.read_transactions_csv(spark, path)
 
 
+def _with_remarks(spark: SparkSession, folder: str) -> str:
+    """The transactions as CSV text with a remark line before every 50th id."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRANSACTION_COLUMNS]
+    line = F.concat_ws(",", *cells)
+    lines = F.when(F.col("transaction_id") % 50 == 0, F.array(F.lit("# next block"), line)).otherwise(F.array(line))
+    path = scratch_path(spark, "tx-remarks")
+    transactions(spark, folder).select(F.explode(lines).alias("value")).write.text(path)
+    return path
+
+
+@query(with_parts(f"SELECT {TX} FROM tx_raw", "tx_raw"))
+def read_transactions_csv_remarks(spark, folder):
+    """Remark lines are skipped."""
+    return tx_io.read_transactions_csv(spark, _with_remarks(spark, folder))
+
+
+@query(with_parts("SELECT count(*) + count(*) FILTER (transaction_id % 50 = 0) AS rows, count(transaction_id) AS ids, "
+                  "count(tx_amount) AS amounts FROM tx_raw", "tx_raw"))
+def read_transactions_csv_no_remarks(spark, folder):
+    """Without a remark sign such lines are rows of NULLs."""
+    rows = tx_io.read_transactions_csv(spark, _with_remarks(spark, folder), comment=None)
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count("transaction_id").alias("ids"), F.count("tx_amount").alias("amounts"))
+
+
 @query(with_parts(f"SELECT {TX} FROM tx_clean", "tx_clean"))
 def write_read_clean(spark, folder):
     path = scratch_path(spark, "tx-clean")
@@ -522,3 +590,15 @@ def metrics_round_trip(spark, folder):
        "CAST(event_id % 777 AS VARCHAR) AS rf_auc, event_type AS best_model FROM events")
 def metrics_pivot(spark, folder):
     return metrics.metrics_pivot(run_metrics(spark, folder), ["lr_auc", "rf_auc", "best_model"])
+
+
+@query(with_parts("SELECT metric, CAST(value AS VARCHAR) AS value, run_id FROM (SELECT 'rows' AS metric, count(*) AS value, 'r1' AS run_id "
+                  "FROM tx_raw UNION ALL SELECT 'frauds', count(*) FILTER (tx_fraud = 1), 'r1' FROM tx_raw UNION ALL "
+                  "SELECT 'rows', count(*), 'r2' FROM tx_raw)", "tx_raw"))
+def metrics_export(spark, folder):
+    """Two runs append their numbers; all of them are read back."""
+    path = scratch_path(spark, "metrics-export")
+    rows = transactions(spark, folder).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("tx_fraud") == 1).alias("frauds")).first()
+    metrics.export_metrics(metrics.metrics_frame(spark, rows.asDict(), "r1"), path)
+    metrics.export_metrics(metrics.metrics_frame(spark, {"rows": rows["rows"]}, "r2"), path)
+    return metrics.read_metrics(spark, path)

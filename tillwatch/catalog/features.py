@@ -28,7 +28,8 @@ from tillwatch.operators.evaluation import curve_areas, score_curve
 from tillwatch.operators.latest import latest_per_entity as newest
 from tillwatch.operators.skew import HotKeys
 from tillwatch.plans import tracking
-from tillwatch.plans.feature_store import FeatureSource, FeatureStore, Field, on_demand
+from tillwatch.plans.feature_store import (Entity, FeatureSource, FeatureStore, FeatureView, Field, RequestSource,
+                                             on_demand)
 from tillwatch.plans.feature_store.driver import ONE_DAY, driver_definitions
 from tillwatch.plans.feature_store.store import sorted_listing
 from tillwatch.session import scratch_path
@@ -72,6 +73,19 @@ def point_in_time_join_hot_keys(spark, folder):
     return out.select("event_id", "driver_id", stamp("event_timestamp"), "label", *FIELDS)
 
 
+@query(with_parts("""SELECT event_id, driver_id, CAST(day AS VARCHAR) AS day,
+  CASE WHEN f_ts >= day - INTERVAL 1 DAY THEN conv_rate END AS conv_rate FROM (SELECT s.event_id, s.driver_id,
+  CAST(s.event_timestamp AS DATE) AS day, f.event_timestamp AS f_ts, f.conv_rate FROM driver_spine s ASOF LEFT JOIN driver_stats f
+  ON s.driver_id = f.driver_id AND CAST(CAST(s.event_timestamp AS DATE) AS TIMESTAMP) >= f.event_timestamp)""",
+                  "driver_spine", "driver_stats"))
+def point_in_time_join_date_spine(spark, folder):
+    """A date asks for what was known when the day began, not for rows of that day."""
+    spine = driver_spine(spark, folder).select("event_id", F.col("driver_id").cast("int").alias("driver_id"),
+                                               F.to_date("event_timestamp").alias("day"))
+    out = join_asof(spine, driver_stats(spark, folder), ["driver_id"], "day", "event_timestamp", ["conv_rate"], "created", ONE_DAY)
+    return out.select("event_id", F.col("driver_id").cast("bigint").alias("driver_id"), F.col("day").cast("string").alias("day"), "conv_rate")
+
+
 def _widened(df: DataFrame) -> DataFrame:
     """32-bit features as doubles, long decimals steadied."""
     out = df
@@ -214,6 +228,69 @@ def append_offline(spark, folder):
     return store.push_sources["driver_stats_push_source"].batch.read(spark).select("driver_id", *FIELDS)
 
 
+@query(with_parts("SELECT driver_id, conv_rate, acc_rate, avg_daily_trips FROM " + PUSHED, "driver_stats"))
+def push_repeated(spark, folder):
+    """The same push twice, as after a retry: its rows count once."""
+    root = scratch_path(spark, "store")
+    driver_stats(spark, folder).write.parquet(f"{root}/history")
+    store = driver_store(spark, folder, root, path=f"{root}/history")
+    for _ in range(2):
+        store.push("driver_stats_push_source", driver_rows(events(spark, folder).filter("event_type = 'purchase'")), push_id="same")
+    return store.push_sources["driver_stats_push_source"].batch.read(spark).select("driver_id", *FIELDS)
+
+
+@query(with_parts("""SELECT r.driver_id, r.val_to_add AS avg_daily_trips, a.acc_rate AS by_driver, b.conv_rate AS by_trips
+  FROM requests r LEFT JOIN (SELECT driver_id, arg_max(acc_rate, event_timestamp) AS acc_rate FROM driver_stats GROUP BY 1) a
+  USING (driver_id) LEFT JOIN (SELECT avg_daily_trips, arg_max(conv_rate, event_timestamp) AS conv_rate FROM driver_stats
+  GROUP BY 1) b ON b.avg_daily_trips = r.val_to_add""", "driver_stats", "requests"))
+def online_two_entities(spark, folder):
+    """Two views of one source with different keys: each has latest values of its own."""
+    source = FeatureSource("stats", created_field="created", table=lambda s: driver_stats(s, folder))
+    views = [FeatureView("of_driver", (Entity("driver", ("driver_id",)),), (Field("acc_rate", "Float64"),), source),
+             FeatureView("of_trips", (Entity("trips", ("avg_daily_trips",)),), (Field("conv_rate", "Float64"),), source)]
+    store = FeatureStore(spark, views, scratch_path(spark, "store"))
+    store.materialize_incremental(datetime(2024, 2, 15))
+    asked = online_requests(spark, folder).select("driver_id", F.col("val_to_add").alias("avg_daily_trips"))
+    out = store.get_online_features(asked, ["of_driver:acc_rate", "of_trips:conv_rate"])
+    return out.withColumnsRenamed({"acc_rate": "by_driver", "conv_rate": "by_trips"})
+
+
+@query("""SELECT CASE WHEN event_id % 3 <> 0 THEN event_id + 9007199254740993 END AS big_id, user_id AS driver_id,
+  CASE WHEN event_id % 3 <> 0 THEN value * 2 END AS twice FROM events""")
+def pandas_view_large_ids(spark, folder):
+    """Columns that are no inputs do not pass through pandas: ids above 2^53 with NULLs stay exact."""
+    request = RequestSource("amount", (Field("value", "Float64"),))
+
+    @on_demand(sources=[request], schema=[Field("twice", "Float64")])
+    def doubled(inputs: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"twice": inputs["value"] * 2})
+
+    rows = events(spark, folder).selectExpr("IF(event_id % 3 <> 0, event_id + 9007199254740993, NULL) AS big_id",
+                                            "user_id AS driver_id", "IF(event_id % 3 <> 0, value, NULL) AS value")
+    return FeatureStore(spark, [doubled]).get_historical_features(rows, ["doubled:twice"], timestamp="driver_id").drop("value")
+
+
+@query("""SELECT * FROM (VALUES ('driver_activity_fv'), ('driver_hourly_stats'), ('driver_hourly_stats_fresh'), ('driver_quality_fv')) t(name)
+  CROSS JOIN (SELECT true AS one_day, 'driver' AS entity, true AS has_features)""")
+def describe_views(spark, folder):
+    rows = driver_store(spark, folder).describe()
+    return rows.select("name", (F.col("ttl_seconds") == 86_400).alias("one_day"), F.col("entities")[0].alias("entity"),
+                       (F.size("features") > 0).alias("has_features"))
+
+
+@query(with_parts("""SELECT run_id, best_auc, CAST(row_number() OVER (ORDER BY run_id) AS INTEGER) AS version, 'None' AS stage
+  FROM (SELECT run_id, best_auc FROM runs WHERE status = 'FINISHED' ORDER BY best_auc DESC, run_id LIMIT 3)""", "runs"))
+def run_log_and_versions(spark, folder):
+    """Three finished runs are logged and registered, then read back."""
+    tracker = tracking.Tracker(spark, scratch_path(spark, "tracking"))
+    finished = runs(spark, folder).filter("status = 'FINISHED'").orderBy(F.desc("best_auc"), "run_id").limit(3)
+    for row in finished.orderBy("run_id").collect():
+        tracker.log_run(row["run_id"], row["experiment"], {"best_auc": row["best_auc"]}, {"seed": 42}, row["best_model"])
+        tracker.register_version("fraud-detector", row["run_id"])
+    return tracker.runs().join(tracker.versions(), "run_id").select(
+        "run_id", "best_auc", "version", F.col("current_stage").alias("stage"))
+
+
 @query(with_parts("""SELECT driver_id, u.feature, u.value FROM (SELECT driver_id,
   [{'feature': 'avg_daily_trips', 'value': CAST(avg_daily_trips AS VARCHAR)},
    {'feature': 'val_to_add', 'value': CAST(val_to_add AS VARCHAR)},

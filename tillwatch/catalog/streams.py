@@ -124,6 +124,13 @@ def stream_late_data(spark, folder):
 
 # ----- enrich, score, decide -----
 
+def _prepared(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    """Features of the cleaned history as a table, written once, not computed again by every micro-batch."""
+    path = scratch_path(spark, f"prepared-{key}")
+    amount_by_entity(batch.clean_table(spark, folder), key).drop("_rows").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query(with_parts("""SELECT transaction_id, customer_id, customer_tx_count, score,
   CASE WHEN score >= CAST(0.7 AS DOUBLE) OR coalesce(tx_amount > 3 * avg_customer_amount, false) THEN 'decline'
   WHEN score >= CAST(0.4 AS DOUBLE) THEN 'manual_review' ELSE 'approve' END AS decision
@@ -131,7 +138,7 @@ def stream_late_data(spark, folder):
   count(tx_amount) AS customer_tx_count FROM tx_clean GROUP BY 1) USING (customer_id)""", "tx_scored", "tx_clean"))
 def stream_enrich_score_decide(spark, folder):
     """Prepared customer features joined to arriving rows, a fixed score, thresholds and one rule."""
-    prepared = amount_by_entity(batch.clean_table(spark, folder), "customer_id").drop("_rows")
+    prepared = _prepared(spark, folder, "customer_id")
     rows = pipeline.enrich_stream(transaction_stream(spark, folder), prepared, ["customer_id"])
     decided = pipeline.score_and_decide(rows, scored, 0.4, 0.7,
                                         decline_rule=F.col("tx_amount") > 3 * F.col("avg_customer_amount"))
@@ -139,21 +146,27 @@ def stream_enrich_score_decide(spark, folder):
                    "decided")
 
 
-@query()
+@query(with_parts("""SELECT transaction_id, is_scored, true AS decided, NOT is_scored AS reviewed_unscored FROM (SELECT transaction_id,
+  tx_amount IS NOT NULL AND c.a IS NOT NULL AND t.a IS NOT NULL AS is_scored FROM tx_timed
+  LEFT JOIN (SELECT customer_id, avg(tx_amount) AS a FROM tx_clean GROUP BY 1) c USING (customer_id)
+  LEFT JOIN (SELECT terminal_id, avg(tx_amount) AS a FROM tx_clean GROUP BY 1) t USING (terminal_id))""", "tx_timed", "tx_clean"))
 def stream_model_decisions(spark, folder):
-    """A trained pipeline scores the stream; features are prepared per customer and terminal."""
+    """A trained pipeline scores the stream; every arriving row gets a decision, a row without score a review."""
     from tillwatch.functions.amounts import safe_ratio
     from tillwatch.plans import training
 
     clean = batch.clean_table(spark, folder)
     trained = training.train_and_compare(clean, training.TrainingOptions(trees=5, depth=4))
-    rows = transaction_stream(spark, folder).filter("tx_amount IS NOT NULL")
+    rows = transaction_stream(spark, folder)
     for key in ("customer_id", "terminal_id"):
-        rows = pipeline.enrich_stream(rows, amount_by_entity(clean, key).drop("_rows"), [key])
+        rows = pipeline.enrich_stream(rows, _prepared(spark, folder, key), [key])
     rows = rows.withColumn("customer_amount_ratio", safe_ratio(F.col("tx_amount"), F.col("avg_customer_amount")))
-    known = rows.dropna(subset=["avg_customer_amount", "avg_terminal_amount"])
-    decided = pipeline.score_and_decide(known, lambda df: training.score(df, trained.pipeline), 0.3, 0.6)
-    return written(spark, decided.select("transaction_id", "score", "decision"), "model-decided")
+    decided = pipeline.score_and_decide(rows, lambda df: training.score(df, trained.pipeline), 0.3, 0.6)
+    out = written(spark, decided.select("transaction_id", "score", "decision"), "model-decided")
+    known = F.col("score").isNotNull()
+    return out.select("transaction_id", known.alias("is_scored"),
+                      F.col("decision").isin("approve", "manual_review", "decline").alias("decided"),
+                      (~known & (F.col("decision") == "manual_review")).alias("reviewed_unscored"))
 
 
 # ----- monitoring -----
@@ -166,12 +179,12 @@ MONITOR_SQL = f"""SELECT {stamp_sql('window_start')}, {stamp_sql('window_end')},
   count(*) FILTER (score >= CAST(0.4 AS DOUBLE) AND tx_fraud = 0) AS fp,
   count(*) FILTER (NOT score >= CAST(0.4 AS DOUBLE) AND tx_fraud = 0) AS tn,
   count(*) FILTER (NOT score >= CAST(0.4 AS DOUBLE) AND tx_fraud = 1) AS fn
-  FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts) AS window_start FROM tx_scored WHERE tx_fraud IN (0, 1))
-  GROUP BY window_start) WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM tx_scored WHERE tx_fraud IN (0, 1))"""
+  FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts) AS window_start FROM tx_scored)
+  GROUP BY window_start) WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM tx_scored)"""
 
 
 def _monitoring(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scored(transaction_stream(spark, folder)).filter("tx_fraud IN (0, 1)")
+    rows = scored(transaction_stream(spark, folder))
     windows = monitoring.monitoring_windows(rows, "ts", "6 hours", 0.4, 100.0, 5.0, delay=DELAY, label="tx_fraud")
     return written(spark, windows, "monitoring")
 
@@ -216,5 +229,5 @@ def stream_push_ingest(spark, folder):
     stream = driver_rows(event_stream(spark, folder))
     latest = LatestTable(spark, f"{root}/latest", stream.schema, ["driver_id"], "event_timestamp", "created")
     push.push_stream(stream, latest, f"{root}/history", f"{root}/checkpoint")
-    latest.materialize(driver_stats(spark, folder).limit(0), datetime(2024, 2, 15))
+    latest.materialize(spark.createDataFrame([], stream.schema), datetime(2024, 2, 15))
     return latest.read().select("driver_id", *FIELDS, stamp("event_timestamp"))

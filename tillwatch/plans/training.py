@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.operators.entity_features import customer_terminal_features
-from tillwatch.operators.evaluation import confusion_matrix, weighted_prf
+from tillwatch.operators.evaluation import confusion_matrix, curve_areas, score_curve, weighted_prf
 from tillwatch.operators.sampling import random_split, sample_by_key, sample_fraction, split_by_key
 from tillwatch.plans.tracking import best_of_models
 from tillwatch.schema import FEATURE_COLUMNS
@@ -42,7 +43,6 @@ class TrainingOptions:
     depth: int = 6
     handle_null: str = "drop"
     compat: bool = False
-    num_bins: int = 1000
     partitions: int | None = None
 
 
@@ -88,11 +88,11 @@ class Trained:
     comparison: DataFrame
 
 
-def evaluate_curve(predictions: DataFrame, num_bins: int, label: str = LABEL) -> dict[str, float]:
-    """Areas under the ROC and the precision/recall curve; ``num_bins`` 0 keeps every threshold."""
-    by = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", numBins=num_bins)
-    return {"auc": by.evaluate(predictions),
-            "pr_auc": by.setMetricName("areaUnderPR").evaluate(predictions)}
+def evaluate_curve(predictions: DataFrame, label: str = LABEL) -> dict[str, float]:
+    """Areas under the ROC and the precision/recall curve over every distinct score, in one pass."""
+    scored = predictions.select(vector_to_array(F.col("probability"))[1].alias("score"), F.col(label).alias("label"))
+    areas = curve_areas(score_curve(scored)).first()
+    return {"auc": areas["roc_auc"] or 0.0, "pr_auc": areas["pr_auc"] or 0.0}
 
 
 def evaluate_labels(predictions: DataFrame, label: str = LABEL) -> dict[str, float]:
@@ -154,7 +154,7 @@ def train_and_compare(clean: DataFrame, options: TrainingOptions = TrainingOptio
         results: dict[str, dict[str, float]] = {}
         for name, estimator in candidate_models(options).items():
             models[name] = estimator.fit(ready_train)
-            results[name] = evaluate_curve(models[name].transform(ready_test), options.num_bins)
+            results[name] = evaluate_curve(models[name].transform(ready_test))
         comparison = spark.createDataFrame(
             [(i, n, r["auc"], r["pr_auc"]) for i, (n, r) in enumerate(results.items())],
             "rank INT, model STRING, auc DOUBLE, pr_auc DOUBLE")
@@ -181,10 +181,17 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def score(features: DataFrame, pipeline: Transformer, column: str = "score") -> DataFrame:
-    """Fraud probability per row; also on a stream. Model working columns are dropped."""
-    scored = pipeline.transform(features).withColumn(column, vector_to_array(F.col("probability"))[1])
-    return scored.select(*features.columns, column)
+def score(features: DataFrame, pipeline: Transformer, column: str = "score",
+          inputs: list[str] = FEATURE_COLUMNS) -> DataFrame:
+    """Fraud probability per row; also on a stream. Every row stays: a row with a NULL input gets a NULL score,
+    which ``decide`` turns into a review. Model working columns are dropped."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in inputs])
+    kept = [f"_in_{c}" for c in features.columns]
+    filled = features.withColumnsRenamed(dict(zip(features.columns, kept)))
+    filled = filled.withColumns({c: F.coalesce(F.col(f"_in_{c}").cast("double"), F.lit(0.0)) for c in inputs})
+    scored = pipeline.transform(filled).withColumn("_score", vector_to_array(F.col("probability"))[1])
+    back = scored.select(*[F.col(k).alias(c) for k, c in zip(kept, features.columns)], "_score")
+    return back.withColumn(column, F.when(known, F.col("_score"))).drop("_score")
 
 
 def grid_search(train: DataFrame, options: TrainingOptions = TrainingOptions(),
@@ -194,7 +201,7 @@ def grid_search(train: DataFrame, options: TrainingOptions = TrainingOptions(),
     model = candidate_models(options)["logistic_regression"]
     grid = (ParamGridBuilder().addGrid(model.regParam, list(reg_params))
             .addGrid(model.elasticNetParam, list(elastic)).build())
-    by = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction")
+    by = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", numBins=0)
     search = TrainValidationSplit(estimator=Pipeline(stages=[assembler(), scaler(), model]),
                                   estimatorParamMaps=grid, evaluator=by, trainRatio=0.8,
                                   parallelism=parallelism, seed=options.seed)

@@ -84,15 +84,13 @@ def frequency_windows(stream: DataFrame, time: str, delay: str, size: str, slide
                     key, "tx_count", "avg_amount"))
 
 
-def enrich_stream(stream: DataFrame, features: DataFrame, keys: list[str],
-                  features_fit_broadcast: bool = False) -> DataFrame:
+def enrich_stream(stream: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
     """Arriving rows with their prepared features; an unknown key gets NULLs.
 
-    Spark measures the feature table and broadcasts it only below its own size limit; beyond it
-    the join shuffles. ``features_fit_broadcast`` is for callers that have checked the size.
+    ``features`` is a stored table with one row per key. Spark measures it and broadcasts it only below
+    its own size limit; beyond it the join shuffles.
     """
-    right = F.broadcast(features) if features_fit_broadcast else features
-    return stream.join(right, keys, "left")
+    return stream.join(features, keys, "left")
 
 
 def score_and_decide(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], review_at: float,
