@@ -5,7 +5,7 @@ import random
 import pytest
 
 from tillwatch.operators.entity_features import customer_terminal_features
-from tillwatch.operators.history import past_only_features, tx_frequency
+from tillwatch.operators.history import past_only_features, tx_frequency, with_earlier_amounts
 from tillwatch.operators.skew import HotKeys
 
 DDL = "id BIGINT, k BIGINT, t BIGINT, a DOUBLE"
@@ -64,3 +64,14 @@ def test_entity_features_equal_windows(spark, hot):
     assert len(one) == 300
     for a, b in zip(one, two):
         assert a.asDict() == pytest.approx(b.asDict())
+
+
+@pytest.mark.parametrize("bucket", [7, 1000])
+def test_all_earlier_amounts(spark, bucket):
+    rows = _rows(seed=6)
+    got = with_earlier_amounts(spark.createDataFrame(rows, DDL), "k", "mean", "n", "t", "a", bucket).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        past = [] if r["t"] is None or r["k"] is None else [
+            a for _, k, t, a in rows if k == r["k"] and t is not None and a is not None and t < r["t"]]
+        assert r["n"] == len(past) and r["mean"] == pytest.approx(_mean(past))

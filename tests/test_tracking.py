@@ -155,6 +155,27 @@ def test_scaler_is_sample_deviation(spark, clean):
         assert scaler.std[i] == pytest.approx(stats[name]["std"])
 
 
+def test_later_rows_do_not_change_a_training_row(clean):
+    for how in ("drop", "impute"):
+        options = T.TrainingOptions(handle_null=how)
+        cut = F.col("tx_time_seconds") < 300
+        early, whole = T.training_frame(clean.filter(cut), options), T.training_frame(clean, options).filter(cut)
+        assert sorted(map(str, early.collect())) == sorted(map(str, whole.collect())) and early.count() > 0
+
+
+def test_means_of_training_rows_travel_with_the_pipeline(spark, clean, tmp_path):
+    gaps = clean.withColumn("tx_amount", F.when(F.col("transaction_id") % 7 != 0, F.col("tx_amount")))
+    done = T.train_and_compare(gaps, T.TrainingOptions(trees=2, depth=2, max_iter=3, handle_null="impute"))
+    assert done.train_rows + done.test_rows == 600
+    T.save_pipeline(done.pipeline, str(tmp_path / "p"))
+    rows = T.past_features(gaps).select("transaction_id", *FEATURE_COLUMNS)
+    assert T.score(rows, T.load_pipeline(str(tmp_path / "p"))).filter("score IS NULL").count() == 0
+    plain = T.train_and_compare(gaps, T.TrainingOptions(trees=2, depth=2, max_iter=3))
+    scored = T.score(rows, plain.pipeline)
+    unknown = rows.filter(" OR ".join(f"{c} IS NULL" for c in FEATURE_COLUMNS)).count()
+    assert scored.count() == 600 and scored.filter("score IS NULL").count() == unknown > 0
+
+
 def test_empty_training_stops(spark):
     with pytest.raises(Exception):
         T.train_and_compare(spark.createDataFrame([], TRANSACTION_DDL))

@@ -120,3 +120,26 @@ def tx_frequency(rows: DataFrame, history: DataFrame, key: str, frames: dict[str
     """Transactions of the key in the last N seconds, the row's own second included."""
     measures = {f"{prefix}_tx_last_{name}": (name, F.count(F.lit(1)), F.col(f"_n_{name}")) for name in frames}
     return _over_frames(rows, history, key, frames, 0, time, amount, measures, hot_keys, sliding_rows)
+
+
+def with_earlier_amounts(rows: DataFrame, key: str, mean: str, count: str, time: str = "tx_time_seconds",
+                         amount: str = "tx_amount", bucket: int = 86_400) -> DataFrame:
+    """Add mean and number of all known amounts of the key before the row's own second.
+
+    Running sums within a bucket of time, plus the sums of the buckets before it: no task holds more than
+    one bucket of a key. Without a key or time there is no past: NULL and 0.
+    """
+    place = F.expr(f"({time} - pmod({time}, {bucket})) div {bucket}")
+    placed = rows.withColumn("_bucket", place)
+    per_bucket = (placed.filter(F.col(key).isNotNull() & F.col("_bucket").isNotNull())
+                  .groupBy(F.col(key).alias("_key"), F.col("_bucket").alias("_at"))
+                  .agg(F.sum(amount).alias("_sum"), F.count(amount).alias("_n")))
+    earlier = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_bucket.select("_key", "_at", F.sum("_sum").over(earlier).alias("_sum0"), F.sum("_n").over(earlier).alias("_n0"))
+    so_far = Window.partitionBy(key, "_bucket").orderBy(time).rangeBetween(Window.unboundedPreceding, -1)
+    here = placed.withColumns({"_sum1": F.sum(amount).over(so_far), "_n1": F.count(amount).over(so_far)})
+    joined = here.join(before, (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_at")), "left")
+    known = F.col("_key").isNotNull()
+    n = F.when(known, F.coalesce("_n0", F.lit(0)) + F.coalesce("_n1", F.lit(0))).otherwise(F.lit(0)).cast("bigint")
+    total = F.coalesce("_sum0", F.lit(0.0)) + F.coalesce("_sum1", F.lit(0.0))
+    return joined.select(*rows.columns, F.when(n > 0, total / n).alias(mean), n.alias(count))

@@ -9,28 +9,34 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.operators.entity_features import customer_terminal_features
+from tillwatch.functions.amounts import safe_ratio
+from tillwatch.operators.entity_features import ENTITY_COLUMNS, customer_terminal_features
 from tillwatch.operators.evaluation import confusion_matrix, curve_areas, score_curve, weighted_prf
+from tillwatch.operators.history import with_earlier_amounts
 from tillwatch.operators.sampling import random_split, sample_by_key, sample_fraction, split_by_key
 from tillwatch.plans.tracking import best_of_models
 from tillwatch.schema import FEATURE_COLUMNS
 
 LABEL = "tx_fraud"
+#: Ending of the columns that the imputing stage adds.
+FILLED = "_filled"
 
 
 @dataclass(frozen=True)
 class TrainingOptions:
-    """``compat`` trains the leaky way: sample before features, scaler fitted on all rows, random split.
+    """``compat`` trains the leaky way: features over the whole history, sample before features, scaler
+    (and imputed means) fitted on all rows, random split.
 
-    Otherwise features see the whole history, the scaler sees training rows only, and sample and
-    split go by id so that a retried job repeats them. ``handle_null``: what to do with a row
-    without amount, ``drop``, ``impute`` (mean of the feature's known values) or ``error``.
+    Otherwise a row's features see earlier rows only, everything fitted sees training rows only, and
+    sample and split go by id so that a retried job repeats them. ``handle_null``: what to do with a
+    row that lacks an input (no amount, or the first of its customer or terminal): ``drop``, ``impute``
+    (mean of the feature's known values, a stage of the pipeline) or ``error``.
     ``partitions`` of the model rows: the session's shuffle partitions by default.
     """
 
@@ -114,16 +120,29 @@ def candidate_models(options: TrainingOptions) -> dict[str, Estimator]:
 SHORT = {"logistic_regression": "lr", "random_forest": "rf"}
 
 
+def past_features(rows: DataFrame) -> DataFrame:
+    """The five derived columns of the training frame from earlier rows only."""
+    out = rows
+    for key, (mean, count) in ENTITY_COLUMNS.items():
+        out = with_earlier_amounts(out, key, mean, count)
+    return out.withColumn("customer_amount_ratio", safe_ratio(F.col("tx_amount"), F.col("avg_customer_amount")))
+
+
+def imputer(train: DataFrame, columns: list[str] = FEATURE_COLUMNS) -> SQLTransformer:
+    """A stage that puts the means of ``train`` in place of NULLs."""
+    means = train.select(*[F.avg(c).alias(c) for c in columns]).first()
+    filled = ", ".join(f"coalesce(CAST(`{c}` AS DOUBLE), CAST({means[c] or 0.0!r} AS DOUBLE)) AS `{c}{FILLED}`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
 def training_frame(clean: DataFrame, options: TrainingOptions) -> DataFrame:
     """Clean transactions to model rows: features, sample, NULL handling, needed columns only."""
-    rows = clean
     if options.compat:
-        rows = sample_fraction(rows, options.sample_fraction, options.seed)
-    rows = customer_terminal_features(rows)
-    if not options.compat:
-        rows = sample_by_key(rows, "transaction_id", options.sample_fraction, options.seed)
+        rows = customer_terminal_features(sample_fraction(clean, options.sample_fraction, options.seed))
+        return without_nulls(rows.select("transaction_id", *FEATURE_COLUMNS, LABEL), options.handle_null)
+    rows = sample_by_key(past_features(clean), "transaction_id", options.sample_fraction, options.seed)
     rows = rows.select("transaction_id", *FEATURE_COLUMNS, LABEL)
-    return without_nulls(rows, options.handle_null)
+    return rows if options.handle_null == "impute" else without_nulls(rows, options.handle_null)
 
 
 def train_and_compare(clean: DataFrame, options: TrainingOptions = TrainingOptions()) -> Trained:
@@ -148,7 +167,9 @@ def train_and_compare(clean: DataFrame, options: TrainingOptions = TrainingOptio
         if options.compat:
             ready, ready_train, ready_test = prepared, train, test
         else:
-            ready = preparation().fit(train)
+            stages = [imputer(train)] if options.handle_null == "impute" else []
+            columns = [f"{c}{FILLED}" for c in FEATURE_COLUMNS] if stages else FEATURE_COLUMNS
+            ready = Pipeline(stages=[*stages, assembler(columns), scaler()]).fit(train)
             ready_train, ready_test = ready.transform(train), ready.transform(test)
         models: dict[str, Model] = {}
         results: dict[str, dict[str, float]] = {}
@@ -184,7 +205,10 @@ def load_pipeline(path: str) -> PipelineModel:
 def score(features: DataFrame, pipeline: Transformer, column: str = "score",
           inputs: list[str] = FEATURE_COLUMNS) -> DataFrame:
     """Fraud probability per row; also on a stream. Every row stays: a row with a NULL input gets a NULL score,
-    which ``decide`` turns into a review. Model working columns are dropped."""
+    which ``decide`` turns into a review, unless the pipeline imputes. Model working columns are dropped."""
+    if isinstance(pipeline.stages[0], SQLTransformer):
+        scored = pipeline.transform(features).withColumn(column, vector_to_array(F.col("probability"))[1])
+        return scored.select(*features.columns, column)
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in inputs])
     kept = [f"_in_{c}" for c in features.columns]
     filled = features.withColumnsRenamed(dict(zip(features.columns, kept)))
