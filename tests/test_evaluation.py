@@ -54,6 +54,12 @@ def test_quantiles_of_nothing(spark):
     assert exact_quantiles(df, "x", {"a": 0.5}).first()["a"] is None
 
 
+def test_quantiles_keep_the_type(spark):
+    df = spark.createDataFrame([(9007199254740993,), (9007199254740992,), (None,)], "x BIGINT")
+    got = exact_quantiles(df, "x", {"half": 0.5, "all": 1.0}).first()
+    assert (got["half"], got["all"]) == (9007199254740992, 9007199254740993)
+
+
 def test_areas(spark):
     rows = _scored()
     got = E.curve_areas(E.score_curve(_df(spark, rows))).first()

@@ -98,6 +98,17 @@ def test_ingest_skips_loaded_files(spark, tmp_path):
     assert sorted(r["transaction_id"] for r in table.collect()) == [1, 2, 3]
 
 
+def test_equal_names_in_different_folders(spark, tmp_path):
+    """Files are known by their path below the inbox, also when the inbox is a glob."""
+    args = (spark, str(tmp_path / "in" / "*"), str(tmp_path / "manifest"), str(tmp_path / "table"))
+    for n, part in enumerate(("a", "b c")):
+        (tmp_path / "in" / part).mkdir(parents=True)
+        (tmp_path / "in" / part / "2024-01-01.txt").write_text(f"{n},2019-08-22 00:00:00,1,1,2.0,0,0,0,0\n")
+        assert ingest_new_files(*args) == 1
+        assert ingest_new_files(*args) == 0
+    assert sorted(r["transaction_id"] for r in spark.read.parquet(args[3]).collect()) == [0, 1]
+
+
 def test_failed_ingest_can_be_repeated(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()

@@ -19,9 +19,9 @@ def steady(column: Column, digits: int = 6) -> Column:
     """Rounded for comparison between engines.
 
     A mean of cents over 32 rows ends exactly on a rounding boundary, where the summation order
-    would decide the last digit. The small shift moves such values off it.
+    would decide the last digit. A shift by a thousandth of that digit moves such values off it.
     """
-    return F.round(column + F.lit(0.377 * 10.0 ** -digits), digits)
+    return F.round(column + F.lit(0.001 * 10.0 ** -digits), digits)
 
 
 def as_transactions(rows: DataFrame) -> DataFrame:
@@ -214,4 +214,4 @@ def with_parts(query: str, *parts: str) -> str:
 
 
 def steady_sql(expression: str, digits: int = 6) -> str:
-    return f"round({expression} + CAST({0.377 * 10.0 ** -digits!r} AS DOUBLE), {digits})"
+    return f"round({expression} + CAST({0.001 * 10.0 ** -digits!r} AS DOUBLE), {digits})"

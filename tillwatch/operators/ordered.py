@@ -17,16 +17,16 @@ def running_totals(df: DataFrame, order: str, totals: list[str],
     values are then cut into buckets of about equal size at approximate quantiles, each bucket is
     summed on its own, and the totals of the earlier buckets (one row per bucket, hence a bounded
     broadcast) are added. Cut points only steer the balance: the result is exact for any cut.
-    NULL values are left out; NaN sorts last.
+    Values keep their type; only the cut points are doubles. NULL values are left out; NaN sorts last.
     """
     spark = df.sparkSession
     n = max(2, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    values = (df.filter(F.col(order).isNotNull()).groupBy(F.col(order).cast("double").alias(order))
-              .agg(*[F.sum(c).alias(c) for c in totals]))
+    values = (df.filter(F.col(order).isNotNull()).groupBy(order)
+              .agg(*[F.sum(c).alias(c) for c in totals]).withColumn("_place", F.col(order).cast("double")))
     cuts = df.select(F.col(order).cast("double").alias(order)).approxQuantile(
         order, [i / n for i in range(1, n)], 1.0 / (4 * n))
     inner = sorted({c for c in cuts if math.isfinite(c)}) or [0.0]
-    bucketed = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol=order,
+    bucketed = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_place",
                           outputCol="_bucket", handleInvalid="keep").transform(values)
 
     def direction(name: str):

@@ -17,7 +17,7 @@ _CHECKS: dict[str, object] = {
 
 def null_profile(df: DataFrame) -> DataFrame:
     """NULLs per column in one row."""
-    return df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in df.columns])
+    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
 def _checks() -> dict[str, Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,11 @@ def exact_quantiles(df: DataFrame, column: str, named: dict[str, float]) -> Data
     ``percentile_disc`` itself keeps every distinct value in one aggregation buffer; here the
     values stay spread over the cluster and only one row per share is left at the end.
     """
+    part = {name: Fraction(str(share)) for name, share in named.items()}
     counted = running_totals(df.select(column, F.lit(1).cast("bigint").alias("n")), column, ["n"])
     return counted.agg(*[
-        F.min(F.when(F.col("cum_n") >= F.ceil(F.col("all_n") * F.lit(share)), F.col(column))).alias(name)
-        for name, share in named.items()])
+        F.min(F.when(F.col("cum_n") * F.lit(p.denominator) >= F.col("all_n") * F.lit(p.numerator), F.col(column))).alias(name)
+        for name, p in part.items()])
 
 
 def with_fences(stats: DataFrame) -> DataFrame:

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.sources.paths import read_table
+from tillwatch.session import scratch_path
+from tillwatch.sources.paths import inbox_root, read_table
 from tillwatch.sources.transactions import read_transactions_csv
 
 MANIFEST_DDL = "file_name STRING, loaded_at TIMESTAMP"
 
 
+def _relative(root: str) -> Column:
+    """Where a file lies below the inbox. Scheme and slashes of file paths vary, so the root's path is cut off."""
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]+:/*", "/")
+    tail = "/" + re.sub("^[a-z0-9]+:/*", "", root)
+    return F.substring(path, F.lit(len(tail) + 1), F.length(path))
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
-    """``file_name, path, bytes`` of the folder's files; contents are not read."""
+    """``file_name, path, bytes`` of the inbox's files; contents are not read.
+
+    ``folder`` may hold globs. ``file_name`` is the path below the part before them, so files of equal
+    names in different folders are different files.
+    """
+    name = _relative(inbox_root(spark, folder))
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-            .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path",
-                    F.col("length").alias("bytes")))
+            .select(name.alias("file_name"), "path", F.col("length").alias("bytes")))
 
 
 def not_loaded(files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -28,17 +42,19 @@ def ingest_new_files(spark: SparkSession, folder: str, manifest_path: str, table
     """Append the rows of new files to ``table_path``, then note the files; returns rows added.
 
     Rows carry ``source_file`` and go to a partition of that name which is overwritten, so a run
-    that failed before it noted its files can be repeated without doubling rows.
+    that failed before it noted its files can be repeated without doubling rows. The paths of new files
+    pass through the driver, which Spark's reader asks for; the names are noted by a job.
     """
-    fresh = not_loaded(list_files(spark, folder, pattern), read_table(spark, manifest_path, MANIFEST_DDL))
-    paths = [row.path for row in fresh.select("path").toLocalIterator()]  # file names only
+    listed = scratch_path(spark, "new-files")
+    not_loaded(list_files(spark, folder, pattern), read_table(spark, manifest_path, MANIFEST_DDL)).write.parquet(listed)
+    fresh = spark.read.parquet(listed)
+    paths = [row.path for row in fresh.select("path").toLocalIterator()]
     if not paths:
         return 0
-    rows = (read_transactions_csv(spark, paths, comment)
-            .withColumn("source_file", F.col("_metadata.file_name")))
+    rows = read_transactions_csv(spark, paths, comment).withColumn("source_file", _relative(inbox_root(spark, folder)))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source_file").parquet(table_path))
-    names = [path.rsplit("/", 1)[-1] for path in paths]
-    noted = spark.createDataFrame([(n,) for n in names], "file_name STRING")
-    noted.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(manifest_path)
-    return spark.read.parquet(table_path).filter(F.col("source_file").isin(names)).count()
+    (fresh.select("file_name").withColumn("loaded_at", F.current_timestamp())
+     .write.mode("append").parquet(manifest_path))
+    added = spark.read.schema(rows.schema).parquet(table_path)
+    return added.join(fresh, added["source_file"] == fresh["file_name"], "left_semi").count()

@@ -21,6 +21,14 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getFileStatus(target).isDirectory()
 
 
+def inbox_root(spark: SparkSession, pattern: str) -> str:
+    """The folder before the first glob sign of a path, with scheme and a slash at the end."""
+    parts = pattern.rstrip("/").split("/")
+    plain = next((i for i, part in enumerate(parts) if set(part) & set("*?[{")), len(parts))
+    files, target = _status(spark, "/".join(parts[:plain]) or "/")
+    return files.makeQualified(target).toUri().toString().rstrip("/") + "/"
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``."""
     files, target = _status(spark, path)
