@@ -24,6 +24,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     clean.add_argument("--exact", action="store_true", help="exact quantiles instead of sketches")
     clean.add_argument("--partitions", type=int)
 
+    # Experiment and model names and the sampling defaults are what existing runs use.
     train = jobs.add_parser("train", help="train, compare, log, register")
     train.add_argument("--input", required=True, help="clean table")
     train.add_argument("--tracking", required=True, help="folder of run and version tables")

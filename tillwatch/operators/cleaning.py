@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.functions.amounts import impute_and_cap
-from tillwatch.functions.predicates import is_keepable, reject_reason
+from tillwatch.functions.predicates import is_keepable
 from tillwatch.operators.quantiles import amount_stats
 
 
@@ -50,8 +50,3 @@ def clean(raw: DataFrame, stats: DataFrame | None = None, handle_null: str = "ke
     if handle_null == "impute":
         capped = F.coalesce(capped, fences["median"])
     return single.withColumn("tx_amount", capped)
-
-
-def split_valid(df: DataFrame) -> DataFrame:
-    """Add ``reject_reason`` (NULL = good row); works on a stream as well."""
-    return df.withColumn("reject_reason", reject_reason())

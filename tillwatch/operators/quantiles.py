@@ -59,7 +59,6 @@ def amount_stats_by_tree(df: DataFrame, column: str = "tx_amount") -> DataFrame:
     ``percentile_approx`` merges the sketches of all tasks in one last task; ``approxQuantile``
     merges them in a tree of tasks. It runs at once, and three numbers come back.
     """
-    q1, q3 = df.approxQuantile(column, [0.25, 0.75], 1 / QUARTILE_ACCURACY) or (None, None)
-    median = (df.approxQuantile(column, [0.5], MEDIAN_ERROR) or [None])[0]
+    q1, median, q3 = df.approxQuantile(column, [0.25, 0.5, 0.75], 1 / QUARTILE_ACCURACY) or (None, None, None)
     known = df.sparkSession.createDataFrame([(q1, q3, median)], "q1 DOUBLE, q3 DOUBLE, median DOUBLE")
     return with_fences(known)

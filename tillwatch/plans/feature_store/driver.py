@@ -16,6 +16,7 @@ from tillwatch.plans.feature_store.definitions import (
     RequestSource,
 )
 
+# The names, types, tags, times to live and weights below are what callers ask for.
 ONE_DAY = timedelta(days=1)
 
 
