@@ -13,7 +13,6 @@ from tillwatch.catalog.inputs import (
     EVENT_DDL,
     as_transactions,
     driver_rows,
-    driver_stats,
     events,
     scored,
     steady,
@@ -215,6 +214,30 @@ def stream_late_labels(spark, folder):
     return written(spark, joined.select("transaction_id", "score", "label"), "late-labels")
 
 
+LATE_SQL = MONITOR_SQL.replace("FROM tx_scored)\n", "FROM (SELECT DISTINCT transaction_id, ts, score, tx_fraud FROM tx_scored))\n").replace(
+    "INTERVAL 1 HOUR FROM tx_scored)", "INTERVAL 3 DAY FROM tx_scored)")
+
+
+@query(with_parts(f"SELECT *, concat_ws(',', CASE WHEN fnr > CAST(0.5 AS DOUBLE) THEN 'fnr' END, CASE WHEN fpr > CAST(0.1 AS DOUBLE) "
+                  f"THEN 'fpr' END) AS alert FROM ({LATE_SQL}) WHERE fnr > CAST(0.5 AS DOUBLE) OR fpr > CAST(0.1 AS DOUBLE)", "tx_scored"))
+def stream_monitoring_late_labels(spark, folder):
+    """Scores wait for their labels, then windows over all scores, then alerts: one stream.
+
+    The last three days are left out: their windows are still open.
+    """
+    stream = transaction_stream(spark, folder)
+    scores = scored(stream).select("transaction_id", "ts", "score")
+    labels = (stream.filter("tx_fraud IN (0, 1)")
+              .select("transaction_id", F.col("tx_fraud").alias("label"),
+                      F.expr("ts + make_dt_interval(0, 0, CAST(transaction_id % 1200 AS INT), 0)").alias("label_ts")))
+    windows = monitoring.monitor_late_labels(scores, labels, "transaction_id", "ts", "label_ts", DELAY, DELAY, "1 DAY",
+                                             "6 hours", 0.4, 100.0, 5.0)
+    found = written(spark, monitoring.alerts(windows, 0.5, 0.1), "late-monitoring")
+    last = events(spark, folder).agg((F.max(F.col("ts").cast("timestamp")) - F.expr("INTERVAL 3 DAY")).alias("last")).scalar()
+    return found.filter(F.col("window_end") <= last).withColumns({
+        "window_start": stamp("window_start"), "window_end": stamp("window_end")})
+
+
 # ----- pushed features -----
 
 @query(with_parts("SELECT driver_id, arg_max(conv_rate, event_timestamp) AS conv_rate, "

@@ -10,16 +10,29 @@ from tillwatch.streaming.pipeline import dedupe_stream
 
 
 def join_late_labels(scores: DataFrame, labels: DataFrame, key: str, score_time: str, label_time: str,
-                     score_delay: str, label_delay: str, max_wait: str) -> DataFrame:
+                     score_delay: str, label_delay: str, max_wait: str, how: str = "inner") -> DataFrame:
     """Scores with the labels that arrive up to ``max_wait`` later; both sides are streams.
 
-    Both are reduced to one row per key first: re-delivered copies on both sides would pair up.
+    Both are reduced to one row per key first: re-delivered copies on both sides would pair up. With ``how``
+    "leftOuter" a score whose label did not come in time is kept, with NULL, once the wait is over.
     """
     left = dedupe_stream(scores, score_time, score_delay, key)
     right = dedupe_stream(labels, label_time, label_delay, key).withColumnRenamed(key, "_label_key")
     on = ((F.col(key) == F.col("_label_key")) & (F.col(label_time) >= F.col(score_time))
           & (F.col(label_time) <= F.col(score_time) + F.expr(f"INTERVAL {max_wait}")))
-    return left.join(right, on).drop("_label_key")
+    return left.join(right, on, how).drop("_label_key")
+
+
+def monitor_late_labels(scores: DataFrame, labels: DataFrame, key: str, score_time: str, label_time: str,
+                        score_delay: str, label_delay: str, max_wait: str, size: str, threshold: float,
+                        cost_fn: float, cost_fp: float) -> DataFrame:
+    """Windows over all scores, labelled or not, as one stream: late labels, then windows.
+
+    A window is closed when the wait for its labels is over. Feed the result to ``alerts``.
+    """
+    joined = join_late_labels(scores, labels, key, score_time, label_time, score_delay, label_delay, max_wait, "leftOuter")
+    rows = joined.select(score_time, "score", "label")
+    return monitoring_windows(rows, score_time, size, threshold, cost_fn, cost_fp)
 
 
 def monitoring_windows(rows: DataFrame, time: str, size: str, threshold: float, cost_fn: float, cost_fp: float,
