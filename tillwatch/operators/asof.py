@@ -123,7 +123,7 @@ def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts:
         return carried.select(*spine.columns, "_carried")
     near = _in_reach(features, spine, spine_ts, feature_ts, ttl)
     rows = _feature_rows(spine, near, keys, spine_ts, feature_ts, created, fields)
-    found = hot_keys.find([rows, spine], keys)
+    found = hot_keys.find([rows, spine], keys, within=[features, spine])
     if found is None:
         return _carry_in_window(spine, rows, keys, spine_ts)
     hot, limit = found

@@ -32,12 +32,14 @@ class HotKeys:
         total = sum(t.count() for t in tables)
         return float(max(self.rows_per_task, total / self.max_keys)) if total > self.rows_per_task else None
 
-    def find(self, tables: list[DataFrame], keys: list[str]) -> tuple[DataFrame, float] | None:
+    def find(self, tables: list[DataFrame], keys: list[str],
+             within: list[DataFrame] | None = None) -> tuple[DataFrame, float] | None:
         """The hot keys of the tables together, as a stored table, and the limit; None when there are none.
 
-        Reads the key columns only and adds up before the shuffle.
+        Reads the key columns only and adds up before the shuffle. ``within``: tables that hold at least these
+        rows and are cheaper to count.
         """
-        limit = self.limit(*tables)
+        limit = self.limit(*(within or tables))
         if limit is None:
             return None
         rows = reduce(DataFrame.unionByName, [t.select(*keys) for t in tables])
