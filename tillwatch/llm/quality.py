@@ -31,6 +31,7 @@ CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"01234
 N_CONTENT = len(CLASSES) + 1 + 11
 SOURCES, LANGS = 32, 16
 _OTHER = len(CLASSES)
+_SPACE = 1 << 40
 _CLASS_OF = np.full(256, _OTHER, np.uint8)
 for _i, _bytes in enumerate(CLASSES):
     _CLASS_OF[list(_bytes)] = _i
@@ -39,7 +40,8 @@ for _i, _bytes in enumerate(CLASSES):
 @dataclass(frozen=True)
 class CoTraining:
     """``sure_good``/``sure_bad``: calibrated probabilities that count as confident; ``pseudo_weight``: of
-    such a row in a fit; ``keep_good``: share of good labelled rows that the threshold must keep."""
+    such a row in a fit; ``keep_good``: share of good labelled rows that the threshold must keep;
+    ``calibration_rows``: labelled rows that the calibration takes on average, chosen by a hash of the id."""
 
     rounds: int = 2
     sure_good: float = 0.98
@@ -168,7 +170,9 @@ def train(features: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(
     good, n = known.agg(F.coalesce(F.sum("y"), F.lit(0.0)), F.count("y")).first()
     prior = math.log((good + 1) / (n - good + 1))
     fitting = known.filter(~F.col("held")).select("doc_id", "y", F.lit(1.0).alias("weight"), "content", "metadata")
-    tuning = (known.filter("held").orderBy(F.xxhash64("doc_id", F.lit(13)), "doc_id").limit(spec.calibration_rows))
+    held_rows = known.filter("held").count()
+    taken = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(_SPACE)) < int(_SPACE * min(1.0, spec.calibration_rows / max(1, held_rows)))
+    tuning = known.filter("held").filter(taken)
     views = (_fit(fitting, "content", spec), _fit(fitting, "metadata", spec))
     _calibrate(views, tuning, prior)
     unknown = rows.filter("y IS NULL")
