@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Groups above this many rows are cut into blocks.
 BLOCK_ROWS = 4096
+#: In a search, where only the queries are repeated for each block, blocks are smaller.
+SEARCH_ROWS = 1024
 #: At most so many groups can be hot, so their table has a proven bound and may be broadcast.
 MAX_HOT = 100_000
 
@@ -46,7 +48,7 @@ def pair_cells(rows: DataFrame, row_id: str, total: int, limit: int = BLOCK_ROWS
 
 
 def search_cells(queries: DataFrame, query_id: str, rows: DataFrame, row_id: str, n_queries: int,
-                 n_rows: int, limit: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+                 n_rows: int, limit: int = SEARCH_ROWS) -> tuple[DataFrame, DataFrame]:
     """Queries and rows of a group side by side: adds ``cell``.
 
     A group with many rows, many queries or both is cut into blocks on either side; each block of queries

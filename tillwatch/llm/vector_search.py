@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.llm.cells import BLOCK_ROWS, dealt, runs, search_cells, whole_cells
+from tillwatch.llm.cells import dealt, runs, search_cells, whole_cells
 from tillwatch.llm.common import matrix, stored
 from tillwatch.llm.pstable import PStable, cosine, same_vector, units, usable, usual_length
 
