@@ -96,3 +96,14 @@ def test_keep_one(spark):
     assert sorted(k for k in kept if k is not None) == sorted({r["component_id"] for r in groups})
     assert kept.count(None) == 1
     assert simhash.keep_one(docs.limit(0)).count() == 0 and simhash.simhash_groups(docs.limit(0)).count() == 0
+
+
+def test_keep_one_of_each_group_where_ids_repeat(spark):
+    one, two = "the cat sat on the mat and looked at the dog", "shares fell sharply on weak demand for copper and tin"
+    rows = [(1, one, "a"), (1, two, "b"), (2, two, "c"), (3, one, "d"), (1, one, "a"), (5, "", "e"), (None, one, "f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, content string")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([rows[0], rows[1], rows[5], rows[6]], key=str)
+    renamed = simhash.keep_one(docs.withColumnsRenamed({"doc_id": "id", "text": "body"}), doc_id="id", text="body")
+    assert renamed.count() == 4

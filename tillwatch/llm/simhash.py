@@ -148,27 +148,41 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     prints = stored(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
                                  "text", size, seed), "fingerprints")
+    linked, first = _components(prints, limit)
+    linked = linked.join(first, "component").select("fp", "component_id")
+    return (prints.join(linked, "fp")
+            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def _components(prints: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, component) of each fingerprint, and (component, component_id): the smallest id of each component."""
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     reach = connected(fingerprint_links(classes.select("fp"), limit), "a", "b", "simhash")
     joined = classes.join(reach, classes.fp == reach.node, "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component"))
     first = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = joined.join(first, "component").select("fp", "component_id")
-    return (prints.join(linked, "fp")
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+    return joined.select("fp", "component"), first
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, seed: int = 42,
+             limit: int = 4096) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest id.
 
-    Rows without an id stay. Where the smallest id is repeated, one of its rows stays (smallest by
-    content).
+    Rows without an id stay. Where the smallest id of a group is repeated in it, one of its rows stays
+    (smallest by content); an id that stands in several groups may stay in each.
     """
-    groups = simhash_groups(docs, **options)
-    best = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(best, "doc_id", "left_semi")
-    number = fresh(docs, "copy")
-    order = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    one = Window.partitionBy("doc_id").orderBy(order)
-    kept = kept.withColumn(number, F.row_number().over(one)).filter(F.col(number) == 1).drop(number)
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    own = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), own.alias("content"))
+    prints = stored(fingerprints(rows, "text", size, seed), "fingerprints")
+    linked, _ = _components(prints.select("fp", "doc_id"), limit)
+    # the smallest row of each fingerprint comes first, so no shuffle carries a large group
+    least = prints.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", "content")).alias("least"))
+    best = least.join(linked, "fp").groupBy("component").agg(F.min("least").alias("least")).select("least.*").distinct()
+    mark, number = fresh(docs, "content"), fresh(docs, "copy")
+    chosen = best.select(F.col("doc_id").alias(fresh(docs, "chosen")), F.col("content").alias(fresh(docs, "chosen_content")))
+    marked = docs.withColumn(mark, own)
+    same = [marked[doc_id] == chosen[chosen.columns[0]], marked[mark] == chosen[chosen.columns[1]]]
+    one = Window.partitionBy(doc_id, mark).orderBy(mark)
+    kept = marked.join(chosen, same, "left_semi").withColumn(number, F.row_number().over(one))
+    kept = kept.filter(F.col(number) == 1).drop(number, mark)
+    return kept.unionByName(docs.filter(F.col(doc_id).isNull()))
