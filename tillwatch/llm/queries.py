@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwatch.catalog.registry import query
-from tillwatch.llm import (bpe, license_scan, lines, lm_scoring, mixing, quality, secret_scan, simhash, vector_dedup,
-                           vector_search)
+from tillwatch.llm import (bpe, lexical_search, license_scan, lines, lm_scoring, manifest, mixing, quality, secret_scan,
+                           simhash, token_counts, vector_dedup, vector_search)
 from tillwatch.llm.common import table
 
 
@@ -147,3 +147,100 @@ FROM kept"""
 def op10_site_line_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return lines.drop_boilerplate(docs, counts=True).drop("source")
+
+
+_MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen(({f})::VARCHAR)::VARCHAR || ':' || ({f})::VARCHAR, '-')" for f in fields) + ")"
+
+
+def _levels_sql(name: str, nodes: str, key: str) -> str:
+    """All levels of the trees over ``nodes`` (key, i, h), one per key."""
+    return f"""{name}(g, level, i, h) AS (
+  SELECT {key}, 0, i, h FROM {nodes} UNION ALL
+  SELECT g, any_value(level) + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM (
+    SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {name}) WHERE n > 1 GROUP BY g, i // 2)"""
+
+
+def _steps_sql(leaves: str, levels: str, g: str, i: str, name: str) -> str:
+    """Each leaf's siblings from the bottom, with the side they stand on."""
+    return f"""{name} AS (SELECT l.r, list(CASE WHEN s.h IS NULL THEN 'r' WHEN s.i < n.i THEN 'l' || s.h ELSE 'r' || s.h END ORDER BY n.level) AS steps
+  FROM {leaves} l JOIN {levels} n ON n.g IS NOT DISTINCT FROM l.{g} AND n.i = l.{i} // (1::BIGINT << n.level)
+  JOIN (SELECT g, max(level) AS top FROM {levels} GROUP BY g) t ON t.g IS NOT DISTINCT FROM l.{g} AND n.level < t.top
+  LEFT JOIN {levels} s ON s.g IS NOT DISTINCT FROM n.g AND s.level = n.level AND s.i = xor(n.i, 1) GROUP BY l.r)"""
+
+
+_CRC = """xor(4294967295, list_reduce(list_transform(range(length(doc_id::VARCHAR)), lambda k: ascii(substr(doc_id::VARCHAR, k + 1, 1))::UBIGINT),
+  lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda a, z: xor(a >> 1, (a & 1) * 3988292384), xor(c, b)), 4294967295::UBIGINT))"""
+_MANIFEST_SQL = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, lang, {_leaf_sql('n_chars')} AS h,
+  CASE WHEN {_CRC} % 7 = 0 THEN {_leaf_sql('n_chars + 1')} END AS tampered FROM documents),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM leaves),
+{_levels_sql('inner_levels', 'placed', 'lang')},
+subroots AS MATERIALIZED (SELECT g, h, row_number() OVER (ORDER BY encode(g) NULLS FIRST) - 1 AS i FROM inner_levels n
+  WHERE level = (SELECT max(level) FROM inner_levels m WHERE m.g IS NOT DISTINCT FROM n.g)),
+{_levels_sql('outer_levels', 'subroots', '0')},
+outer_leaves AS (SELECT i AS r, 0 AS z, i FROM subroots),
+{_steps_sql('placed', 'inner_levels', 'lang', 'i', 'inner_steps')},
+{_steps_sql('outer_leaves', 'outer_levels', 'z', 'i', 'outer_steps')},
+proofs AS (SELECT p.*, s.h AS subroot, list_concat(coalesce(a.steps, []), coalesce(b.steps, [])) AS steps,
+  (SELECT h FROM outer_levels ORDER BY level DESC LIMIT 1) AS root
+  FROM placed p JOIN subroots s ON s.g IS NOT DISTINCT FROM p.lang LEFT JOIN inner_steps a ON a.r = p.r LEFT JOIN outer_steps b ON b.r = s.i),
+folded AS (SELECT *, list_reduce(steps, lambda h, s: sha256(CASE WHEN s[1] = 'l' THEN s[2:] || h ELSE h || s[2:] END), coalesce(tampered, h)) AS folded_root
+  FROM proofs)
+SELECT doc_id, h AS leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM folded"""
+
+
+@query(_MANIFEST_SQL)
+def op11_merkle_manifest(spark, folder):
+    docs = table(spark, folder, "documents")
+    changed = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in _MANIFEST]
+    chosen = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
+    proofs = manifest.manifest(docs.withColumn("tampered", F.when(chosen, manifest.digest(changed))), _MANIFEST, carry=["tampered"])
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), F.col("steps"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("steps")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms_sql(of: str, key: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, unnest(regexp_extract_all({lower}, '{_TERM}')) AS term FROM {of}"
+
+
+_SEARCH_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text FROM documents), words AS MATERIALIZED ({_terms_sql('d', 'r')}),
+sizes AS (SELECT r, count(*) AS n FROM words GROUP BY r), counts AS (SELECT r, term, count(*) AS tf FROM words GROUP BY r, term),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), whole),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // all_terms))))::BIGINT AS score
+           FROM (SELECT DISTINCT * FROM ({_terms_sql('benchmark', 'item_id')})) JOIN counts USING (term) JOIN weights USING (term)
+           JOIN sizes USING (r) JOIN d USING (r), whole GROUP BY item_id, r, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50"""
+
+
+@query(_SEARCH_SQL)
+def op12_ranked_search(spark, folder):
+    return lexical_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+#: Documents above so many tokens are marked.
+TOKEN_LIMIT = 4096
+
+
+@query()
+def op13_token_counts(spark, folder):
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
+    counts = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
