@@ -165,9 +165,8 @@ def test_a_push_outlives_materialise_runs(spark, tmp_path):
                          "event_timestamp", "created")
     history = spark.createDataFrame(rows, STATS_DDL)
     latest.push(spark.createDataFrame([(2, _hours(2), _hours(2), 1.0, 1.0, 2)], STATS_DDL), "first")
-    late = str(tmp_path / "t" / "pushed" / "slow")
-    spark.createDataFrame([(3, _hours(3), _hours(3), 1.0, 1.0, 3)], STATS_DDL).write.parquet(late)
-    done = tmp_path / "t" / "pushed" / "slow" / "_SUCCESS"
+    latest.push(spark.createDataFrame([(3, _hours(3), _hours(3), 1.0, 1.0, 3)], STATS_DDL), "slow")
+    done = tmp_path / "t" / "pushed" / "push_id=slow" / "_SUCCESS"
     done.unlink()  # still being written
     latest.materialize(history, _hours(5))
     latest.materialize(history, _hours(6))
@@ -177,7 +176,7 @@ def test_a_push_outlives_materialise_runs(spark, tmp_path):
     for hour in (7, 8, 9):
         latest.materialize(history, _hours(hour))
         assert sorted(r["driver_id"] for r in latest.read().collect()) == [1, 2, 3]
-    assert not (tmp_path / "t" / "pushed" / "first").exists()
+    assert not (tmp_path / "t" / "pushed" / "push_id=first").exists()
 
 
 def test_views_with_other_keys_have_tables_of_their_own(spark, tmp_path):

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwatch.operators.asof import point_in_time_join
 from tillwatch.operators.skew import HotKeys
@@ -120,3 +121,25 @@ def test_rows_out_of_reach_stay_out_of_the_shuffle(spark):
     assert out.first()["v"] == 10.0
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan
+
+
+@pytest.mark.parametrize("spine_text, feature_text", [(True, False), (False, True), (True, True)])
+@pytest.mark.parametrize("hot", SPLITS)
+def test_text_times_are_points_in_time(spark, spine_text, feature_text, hot):
+    """'T' sorts after a blank: as text, the first row would see the evening of its own day."""
+    spine = spark.createDataFrame([(1, "2024-01-02T00:00:00"), (1, "2024-01-02T23:30:00"), (1, None)], "k BIGINT, at STRING")
+    features = spark.createDataFrame([(1, "2024-01-01 22:00:00", 1), (1, "2024-01-02 23:00:00", 2)], "k BIGINT, at STRING, v INT")
+    if not spine_text:
+        spine = spine.withColumn("at", F.col("at").cast("timestamp"))
+    if not feature_text:
+        features = features.withColumn("at", F.col("at").cast("timestamp"))
+    out = point_in_time_join(spine, features, ["k"], "at", "at", ["v"], ttl=timedelta(hours=3), hot_keys=hot)
+    assert out.schema["at"] == spine.schema["at"]
+    assert [r["v"] for r in out.orderBy(F.col("at").asc_nulls_first()).collect()] == [None, 1, 2]
+
+
+def test_text_that_is_no_time_is_an_error(spark):
+    spine = spark.createDataFrame([(1, "soon")], "k BIGINT, at STRING")
+    features = spark.createDataFrame([(1, datetime(2024, 1, 1), 1)], "k BIGINT, at TIMESTAMP, v INT")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        point_in_time_join(spine, features, ["k"], "at", "at", ["v"]).collect()

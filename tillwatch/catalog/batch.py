@@ -23,10 +23,12 @@ from tillwatch.functions.predicates import reject_reason
 from tillwatch.operators import cleaning, entity_features, evaluation, history, quality, quantiles, sampling
 from tillwatch.operators.skew import HotKeys
 from tillwatch.plans import training
+from tillwatch.plans.amount_history import EntityHistories
 from tillwatch.schema import FEATURE_COLUMNS, TRANSACTION_COLUMNS
 from tillwatch.session import scratch_path
 from tillwatch.sources import incremental, metrics
 from tillwatch.sources import transactions as tx_io
+from tillwatch.sources.paths import signature
 
 DAY = 86_400
 TX = ", ".join(TRANSACTION_COLUMNS)
@@ -37,35 +39,57 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean(raw, quantiles.amount_stats(raw, exact=True))
 
 
-_KEPT: dict[tuple[str, str, str], str] = {}
+_KEPT: dict[tuple, str] = {}
 
 
-def _once(spark: SparkSession, folder: str, name: str, rows) -> DataFrame:
-    """A table of this session and folder, written at first use; Spark deletes it at the end."""
-    place = (spark.sparkContext.applicationId, folder, name)
+def _once(spark: SparkSession, folder: str, name: str, tables: list[str], make) -> str:
+    """Path of what ``make(path)`` wrote for these tables in this session; Spark deletes it at the end.
+
+    The key holds the state of the tables' files, so a table that was written anew counts as another one.
+    """
+    state = tuple(signature(spark, f"{folder}/{table}.parquet") for table in tables)
+    place = (spark.sparkContext.applicationId, folder, name, state)
     if place not in _KEPT:
         path = scratch_path(spark, name)
-        tx_io.write_clean(rows(), path)
+        make(path)
         _KEPT[place] = path
-    return tx_io.read_clean(spark, _KEPT[place])
+    return _KEPT[place]
+
+
+def _table_once(spark: SparkSession, folder: str, name: str, tables: list[str], rows) -> DataFrame:
+    return tx_io.read_clean(spark, _once(spark, folder, name, tables, lambda path: tx_io.write_clean(rows(), path)))
 
 
 def clean_table(spark: SparkSession, folder: str) -> DataFrame:
     """The cleaned rows as the table the later jobs read."""
-    return _once(spark, folder, "clean-table", lambda: cleaned(spark, folder))
+    return _table_once(spark, folder, "clean-table", ["events"], lambda: cleaned(spark, folder))
 
 
 def order_table(spark: SparkSession, folder: str) -> DataFrame:
     """The order transactions as a table: the feature jobs read their input more than once."""
-    return _once(spark, folder, "order-table", lambda: order_transactions(spark, folder))
+    return _table_once(spark, folder, "order-table", ["lineitem", "orders"], lambda: order_transactions(spark, folder))
 
 
 def kept_table(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows, one per id, amounts as they came; written once, as the history jobs read it often."""
-    return _once(spark, folder, "kept-table", lambda: cleaning.dedupe_first(
+    return _table_once(spark, folder, "kept-table", ["events"], lambda: cleaning.dedupe_first(
         transactions(spark, folder).filter(cleaning.is_keepable())))
 
 
+#: The clean table comes in two loads: the days that models are trained on, and those after them.
+EARLY, LATE = "tx_time_days < 20", "NOT coalesce(tx_time_days < 20, false)"
+
+
+def entity_histories(spark: SparkSession, folder: str) -> EntityHistories:
+    """Running amounts of customers and terminals, extended by both loads of the clean table."""
+    def make(path: str) -> None:
+        clean, histories = clean_table(spark, folder), EntityHistories(spark, path)
+        histories.extend(clean.filter(EARLY), "early")
+        histories.extend(clean.filter(LATE), "late")
+
+    return EntityHistories(spark, _once(spark, folder, "entity-histories", ["events"], make))
+
+
 # ----- profile -----
 
 BAD_DATE = "TRY_CAST(tx_datetime AS TIMESTAMP) IS NULL"
@@ -496,17 +520,32 @@ def train_compare_models(spark, folder):
     return trained.comparison.select("model", (F.col("auc") > 0.7).alias("roc_area_above_70"))
 
 
-@query(with_parts("SELECT transaction_id, tx_amount IS NOT NULL AS is_scored, true AS in_unit FROM tx_clean", "tx_clean"))
+PAST_SQL = """SELECT *, avg(tx_amount) OVER c AS avg_customer_amount, count(tx_amount) OVER c AS customer_tx_count,
+  avg(tx_amount) OVER t AS avg_terminal_amount, count(tx_amount) OVER t AS terminal_tx_count FROM tx_clean
+  WINDOW c AS (PARTITION BY customer_id ORDER BY tx_time_seconds RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  t AS (PARTITION BY terminal_id ORDER BY tx_time_seconds RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+MEANS = ["avg_customer_amount", "avg_terminal_amount"]
+COUNTS = ["customer_tx_count", "terminal_tx_count"]
+
+
+@query(with_parts(f"""SELECT transaction_id, {', '.join(COUNTS)}, {', '.join(f"{steady_sql(c, 5)} AS {c}" for c in MEANS)},
+  {steady_sql("tx_amount / CASE WHEN avg_customer_amount <= 0 THEN 1 ELSE avg_customer_amount END", 5)} AS customer_amount_ratio,
+  tx_amount IS NOT NULL AND avg_customer_amount IS NOT NULL AND avg_terminal_amount IS NOT NULL AS is_scored, true AS in_unit
+  FROM ({PAST_SQL})""", "tx_clean"))
 def score_batch(spark, folder):
-    """Train, save, load, score all cleaned rows; a row without amount stays, without a score."""
+    """Train on the first load, save, load, score all cleaned rows on features looked up in the stored histories.
+
+    Features see earlier rows only, in training as in scoring; a row that lacks one stays, without a score.
+    """
     clean = clean_table(spark, folder)
-    trained = training.train_and_compare(clean, training.TrainingOptions(trees=5, depth=4))
+    trained = training.train_and_compare(clean.filter(EARLY), training.TrainingOptions(trees=5, depth=4))
     path = scratch_path(spark, "pipeline")
     training.save_pipeline(trained.pipeline, path)
-    rows = entity_features.customer_terminal_features(clean).select("transaction_id", *FEATURE_COLUMNS)
+    rows = entity_histories(spark, folder).features(clean).select("transaction_id", *FEATURE_COLUMNS)
     scored_rows = training.score(rows, training.load_pipeline(path))
-    return scored_rows.select("transaction_id", F.col("score").isNotNull().alias("is_scored"),
-                              F.coalesce(F.col("score").between(0, 1), F.lit(True)).alias("in_unit"))
+    return scored_rows.select(
+        "transaction_id", *COUNTS, *[steady(F.col(c), 5).alias(c) for c in (*MEANS, "customer_amount_ratio")],
+        F.col("score").isNotNull().alias("is_scored"), F.coalesce(F.col("score").between(0, 1), F.lit(True)).alias("in_unit"))
 
 
 @query("SELECT CAST(i AS INTEGER) AS candidate, true AS roc_area_in_range FROM range(2) t(i)")

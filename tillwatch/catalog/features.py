@@ -65,6 +65,15 @@ def point_in_time_join(spark, folder):
     return out.select("event_id", "driver_id", stamp("event_timestamp"), "label", *FIELDS)
 
 
+@query(PIT_SQL)
+def point_in_time_join_text_spine(spark, folder):
+    """The spine's times as ISO text with a 'T', the features' as text with a blank: points in time all the same."""
+    spine = driver_spine(spark, folder).withColumn("event_timestamp", F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    stats = driver_stats(spark, folder).withColumn("event_timestamp", F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    out = join_asof(spine, stats, ["driver_id"], "event_timestamp", "event_timestamp", FIELDS, "created", ONE_DAY)
+    return out.select("event_id", "driver_id", F.translate("event_timestamp", "T", " ").alias("event_timestamp"), "label", *FIELDS)
+
+
 @query(PIT_SQL)
 def point_in_time_join_hot_keys(spark, folder):
     """Every driver with more than ten rows goes through moments and time buckets."""

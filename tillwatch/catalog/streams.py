@@ -20,7 +20,8 @@ from tillwatch.catalog.inputs import (
     with_parts,
 )
 from tillwatch.catalog.registry import query
-from tillwatch.operators.entity_features import amount_by_entity
+from tillwatch.operators.entity_features import ENTITY_COLUMNS
+from tillwatch.plans import training
 from tillwatch.plans.feature_store.online import LatestTable
 from tillwatch.schema import TRANSACTION_COLUMNS
 from tillwatch.session import scratch_path
@@ -123,11 +124,21 @@ def stream_late_data(spark, folder):
 
 # ----- enrich, score, decide -----
 
-def _prepared(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    """Features of the cleaned history as a table, written once, not computed again by every micro-batch."""
-    path = scratch_path(spark, f"prepared-{key}")
-    amount_by_entity(batch.clean_table(spark, folder), key).drop("_rows").write.parquet(path)
-    return spark.read.parquet(path)
+def served(spark: SparkSession, stream: DataFrame, serve, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    pipeline.serve_batches(stream, serve, f"{path}/out", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out").drop("batch")
+
+
+def customer_values(spark: SparkSession, folder: str) -> LatestTable:
+    """Latest mean and number of amounts per customer, pushed from the stored histories."""
+    mean, count = ENTITY_COLUMNS["customer_id"]
+    totals = batch.entity_histories(spark, folder).of["customer_id"].totals(mean, count)
+    rows = totals.withColumn("event_timestamp", F.timestamp_seconds(F.col("last_day") * batch.DAY)).drop("last_day")
+    latest = LatestTable(spark, scratch_path(spark, "customer-values"), rows.schema, ["customer_id"], "event_timestamp", None)
+    latest.push(rows, "totals")
+    latest.materialize(spark.createDataFrame([], rows.schema), datetime(2024, 2, 15))
+    return latest
 
 
 @query(with_parts("""SELECT transaction_id, customer_id, customer_tx_count, score,
@@ -136,34 +147,47 @@ def _prepared(spark: SparkSession, folder: str, key: str) -> DataFrame:
   FROM tx_scored LEFT JOIN (SELECT customer_id, avg(tx_amount) AS avg_customer_amount,
   count(tx_amount) AS customer_tx_count FROM tx_clean GROUP BY 1) USING (customer_id)""", "tx_scored", "tx_clean"))
 def stream_enrich_score_decide(spark, folder):
-    """Prepared customer features joined to arriving rows, a fixed score, thresholds and one rule."""
-    prepared = _prepared(spark, folder, "customer_id")
-    rows = pipeline.enrich_stream(transaction_stream(spark, folder), prepared, ["customer_id"])
-    decided = pipeline.score_and_decide(rows, scored, 0.4, 0.7,
-                                        decline_rule=F.col("tx_amount") > 3 * F.col("avg_customer_amount"))
-    return written(spark, decided.select("transaction_id", "customer_id", "customer_tx_count", "score", "decision"),
-                   "decided")
-
-
-@query(with_parts("""SELECT transaction_id, is_scored, true AS decided, NOT is_scored AS reviewed_unscored FROM (SELECT transaction_id,
-  tx_amount IS NOT NULL AND c.a IS NOT NULL AND t.a IS NOT NULL AS is_scored FROM tx_timed
-  LEFT JOIN (SELECT customer_id, avg(tx_amount) AS a FROM tx_clean GROUP BY 1) c USING (customer_id)
-  LEFT JOIN (SELECT terminal_id, avg(tx_amount) AS a FROM tx_clean GROUP BY 1) t USING (terminal_id))""", "tx_timed", "tx_clean"))
+    """Each micro-batch looks its customers up in the latest table, then a fixed score, thresholds and one rule."""
+    latest = customer_values(spark, folder)
+    stream = transaction_stream(spark, folder)
+
+    def serve(rows: DataFrame) -> DataFrame:
+        enriched = latest.lookup(rows, list(ENTITY_COLUMNS["customer_id"]))
+        decided = pipeline.score_and_decide(enriched, scored, 0.4, 0.7,
+                                            decline_rule=F.col("tx_amount") > 3 * F.col("avg_customer_amount"))
+        return decided.select("transaction_id", "customer_id", "customer_tx_count", "score", "decision")
+
+    return served(spark, stream, serve, "decided")
+
+
+def _past_sql(key: str, mean: str, count: str) -> str:
+    return f"""(SELECT {key}, moment, total / nullif(n, 0) AS {mean}, n AS {count} FROM (SELECT {key}, tx_time_seconds AS moment,
+  sum(sum(tx_amount)) OVER w AS total, CAST(sum(count(tx_amount)) OVER w AS BIGINT) AS n FROM tx_clean GROUP BY {key}, tx_time_seconds
+  WINDOW w AS (PARTITION BY {key} ORDER BY tx_time_seconds)))"""
+
+
+@query(with_parts(f"""SELECT transaction_id, coalesce(customer_tx_count, 0) AS customer_tx_count, coalesce(terminal_tx_count, 0) AS terminal_tx_count,
+  {', '.join(f"{steady_sql(c, 5)} AS {c}" for c in batch.MEANS)}, is_scored, true AS decided, NOT is_scored AS reviewed_unscored
+  FROM (SELECT s.*, c.*, t.*, tx_amount IS NOT NULL AND avg_customer_amount IS NOT NULL AND avg_terminal_amount IS NOT NULL AS is_scored
+  FROM tx_timed s ASOF LEFT JOIN {_past_sql('customer_id', *ENTITY_COLUMNS['customer_id'])} c
+  ON s.customer_id = c.customer_id AND s.tx_time_seconds > c.moment
+  ASOF LEFT JOIN {_past_sql('terminal_id', *ENTITY_COLUMNS['terminal_id'])} t
+  ON s.terminal_id = t.terminal_id AND s.tx_time_seconds > t.moment)""", "tx_timed", "tx_clean"))
 def stream_model_decisions(spark, folder):
-    """A trained pipeline scores the stream; every arriving row gets a decision, a row without score a review."""
-    from tillwatch.functions.amounts import safe_ratio
-    from tillwatch.plans import training
-
-    clean = batch.clean_table(spark, folder)
-    trained = training.train_and_compare(clean, training.TrainingOptions(trees=5, depth=4))
-    rows = transaction_stream(spark, folder)
-    for key in ("customer_id", "terminal_id"):
-        rows = pipeline.enrich_stream(rows, _prepared(spark, folder, key), [key])
-    rows = rows.withColumn("customer_amount_ratio", safe_ratio(F.col("tx_amount"), F.col("avg_customer_amount")))
-    decided = pipeline.score_and_decide(rows, lambda df: training.score(df, trained.pipeline), 0.3, 0.6)
-    out = written(spark, decided.select("transaction_id", "score", "decision"), "model-decided")
+    """A trained pipeline scores the stream on the features it was trained on, looked up in the stored histories.
+
+    Every arriving row gets a decision, a row without score a review.
+    """
+    trained = training.train_and_compare(batch.clean_table(spark, folder).filter(batch.EARLY), training.TrainingOptions(trees=5, depth=4))
+    histories = batch.entity_histories(spark, folder)
+
+    def serve(rows: DataFrame) -> DataFrame:
+        return pipeline.score_and_decide(histories.features(rows), lambda df: training.score(df, trained.pipeline), 0.3, 0.6).select(
+            "transaction_id", *batch.COUNTS, *batch.MEANS, "score", "decision")
+
+    out = served(spark, transaction_stream(spark, folder), serve, "model-decided")
     known = F.col("score").isNotNull()
-    return out.select("transaction_id", known.alias("is_scored"),
+    return out.select("transaction_id", *batch.COUNTS, *[steady(F.col(c), 5).alias(c) for c in batch.MEANS], known.alias("is_scored"),
                       F.col("decision").isin("approve", "manual_review", "decline").alias("decided"),
                       (~known & (F.col("decision") == "manual_review")).alias("reviewed_unscored"))
 

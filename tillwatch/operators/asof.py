@@ -91,6 +91,15 @@ def _wider(spark, one: T.DataType, other: T.DataType) -> T.DataType:
     return none.select(F.lit(None).cast(one)).union(none.select(F.lit(None).cast(other))).schema[0].dataType
 
 
+def _time_type(spark, one: T.DataType, other: T.DataType) -> T.DataType:
+    """The type in which two times are compared. Text is read as points in time (session time where it names no
+    zone), never compared as text: forms differ, and 'T' sorts after a blank. Text that is no time is an error."""
+    if T.StringType() not in (one, other):
+        return _wider(spark, one, other)
+    kinds = {kind for kind in (one, other) if kind != T.StringType()}
+    return T.TimestampNTZType() if T.TimestampNTZType() in kinds else T.TimestampType()
+
+
 def _in_reach(features: DataFrame, spine: DataFrame, spine_ts: str, feature_ts: str, ttl: timedelta | None) -> DataFrame:
     """Feature rows that some spine row may still see: not after the last one, not ``ttl`` before the first."""
     bounds = spine.agg(F.min(spine_ts).alias("first"), F.max(spine_ts).alias("last"))
@@ -107,12 +116,14 @@ def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts:
 
     The newest row wins even where its fields are NULL. Equal times match. Ties: newest
     ``created``, then lowest row hash. ``bucket`` is the ``date_trunc`` unit for hot keys. Keys and
-    times of different types are compared in the type that holds both; spine columns stay as they
-    are. ``ttl``: rows older than that at the first spine row may be left out.
+    times of different types are compared in the type that holds both, times given as text as points in time;
+    spine columns stay as they are. ``ttl``: rows older than that at the first spine row may be left out.
     """
     spark = spine.sparkSession
-    wide = {name: _wider(spark, spine.schema[name].dataType, features.schema[other].dataType)
-            for name, other in [*zip(keys, keys), (spine_ts, feature_ts)]}
+    wide = {name: _wider(spark, spine.schema[name].dataType, features.schema[name].dataType) for name in keys}
+    wide[spine_ts] = _time_type(spark, spine.schema[spine_ts].dataType, features.schema[feature_ts].dataType)
+    if features.schema[feature_ts].dataType == T.StringType():
+        features = features.withColumn(feature_ts, F.col(feature_ts).cast(wide[spine_ts]))
     change = {n: t for n, t in wide.items() if spine.schema[n].dataType != t}
     if change:
         inner = {n: f"_wide_{n}" for n in change}
@@ -138,7 +149,9 @@ def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts:
 def within_ttl(carried: Column, spine_ts: Column, ttl: timedelta | None) -> Column:
     """The carried row is fresh enough; the limit itself still counts."""
     found = carried.isNotNull()
-    return found if ttl is None else found & (carried["event_ts"] >= spine_ts - F.lit(ttl))
+    if ttl is None:
+        return found
+    return found & (carried["event_ts"].cast("timestamp") >= spine_ts.cast("timestamp") - F.lit(ttl))
 
 
 def point_in_time_join(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,

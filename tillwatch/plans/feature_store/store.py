@@ -160,7 +160,7 @@ class FeatureStore:
         return found
 
     def materialize_incremental(self, end: datetime) -> dict[tuple[str, ...], int]:
-        """New snapshots up to ``end`` for every online source and key; returns the version of each."""
+        """Fold history up to ``end`` into every online source and key; returns the version of each."""
         done: dict[tuple[str, ...], int] = {}
         for place, view in self._online_views().items():
             history = view.source.batch.read(self.spark)
@@ -191,8 +191,9 @@ class FeatureStore:
                             now: datetime | None = None, max_age: timedelta | None = None) -> DataFrame:
         """Request rows with the latest values of their keys; an unknown key gets NULLs.
 
-        ``tables`` gives latest rows by source name in place of the stored ones. ``max_age``
-        blanks values older than that at ``now``.
+        Only the parts of the latest tables that the requests' keys fall into are read, so ``requests`` is
+        evaluated more than once. ``tables`` gives latest rows by source name in place of the stored ones.
+        ``max_age`` blanks values older than that at ``now``.
         """
         wanted, stored, computed = self._resolve(features)
         groups: dict[tuple, list[FeatureView]] = {}
@@ -202,7 +203,9 @@ class FeatureStore:
         for views in groups.values():
             source, keys = views[0].source, views[0].keys
             latest = (tables or {}).get(source.name)
-            latest = self.latest_table(views[0]).read() if latest is None else latest
+            if latest is None:
+                table = self.latest_table(views[0])
+                latest = table.read(table.parts_of(requests))
             if max_age is not None:
                 at = source.batch.timestamp_field
                 latest = latest.filter(F.col(at) >= instant(now, latest.schema[at].dataType) - F.lit(max_age))

@@ -21,6 +21,13 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getFileStatus(target).isDirectory()
 
 
+def signature(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(time of change, files, bytes) of a file or folder: differs once a table is written anew or grows."""
+    files, target = _status(spark, path)
+    held = files.getContentSummary(target)
+    return files.getFileStatus(target).getModificationTime(), held.getFileCount(), held.getLength()
+
+
 def inbox_root(spark: SparkSession, pattern: str) -> str:
     """The folder before the first glob sign of a path, with scheme and a slash at the end."""
     parts = pattern.rstrip("/").split("/")

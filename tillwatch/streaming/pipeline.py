@@ -93,6 +93,24 @@ def enrich_stream(stream: DataFrame, features: DataFrame, keys: list[str]) -> Da
     return stream.join(features, keys, "left")
 
 
+def serve_batches(stream: DataFrame, serve: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
+    """Write ``serve(batch)`` of every micro-batch that has arrived to a folder of its own, and stop.
+
+    ``serve`` is called for each batch anew, so it sees tables as they are then (the latest values of a
+    look-up), and counts and reads only what the batch's keys need. A repeated batch replaces its rows.
+    """
+    def take(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            serve(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def score_and_decide(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], review_at: float,
                      decline_at: float, decline_rule: Column | None = None,
                      review_rule: Column | None = None) -> DataFrame:
