@@ -1,12 +1,14 @@
 """Cross-entropy difference between two matched bigram models.
 
 The target model is estimated on the texts that the data should resemble, the background model on the whole
-corpus. Both share one vocabulary, one list of bigrams and one smoothing, so that their losses per token
+corpus. Both share one vocabulary, all words of the corpus, and one smoothing, so that their losses per token
 can be subtracted. A document's score is the mean difference over its tokens; low is close to the target.
 
-Counts cover every text. They are added up in Spark and stay there; what reaches the driver is the model,
-whose size has a documented bound (``words``, ``bigrams``). Without bounds (both None) every word and bigram
-counts: the model is a table that the texts' bigrams are joined with, and only totals reach the driver.
+Every word and every bigram counts. Counts are added up in Spark and the model is a table; it grows with the
+corpus and only totals reach the driver. Scoring looks losses up in two ways that give the same numbers:
+the most frequent bigrams, a bounded list, are broadcast and summed where the text is read; the others, each
+rarer than those, meet the model in a join. So no bigram brings more rows to a task than one in
+``broadcast`` of all tokens.
 """
 
 from __future__ import annotations
@@ -20,20 +22,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import slices, stored
+from tillwatch.operators.skew import DEFAULT_HOT_KEYS, lookup_any
 
-_BASE = 1 << 24
+#: Bytes of text whose bigrams are added up together.
+AT_ONCE = 16 << 20
+#: Between the two words of a bigram: no word holds a blank.
+_MARK = " "
 
 
 @dataclass(frozen=True)
 class Bigrams:
-    """``words``, ``bigrams``: bounds of the model; all entries at the count where the bound would be passed
-    are left out together, so no order of ties matters; None for both: no bound. ``add``: added to each unigram count; ``prior``:
-    weight of the unigram model in a bigram's probability."""
+    """``add``: added to each unigram count; ``prior``: weight of the unigram model in a bigram's probability;
+    ``broadcast``: bigrams whose losses are broadcast (some 40 bytes each), which changes no score."""
 
-    words: int | None = 50_000
-    bigrams: int | None = 500_000
     add: float = 0.5
     prior: float = 20.0
+    broadcast: int = 1 << 20
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -45,140 +49,93 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(there), row[np.asarray(there)]
 
 
-def _word_counts(texts: DataFrame) -> DataFrame:
-    def work(batches):
-        for batch in slices(batches, "text"):
-            words, _ = _words(batch.column("text"))
-            counts = pc.value_counts(words)
-            yield pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], ["word", "n"])
-
-    return texts.mapInArrow(work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _most(counts: DataFrame, bound: int) -> DataFrame:
-    """Entries with the largest ``n``: whole groups of equal ``n``, ``bound`` entries at most."""
-    sizes = stored(counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")), "count-sizes")
-    pairs = sizes.orderBy(F.desc("n")).limit(bound).collect()
-    least, total = None, 0
-    for n, k in pairs:
-        total += k
-        if total > bound:
-            break
-        least = n
-    return counts.filter(F.col("n") >= least) if least is not None else counts.limit(0)
-
-
-def _codes(texts: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bigram, row) of each token: the word before it and the word, as numbers; 0: not in the vocabulary,
-    len(words) + 1: start of a text."""
+def _bigrams(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(names, code, row) of each token: ``code // len(names)`` and ``code % len(names)`` are the places of
+    the word before it and of the word in ``names``; the empty name stands before the first word of a text."""
     flat, row = _words(texts)
-    word = pc.add(pc.fill_null(pc.index_in(flat, value_set=words), -1), 1).to_numpy(zero_copy_only=False).astype(np.int64)
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[np.flatnonzero(np.diff(row, prepend=-1))] = len(words) + 1
-    return before * _BASE + word, row
-
-
-def _bigram_counts(texts: DataFrame, shared) -> DataFrame:
-    def work(batches):
-        words = shared.value
-        for batch in slices(batches, "text"):
-            code, n = np.unique(_codes(batch.column("text"), words)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
-
-    return texts.mapInArrow(work, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    word = flat.dictionary_encode()
+    names = pa.concat_arrays([word.dictionary.cast(pa.string()), pa.array([""], pa.string())])
+    at = np.asarray(word.indices).astype(np.int64)
+    before = np.full(len(at), len(names) - 1)
+    before[1:] = at[:-1]
+    before[np.flatnonzero(np.diff(row, prepend=-1))] = len(names) - 1
+    return names, before * len(names) + at, row
 
 
-def _dense(counts: DataFrame, place, size: int) -> np.ndarray:
-    got = counts.groupBy(place.alias("place")).agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size)
-    out[got["place"].to_numpy()] = got["n"].to_numpy()
-    return out
+def _pairs(names: pa.Array, code: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    return names.take(pa.array(code // len(names))), names.take(pa.array(code % len(names)))
 
 
-def _counted(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and their counts, by code; only for tables of at most ``bigrams`` rows."""
-    got = counts.select("code", "n").toArrow()
-    code = got["code"].to_numpy()
-    order = np.argsort(code)
-    return code[order], got["n"].to_numpy()[order]
-
+def _counts(texts: DataFrame, name: str) -> DataFrame:
+    """(v, w, n): how often the word w follows v; v is empty at the start of a text."""
+    def work(batches):
+        for batch in slices(batches, "text", AT_ONCE):
+            names, code, _ = _bigrams(batch.column("text"))
+            code, n = np.unique(code, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*_pairs(names, code), pa.array(n, pa.int64())], ["v", "w", "n"])
+
+    partial = texts.select("text").mapInArrow(work, "v string, w string, n bigint")
+    return stored(partial.groupBy("v", "w").agg(F.sum("n").alias("n")), name)
+
+
+def _model(background: DataFrame, target: DataFrame, spec: Bigrams) -> DataFrame:
+    """(v, w, n, lt, lb): count and both losses of each bigram of the corpus."""
+    def totals(counts: DataFrame, key: str, name: str) -> DataFrame:
+        return counts.groupBy(key).agg(F.sum("n").alias(name))
+
+    words = stored(totals(background, "w", "wb").join(totals(target, "w", "wt"), "w", "left"), "lm-words")
+    befores = stored(totals(background, "v", "vb").join(totals(target, "v", "vt"), "v", "left"), "lm-befores")
+    size = words.count() + 1
+    pairs = background.withColumnRenamed("n", "nb").join(target.withColumnRenamed("n", "nt"), ["v", "w"], "left")
+    known = lookup_any(lookup_any(pairs, words, ["w"], DEFAULT_HOT_KEYS), befores, ["v"], DEFAULT_HOT_KEYS)
+
+    def loss(of: str, counts: DataFrame):
+        total = (counts.agg(F.sum("n")).first()[0] or 0) + spec.add * size
+        p = (F.coalesce(F.col(f"w{of}"), F.lit(0)) + spec.add) / total
+        own, context = F.coalesce(F.col(f"n{of}"), F.lit(0)), F.coalesce(F.col(f"v{of}"), F.lit(0))
+        return (-F.log((own + spec.prior * p) / (context + spec.prior))).alias(f"l{of}")
 
-def _losses(counts: DataFrame, kept: np.ndarray, known: tuple[np.ndarray, np.ndarray], size: int, spec: Bigrams):
-    """Loss of each kept bigram, and for all others the parts: of the word, of the word before."""
-    before = F.floor(F.col("code") / F.lit(_BASE)).cast("bigint")
-    word = (F.col("code") % F.lit(_BASE)).cast("bigint")
-    unigram, context = _dense(counts, word, size), _dense(counts, before, size)
-    p = (unigram + spec.add) / (unigram[:size - 1].sum() + spec.add * (size - 1))
-    n = np.zeros(len(kept))
-    n[np.searchsorted(kept, known[0])] = known[1]
-    w, v = kept % _BASE, kept // _BASE
-    full = -np.log((n + spec.prior * p[w]) / (context[v] + spec.prior))
-    return full, -np.log(p), np.log((context + spec.prior) / spec.prior)
+    return stored(known.select("v", "w", F.col("nb").alias("n"), loss("t", target), loss("b", background)), "lm-model")
 
 
-_TOKENS = "r bigint, doc_id {}, v string, w string, n bigint"
+def _cut(model: DataFrame, most: int) -> int:
+    """The smallest count above which at most ``most`` bigrams lie."""
+    sizes = stored(model.groupBy("n").agg(F.count(F.lit(1)).alias("k")), "lm-sizes")
+    total = 0
+    for n, k in sizes.orderBy(F.desc("n")).limit(most + 1).toLocalIterator():
+        total += k
+        if total > most:
+            return n
+    return 0
 
 
-def _row_bigrams(rows: DataFrame) -> DataFrame:
-    """(r, doc_id, v, w, n): how often the word w follows v in a row; v is empty at the start of a text. A row
-    without words has one line with NULLs and 0."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def _parts(corpus: DataFrame, frequent, spec: Bigrams) -> DataFrame:
+    """Per text one row with its tokens and the summed losses of its frequent bigrams (v is NULL), and one
+    row per other bigram with how often the text has it."""
+    kind = corpus.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
-        for batch in slices(batches, "text"):
-            flat, row = _words(batch.column("text"))
-            word = flat.dictionary_encode()
-            names, at = word.dictionary, np.asarray(word.indices).astype(np.int64)
-            before = np.full(len(at), len(names))
-            before[1:] = at[:-1]
-            before[np.flatnonzero(np.diff(row, prepend=-1))] = len(names)
-            order = np.lexsort((at, before, row))
-            keys = np.stack([row, before, at])[:, order]
-            first = np.flatnonzero(np.append(True, (np.diff(keys, axis=1) != 0).any(0))[:len(at)])
-            n = np.diff(np.append(first, len(at)))
-            none = np.setdiff1d(np.arange(batch.num_rows), row)
-            owner, v, w = keys[:, first]
-            owner = pa.array(np.concatenate([owner, none]))
-            empty = pa.nulls(len(none), pa.string())
-            starts = pa.concat_arrays([names.cast(pa.string()), pa.array([""], pa.string())])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("r").take(owner), batch.column("doc_id").take(owner),
-                 pa.concat_arrays([starts.take(pa.array(v)), empty]), pa.concat_arrays([starts.take(pa.array(w)), empty]),
-                 pa.array(np.concatenate([n, np.zeros(len(none), np.int64)]))], ["r", "doc_id", "v", "w", "n"])
-
-    return rows.select("r", "doc_id", "text").mapInArrow(work, _TOKENS.format(kind))
-
-
-def _unbounded(corpus: DataFrame, aim: DataFrame, spec: Bigrams) -> DataFrame:
-    tokens = stored(_row_bigrams(corpus.withColumn("r", F.monotonically_increasing_id())), "lm-tokens")
-    aimed = _row_bigrams(aim.select("text", F.lit(0).cast("bigint").alias("r"), F.lit(0).alias("doc_id")))
-
-    def counts(of: DataFrame, name: str) -> DataFrame:
-        return stored(of.filter("n > 0").groupBy("v", "w").agg(F.sum("n").alias("n")), name)
-
-    two = {"b": counts(tokens, "lm-background"), "t": counts(aimed, "lm-target")}
-    word = stored(two["b"].groupBy("w").agg(F.sum("n").alias("b")), "lm-words")
-    size = word.count() + 1
-    words = word.join(two["t"].groupBy("w").agg(F.sum("n").alias("t")), "w", "left")
-    befores = two["b"].groupBy("v").agg(F.sum("n").alias("cb")).join(
-        two["t"].groupBy("v").agg(F.sum("n").alias("ct")), "v", "left")
-    pairs = two["b"].withColumnRenamed("n", "nb").join(two["t"].withColumnRenamed("n", "nt"), ["v", "w"], "left")
-    model = pairs.join(words, "w").join(befores, "v")
-
-    def loss(of: str):
-        total = (two[of].agg(F.sum("n")).first()[0] or 0) + spec.add * size
-        p = (F.coalesce(F.col(of), F.lit(0)) + spec.add) / total
-        own, context = F.coalesce(F.col(f"n{of}"), F.lit(0)), F.coalesce(F.col(f"c{of}"), F.lit(0))
-        return (-F.log((own + spec.prior * p) / (context + spec.prior))).alias(f"l{of}")
-
-    model = stored(model.select("v", "w", loss("t"), loss("b")), "lm-model")
-    sums = tokens.join(model, ["v", "w"], "left").groupBy("r").agg(
-        F.min("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"),
-        *(F.sum(F.col("n") * F.col(f"l{of}")).alias(f"s{of}") for of in "tb"))
-    means = [F.col(f"s{of}") / F.nullif(F.col("n_tokens"), F.lit(0)) for of in "tb"]
-    return sums.select("doc_id", "n_tokens", means[0].alias("target_loss"), means[1].alias("background_loss"),
-                       (means[0] - means[1]).alias("score"))
+        known, losses = frequent.value
+        for batch in slices(batches, "text", AT_ONCE):
+            names, code, row = _bigrams(batch.column("text"))
+            pairs, place = np.unique(code, return_inverse=True)
+            joined = pc.binary_join_element_wise(*_pairs(names, pairs), _MARK)
+            at = pc.fill_null(pc.index_in(joined, value_set=known), -1).to_numpy(zero_copy_only=False)
+            there = at[place] >= 0
+            chosen, rows = at[place[there]], batch.num_rows
+            sums = [np.bincount(row[there], loss[chosen], rows).astype(float) for loss in losses]
+            n = np.bincount(row, minlength=rows)
+            names_of = ["r", "doc_id", "v", "w", "n", "lt", "lb"]
+            none = pa.nulls(rows, pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("r"), batch.column("doc_id"), none, none, pa.array(n, pa.int64()), *map(pa.array, sums)], names_of)
+            rare, times = np.unique(row[~there] * len(pairs) + place[~there], return_counts=True)
+            if len(rare):
+                empty = pa.nulls(len(rare), pa.float64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("r").take(pa.array(rare // len(pairs))), pa.nulls(len(rare), batch.column("doc_id").type),
+                     *_pairs(names, pairs[rare % len(pairs)]), pa.array(times, pa.int64()), empty, empty], names_of)
+
+    return stored(corpus.mapInArrow(work, f"r bigint, doc_id {kind}, v string, w string, n bigint, lt double, lb double"), "lm-parts")
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, spec: Bigrams = Bigrams(), doc_id: str = "doc_id",
@@ -186,44 +143,25 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, spec: Bigrams =
     """(doc_id, n_tokens, target_loss, background_loss, score) for each row of ``docs``.
 
     ``target`` has the texts (column ``text``) of the target model; the background model counts all of
-    ``docs``. Losses are nats per token. A text without words, or NULL, has NULL losses and score. Repeated
-    rows count each time. With an empty ``target``, its model is uniform.
+    ``docs``. The vocabulary is all words of ``docs`` and one entry for the target's other words. Losses are
+    nats per token. A text without words, or NULL, has NULL losses and score. Repeated rows count each time. With
+    an empty ``target``, its model is uniform. Other columns do not matter.
     """
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     corpus = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     aim = target.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    if spec.words is None and spec.bigrams is None:
-        return _unbounded(corpus, aim, spec)
-    chosen = _most(stored(_word_counts(corpus.select("text")), "lm-words"), spec.words).select("word")
-    words = pa.array(sorted((r["word"] for r in chosen.collect()), key=str.encode), pa.string())
-    shared = context.broadcast(words)
-    size = len(words) + 2
-    background = stored(_bigram_counts(corpus.select("text"), shared), "lm-background")
-    foreground = stored(_bigram_counts(aim, shared), "lm-target")
-    most = _most(background, spec.bigrams)
-    counted = _counted(most)
-    kept = counted[0]
-    aimed = _counted(foreground.join(most.select("code"), "code"))
-    model = context.broadcast((kept, _losses(foreground, kept, aimed, size, spec), _losses(background, kept, counted, size, spec)))
-
-    def work(batches):
-        known, models = shared.value, model.value
-        codes, both = models[0], models[1:]
-        for batch in slices(batches, "text"):
-            code, row = _codes(batch.column("text"), known)
-            at = np.minimum(np.searchsorted(codes, code), max(0, len(codes) - 1))
-            hit = codes[at] == code if len(codes) else np.zeros(len(code), bool)
-            n = np.bincount(row, minlength=batch.num_rows)
-            sums = []
-            for full, of_word, of_before in both:
-                loss = of_word[code % _BASE] + of_before[code // _BASE]
-                loss[hit] = full[at[hit]]
-                sums.append(np.bincount(row, loss, batch.num_rows))
-            none = n == 0
-            means = [pa.array(s / np.maximum(n, 1), mask=none) for s in (*sums, sums[0] - sums[1])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), *means],
-                                             ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    kind = corpus.schema["doc_id"].dataType.simpleString()
-    return corpus.mapInArrow(
-        work, f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, score double")
+    model = _model(_counts(corpus, "lm-background"), _counts(aim, "lm-target"), spec)
+    cut = _cut(model, spec.broadcast)
+    got = model.filter(F.col("n") > cut).select(F.concat_ws(_MARK, "v", "w").alias("pair"), "lt", "lb").toArrow()
+    known = got["pair"].combine_chunks()
+    shared = spark.sparkContext.broadcast((known.cast(pa.string()), [got[c].to_numpy() for c in ("lt", "lb")]))
+    parts = _parts(corpus.withColumn("r", F.monotonically_increasing_id()), shared, spec)
+    rare = (parts.filter(F.col("v").isNotNull()).select("r", "v", "w", "n")
+            .join(model.filter(F.col("n") <= cut).select("v", "w", "lt", "lb"), ["v", "w"])
+            .select("r", (F.col("n") * F.col("lt")).alias("lt"), (F.col("n") * F.col("lb")).alias("lb")))
+    whole = parts.filter(F.col("v").isNull()).select("r", "lt", "lb", F.struct("doc_id", "n").alias("of"))
+    sums = (whole.unionByName(rare, allowMissingColumns=True).groupBy("r")
+            .agg(F.max("of").alias("of"), *[F.sum(c).alias(c) for c in ("lt", "lb")]))
+    n = F.nullif(F.col("of.n"), F.lit(0))
+    return sums.select("of.doc_id", F.col("of.n").alias("n_tokens"), (F.col("lt") / n).alias("target_loss"), (F.col("lb") / n).alias("background_loss"),
+                       ((F.col("lt") - F.col("lb")) / n).alias("score"))

@@ -21,11 +21,6 @@ _LM = lm_scoring.Bigrams()
 _BLANK = "[\\t\\n\\x0b\\f\\r ]+"
 
 
-def _most_sql(counts: str, bound: int) -> str:
-    return f"""SELECT min(n) FROM (SELECT n, sum(k) OVER (ORDER BY n DESC) AS total
-               FROM (SELECT n, count(*) AS k FROM {counts} GROUP BY n)) WHERE total <= {bound}"""
-
-
 def _model_sql(tokens: str, of: str) -> str:
     return f"""
 {of}2 AS (SELECT v, w, count(*) AS n FROM {tokens} GROUP BY v, w),
@@ -41,18 +36,17 @@ WITH raw AS (
 split AS (SELECT kind, r, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANK}'), lambda x: x <> '') AS words FROM raw),
 tok AS (SELECT kind, r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
 counts AS (SELECT word, count(*) AS n FROM tok WHERE kind = 'b' GROUP BY word),
-kept AS (SELECT word FROM counts WHERE n >= ({_most_sql('counts', _LM.words)}) UNION ALL SELECT '<unk> '),
+kept AS (SELECT word FROM counts UNION ALL SELECT '<unk> '),
 known AS (SELECT kind, r, i, CASE WHEN word IN (SELECT word FROM kept) THEN word ELSE '<unk> ' END AS w FROM tok),
 big AS (SELECT kind, r, coalesce(lag(w) OVER (PARTITION BY kind, r ORDER BY i), '<s> ') AS v, w FROM known),
 bt AS (SELECT r, v, w FROM big WHERE kind = 'b'), tt AS (SELECT v, w FROM big WHERE kind = 't'),
 {_model_sql('bt', 'b')}, {_model_sql('tt', 't')},
-keep2 AS (SELECT v, w FROM b2 WHERE n >= ({_most_sql('b2', _LM.bigrams)})),
 prob AS (
-  SELECT x.v, x.w, -ln(((CASE WHEN k.v IS NULL THEN 0 ELSE coalesce(t2.n, 0) END) + {_LM.prior} * tp.p) / (coalesce(tv.n, 0) + {_LM.prior})) AS lt,
-         -ln(((CASE WHEN k.v IS NULL THEN 0 ELSE coalesce(b2.n, 0) END) + {_LM.prior} * bp.p) / (coalesce(bv.n, 0) + {_LM.prior})) AS lb
-  FROM b2 x LEFT JOIN keep2 k ON x.v = k.v AND x.w = k.w JOIN tp ON x.w = tp.w JOIN bp ON x.w = bp.w
+  SELECT x.v, x.w, -ln((coalesce(t2.n, 0) + {_LM.prior} * tp.p) / (coalesce(tv.n, 0) + {_LM.prior})) AS lt,
+         -ln((x.n + {_LM.prior} * bp.p) / (coalesce(bv.n, 0) + {_LM.prior})) AS lb
+  FROM b2 x JOIN tp ON x.w = tp.w JOIN bp ON x.w = bp.w
   LEFT JOIN t2 ON x.v = t2.v AND x.w = t2.w LEFT JOIN tv ON x.v = tv.v
-  LEFT JOIN b2 ON x.v = b2.v AND x.w = b2.w LEFT JOIN bv ON x.v = bv.v),
+  LEFT JOIN bv ON x.v = bv.v),
 scored AS (SELECT r, count(*) AS n, avg(lt) AS lt, avg(lb) AS lb FROM bt JOIN prob ON bt.v = prob.v AND bt.w = prob.w GROUP BY r)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_tokens, round(lt, 6) AS target_loss, round(lb, 6) AS background_loss,
        round(lt - lb, 6) AS score
