@@ -230,6 +230,10 @@ def test_describe_log_listing(spark, store, spine):
     assert set(rows) == {"driver_hourly_stats", "driver_hourly_stats_fresh", "driver_quality_fv", "driver_activity_fv"}
     assert rows["driver_quality_fv"]["features"] == ["conv_rate", "acc_rate"]
     assert rows["driver_quality_fv"]["ttl_seconds"] == 86_400 and rows["driver_quality_fv"]["entities"] == ["driver"]
+    known = store.describe(_hours(30)).filter("name = 'driver_quality_fv'").first()
+    times = [r[1] for r in ROWS]
+    assert (known["rows"], known["first_event"], known["last_event"]) == (len(ROWS), min(times), max(times))
+    assert known["age_seconds"] == (_hours(30) - max(times)).total_seconds()
     service = store.get_feature_service("driver_activity_v1")
     served = store.get_historical_features(spine, service)
     for _ in range(2):

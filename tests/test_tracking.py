@@ -68,6 +68,50 @@ def test_tracker(spark, tmp_path):
     assert tracker.params().count() == 2 and tracker.metrics().count() == 2
 
 
+def test_versions_in_batches(spark, tmp_path):
+    """Numbers have no gaps, whatever number of runs a batch has; models count on their own."""
+    tracker = TR.Tracker(spark, str(tmp_path))
+    ids = spark.range(5000).select(F.format_string("run-%05d", "id").alias("run_id"))
+    assert tracker.register_versions(MODEL, ids.filter("run_id < 'run-03000'").repartition(7)) == (1, 3000)
+    assert tracker.register_versions(MODEL, ids.filter("run_id >= 'run-03000'")) == (3001, 5000)
+    assert tracker.register_versions(MODEL, ids.limit(0)) == (5001, 5000)
+    assert tracker.register_version("a/b c", "x") == 1
+    got = tracker.versions().filter(F.col("name") == MODEL)
+    assert got.count() == 5000 and got.filter("run_id <> format_string('run-%05d', version - 1)").isEmpty()
+    before = sum(len(f) for _, _, f in os.walk(tmp_path / "model_versions"))
+    tracker.log_run("run-00007", EXP, {"best_auc": 0.9}, {}, "lr")
+    assert tracker.promote_best(EXP, MODEL) and not tracker.promote_best(EXP, MODEL)
+    assert sum(len(f) for _, _, f in os.walk(tmp_path / "model_versions")) == before  # nothing is copied again
+    assert [r["version"] for r in tracker.versions().filter("current_stage = 'Production'").collect()] == [8]
+
+
+def test_of_two_registrations_one_fails(spark, tmp_path, monkeypatch):
+    one, other = TR.Tracker(spark, str(tmp_path)), TR.Tracker(spark, str(tmp_path))
+    assert one.register_version(MODEL, "a") == 1
+    seen = one._registered()
+    assert other.register_version(MODEL, "b") == 2
+    monkeypatch.setattr(one, "_registered", lambda: seen)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        one.register_version(MODEL, "c")
+
+
+def test_ingest_in_bounded_batches(spark, tmp_path):
+    """More files than a batch takes, old ones among them, and a restart in the middle."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    args = (spark, str(inbox), str(tmp_path / "manifest"), str(tmp_path / "table"))
+    for i in range(5):
+        (inbox / f"{i}.txt").write_text(f"{i},2019-08-22 00:00:00,1,1,2.0,0,0,0,0\n")
+    os.utime(inbox / "0.txt", (1_000_000_000, 1_000_000_000))
+    assert ingest_new_files(*args, files_per_batch=2) == 5
+    (inbox / "late.txt").write_text("9,2019-08-22 00:00:00,1,1,2.0,0,0,0,0\n")
+    os.utime(inbox / "late.txt", (1_000_000_000, 1_000_000_000))  # older than all that has been taken
+    assert ingest_new_files(*args, files_per_batch=2) == 1
+    os.rename(tmp_path / "manifest_checkpoint", tmp_path / "lost")  # without its log the manifest still knows the files
+    assert ingest_new_files(*args, files_per_batch=2) == 0
+    assert sorted(r["transaction_id"] for r in spark.read.parquet(args[3]).collect()) == [0, 1, 2, 3, 4, 9]
+
+
 def test_metrics_files(spark, tmp_path):
     path = str(tmp_path / "m")
     for run in ("a", "b"):

@@ -279,23 +279,28 @@ def pandas_view_large_ids(spark, folder):
     return FeatureStore(spark, [doubled]).get_historical_features(rows, ["doubled:twice"], timestamp="driver_id").drop("value")
 
 
-@query("""SELECT * FROM (VALUES ('driver_activity_fv'), ('driver_hourly_stats'), ('driver_hourly_stats_fresh'), ('driver_quality_fv')) t(name)
-  CROSS JOIN (SELECT true AS one_day, 'driver' AS entity, true AS has_features)""")
+@query(with_parts(f"""SELECT name, true AS one_day, 'driver' AS entity, rows, {stamp_sql('first_event')}, {stamp_sql('last_event')}, age_seconds
+  FROM (SELECT count(*) AS rows, min(event_timestamp) AS first_event, max(event_timestamp) AS last_event,
+  CAST(epoch_us(TIMESTAMP '2024-03-01 00:00:00') // 1000000 - epoch_us(max(event_timestamp)) // 1000000 AS BIGINT) AS age_seconds FROM driver_stats),
+  (VALUES ('driver_activity_fv'), ('driver_hourly_stats'), ('driver_hourly_stats_fresh'), ('driver_quality_fv')) t(name)""", "driver_stats"))
 def describe_views(spark, folder):
-    rows = driver_store(spark, folder).describe()
+    """Each view with the rows, time range and age of its source."""
+    rows = driver_store(spark, folder).describe(datetime(2024, 3, 1))
     return rows.select("name", (F.col("ttl_seconds") == 86_400).alias("one_day"), F.col("entities")[0].alias("entity"),
-                       (F.size("features") > 0).alias("has_features"))
+                       "rows", stamp("first_event"), stamp("last_event"), "age_seconds")
 
 
 @query(with_parts("""SELECT run_id, best_auc, CAST(row_number() OVER (ORDER BY run_id) AS INTEGER) AS version, 'None' AS stage
-  FROM (SELECT run_id, best_auc FROM runs WHERE status = 'FINISHED' ORDER BY best_auc DESC, run_id LIMIT 3)""", "runs"))
+  FROM runs WHERE status = 'FINISHED'""", "runs"))
 def run_log_and_versions(spark, folder):
-    """Three finished runs are logged and registered, then read back."""
+    """All runs are logged, the finished ones registered in two batches of ids, then read back."""
     tracker = tracking.Tracker(spark, scratch_path(spark, "tracking"))
-    finished = runs(spark, folder).filter("status = 'FINISHED'").orderBy(F.desc("best_auc"), "run_id").limit(3)
-    for row in finished.orderBy("run_id").collect():
-        tracker.log_run(row["run_id"], row["experiment"], {"best_auc": row["best_auc"]}, {"seed": 42}, row["best_model"])
-        tracker.register_version("fraud-detector", row["run_id"])
+    values = [F.create_map(F.lit("best_auc"), F.col("best_auc").cast("string")).alias("metrics"),
+              F.create_map(F.lit("seed"), F.lit("42")).alias("params")]
+    tracker.log_runs(runs(spark, folder).select("*", *values))
+    finished = tracker.runs().filter("status = 'FINISHED'")
+    for batch in (F.col("run_id") < "run-5", F.col("run_id") >= "run-5"):
+        tracker.register_versions("fraud-detector", finished.filter(batch))
     return tracker.runs().join(tracker.versions(), "run_id").select(
         "run_id", "best_auc", "version", F.col("current_stage").alias("stage"))
 

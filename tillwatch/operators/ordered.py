@@ -1,4 +1,4 @@
-"""Running totals over one global order, without one global task."""
+"""Running totals and ranks over one global order, without one global task."""
 
 from __future__ import annotations
 
@@ -8,6 +8,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwatch.session import scratch_path
+
+#: Ranges and groups whose first ranks may be broadcast; above, they are joined by a shuffle.
+BROADCAST_RANGES = 100_000
+
 
 def running_totals(df: DataFrame, order: str, totals: list[str],
                    descending: bool = False, buckets: int | None = None) -> DataFrame:
@@ -46,3 +51,33 @@ def running_totals(df: DataFrame, order: str, totals: list[str],
             .select(order, *totals,
                     *[(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(f"cum_{c}") for c in totals],
                     *[f"all_{c}" for c in totals]))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Add ``_rank`` (from 0) within ``group`` and ``_n``, the rows of the group, at any size of a group.
+
+    Rows are sorted in ranges over all groups, so a large group fills many tasks; only the first row and the
+    row count of each range and group are added up. NULL is a group and sorts first. Rows equal in ``group`` and
+    ``order`` may stand in several ranges. ``rows`` is a stored table: finding the ranges reads it once more.
+    """
+    placed = (rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*group, *order, "_tie")
+              .sortWithinPartitions(*group, *order, "_tie").drop("_tie").withColumn("_at", F.monotonically_increasing_id()))
+    placed = _stored(placed.withColumn("_range", F.shiftright("_at", 33)), "ranges")
+    spans = _stored(placed.groupBy(*group, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_size")), "spans")
+    everything = Window.partitionBy(*group)
+    earlier = everything.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = spans.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_range").alias("_g_range"), "_first",
+                          F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+                          F.sum("_size").over(everything).alias("_n"))
+    if spans.count() <= BROADCAST_RANGES:
+        starts = F.broadcast(starts)
+    same = F.col("_range") == F.col("_g_range")
+    for c in group:
+        same &= F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return placed.join(starts, same).select(*rows.columns, (F.col("_before") + F.col("_at") - F.col("_first")).alias("_rank"), "_n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,14 +49,28 @@ class FeatureStore:
     def get_feature_service(self, name: str) -> FeatureService:
         return self.services[name]
 
-    def describe(self) -> DataFrame:
-        """One row per view: entities, time-to-live in seconds, online flag, features."""
+    def describe(self, now: datetime | None = None) -> DataFrame:
+        """One row per view: definition, and rows, time range and age of its batch source.
+
+        ``first_event``, ``last_event`` and ``rows`` come from one aggregate per source over its time column alone;
+        ``age_seconds``: from the last event to ``now``. A source without rows has NULLs and 0.
+        """
         rows = [(v.name, [e.name for e in v.entities],
-                 None if v.ttl is None else int(v.ttl.total_seconds()), v.online, v.features, dict(v.tags))
+                 None if v.ttl is None else int(v.ttl.total_seconds()), v.online, v.features, dict(v.tags), v.source.batch.name)
                 for v in self.views.values()]
-        return self.spark.createDataFrame(
+        views = self.spark.createDataFrame(
             rows, "name STRING, entities ARRAY<STRING>, ttl_seconds BIGINT, online BOOLEAN, "
-                  "features ARRAY<STRING>, tags MAP<STRING, STRING>")
+                  "features ARRAY<STRING>, tags MAP<STRING, STRING>, source STRING")
+        held = []
+        for source in {v.source.batch.name: v.source.batch for v in self.views.values()}.values():
+            at = F.col(source.timestamp_field).cast("timestamp")
+            held.append(source.read(self.spark).agg(F.count(F.lit(1)).alias("rows"), F.min(at).alias("first_event"), F.max(at).alias("last_event"))
+                        .withColumn("source", F.lit(source.name)))
+        if not held:
+            held.append(self.spark.createDataFrame([], "rows BIGINT, first_event TIMESTAMP, last_event TIMESTAMP, source STRING"))
+        out = views.join(F.broadcast(reduce(DataFrame.unionByName, held)), "source", "left")
+        moment = F.lit(None).cast("timestamp") if now is None else instant(now, T.TimestampType())
+        return out.withColumn("age_seconds", F.unix_timestamp(moment) - F.unix_timestamp("last_event"))
 
     def _resolve(self, features: References) -> tuple[list[tuple[str, str]], list[FeatureView], list[OnDemandView]]:
         """Wanted (view, feature) pairs, and the stored and on-demand views they need."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.schema import MODEL_VERSIONS_DDL, RUN_VALUES_DDL, RUNS_DDL
+from tillwatch.operators.ordered import ranked
+from tillwatch.schema import RUN_VALUES_DDL, RUNS_DDL, STAGES_DDL, VERSIONS_DDL
+from tillwatch.session import scratch_path
 from tillwatch.sources.paths import read_table
 
 PRODUCTION, ARCHIVED, NO_STAGE = "Production", "Archived", "None"
@@ -46,21 +50,31 @@ def promote(runs: DataFrame, versions: DataFrame, experiment: str, model: str) -
 
 
 class Tracker:
-    """Append-only tables under one folder; the newest version snapshot is the current one."""
+    """Append-only tables under one folder.
+
+    Runs, parameters and metrics are rows. A version, once registered, never changes; each change of a stage is a
+    row, and the newest one counts. Nothing is copied again. The rows of a registration lie in a folder
+    named by their first number, which must be new: of two writers that start at the same number one fails.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _append(self, rows: list[tuple], ddl: str, table: str) -> None:
-        self.spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
+    def log_runs(self, runs: DataFrame) -> None:
+        """Append runs: ``run_id, experiment, status, best_auc, best_model`` and the maps ``metrics`` and ``params``."""
+        for name in ("params", "metrics"):
+            values = runs.select("run_id", F.explode(F.col(name).cast("map<string,string>")).alias("name", "value"))
+            values.write.mode("append").parquet(f"{self.root}/run_{name}")
+        kept = [c.split()[0] for c in RUNS_DDL.split(", ")]
+        runs.select(kept).write.mode("append").parquet(f"{self.root}/runs")
 
     def log_run(self, run_id: str, experiment: str, metrics: dict[str, float], params: dict[str, object],
                 best_model: str, status: str = "FINISHED") -> None:
-        self._append([(run_id, k, str(v)) for k, v in params.items()], RUN_VALUES_DDL, "run_params")
-        self._append([(run_id, k, str(v)) for k, v in metrics.items()], RUN_VALUES_DDL, "run_metrics")
         auc = metrics.get("best_auc")
-        self._append([(run_id, experiment, status, None if auc is None else float(auc), best_model)],
-                     RUNS_DDL, "runs")
+        row = (run_id, experiment, status, None if auc is None else float(auc), best_model,
+               {k: str(v) for k, v in metrics.items()}, {k: str(v) for k, v in params.items()})
+        ddl = f"{RUNS_DDL}, metrics MAP<STRING, STRING>, params MAP<STRING, STRING>"
+        self.log_runs(self.spark.createDataFrame([row], ddl).coalesce(1))
 
     def runs(self) -> DataFrame:
         return read_table(self.spark, f"{self.root}/runs", RUNS_DDL)
@@ -71,23 +85,34 @@ class Tracker:
     def metrics(self) -> DataFrame:
         return read_table(self.spark, f"{self.root}/run_metrics", RUN_VALUES_DDL)
 
-    def versions(self) -> DataFrame:
-        table = read_table(self.spark, f"{self.root}/model_versions", f"{MODEL_VERSIONS_DDL}, snapshot INT")
-        newest = table.agg(F.max("snapshot")).scalar()
-        return table.filter(F.col("snapshot") == newest).drop("snapshot")
+    def _registered(self) -> DataFrame:
+        return read_table(self.spark, f"{self.root}/model_versions", f"{VERSIONS_DDL}, registration STRING").drop("registration")
 
-    def _next_snapshot(self, versions: DataFrame) -> None:
-        table = read_table(self.spark, f"{self.root}/model_versions", f"{MODEL_VERSIONS_DDL}, snapshot INT")
-        number = (table.agg(F.max("snapshot").alias("n")).first()["n"] or 0) + 1
-        versions.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/model_versions/snapshot={number}")
+    def versions(self) -> DataFrame:
+        """All versions with their newest stage."""
+        changes = read_table(self.spark, f"{self.root}/version_stages", STAGES_DDL)
+        newest = changes.groupBy("name", "version").agg(F.max_by("current_stage", "change").alias("current_stage"))
+        return (self._registered().join(newest, ["name", "version"], "left")
+                .select("name", "version", "run_id", F.coalesce("current_stage", F.lit(NO_STAGE)).alias("current_stage")))
+
+    def register_versions(self, model: str, runs: DataFrame) -> tuple[int, int]:
+        """New versions of ``model`` for the ``run_id``s in their order: gap-free numbers after the last one.
+
+        Returns the first and the last new number. Numbers are ranks in ranges of run ids plus the ranges'
+        offsets, so no task sees all runs.
+        """
+        first = (self._registered().filter(F.col("name") == model).agg(F.max("version").alias("v")).first()["v"] or 0) + 1
+        path = scratch_path(self.spark, "new-versions")
+        runs.select("run_id").write.parquet(path)
+        rows = ranked(self.spark.read.schema("run_id STRING").parquet(path), [], ["run_id"])
+        added = rows.select(F.lit(model).alias("name"), (F.col("_rank") + first).cast("int").alias("version"), "run_id")
+        place = f"{self.root}/model_versions/registration={quote(model, safe='')}-{first}"
+        added.write.mode("errorifexists").parquet(place)
+        return first, first - 1 + self.spark.read.schema(VERSIONS_DDL).parquet(place).count()
 
     def register_version(self, model: str, run_id: str) -> int:
         """A new version of ``model`` for the run; returns its number."""
-        current = self.versions()
-        number = (current.filter(F.col("name") == model).agg(F.max("version").alias("v")).first()["v"] or 0) + 1
-        added = self.spark.createDataFrame([(model, number, run_id, NO_STAGE)], MODEL_VERSIONS_DDL)
-        self._next_snapshot(current.unionByName(added))
-        return number
+        return self.register_versions(model, self.spark.createDataFrame([(run_id,)], "run_id STRING"))[0]
 
     def promote_best(self, experiment: str, model: str) -> bool:
         """Promote the best finished run's version; False when nothing changed."""
@@ -95,8 +120,13 @@ class Tracker:
         if best.isEmpty():
             raise RuntimeError(f"no finished run in experiment '{experiment}'")
         before = self.versions()
-        after = promote(self.runs(), before, experiment, model)
-        if after.exceptAll(before).isEmpty():
-            return False
-        self._next_snapshot(after)
-        return True
+        changed = promote(self.runs(), before, experiment, model).exceptAll(before)
+        last = read_table(self.spark, f"{self.root}/version_stages", STAGES_DDL).agg(F.max("change").alias("n")).first()["n"] or 0
+        rows = changed.select("name", "version", "current_stage", F.lit(last + 1).cast("bigint").alias("change")).persist()
+        try:
+            if rows.isEmpty():
+                return False
+            rows.coalesce(1).write.mode("append").parquet(f"{self.root}/version_stages")
+            return True
+        finally:
+            rows.unpersist()

@@ -15,3 +15,5 @@ FEATURE_COLUMNS = [
 RUNS_DDL = "run_id STRING, experiment STRING, status STRING, best_auc DOUBLE, best_model STRING"
 RUN_VALUES_DDL = "run_id STRING, name STRING, value STRING"
 MODEL_VERSIONS_DDL = "name STRING, version INT, run_id STRING, current_stage STRING"
+VERSIONS_DDL = "name STRING, version INT, run_id STRING"
+STAGES_DDL = "name STRING, version INT, current_stage STRING, change BIGINT"

@@ -7,9 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.session import scratch_path
 from tillwatch.sources.paths import inbox_root, read_table
-from tillwatch.sources.transactions import read_transactions_csv
+from tillwatch.sources.transactions import transaction_csv_stream
 
 MANIFEST_DDL = "file_name STRING, loaded_at TIMESTAMP"
 
@@ -38,23 +37,29 @@ def not_loaded(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def ingest_new_files(spark: SparkSession, folder: str, manifest_path: str, table_path: str,
-                     pattern: str = "*.txt", comment: str | None = "#") -> int:
-    """Append the rows of new files to ``table_path``, then note the files; returns rows added.
+                     pattern: str = "*.txt", comment: str | None = "#", files_per_batch: int = 1000) -> int:
+    """Append the rows of new files to ``table_path``, note the files, and return the rows added.
 
-    Rows carry ``source_file`` and go to a partition of that name which is overwritten, so a run
-    that failed before it noted its files can be repeated without doubling rows. The paths of new files
-    pass through the driver, which Spark's reader asks for; the names are noted by a job.
+    The inbox is a stream of files that runs until all that has arrived is taken, ``files_per_batch`` at a time;
+    the stream's log (``<manifest>_checkpoint``) knows the files. Files noted in the manifest are skipped as well,
+    so a lost log does no harm. Rows carry ``source_file`` and go to a partition of that name which is
+    overwritten, so a batch that runs again does not double rows. A file without rows is not noted.
     """
-    listed = scratch_path(spark, "new-files")
-    not_loaded(list_files(spark, folder, pattern), read_table(spark, manifest_path, MANIFEST_DDL)).write.parquet(listed)
-    fresh = spark.read.parquet(listed)
-    paths = [row.path for row in fresh.select("path").toLocalIterator()]
-    if not paths:
-        return 0
-    rows = read_transactions_csv(spark, paths, comment).withColumn("source_file", _relative(inbox_root(spark, folder)))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source_file").parquet(table_path))
-    (fresh.select("file_name").withColumn("loaded_at", F.current_timestamp())
-     .write.mode("append").parquet(manifest_path))
-    added = spark.read.schema(rows.schema).parquet(table_path)
-    return added.join(fresh, added["source_file"] == fresh["file_name"], "left_semi").count()
+    name, added = _relative(inbox_root(spark, folder)), []
+    stream = (transaction_csv_stream(spark, folder, pattern, comment, files_per_batch).withColumn("source_file", name))
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        known = read_table(spark, manifest_path, MANIFEST_DDL).select(F.col("file_name").alias("source_file"))
+        batch = batch.join(known, "source_file", "left_anti").select(*batch.columns).persist()
+        try:
+            added.append(batch.count())
+            (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(table_path))
+            (batch.select(F.col("source_file").alias("file_name")).distinct().withColumn("loaded_at", F.current_timestamp())
+             .write.mode("append").parquet(manifest_path))
+        finally:
+            batch.unpersist()
+
+    query = (stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{manifest_path.rstrip('/')}_checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return sum(added)

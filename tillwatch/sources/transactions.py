@@ -21,6 +21,16 @@ def read_transactions_csv(spark: SparkSession, path: str | list[str], comment: s
     return df.repartition(partitions) if partitions else df
 
 
+def transaction_csv_stream(spark: SparkSession, path: str, pattern: str, comment: str | None = "#",
+                           files_per_batch: int = 1000) -> DataFrame:
+    """The same files as a stream, however old a file is when it arrives."""
+    reader = (spark.readStream.schema(TRANSACTION_DDL).option("header", "false").option("mode", "PERMISSIVE")
+              .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", "36500d"))
+    if comment:
+        reader = reader.option("comment", comment)
+    return reader.csv(path)
+
+
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
