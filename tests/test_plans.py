@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tillwatch.catalog import batch
 from tillwatch.operators import cleaning, entity_features, quality
-from tillwatch.operators.asof import point_in_time_join
+from tillwatch.operators.asof import AsofTable, asof_carry_all, point_in_time_join
 from tillwatch.catalog.inputs import driver_spine, driver_stats
 
 LAZY = ["quality_profile", "load_report", "class_balance", "dedupe_first", "clean", "customer_terminal_features_orders",
@@ -40,9 +40,18 @@ def test_filters_reach_the_scan(table):
         assert part in plan
 
 
-def test_small_tables_get_the_plain_join(table):
+def test_without_hot_keys_one_shuffle_per_entity(table):
     plan = _plan(entity_features.customer_terminal_features(table))
-    assert plan.count("Join") <= 4 and "_scatter" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_several_tables_share_one_shuffle(spark, folder):
+    """Two sources with the same keys are carried by one window."""
+    stats = driver_stats(spark, folder)
+    one = AsofTable(stats, "event_timestamp", "created", ["conv_rate"])
+    other = AsofTable(stats.selectExpr("driver_id", "event_timestamp + INTERVAL 1 HOUR AS seen", "acc_rate"), "seen", None, ["acc_rate"])
+    plan = _plan(asof_carry_all(driver_spine(spark, folder), [one, other], ["driver_id"], "event_timestamp"))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
 
 
 def test_one_shuffle_per_point_in_time_join(spark, folder):

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tillwatch.operators.asof import point_in_time_join
+from tillwatch.operators.asof import AsofTable, asof_carry_all, point_in_time_join
 from tillwatch.operators.skew import HotKeys
 
 DAY = timedelta(days=1)
@@ -143,3 +143,21 @@ def test_text_that_is_no_time_is_an_error(spark):
     features = spark.createDataFrame([(1, datetime(2024, 1, 1), 1)], "k BIGINT, at TIMESTAMP, v INT")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         point_in_time_join(spine, features, ["k"], "at", "at", ["v"]).collect()
+
+
+@pytest.mark.parametrize("hot", SPLITS)
+def test_several_tables_at_once_equal_one_after_the_other(spark, hot):
+    rnd = random.Random(4)
+
+    def moment():
+        return rnd.choice([None, *[NOON + timedelta(minutes=rnd.randrange(600)) for _ in range(9)]])
+
+    spine = spark.createDataFrame([(i, rnd.choice([1, 2, None]), moment()) for i in range(60)], SPINE_DDL)
+    first = spark.createDataFrame([(rnd.choice([1, 2, None]), moment(), moment(), i) for i in range(60)], FEATURE_DDL)
+    second = spark.createDataFrame([(rnd.choice([1, 2]), None if (t := moment()) is None else str(t), rnd.choice([None, i])) for i in range(60)],
+                                   "k INT, at STRING, w BIGINT")
+    both = asof_carry_all(spine, [AsofTable(first, "event_ts", "created", ["v"]), AsofTable(second, "at", None, ["w"])], ["k"], "ts", hot)
+    got = {r["id"]: (r["_carried_0"] and r["_carried_0"]["v"], r["_carried_1"] and r["_carried_1"]["w"]) for r in both.collect()}
+    one = {r["id"]: r["v"] for r in point_in_time_join(spine, first, ["k"], "ts", "event_ts", ["v"], "created").collect()}
+    two = {r["id"]: r["w"] for r in point_in_time_join(spine, second, ["k"], "ts", "at", ["w"]).collect()}
+    assert got == {i: (one[i], two[i]) for i in one} and len(got) == 60 and both.columns[:3] == ["id", "k", "ts"]

@@ -137,6 +137,22 @@ _historical(["driver_quality_fv:conv_rate", "driver_activity_fv:avg_daily_trips"
             "conv_rate, avg_daily_trips, acc_rate", "multi_view_join")
 
 
+@query(with_parts("""SELECT s.event_id, CAST(CAST(f.conv_rate AS FLOAT) AS DOUBLE) AS conv_rate, CAST(CAST(o.o_totalprice AS FLOAT) AS DOUBLE) AS last_price
+  FROM driver_spine s ASOF LEFT JOIN driver_stats f ON s.driver_id = f.driver_id AND s.event_timestamp >= f.event_timestamp
+  ASOF LEFT JOIN (SELECT user_id AS o_driver, ts AS o_ts, value AS o_totalprice FROM events WHERE event_type = 'click') o
+  ON s.driver_id = o.o_driver AND s.event_timestamp >= o.o_ts + INTERVAL 1 HOUR""", "driver_spine", "driver_stats"))
+def multi_source_join(spark, folder):
+    """Views on two different tables with the same key: one window carries both."""
+    driver = Entity("driver", ("driver_id",))
+    late = FeatureSource("clicks", timestamp_field="seen", table=lambda s: events(s, folder).filter("event_type = 'click'").selectExpr(
+        "user_id AS driver_id", "ts + INTERVAL 1 HOUR AS seen", "value AS last_price"))
+    stats = FeatureSource("stats", created_field="created", table=lambda s: driver_stats(s, folder))
+    views = [FeatureView("rates", (driver,), (Field("conv_rate", "Float32"),), stats),
+             FeatureView("prices", (driver,), (Field("last_price", "Float32"),), late)]
+    out = FeatureStore(spark, views).get_historical_features(driver_spine(spark, folder), ["rates:conv_rate", "prices:last_price"])
+    return _widened(out).select("event_id", "conv_rate", "last_price")
+
+
 @query(with_parts(f"SELECT {SPINE_SQL}, {RATED_SQL} FROM driver_f32", "driver_f32"))
 def performance_metrics_pandas(spark, folder):
     """The same features by a user's pandas function, batch by batch."""

@@ -1,7 +1,7 @@
 """Point-in-time join: the newest feature row at or before each spine row.
 
-Feature and spine rows are tagged, united and carried forward by one window: one shuffle, one
-sort, work linear in the rows whatever the time-to-live.
+Feature rows of one or more tables and spine rows are tagged, united and carried forward by one window: one
+shuffle, one sort, work linear in the rows whatever the time-to-live.
 
 Keys with too many rows for a task go another way. Their rows are first reduced to one per moment
 (newest feature row, or the number of spine rows), then cut into time buckets; each bucket starts
@@ -11,7 +11,9 @@ it has, even when every spine row asks for the same one. The spine rows then loo
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from datetime import timedelta
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,18 +44,20 @@ def _newest(*before: str) -> Column:
     return F.struct(*before, "_created", (-F.col("_tie").cast("decimal(20,0)")).alias("_low"))
 
 
-def _carry_in_window(spine: DataFrame, rows: DataFrame, keys: list[str], spine_ts: str) -> DataFrame:
-    """One window per key over the united rows."""
+def _carry_in_window(spine: DataFrame, tables: list[DataFrame], keys: list[str], spine_ts: str) -> DataFrame:
+    """One window per key over the united rows of all tables: adds ``_carried_0``, ``_carried_1``, ..."""
     payload = F.struct(*[F.col(c) for c in spine.columns])
-    tagged = (rows.withColumns({"_side": F.lit(FEATURE), "_spine": F.lit(None).cast(spine.schema)})
-              .unionByName(spine.select(*keys, F.col(spine_ts).alias("_ts"), F.lit(SPINE).alias("_side"),
-                                        payload.alias("_spine")), allowMissingColumns=True))
+    tagged = spine.select(*keys, F.col(spine_ts).alias("_ts"), F.lit(SPINE).alias("_side"), payload.alias("_spine"))
+    for i, rows in enumerate(tables):
+        tagged = tagged.unionByName(rows.withColumnRenamed("_row", f"_row_{i}").withColumn("_side", F.lit(FEATURE)),
+                                    allowMissingColumns=True)
     so_far = (Window.partitionBy(*keys)
               .orderBy(F.col("_ts").asc_nulls_first(), "_side", F.col("_created").asc_nulls_first(),
                        F.col("_tie").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (tagged.withColumn("_carried", F.last("_row", ignorenulls=True).over(so_far))
-            .filter(F.col("_side") == SPINE).select("_spine.*", "_carried"))
+    carried = [f"_carried_{i}" for i in range(len(tables))]
+    return (tagged.withColumns({c: F.last(f"_row_{i}", ignorenulls=True).over(so_far) for i, c in enumerate(carried)})
+            .filter(F.col("_side") == SPINE).select("_spine.*", *carried))
 
 
 def _carry_in_buckets(spine: DataFrame, rows: DataFrame, keys: list[str], spine_ts: str, bucket: str,
@@ -109,43 +113,65 @@ def _in_reach(features: DataFrame, spine: DataFrame, spine_ts: str, feature_ts:
     return features.filter(kept)
 
 
-def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,
-               created: str | None, fields: list[str], hot_keys: HotKeys = DEFAULT_HOT_KEYS,
-               bucket: str = "minute", ttl: timedelta | None = None) -> DataFrame:
-    """All spine rows and columns plus ``_carried``: struct of ``event_ts`` and ``fields``, or NULL.
+@dataclass(frozen=True)
+class AsofTable:
+    """Feature rows to carry: time column, tie-breaking created column, fields, and the age up to which they matter."""
+
+    rows: DataFrame
+    ts: str
+    created: str | None
+    fields: list[str]
+    ttl: timedelta | None = None
+
+
+def asof_carry_all(spine: DataFrame, tables: list[AsofTable], keys: list[str], spine_ts: str,
+                   hot_keys: HotKeys = DEFAULT_HOT_KEYS, bucket: str = "minute") -> DataFrame:
+    """All spine rows and columns plus ``_carried_0``, ``_carried_1``, ...: struct of ``event_ts`` and the table's
+    fields, or NULL.
 
-    The newest row wins even where its fields are NULL. Equal times match. Ties: newest
-    ``created``, then lowest row hash. ``bucket`` is the ``date_trunc`` unit for hot keys. Keys and
-    times of different types are compared in the type that holds both, times given as text as points in time;
-    spine columns stay as they are. ``ttl``: rows older than that at the first spine row may be left out.
+    All tables are carried by one window: one shuffle and one sort, whatever their number. The newest row of a
+    table wins even where its fields are NULL. Equal times match. Ties: newest created time, then lowest row
+    hash. ``bucket`` is the ``date_trunc`` unit for hot keys. Keys and times of different types are compared in
+    the type that holds all, times given as text as points in time; spine columns stay as they are. Rows older than
+    a table's ``ttl`` at the first spine row may be left out.
     """
     spark = spine.sparkSession
-    wide = {name: _wider(spark, spine.schema[name].dataType, features.schema[name].dataType) for name in keys}
-    wide[spine_ts] = _time_type(spark, spine.schema[spine_ts].dataType, features.schema[feature_ts].dataType)
-    if features.schema[feature_ts].dataType == T.StringType():
-        features = features.withColumn(feature_ts, F.col(feature_ts).cast(wide[spine_ts]))
+    wide = {name: reduce(partial(_wider, spark), [t.rows.schema[name].dataType for t in tables], spine.schema[name].dataType)
+            for name in keys}
+    wide[spine_ts] = reduce(partial(_time_type, spark), [t.rows.schema[t.ts].dataType for t in tables], spine.schema[spine_ts].dataType)
+    tables = [replace(t, rows=t.rows.withColumn(t.ts, F.col(t.ts).cast(wide[spine_ts])))
+              if t.rows.schema[t.ts].dataType == T.StringType() else t for t in tables]
     change = {n: t for n, t in wide.items() if spine.schema[n].dataType != t}
     if change:
         inner = {n: f"_wide_{n}" for n in change}
         widened = spine.withColumns({inner[n]: F.col(n).cast(t) for n, t in change.items()})
-        renamed = features.withColumnsRenamed({n: inner[n] for n in keys if n in change})
-        carried = asof_carry(widened, renamed, [inner.get(k, k) for k in keys], inner.get(spine_ts, spine_ts), feature_ts,
-                             created, fields, hot_keys, bucket, ttl)
-        return carried.select(*spine.columns, "_carried")
-    near = _in_reach(features, spine, spine_ts, feature_ts, ttl)
-    rows = _feature_rows(spine, near, keys, spine_ts, feature_ts, created, fields)
-    found = hot_keys.find([rows, spine], keys, within=[features, spine])
+        renamed = [replace(t, rows=t.rows.withColumnsRenamed({n: inner[n] for n in keys if n in change})) for t in tables]
+        carried = asof_carry_all(widened, renamed, [inner.get(k, k) for k in keys], inner.get(spine_ts, spine_ts), hot_keys, bucket)
+        return carried.select(*spine.columns, *[f"_carried_{i}" for i in range(len(tables))])
+    rows = [_feature_rows(spine, _in_reach(t.rows, spine, spine_ts, t.ts, t.ttl), keys, spine_ts, t.ts, t.created, t.fields)
+            for t in tables]
+    found = hot_keys.find([*rows, spine], keys, within=[*[t.rows for t in tables], spine])
     if found is None:
         return _carry_in_window(spine, rows, keys, spine_ts)
     hot, limit = found
-    marked, marked_rows = mark_hot(spine, hot, keys), mark_hot(rows, hot, keys)
+    marked, marked_rows = mark_hot(spine, hot, keys), [mark_hot(r, hot, keys) for r in rows]
     light = _carry_in_window(marked.filter(~F.col("_hot")).drop("_hot"),
-                             marked_rows.filter(~F.col("_hot")).drop("_hot"), keys, spine_ts)
-    heavy = _carry_in_buckets(marked.filter("_hot").drop("_hot"), marked_rows.filter("_hot").drop("_hot"),
-                              keys, spine_ts, bucket, limit)
+                             [r.filter(~F.col("_hot")).drop("_hot") for r in marked_rows], keys, spine_ts)
+    heavy = marked.filter("_hot").drop("_hot")
+    for i, r in enumerate(marked_rows):
+        heavy = (_carry_in_buckets(heavy, r.filter("_hot").drop("_hot"), keys, spine_ts, bucket, limit)
+                 .withColumnRenamed("_carried", f"_carried_{i}"))
     return light.unionByName(heavy)
 
 
+def asof_carry(spine: DataFrame, features: DataFrame, keys: list[str], spine_ts: str, feature_ts: str,
+               created: str | None, fields: list[str], hot_keys: HotKeys = DEFAULT_HOT_KEYS,
+               bucket: str = "minute", ttl: timedelta | None = None) -> DataFrame:
+    """``asof_carry_all`` for one table; the struct is ``_carried``."""
+    table = AsofTable(features, feature_ts, created, fields, ttl)
+    return asof_carry_all(spine, [table], keys, spine_ts, hot_keys, bucket).withColumnRenamed("_carried_0", "_carried")
+
+
 def within_ttl(carried: Column, spine_ts: Column, ttl: timedelta | None) -> Column:
     """The carried row is fresh enough; the limit itself still counts."""
     found = carried.isNotNull()

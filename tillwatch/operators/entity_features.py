@@ -36,12 +36,13 @@ def customer_terminal_features(df: DataFrame, hot_keys: HotKeys = DEFAULT_HOT_KE
                                as_window: bool = False) -> DataFrame:
     """The five derived columns of the training frame, over all rows of ``df``.
 
-    Both aggregates read ``df`` itself, not the already joined frame: a scan of two columns
-    instead of a second run of the first join. ``as_window`` gives the plain two-window plan.
+    Keys are counted first. Where no key has more rows than a task takes, a window per key needs one shuffle;
+    where one has, aggregate and join back: both aggregates then read ``df`` itself, not the already joined frame.
+    ``as_window`` gives the windows without counting.
     """
     out = df
     for key, (mean, count) in ENTITY_COLUMNS.items():
-        if as_window:
+        if as_window or hot_keys.find([df], [key]) is None:
             whole = Window.partitionBy(key)
             out = out.withColumns({mean: F.avg("tx_amount").over(whole), count: F.count("tx_amount").over(whole)})
         else:

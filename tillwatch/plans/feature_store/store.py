@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwatch.operators.asof import asof_carry, within_ttl
+from tillwatch.operators.asof import AsofTable, asof_carry_all, within_ttl
 from tillwatch.operators.latest import instant, latest_per_entity
 from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_any
 from tillwatch.plans.feature_store.definitions import (
@@ -106,32 +106,34 @@ class FeatureStore:
                                 now: datetime | None = None) -> DataFrame:
         """Each spine row with the features known at its time; all spine columns pass through.
 
-        Views on the same table share one as-of join and differ only in columns and
-        time-to-live. ``tables`` overrides the rows of a source by name. ``now``: the time of every
-        spine row, which makes the join a look-up of the newest rows of that moment.
+        Views on the same table are carried once and differ only in columns and time-to-live; tables with
+        the same keys share one as-of join. ``tables`` overrides the rows of a source by name. ``now``: the time
+        of every spine row, which makes the join a look-up of the newest rows of that moment.
         """
         wanted, stored, computed = self._resolve(features)
-        groups: dict[tuple, list[FeatureView]] = {}
+        groups: dict[tuple, dict[str, list[FeatureView]]] = {}
         for view in stored:
-            groups.setdefault((view.source.batch.name, *view.keys), []).append(view)
+            groups.setdefault(tuple(view.keys), {}).setdefault(view.source.batch.name, []).append(view)
         out = spine
-        for views in groups.values():
-            source, keys = views[0].source.batch, views[0].keys
-            fields = {n: f for v in views for n, f in v.fields.items()}
-            rows = (tables or {}).get(source.name)
-            rows = source.read(self.spark) if rows is None else rows
-            ttls = [v.ttl for v in views]
-            ttl = None if None in ttls else max(ttls)
+        for keys, sources in groups.items():
+            held = []
+            for views in sources.values():
+                source, ttls = views[0].source.batch, [v.ttl for v in views]
+                rows = (tables or {}).get(source.name)
+                fields = list({n: None for v in views for n in v.fields})
+                held.append(AsofTable(source.read(self.spark) if rows is None else rows, source.timestamp_field,
+                                      source.created_field, fields, None if None in ttls else max(ttls)))
             if now is None:
-                out = asof_carry(out, rows, keys, timestamp, source.timestamp_field, source.created_field,
-                                 list(fields), self.hot_keys, ttl=ttl)
+                out = asof_carry_all(out, held, list(keys), timestamp, self.hot_keys)
             else:
-                out = self._newest_at(out, rows, source, keys, list(fields), now, ttl)
-            carried = F.col("_carried")
-            out = out.withColumns({
-                internal_name(v.name, n): F.when(within_ttl(carried, F.col(timestamp), v.ttl),
-                                                 carried[n]).cast(f.spark_type)
-                for v in views for n, f in v.fields.items()}).drop("_carried")
+                for i, table in enumerate(held):
+                    out = self._newest_at(out, table, list(keys), now).withColumnRenamed("_carried", f"_carried_{i}")
+            for i, views in enumerate(sources.values()):
+                carried = F.col(f"_carried_{i}")
+                out = out.withColumns({
+                    internal_name(v.name, n): F.when(within_ttl(carried, F.col(timestamp), v.ttl), carried[n]).cast(f.spark_type)
+                    for v in views for n, f in v.fields.items()})
+            out = out.drop(*[f"_carried_{i}" for i in range(len(held))])
         for view in computed:
             out = view.attach(out)
         return self._project(out, spine.columns, wanted, full_names)
@@ -143,16 +145,14 @@ class FeatureStore:
         return self.get_historical_features(spine.withColumn(timestamp, instant(now, kind)), features,
                                             timestamp, now=now, **options)
 
-    def _newest_at(self, spine: DataFrame, rows: DataFrame, source, keys: list[str], fields: list[str],
-                   now: datetime, ttl: timedelta | None) -> DataFrame:
+    def _newest_at(self, spine: DataFrame, table: AsofTable, keys: list[str], now: datetime) -> DataFrame:
         """``_carried`` for one moment: only rows of the time-to-live are read, one per key is looked up."""
-        at = source.timestamp_field
-        moment = instant(now, rows.schema[at].dataType)
-        known = rows.filter(F.col(at) <= moment)
-        if ttl is not None:
-            known = known.filter(F.col(at) >= moment - F.lit(ttl))
-        newest = latest_per_entity(known, keys, at, source.created_field)
-        carried = F.struct(F.col(at).alias("event_ts"), *[F.col(c) for c in fields]).alias("_carried")
+        moment = instant(now, table.rows.schema[table.ts].dataType)
+        known = table.rows.filter(F.col(table.ts) <= moment)
+        if table.ttl is not None:
+            known = known.filter(F.col(table.ts) >= moment - F.lit(table.ttl))
+        newest = latest_per_entity(known, keys, table.ts, table.created)
+        carried = F.struct(F.col(table.ts).alias("event_ts"), *[F.col(c) for c in table.fields]).alias("_carried")
         return lookup_any(spine, newest.select(*keys, carried), keys, self.hot_keys)
 
     # ----- latest values -----
