@@ -49,8 +49,8 @@ def plain(docs, target, spec):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("spec", [lm_scoring.Bigrams(), lm_scoring.Bigrams(add=0.1, prior=2.0, broadcast=7),
-                                  lm_scoring.Bigrams(broadcast=0)])
+@pytest.mark.parametrize("spec", [lm_scoring.Bigrams(), lm_scoring.Bigrams(add=0.1, prior=2.0, words=4, bigrams=3),
+                                  lm_scoring.Bigrams(words=0, bigrams=0)])
 @pytest.mark.parametrize("target", [TARGET + [("yeti the cat yeti",)], []])
 def test_like_plain_loops(spark, spec, target):
     docs = spark.createDataFrame([(i, t, "x", "y") for i, t in DOCS], SCHEMA)
@@ -74,12 +74,12 @@ def test_empty_corpus(spark):
     assert lm_scoring.cross_entropy_difference(docs, spark.createDataFrame(TARGET, "text string")).count() == 0
 
 
-@pytest.mark.parametrize("broadcast", [1 << 20, 30, 0])
-def test_every_word_and_bigram_counts(spark, broadcast):
-    """What is broadcast and what is joined changes no score: rare words and bigrams have losses of their own."""
+@pytest.mark.parametrize("words, bigrams", [(1 << 16, 1 << 20), (30, 0), (40, 5), (0, 0)])
+def test_every_word_and_bigram_counts(spark, words, bigrams):
+    """What is broadcast and what is dealt out changes no score: rare words and bigrams have losses of their own."""
     rows = DOCS + [(100 + i, " ".join(f"w{i}x{j}" for j in range(20)) + " the cat" * (i % 4)) for i in range(50)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    spec = lm_scoring.Bigrams(broadcast=broadcast)
+    spec = lm_scoring.Bigrams(words=words, bigrams=bigrams)
     got = lm_scoring.cross_entropy_difference(docs, spark.createDataFrame(TARGET, "text string"), spec).collect()
     got = sorted([(str(r["doc_id"]), r["n_tokens"], r["target_loss"], r["background_loss"]) for r in got], key=str)
     want = plain(rows, TARGET, spec)
