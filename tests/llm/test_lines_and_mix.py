@@ -50,6 +50,14 @@ def test_lines_like_plain_loops(docs, most):
     assert sorted(rows, key=str) == want and any(r[3] for r in want) and any(r[1] == "" for r in want)
 
 
+def test_small_hosts_and_names_that_clash(spark):
+    rows = [(h * 10 + i, f"h{h}", f"body {h} {i}\nmenu") for h in range(5) for i in range(4)] + [(99, "alone", "menu\nx")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").withColumn("n_lines", F.lit("mine"))
+    got = lines.drop_boilerplate(docs, counts=True)
+    assert got.columns == ["doc_id", "source", "text", "n_lines", "n_lines_", "n_dropped"]
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {i: t if h == "alone" else t.split("\n")[0] for i, h, t in rows}
+
+
 def test_lines_of_empty_table(docs):
     assert lines.drop_boilerplate(docs.limit(0)).count() == 0
 
@@ -73,7 +81,8 @@ def test_mix_like_plain_loops(docs, most):
     rate = {s: share[s] / sum(share.values()) * len(rows) * 2.0 / n[s] for s in n}
     want = Counter()
     for i, t, s in rows:
-        want[str(i), t, s] += plain_count(rate[s], "" if i is None else i)
+        rest = "|".join(x for x in (t, "en", s, "1", "c", "r", "k", "h") if x is not None)
+        want[str(i), t, s] += plain_count(rate[s], "row:" + hashlib.md5(rest.encode()).hexdigest() if i is None else i)
     got = mixing.mix(docs, size=2.0, broadcast_sources=most)
     assert got.columns == [*docs.columns, "copy_", "rate_", "shuffle_key_"]
     assert Counter((str(r["doc_id"]), r["text"], r["source"]) for r in got.collect()) == Counter({k: v for k, v in want.items() if v})
@@ -96,6 +105,15 @@ def test_poisson_table_of_large_and_small_rates(spark):
         assert abs(mean - rate) < 1e-6 * max(1, rate)
 
 
+def test_rows_without_id_count_each_for_itself(spark):
+    """Their copies are neither all or none, nor in one place of the order."""
+    docs = spark.range(2000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("s").alias("source"), F.col("id").cast("string").alias("text"))
+    got = mixing.mix(docs)
+    counts = [r["n"] for r in got.groupBy("text").agg(F.count("*").alias("n")).collect()]
+    assert abs(sum(counts) - 2000) < 250 and 1100 < len(counts) < 1400 and max(counts) > 2
+    assert got.select("shuffle_key").distinct().count() == got.count()
+
+
 def test_mix_is_native(docs):
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -19,16 +19,17 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 4096
 #: In a search, where only the queries are repeated for each block, blocks are smaller.
 SEARCH_ROWS = 1024
-#: At most so many groups can be hot, so their table has a proven bound and may be broadcast.
+#: Hot groups whose table may be broadcast. ``total`` rows have ``total / limit`` hot groups at most.
 MAX_HOT = 100_000
 
 
 def hot_groups(rows: DataFrame, total: int, limit: int = BLOCK_ROWS) -> DataFrame:
-    """(grp, n_blocks) of groups above ``max(limit, total / MAX_HOT)`` of ``total`` rows."""
-    most = max(limit, total // MAX_HOT)
+    """(grp, n_blocks) of groups above ``limit`` rows; to be broadcast where ``total`` bounds their number, else
+    joined as Spark sees fit."""
     counts = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    return (counts.filter(F.col("n") > most)
-            .select("grp", F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("n_blocks")))
+    hot = (counts.filter(F.col("n") > limit)
+           .select("grp", F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("n_blocks")))
+    return F.broadcast(hot) if total // limit <= MAX_HOT else hot
 
 
 def pair_cells(rows: DataFrame, row_id: str, total: int, limit: int = BLOCK_ROWS) -> DataFrame:
@@ -37,7 +38,7 @@ def pair_cells(rows: DataFrame, row_id: str, total: int, limit: int = BLOCK_ROWS
     ``side`` is 0 for all rows of a cell whose rows are compared with each other, and 1 or 2 where
     only rows of different sides are. Two rows of a group share exactly one cell that compares them.
     """
-    cut = (rows.join(F.broadcast(hot_groups(rows, total, limit)), "grp", "left")
+    cut = (rows.join(hot_groups(rows, total, limit), "grp", "left")
            .withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1))))
     cut = cut.withColumn("own", F.pmod(F.xxhash64(F.col(row_id), F.lit(7)), F.col("n_blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
@@ -58,7 +59,7 @@ def search_cells(queries: DataFrame, query_id: str, rows: DataFrame, row_id: str
     cut_queries = hot_groups(queries, n_queries, limit).withColumnRenamed("n_blocks", "q_blocks")
 
     def side(table: DataFrame, own: str, own_id: str, other: str) -> DataFrame:
-        cut = (table.join(F.broadcast(cut_rows), "grp", "left").join(F.broadcast(cut_queries), "grp", "left")
+        cut = (table.join(cut_rows, "grp", "left").join(cut_queries, "grp", "left")
                .withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
                .withColumn("q_blocks", F.coalesce("q_blocks", F.lit(1))))
         mine = F.pmod(F.xxhash64(F.col(own_id), F.lit(7)), F.col(own)).cast("int")

@@ -9,9 +9,9 @@ from tillwatch.llm.common import fresh, stored
 
 #: A line on more than this share of its host's pages is boilerplate ...
 RATIO = 0.05
-#: ... if it is on so many pages at least, so that small hosts keep their texts.
-MIN_PAGES = 5
-#: Boilerplate lines that may be broadcast (16 bytes each); above, they are joined by a shuffle.
+#: ... if it is on two pages: a share means nothing on a host of one page, which is left alone.
+MIN_PAGES = 2
+#: Boilerplate lines that may be broadcast (32 bytes each); above, they are joined by a shuffle.
 BROADCAST_LINES = 1_000_000
 SALTS = 64
 _BLANKS = " \t\r"
@@ -50,7 +50,8 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO,
                      min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES,
                      counts: bool = False) -> DataFrame:
-    """``docs`` without the boilerplate lines of each host; with ``counts``, n_lines and n_dropped as well.
+    """``docs`` without the boilerplate lines of each host; with ``counts``, n_lines and n_dropped as well (with an
+    underscore where there is a column of that name).
 
     A host has at most (lines of a page / ratio) boilerplate lines. Their number is checked before they are
     broadcast; above ``broadcast_lines`` the texts are joined with their host's lines instead, each host
@@ -74,7 +75,7 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
         F.col(f"`{text}`").isNotNull(), F.array_join(kept, "\n"))
     columns = [clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if counts:
-        columns.append(F.size(lines).cast("bigint").alias("n_lines"))
+        columns.append(F.size(lines).cast("bigint").alias(fresh(docs, "n_lines")))
         columns.append(F.when(F.col(bad).isNull(), 0).otherwise(F.size(lines) - F.size(kept))
-                       .cast("bigint").alias("n_dropped"))
+                       .cast("bigint").alias(fresh(docs, "n_dropped")))
     return joined.select(*columns)

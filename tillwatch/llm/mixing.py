@@ -67,7 +67,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", weights
     The count inverts the Poisson distribution of the source's rate at a number hashed from ``seed`` and the
     id; copies are numbered in ``copy`` and placed by ``shuffle_key``, a hash of seed, id and copy. Both
     depend on the row only, so a repeated task makes the same rows. Rows with equal ids get equal counts;
-    rows without an id count as one id. The number of sources is checked before their rates are broadcast;
+    a digest of its other columns stands for the id of a row that has none. The number of sources is checked before their rates are broadcast;
     above ``broadcast_sources`` each source is spread over SALTS keys and joined.
     """
     rates = stored(source_rates(docs, source, weights, temperature, size), "mix-rates")
@@ -79,9 +79,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", weights
         joined = docs.join(F.broadcast(rates), same)
     else:
         spread = rates.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = docs.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(SALTS)))
+        salted = docs.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(SALTS)))
         joined = salted.join(spread, same & (F.col(salt) == F.col(other)))
-    key = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))
+    others = [F.col(f"`{c}`").cast("string") for c in docs.columns if c != doc_id]
+    key = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.concat(F.lit("row:"), F.md5(F.concat_ws("|", *others))))
     draw = unit(F.lit(str(seed)), key)
     times = F.size(F.filter(F.col(cdf), lambda p: p <= draw))
     copies = F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))

@@ -106,7 +106,7 @@ r AS (SELECT source, pow(n, {mixing.TEMPERATURE}) / all_share * all_n / n AS rat
 p AS (SELECT source, rate, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf
       FROM r, range(0, 400) g(k)),
 cdfs AS (SELECT source, rate, list(cdf) AS cdf FROM p GROUP BY source, rate),
-d AS (SELECT documents.*, rate, '42:' || coalesce(doc_id::VARCHAR, '') AS seeded, cdf
+d AS (SELECT documents.*, rate, '42:' || coalesce(doc_id::VARCHAR, 'row:' || md5(concat_ws('|', text, lang, documents.source, n_chars::VARCHAR))) AS seeded, cdf
       FROM documents JOIN cdfs ON documents.source IS NOT DISTINCT FROM cdfs.source),
 m AS (SELECT *, len(list_filter(cdf, lambda x: x <= ('0x' || substr(md5(seeded), 1, 13))::BIGINT / 4503599627370496.0)) AS times
       FROM d),
