@@ -27,7 +27,7 @@ from tillwatch.llm.cells import whole_cells
 from tillwatch.llm.common import slices, stored
 
 #: Bytes of text whose words are numbered together.
-AT_ONCE = 16 << 20
+AT_ONCE = 4 << 20
 #: Marks of a row: of the target, of a frequent word, the sums of a text.
 AIM, KNOWN, WHOLE = 1, 2, 4
 
