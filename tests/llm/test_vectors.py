@@ -69,6 +69,55 @@ def test_fewer_candidates_and_none(spark, frame):
     assert vector_search.nearest_neighbours(frame, "vec_id < 0").count() == 0
 
 
+def mixed_lengths(spark, kind):
+    draw = np.random.default_rng(9)
+    rows = [(i, draw.normal(size=8 if i < 60 else 4).tolist(), 1) for i in range(111)]
+    rows += [(200 + i, (np.array(rows[i][1]) * 1.7).tolist(), 1) for i in (0, 3, 60, 110)] + [(300, [5.0], 1), (350, [], 1)]
+    return rows, spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>, label int")
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_each_length_is_a_space_of_its_own(spark, kind):
+    """With the registered parameters: every length has results, scores are those of the original numbers."""
+    rows, frame = mixed_lengths(spark, kind)
+    if kind == "float":
+        rows = [(i, np.array(v, np.float32).astype(float).tolist(), x) for i, v, x in rows]
+    vec, got = {i: np.array(v) for i, v, _ in rows}, {}
+    for r in vector_search.nearest_neighbours(frame, "vec_id % 50 = 0").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == {0, 50, 100, 200}
+    for q, found in got.items():
+        near = sorted((-float(vec[q] @ v) / math.sqrt(float(vec[q] @ vec[q]) * float(v @ v)), i) for i, v in vec.items()
+                      if i != q and len(v) == len(vec[q]))[:5]
+        assert [k for k, _, _ in sorted(found)] == [1, 2, 3, 4, 5]
+        assert all(abs(s + c) < 1e-14 for (_, _, s), (c, _) in zip(sorted(found), near))
+        assert all(len(vec[v]) == len(vec[q]) for _, v, _ in found)
+    links = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(frame).collect()}
+    assert all(links[200 + i] == links[i] and links[i][0] >= 1 for i in (0, 3, 60, 110)) and links[300] == (0, 300) and links[350] == (0, 350)
+
+
+def test_more_tables_or_a_scan_where_probes_do_not_reach(spark):
+    draw = np.random.default_rng(1)
+    rows = [(i, draw.normal(size=24).tolist(), 1) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    vec, hits = np.array([v for _, v, _ in rows]), 0
+    unit = vec / np.sqrt((vec * vec).sum(1))[:, None]
+    for most in (1, 64):
+        spec = vector_search.Search(tables=1, hashes=12, most_probes=3, most_tables=most)
+        for r in vector_search.nearest_neighbours(frame, "vec_id % 50 = 0", spec).collect():
+            near = np.argsort(-(unit[r["query_id"]] @ unit.T), kind="stable")[1:6]
+            hits += r["vec_id"] in near
+    assert hits >= 0.9 * 2 * 8 * 5
+
+
+@pytest.mark.parametrize("kind, labels", [("double", (1.2, 1.2, 1.9)), ("string", ("a", "a", "b")), ("date", ("2024-01-01", "2024-01-01", "2024-01-02"))])
+def test_labels_of_any_type(spark, kind, labels):
+    rows = [(i, [1.0, 2.0, 3.0 + i / 1000], str(x)) for i, x in enumerate(labels)] + [(9, [1.0, 2.0, 3.0], None)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label string").selectExpr("vec_id", "embedding", f"CAST(label AS {kind}) AS label")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(frame).collect()}
+    assert got == {0: (1, 0), 1: (1, 0), 2: (0, 2), 9: (0, 9)}
+
+
 def test_links_like_brute_force(frame, monkeypatch):
     rows = vectors()
     n = len(rows)

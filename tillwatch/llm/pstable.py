@@ -15,6 +15,7 @@ from functools import cached_property
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def collision(distance: float, width: float) -> float:
@@ -99,19 +100,22 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
-def usual_length(df: DataFrame, embedding: str) -> int:
-    """The most frequent vector length (ties: the smaller); 0 without vectors."""
-    row = (df.filter(F.col(embedding).isNotNull()).groupBy(F.size(embedding).alias("n")).count()
-           .orderBy(F.desc("count"), "n").first())
-    return row["n"] if row else 0
+def numbers(df: DataFrame, embedding: str) -> str:
+    """Type in which the vectors are kept: their own for float, double for any other number."""
+    return "float" if df.schema[embedding].dataType.elementType == T.FloatType() else "double"
 
 
-def usable(embedding: str, dim: int) -> Column:
-    """Vectors of ``dim`` finite numbers that are not all zero."""
+def lengths(df: DataFrame, embedding: str) -> list[int]:
+    """The lengths that occur. Vectors of one length are a space of their own: no cosine joins two lengths."""
+    found = df.filter(F.col(embedding).isNotNull()).select(F.size(embedding)).distinct().collect()
+    return sorted(r[0] for r in found if r[0])
+
+
+def usable(embedding: str) -> Column:
+    """Vectors of finite numbers that are not all zero."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     column = F.col(embedding)
-    return F.coalesce((F.size(column) == dim) & F.forall(column, finite) & F.exists(column, lambda x: x != 0),
-                      F.lit(False))
+    return F.coalesce(F.forall(column, finite) & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
 def same_vector(*columns: str) -> list[Column]:

@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tillwatch.llm.cells import dealt, pair_cells, roots, runs, small_pairs, whole_cells
 from tillwatch.llm.common import matrix, stored
 from tillwatch.llm.components import connected
-from tillwatch.llm.pstable import PStable, cosine, same_vector, tables_for, units, usable, usual_length
+from tillwatch.llm.pstable import PStable, cosine, lengths, numbers, same_vector, tables_for, units, usable
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,7 @@ def _pairs(cell, side, unit, least):
                 yield a[kept][c:c + (1 << 16)], b[kept][c:c + (1 << 16)]
 
 
-def vector_links(entries: DataFrame, index: PStable, n_entries: int, spec: NearVectors) -> DataFrame:
+def vector_links(entries: DataFrame, index: PStable, n_entries: int, spec: NearVectors, kind: str) -> DataFrame:
     """From entries (row_id, label, weight, vec) rows (a, b, n).
 
     With ``b``: a link; those returned span the components. Without: ``a`` has links to ``n`` vectors more.
@@ -56,7 +57,7 @@ def vector_links(entries: DataFrame, index: PStable, n_entries: int, spec: NearV
     def spread(batches):
         for batch in batches:
             grp = index.buckets(units(matrix(batch.column("vec"), index.dim)))
-            label = batch.column("label").to_numpy()
+            label = pd.util.hash_array(batch.column("label").to_numpy(zero_copy_only=False).astype(object))
             with np.errstate(over="ignore"):
                 grp = grp ^ (label.astype(np.int64) * np.int64(-7046029254386353131))[:, None]
             take = pa.array(np.repeat(np.arange(batch.num_rows), index.tables))
@@ -67,8 +68,8 @@ def vector_links(entries: DataFrame, index: PStable, n_entries: int, spec: NearV
 
     def work(batches):
         for part in whole_cells(batches):
-            cell, side, tab, label, weight, row_id = (
-                part.column(c).to_numpy() for c in ("cell", "side", "tab", "label", "weight", "row_id"))
+            cell, side, tab, weight, row_id = (part.column(c).to_numpy() for c in ("cell", "side", "tab", "weight", "row_id"))
+            label = np.asarray(part.column("label").combine_chunks().dictionary_encode().indices)
             vectors = matrix(part.column("vec").combine_chunks(), index.dim)
             unit = units(vectors)
             nodes, node = np.unique(row_id, return_inverse=True)
@@ -101,7 +102,7 @@ def vector_links(entries: DataFrame, index: PStable, n_entries: int, spec: NearV
                 pa.array(np.concatenate([more[some], np.zeros(len(tied), np.int64)]))], ["a", "b", "n"])
 
     rows = entries.mapInArrow(
-        spread, "grp bigint, tab int, row_id bigint, label bigint, weight bigint, vec array<float>")
+        spread, f"grp bigint, tab int, row_id bigint, label string, weight bigint, vec array<{kind}>")
     cells = pair_cells(rows, "row_id", n_entries * index.tables)
     return dealt(cells.select("cell", "side", "tab", "row_id", "label", "weight", "vec")).mapInArrow(
         work, "a bigint, b bigint, n bigint")
@@ -111,28 +112,28 @@ def near_vectors(vectors: DataFrame, spec: NearVectors = NearVectors(), vec_id:
                  embedding: str = "embedding", label: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors``.
 
-    Rows of equal, not NULL label link when the cosine of their vectors, in double precision, reaches
-    ``spec.cosine`` and they share a bucket. Vectors that are NULL, zero, of another than the usual length,
-    or hold NULL or non-finite numbers link with nothing, neither do rows without an id. Equal vectors of a
-    label are one entry with a weight; links are counted in cells of bounded size and never written out.
+    Rows of equal, not NULL label, of whatever type, link when the cosine of their vectors, in double precision,
+    reaches ``spec.cosine`` and they share a bucket. Vectors that are NULL, empty, zero, or hold NULL or non-finite
+    numbers link with nothing, neither do rows without an id; vectors of different lengths do not link. Equal
+    vectors of a label are one entry with a weight; links are counted in cells of bounded size and never written out.
     """
-    dim = usual_length(vectors, embedding)
-    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).alias("vec"),
-                          F.col(label).cast("bigint").alias("label"))
-    good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable("vec", dim)
+    kind = numbers(vectors, embedding)
+    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast(f"array<{kind}>").alias("vec"),
+                          F.col(label).cast("string").alias("label"))
+    good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable("vec")
     rows = rows.withColumn("good", good).select("vec_id", "vec", "label", "good", *same_vector("label", "vec"))
     entries = stored(rows.filter("good").groupBy("h1", "h2").agg(
         F.min("vec_id").alias("row_id"), F.first("label").alias("label"), F.count(F.lit(1)).alias("weight"),
-        F.first("vec").cast("array<float>").alias("vec")), "vector-entries")
-    n = entries.count()
-    if n:
+        F.first("vec").alias("vec")), "vector-entries")
+    links = vectors.sparkSession.createDataFrame([], "a bigint, b bigint, n bigint")
+    for dim in lengths(entries, "vec"):
+        # one row of two entries may be the smallest id of both: number the entries by their own hash
+        named = entries.filter(F.size("vec") == dim).select(F.col("h1").alias("row_id"), "label", "weight", "vec")
+        n = named.count()
         hashes = spec.hashes or max(2, round(0.5 * math.log2(n)))
         tables = tables_for(math.sqrt(2 - 2 * spec.cosine), spec.width, hashes, spec.found)
-        # one row of two entries may be the smallest id of both: number the entries by their own hash
-        named = entries.select(F.col("h1").alias("row_id"), "label", "weight", "vec")
-        links = stored(vector_links(named, PStable(dim, tables, hashes, spec.width, spec.seed), n, spec), "vector-links")
-    else:
-        links = vectors.sparkSession.createDataFrame([], "a bigint, b bigint, n bigint")
+        found = vector_links(named, PStable(dim, tables, hashes, spec.width, spec.seed), n, spec, kind)
+        links = links.unionByName(stored(found, "vector-links"))
     counts = links.filter("b IS NULL").groupBy("a").agg(F.sum("n").alias("more"))
     reach = connected(links.filter("b IS NOT NULL"), "a", "b", "vector-components")
     known = (entries.select("h1", "h2", "row_id", "weight").join(counts, F.col("h1") == F.col("a"), "left")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.llm.cells import dealt, runs, search_cells, whole_cells
 from tillwatch.llm.common import matrix, stored
-from tillwatch.llm.pstable import PStable, cosine, same_vector, units, usable, usual_length
+from tillwatch.llm.pstable import PStable, cosine, lengths, numbers, same_vector, units, usable
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,7 @@ class Search:
     recall: float = 0.97
     sample: int = 128
     most_probes: int = 512
+    most_tables: int = 32
     seed: int = 42
 
 
@@ -93,8 +95,9 @@ def scan(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, dim:
                    n_queries, n_rows, dim, k)
 
 
-def _fit(index: PStable, queries: DataFrame, rows: DataFrame, n_rows: int, spec: Search) -> int:
-    """Probes per table that find ``recall`` of the true neighbours of a sample of the queries."""
+def _fit(index: PStable, queries: DataFrame, rows: DataFrame, n_rows: int, spec: Search) -> int | None:
+    """Probes per table that find ``recall`` of the true neighbours of a sample of the queries; None where
+    that takes more than ``most_probes``."""
     sample = stored(queries.orderBy(F.xxhash64("row_id", F.lit(5)), "row_id").limit(spec.sample), "ann-sample")
     asked = {r["row_id"]: np.array(r["vec"], float) for r in sample.collect()}
     true = scan(sample, rows, len(asked), n_rows, index.dim, spec.k).collect()
@@ -115,10 +118,11 @@ def _fit(index: PStable, queries: DataFrame, rows: DataFrame, n_rows: int, spec:
         visits += first.tolist()
     if not visits:
         return 1
-    return min(spec.most_probes, int(np.quantile(visits, spec.recall, method="higher")) + 1)
+    wanted = int(np.quantile(visits, spec.recall, method="higher")) + 1
+    return wanted if wanted <= spec.most_probes else None
 
 
-def _indexed(rows: DataFrame, index: PStable) -> DataFrame:
+def _indexed(rows: DataFrame, index: PStable, kind: str) -> DataFrame:
     def work(batches):
         for batch in batches:
             grp = index.buckets(units(matrix(batch.column("vec"), index.dim)))
@@ -128,10 +132,10 @@ def _indexed(rows: DataFrame, index: PStable) -> DataFrame:
                 ["grp", "row_id", "vec", "ids"])
 
     return rows.select("row_id", "vec", "ids").mapInArrow(
-        work, "grp bigint, row_id bigint, vec array<float>, ids array<bigint>")
+        work, f"grp bigint, row_id bigint, vec array<{kind}>, ids array<bigint>")
 
 
-def _probes(queries: DataFrame, index: PStable, n_probes: int) -> DataFrame:
+def _probes(queries: DataFrame, index: PStable, n_probes: int, kind: str) -> DataFrame:
     def work(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -150,7 +154,7 @@ def _probes(queries: DataFrame, index: PStable, n_probes: int) -> DataFrame:
                     [pa.array(np.concatenate(grp)), *(part.column(c).take(take) for c in ("row_id", "vec"))],
                     ["grp", "row_id", "vec"])
 
-    return queries.select("row_id", "vec").mapInArrow(work, "grp bigint, row_id bigint, vec array<float>")
+    return queries.select("row_id", "vec").mapInArrow(work, f"grp bigint, row_id bigint, vec array<{kind}>")
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, spec: Search = Search(), vec_id: str = "vec_id",
@@ -158,22 +162,28 @@ def nearest_neighbours(vectors: DataFrame, is_query, spec: Search = Search(), ve
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each row that ``is_query`` chooses.
 
     Nearness is the cosine in double precision of the original vectors; ties go to the smaller id; a row is
-    never its own neighbour. Vectors that are NULL, zero, of another than the usual length, or hold NULL or
-    non-finite numbers take no part, neither do rows without an id. Rows of one id and vector count once.
-    Equal vectors are one entry of the index, with the k + 1 smallest ids, which is all a result can need:
-    a large group of copies is not searched copy by copy. A query that found fewer than ``k`` rows is
-    compared with all of them.
+    never its own neighbour. Vectors that are NULL, empty, zero, or hold NULL or non-finite numbers take no part,
+    neither do rows without an id; vectors of different lengths are not compared. Rows of one id and vector
+    count once. Equal vectors are one entry of the index, with the k + 1 smallest ids, which is all a result can
+    need: a large group of copies is not searched copy by copy. A query that found fewer than ``k`` rows is
+    compared with all of them. Where ``most_probes`` per table do not reach the recall, tables are doubled, up to
+    ``most_tables``, and beyond that all queries are compared with all rows, in blocks.
     """
     spark = vectors.sparkSession
-    dim = usual_length(vectors, embedding)
-    if not dim:
-        return spark.createDataFrame([], RESULT)
-    rows = (vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).alias("vec"))
-            .filter(F.col("vec_id").isNotNull() & usable("vec", dim)))
+    kind = numbers(vectors, embedding)
+    rows = (vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast(f"array<{kind}>").alias("vec"))
+            .filter(F.col("vec_id").isNotNull() & usable("vec")))
+    found = [_nearest_of(rows.filter(F.size("vec") == dim), dim, kind, is_query, spec) for dim in lengths(rows, "vec")]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], RESULT)
+
+
+def _nearest_of(rows: DataFrame, dim: int, kind: str, is_query, spec: Search) -> DataFrame:
+    """The same for usable vectors (vec_id, vec) of one length."""
+    spark = rows.sparkSession
     rows = rows.select("vec_id", "vec", *same_vector("vec")).dropDuplicates(["vec_id", "h1", "h2"])
     alike = Window.partitionBy("h1", "h2").orderBy("vec_id")
     entries = stored(rows.withColumn("n", F.row_number().over(alike)).filter(F.col("n") <= spec.k + 1)
-                     .groupBy("h1", "h2").agg(F.min("vec_id").alias("row_id"), F.first("vec").cast("array<float>").alias("vec"),
+                     .groupBy("h1", "h2").agg(F.min("vec_id").alias("row_id"), F.first("vec").alias("vec"),
                                               F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-entries")
     asked = stored(rows.filter(is_query).select("vec_id", "h1", "h2")
                    .join(entries.select("h1", "h2", "row_id"), ["h1", "h2"])
@@ -184,10 +194,17 @@ def nearest_neighbours(vectors: DataFrame, is_query, spec: Search = Search(), ve
     if not n_queries:
         return spark.createDataFrame([], RESULT)
     hashes = spec.hashes or max(2, round(0.4 * math.log2(n_rows)))
-    index = PStable(dim, spec.tables, hashes, spec.width, spec.seed)
-    n_probes = _fit(index, queries, entries, n_rows, spec)
-    found = stored(_search(_probes(queries, index, n_probes), _indexed(entries, index), n_queries * spec.tables * n_probes,
-                           n_rows * spec.tables, dim, spec.k), "ann-found")
+    tables, n_probes = spec.tables, None
+    while n_probes is None and tables <= spec.most_tables:
+        index = PStable(dim, tables, hashes, spec.width, spec.seed)
+        n_probes = _fit(index, queries, entries, n_rows, spec)
+        tables *= 2
+    if n_probes is None:
+        found = scan(queries, entries, n_queries, n_rows, dim, spec.k)
+    else:
+        found = _search(_probes(queries, index, n_probes, kind), _indexed(entries, index, kind), n_queries * index.tables * n_probes,
+                        n_rows * index.tables, dim, spec.k)
+    found = stored(found, "ann-found")
     n_ids = rows.select("vec_id").distinct().limit(spec.k + 2).count()
     few = (queries.join(found.groupBy("query").agg(F.count(F.lit(1)).alias("n")), F.col("row_id") == F.col("query"), "left")
            .filter(F.coalesce("n", F.lit(0)) < min(spec.k + 1, n_ids)).select("row_id", "vec"))
