@@ -83,7 +83,7 @@ def test_checksum_is_that_of_the_decimal_id(spark):
 
 def test_a_large_group_is_ranked_in_many_tasks(spark):
     rows = spark.range(20_000).select((F.col("id") % 7).cast("string").alias("g"), F.lit(1).alias("same"))
-    path = manifest.stored(rows.withColumn("g", F.when(F.col("g") < "5", "hot").otherwise(F.col("g"))), "test-ranked")
-    got = manifest.ranked(path, ["g"], ["same"])
+    table = manifest.stored(rows.withColumn("g", F.when(F.col("g") < "5", "hot").otherwise(F.col("g"))), "test-ranked")
+    got = manifest.ranked(table, ["g"], ["same"])
     assert got.groupBy("g").agg(F.countDistinct("_rank").alias("d"), F.max("_rank").alias("m"), F.max("_n").alias("n"), F.count("*").alias("c")).filter(
         "d <> c or m <> c - 1 or n <> c").isEmpty()
