@@ -24,6 +24,7 @@ from tillwatch.operators import cleaning, entity_features, evaluation, history,
 from tillwatch.operators.skew import HotKeys
 from tillwatch.plans import training
 from tillwatch.plans.amount_history import EntityHistories
+from tillwatch.plans.amount_sketches import RANK_ERROR, AmountSketches
 from tillwatch.schema import FEATURE_COLUMNS, TRANSACTION_COLUMNS
 from tillwatch.session import scratch_path
 from tillwatch.sources import incremental, metrics
@@ -148,6 +149,27 @@ def iqr_bounds_approximate(spark, folder):
         (within("t1", 0.25, quarter) & within("t3", 0.75, quarter) & within("tm", 0.5, half)).alias("same_by_tree"))
 
 
+@query(with_parts("SELECT tx_time_days < 20 AS early, count(*) AS n, true AS fences_within FROM tx_raw WHERE tx_amount IS NOT NULL GROUP BY 1", "tx_raw"))
+def period_fences(spark, folder):
+    """Quartiles and median of two periods from daily sketches: their ranks among the period's rows lie within the error."""
+    rows = transactions(spark, folder)
+    sketches = AmountSketches(spark, scratch_path(spark, "sketches"))
+    for name, load in (("early", EARLY), ("late", LATE)):
+        sketches.extend(rows.filter(load), name)
+    out = []
+    for early, first, last in ((True, None, 19), (False, 20, None)):
+        found = sketches.stats(first, last)
+        placed = rows.filter(f"(tx_time_days < 20) = {early} AND tx_amount IS NOT NULL").select(
+            "tx_amount", *[found.select(c).scalar().alias(c) for c in ("q1", "median", "q3")])
+        within = [(F.count_if(F.col("tx_amount") < F.col(c)) <= (share + RANK_ERROR) * F.count("tx_amount"))
+                  & (F.count_if(F.col("tx_amount") <= F.col(c)) >= (share - RANK_ERROR) * F.count("tx_amount"))
+                  for c, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
+        counted = sketches.distribution([0.0], first, last).select("n").scalar()
+        out.append(placed.agg((within[0] & within[1] & within[2]).alias("fences_within"), F.max(counted).alias("n"))
+                   .select(F.lit(early).alias("early"), "n", "fences_within"))
+    return out[0].unionByName(out[1])
+
+
 @query(with_parts("SELECT tx_fraud, count(*) AS rows, "
                   "CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM tx_raw) AS share FROM tx_raw GROUP BY 1", "tx_raw"))
 def class_balance(spark, folder):
