@@ -234,3 +234,33 @@ def test_means_of_training_rows_travel_with_the_pipeline(spark, clean, tmp_path)
 def test_empty_training_stops(spark):
     with pytest.raises(Exception):
         T.train_and_compare(spark.createDataFrame([], TRANSACTION_DDL))
+
+
+def test_search_equals_a_plain_loop(spark, folder):
+    """Each candidate's area is that of a fit of its own, by a plain loop over pairs of rows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from tillwatch.catalog import batch
+
+    options = T.TrainingOptions(max_iter=5, handle_null="impute")
+    frame = T.training_frame(batch.clean_table(spark, folder), options).persist()
+    found = T.grid_search(frame, options, (0.01, 1.0), (0.0,))
+    cut = frame.agg(F.percentile_approx("tx_time_seconds", options.train_share, 10_000)).first()[0]
+    train, test = frame.filter(F.col("tx_time_seconds") <= cut), frame.filter(F.col("tx_time_seconds") > cut)
+    assert (found.train_rows, found.test_rows) == (train.count(), test.count()) and found.test_rows > 100
+    for row in found.candidates.collect():
+        model = T.candidate_models(options)["logistic_regression"]
+        columns = [f"{c}{T.FILLED}" for c in FEATURE_COLUMNS]
+        fitted = Pipeline(stages=[T.imputer(train), T.assembler(columns), T.scaler(), model.copy({model.regParam: row["reg_param"]})]).fit(train)
+        scored = fitted.transform(test).select(T.LABEL, vector_to_array("probability")[1].alias("p")).collect()
+        pos, neg = [r["p"] for r in scored if r[0] == 1], [r["p"] for r in scored if r[0] == 0]
+        area = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+        assert row["auc"] == pytest.approx(area, abs=1e-9)
+    frame.unpersist()
+
+
+def test_roc_areas_with_ties(spark):
+    rows = [("a", 0.5, 1), ("a", 0.5, 0), ("a", 0.7, 1), ("a", 0.1, 0), ("b", 0.3, 1), ("c", 0.2, 0), ("d", 0.1, 1), ("d", 0.9, 0)]
+    frame = spark.createDataFrame(rows, "g STRING, s DOUBLE, y INT")
+    assert {r["g"]: r["auc"] for r in T.roc_areas(frame, "g", "s", "y").collect()} == {"a": 0.875, "b": None, "c": None, "d": 0.0}

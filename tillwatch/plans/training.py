@@ -8,10 +8,8 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +17,7 @@ from tillwatch.functions.amounts import safe_ratio
 from tillwatch.operators.entity_features import ENTITY_COLUMNS, customer_terminal_features
 from tillwatch.operators.evaluation import confusion_matrix, curve_areas, score_curve, weighted_prf
 from tillwatch.operators.history import with_earlier_amounts
+from tillwatch.operators.ordered import ranked
 from tillwatch.operators.sampling import random_split, sample_by_key, sample_fraction, split_by_key
 from tillwatch.plans.tracking import best_of_models
 from tillwatch.schema import FEATURE_COLUMNS
@@ -218,18 +217,71 @@ def score(features: DataFrame, pipeline: Transformer, column: str = "score",
     return back.withColumn(column, F.when(known, F.col("_score"))).drop("_score")
 
 
-def grid_search(train: DataFrame, options: TrainingOptions = TrainingOptions(),
-                reg_params: tuple[float, ...] = (0.001, 0.01, 0.1),
-                elastic: tuple[float, ...] = (0.0, 0.5), parallelism: int = 2) -> TrainValidationSplitModel:
-    """Parameter search over logistic regression, one validation split per candidate."""
-    model = candidate_models(options)["logistic_regression"]
-    grid = (ParamGridBuilder().addGrid(model.regParam, list(reg_params))
-            .addGrid(model.elasticNetParam, list(elastic)).build())
-    by = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", numBins=0)
-    search = TrainValidationSplit(estimator=Pipeline(stages=[assembler(), scaler(), model]),
-                                  estimatorParamMaps=grid, evaluator=by, trainRatio=0.8,
-                                  parallelism=parallelism, seed=options.seed)
-    return search.fit(train)
+@dataclass
+class Searched:
+    """``candidates``: number, parameters and ROC area of each; ``best``: the pipeline of the first best one."""
+
+    candidates: DataFrame
+    best: PipelineModel
+    train_rows: int
+    test_rows: int
+
+
+def roc_areas(scored: DataFrame, group: str, score: str, label: str) -> DataFrame:
+    """(group, auc): the exact area under each group's ROC curve, ties counted half, from ranks.
+
+    One sort in ranges for all groups together; no task holds a whole group. ``scored`` is a stored or
+    persisted frame. A group without positives or negatives has a NULL area.
+    """
+    rows = ranked(scored.select(group, score, label), [group], [score])
+    ties = rows.groupBy(group, score).agg(F.min("_rank").alias("first"), F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos"))
+    sums = ties.groupBy(group).agg(
+        F.sum(F.col("pos") * (F.col("first") + (F.col("n") + 1) / 2)).alias("ranks"), F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    pos, neg = F.col("pos").cast("double"), (F.col("n") - F.col("pos")).cast("double")
+    return sums.select(group, F.try_divide(F.col("ranks") - pos * (pos + 1) / 2, pos * neg).alias("auc"))
+
+
+def grid_search(frame: DataFrame, options: TrainingOptions = TrainingOptions(),
+                reg_params: tuple[float, ...] = (0.001, 0.01, 0.1), elastic: tuple[float, ...] = (0.0, 0.5),
+                time: str = "tx_time_seconds") -> Searched:
+    """Parameter search over logistic regression, validated on the rows after those it is trained on.
+
+    ``frame``: model rows of ``training_frame``, whose features see earlier rows only. The earliest
+    ``options.train_share`` of the rows trains, the rest validates, so no candidate is judged on the past of its
+    training rows. Scaler and means are fitted once, on training rows. All candidates score the validation rows in
+    one pass, and their areas come from one sort.
+    """
+    spark = frame.sparkSession
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    held: list[DataFrame] = []
+    try:
+        cut = frame.agg(F.percentile_approx(time, options.train_share, 10_000)).first()[0]
+        train, test = frame.filter(F.col(time) <= cut), frame.filter(F.col(time) > cut)
+        stages = [imputer(train)] if options.handle_null == "impute" else []
+        columns = [f"{c}{FILLED}" for c in FEATURE_COLUMNS] if stages else FEATURE_COLUMNS
+        ready = Pipeline(stages=[*stages, assembler(columns), scaler()]).fit(train)
+        ready_train = ready.transform(train).select(LABEL, "scaled_features").persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(ready_train)
+        model = candidate_models(options)["logistic_regression"]
+        grid = [(r, e) for r in reg_params for e in elastic]
+        fitted = [model.copy({model.regParam: r, model.elasticNetParam: e}).fit(ready_train) for r, e in grid]
+        scored = ready.transform(test)
+        for i, one in enumerate(fitted):
+            scored = (one.transform(scored).withColumn(f"_score_{i}", vector_to_array(F.col("probability"))[1])
+                      .drop("rawPrediction", "probability", "prediction"))
+        scores = F.array(*[F.struct(F.lit(i).alias("candidate"), F.col(f"_score_{i}").alias("score")) for i in range(len(grid))])
+        long = scored.select(F.col(LABEL).alias("label"), F.explode(scores).alias("s")).select("s.candidate", "s.score", "label")
+        long = long.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(long)
+        areas = {r["candidate"]: r["auc"] for r in roc_areas(long, "candidate", "score", "label").collect()}
+        counted = train.count(), test.count()
+    finally:
+        for one in (*held, frame):
+            one.unpersist()
+    rows = [(i, r, e, areas.get(i)) for i, (r, e) in enumerate(grid)]
+    best = max(range(len(grid)), key=lambda i: (areas.get(i) if areas.get(i) is not None else -1.0, -i))
+    found = spark.createDataFrame(rows, "candidate INT, reg_param DOUBLE, elastic DOUBLE, auc DOUBLE")
+    return Searched(found, PipelineModel(stages=[*ready.stages, fitted[best]]), *counted)
 
 
 def run_training(spark: SparkSession, clean_path: str, tracker, model_root: str, metrics_path: str, run_id: str,
