@@ -25,15 +25,15 @@ from tillwatch.plans.feature_store.store import sorted_listing
 
 STATS_DDL = ("driver_id BIGINT, event_timestamp TIMESTAMP, created TIMESTAMP, conv_rate FLOAT, acc_rate FLOAT, "
              "avg_daily_trips BIGINT")
-T0 = datetime(2021, 4, 12)
+T0 = datetime(2023, 10, 2)
 
 
 def _hours(n):
     return T0 + timedelta(hours=n)
 
 
-ROWS = [(1001, _hours(8), _hours(8), 0.5, 0.25, 10), (1001, _hours(10), _hours(10), 0.75, 0.5, 20),
-        (1002, _hours(7), _hours(7), 0.125, 1.0, 7), (1003, _hours(-20), _hours(-20), 0.5, 0.5, 1)]
+ROWS = [(61, _hours(8), _hours(8), 0.5, 0.25, 10), (61, _hours(10), _hours(10), 0.75, 0.5, 20),
+        (62, _hours(7), _hours(7), 0.125, 1.0, 7), (63, _hours(-20), _hours(-20), 0.5, 0.5, 1)]
 
 
 @pytest.fixture
@@ -46,13 +46,13 @@ def store(spark, tmp_path):
 
 @pytest.fixture
 def spine(spark):
-    rows = [(1001, _hours(10.5), 4, 1, 10), (1002, _hours(9), 9, 2, 20), (1003, _hours(17), 0, 3, 30)]
+    rows = [(61, _hours(11.25), 4, 3, 41), (62, _hours(9), 9, 5, 17), (63, _hours(18), 0, 8, 2)]
     return spark.createDataFrame(rows, "driver_id BIGINT, event_timestamp TIMESTAMP, stars BIGINT, "
                                        "val_to_add BIGINT, val_to_add_2 BIGINT")
 
 
 def _requests(spark):
-    return spark.createDataFrame([(1001, 1000, 2000), (1002, 1001, 2002), (7, 1, 1)],
+    return spark.createDataFrame([(61, 500, 900), (62, 11, 13), (7, 1, 1)],
                                  "driver_id BIGINT, val_to_add BIGINT, val_to_add_2 BIGINT")
 
 
@@ -68,9 +68,9 @@ def test_historical(store, spine):
     assert kinds["conv_rate"] == "float" and kinds["conv_rate_plus_val1"] == "double"
     assert kinds["avg_daily_trips"] == "bigint"
     rows = _by_driver(out)
-    assert rows[1001]["conv_rate"] == 0.75 and rows[1001]["conv_rate_plus_val2"] == 10.75
-    assert rows[1002]["stars"] == 9 and rows[1002]["conv_rate_plus_val1"] == 2.125
-    assert rows[1003]["conv_rate"] is None and rows[1003]["conv_rate_plus_val1"] is None  # older than a day
+    assert rows[61]["conv_rate"] == 0.75 and rows[61]["conv_rate_plus_val2"] == 41.75
+    assert rows[62]["stars"] == 9 and rows[62]["conv_rate_plus_val1"] == 5.125
+    assert rows[63]["conv_rate"] is None and rows[63]["conv_rate_plus_val1"] is None  # older than a day
 
 
 def test_services(store, spine):
@@ -88,9 +88,9 @@ def test_extra_spine_columns_and_scoring(store, spine):
     wide = spine.withColumn("request_multiplier", F.lit(1.1))
     out = store.features_for_scoring(wide, ["driver_quality_fv:conv_rate"], _hours(11))
     rows = _by_driver(out)
-    assert rows[1002]["conv_rate"] == 0.125 and rows[1003]["conv_rate"] is None
+    assert rows[62]["conv_rate"] == 0.125 and rows[63]["conv_rate"] is None
     assert {r["event_timestamp"] for r in rows.values()} == {_hours(11)}
-    assert rows[1001]["request_multiplier"] == 1.1
+    assert rows[61]["request_multiplier"] == 1.1
 
 
 def test_views_of_one_source_share_a_join(store, spine):
@@ -126,36 +126,36 @@ def test_pandas_hook_equals_columns(spark, store, spine):
 
     assert isinstance(pandas_view, OnDemandView)
     both = FeatureStore(spark, [*store.views.values(), pandas_view])
-    wide = spine.withColumn("big", F.when(F.col("driver_id") != 1002, F.lit(9007199254740993)))
+    wide = spine.withColumn("big", F.when(F.col("driver_id") != 62, F.lit(9007199254740993)))
     rows = _by_driver(both.get_historical_features(wide, ["pandas_view:busy", "pandas_view:spread"]))
-    assert [rows[k]["busy"] for k in (1001, 1002)] == [1, 0]
-    assert [rows[k]["spread"] for k in (1001, 1002)] == [0.25, 0.875]
+    assert [rows[k]["busy"] for k in (61, 62)] == [1, 0]
+    assert [rows[k]["spread"] for k in (61, 62)] == [0.25, 0.875]
     # what is no input does not pass through pandas
-    assert [rows[k]["big"] for k in (1001, 1002, 1003)] == [9007199254740993, None, 9007199254740993]
+    assert [rows[k]["big"] for k in (61, 62, 63)] == [9007199254740993, None, 9007199254740993]
 
 
 def test_online_before_and_after_push(spark, store):
     store.materialize_incremental(_hours(12))
     asked = ["driver_hourly_stats:acc_rate", "transformed_conv_rate:conv_rate_plus_val1"]
     rows = _by_driver(store.get_online_features(_requests(spark), asked))
-    assert rows[1001]["acc_rate"] == 0.5 and rows[1001]["conv_rate_plus_val1"] == 1000.75
+    assert rows[61]["acc_rate"] == 0.5 and rows[61]["conv_rate_plus_val1"] == 500.75
     assert rows[7]["acc_rate"] is None
     v3 = store.get_feature_service("driver_activity_v3")
-    event = spark.createDataFrame([(1001, _hours(13), _hours(13), 1.0, 1.0, 1000)], STATS_DDL)
-    late = spark.createDataFrame([(1002, _hours(1), _hours(14), 0.0, 0.0, 0)], STATS_DDL)
+    event = spark.createDataFrame([(61, _hours(13), _hours(13), 1.0, 1.0, 44)], STATS_DDL)
+    late = spark.createDataFrame([(62, _hours(1), _hours(14), 0.0, 0.0, 0)], STATS_DDL)
     store.push("driver_stats_push_source", event, push_id="a")
     store.push("driver_stats_push_source", late, push_id="b")
     rows = _by_driver(store.get_online_features(_requests(spark), v3))
-    assert rows[1001]["avg_daily_trips"] == 1000 and rows[1001]["conv_rate_plus_val2"] == 2001.0
-    assert rows[1002]["conv_rate"] == 0.125  # the late row does not win
+    assert rows[61]["avg_daily_trips"] == 44 and rows[61]["conv_rate_plus_val2"] == 901.0
+    assert rows[62]["conv_rate"] == 0.125  # the late row does not win
     # the plain view has not been pushed to; the batch table has both rows
-    assert _by_driver(store.get_online_features(_requests(spark), asked))[1001]["acc_rate"] == 0.5
+    assert _by_driver(store.get_online_features(_requests(spark), asked))[61]["acc_rate"] == 0.5
     assert store.get_feature_view("driver_hourly_stats").source.read(spark).count() == len(ROWS) + 2
     # pushed rows survive the next snapshots
     for hours in (20, 30):
         store.materialize_incremental(_hours(hours))
-        assert _by_driver(store.get_online_features(_requests(spark), v3))[1001]["avg_daily_trips"] == 1000
-    assert _by_driver(store.get_online_features(_requests(spark), asked))[1001]["acc_rate"] == 1.0
+        assert _by_driver(store.get_online_features(_requests(spark), v3))[61]["avg_daily_trips"] == 44
+    assert _by_driver(store.get_online_features(_requests(spark), asked))[61]["acc_rate"] == 1.0
 
 
 def test_a_push_outlives_materialise_runs(spark, tmp_path):
@@ -216,7 +216,7 @@ def test_max_age(spark, store):
     store.materialize_incremental(_hours(12))
     rows = _by_driver(store.get_online_features(_requests(spark), ["driver_quality_fv:conv_rate"], now=_hours(12),
                                                 max_age=timedelta(hours=3)))
-    assert rows[1001]["conv_rate"] == 0.75 and rows[1002]["conv_rate"] is None
+    assert rows[61]["conv_rate"] == 0.75 and rows[62]["conv_rate"] is None
 
 
 def test_latest_ties(spark):
@@ -240,8 +240,8 @@ def test_describe_log_listing(spark, store, spine):
         store.log_served(served, service.name, _hours(12))
     logged = spark.read.parquet(service.log_path)
     assert logged.count() == 6 and {"served_at", "service"} <= set(logged.columns)
-    listing = sorted_listing(served.select("driver_id", "val_to_add", "conv_rate").filter("driver_id = 1001"), ["driver_id"])
-    assert [(r["feature"], r["value"]) for r in listing.collect()] == [("conv_rate", "0.75"), ("val_to_add", "1")]
+    listing = sorted_listing(served.select("driver_id", "val_to_add", "conv_rate").filter("driver_id = 61"), ["driver_id"])
+    assert [(r["feature"], r["value"]) for r in listing.collect()] == [("conv_rate", "0.75"), ("val_to_add", "3")]
 
 
 def test_hot_driver(spark, store, spine):
