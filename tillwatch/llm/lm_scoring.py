@@ -28,8 +28,9 @@ from tillwatch.llm.common import slices, stored
 
 #: Bytes of text whose words are numbered together.
 AT_ONCE = 4 << 20
-#: Marks of a row: of the target, of a frequent word, the sums of a text.
+#: Marks of a row: of the target, of a frequent word, the sums of a text. They share a number with its counts.
 AIM, KNOWN, WHOLE = 1, 2, 4
+MARKS, LAST, COUNT = 7, 3, 24
 
 
 @dataclass(frozen=True)
@@ -174,8 +175,8 @@ def _fit(corpus: DataFrame, aim: DataFrame, spec: Bigrams) -> Model:
     return model
 
 
-_ROWS = "wh bigint, vh bigint, r bigint, n bigint, last bigint, marks bigint, doc_id {}, lb double, lt double"
-_NAMES = ["wh", "vh", "r", "n", "last", "marks", "doc_id", "lb", "lt"]
+_ROWS = "wh bigint, vh bigint, r bigint, counts bigint, doc_id {}, lb double, lt double"
+_NAMES = ["wh", "vh", "r", "counts", "doc_id", "lb", "lt"]
 
 
 def _dealt_rows(texts: DataFrame, shared, aim: bool) -> DataFrame:
@@ -195,8 +196,8 @@ def _dealt_rows(texts: DataFrame, shared, aim: bool) -> DataFrame:
                 sums = [np.bincount(t.row, np.where(hit, model.parts[i][place] if len(model.codes) else 0.0, 0.0)
                                     + np.where(v >= 0, model.context(model.before[i])[v], 0.0), rows).astype(float) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [none, none, batch.column("r"), pa.array(np.bincount(t.row, minlength=rows), pa.int64()), none,
-                     pa.array(np.full(rows, WHOLE)), batch.column("doc_id"), *map(pa.array, sums)], _NAMES)
+                    [none, none, batch.column("r"), pa.array((np.bincount(t.row, minlength=rows) << COUNT) + WHOLE),
+                     batch.column("doc_id"), *map(pa.array, sums)], _NAMES)
             row = np.zeros(len(t.row), np.int64) if aim else t.row
             pairs, pair = np.unique((t.before * len(t.names) + t.word)[~hit], return_inverse=True)
             keys, entry, n = np.unique(row[~hit] * max(1, len(pairs)) + pair, return_inverse=True, return_counts=True)
@@ -208,18 +209,19 @@ def _dealt_rows(texts: DataFrame, shared, aim: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes[word]), pa.array(hashes[pair // len(t.names)]),
                  pa.nulls(len(keys), pa.int64()) if aim else batch.column("r").take(pa.array(owner)),
-                 pa.array(n, pa.int64()), pa.array(last), pa.array(marks, pa.int64()), pa.nulls(len(keys), batch.column("doc_id").type), empty, empty], _NAMES)
+                 pa.array((n << COUNT) + (last << LAST) + marks), pa.nulls(len(keys), batch.column("doc_id").type), empty, empty], _NAMES)
 
     return texts.select("r", "doc_id", "text").mapInArrow(work, _ROWS.format(kind))
 
 
 def _per_text(rows: pa.Table, model: Model) -> pa.RecordBatch:
     """(r, doc_id, n, lb, lt): sums of texts as they came, and those of the other rows, which hold whole words."""
-    marks = rows["marks"].to_numpy()
-    whole = rows.filter(pa.array(marks == WHOLE))
-    rest = rows.filter(pa.array(marks != WHOLE))
-    marks = marks[marks != WHOLE]
-    wh, vh, n, last = (rest[c].to_numpy() for c in ("wh", "vh", "n", "last"))
+    counts = rows["counts"].to_numpy()
+    sums_of = counts & MARKS == WHOLE
+    whole, rest = rows.filter(pa.array(sums_of)), rows.filter(pa.array(~sums_of))
+    tokens, counts = counts[sums_of] >> COUNT, counts[~sums_of]
+    marks, n, last = counts & MARKS, counts >> COUNT, (counts >> LAST) & ((1 << COUNT - LAST) - 1)
+    wh, vh = rest["wh"].to_numpy(), rest["vh"].to_numpy()
     word, word_of = np.unique(wh, return_inverse=True)
     order = np.lexsort((vh, wh))
     new = np.append(True, (np.diff(wh[order]) != 0) | (np.diff(vh[order]) != 0))[:len(order)]
@@ -238,10 +240,9 @@ def _per_text(rows: pa.Table, model: Model) -> pa.RecordBatch:
         losses.append(loss[~aim])
     r, at = np.unique(rest["r"].to_numpy(zero_copy_only=False)[~aim].astype(np.int64), return_inverse=True)
     sums = [pa.array(np.bincount(at, loss, len(r)).astype(float)) for loss in losses]
-    columns = [pa.array(r), pa.nulls(len(r), whole["doc_id"].type), pa.nulls(len(r), pa.int64()), *sums]
-    names = ["r", "doc_id", "n", "lb", "lt"]
-    both = [pa.concat_arrays([whole[c].combine_chunks(), column]) for c, column in zip(names, columns)]
-    return pa.RecordBatch.from_arrays(both, names)
+    mine = [pa.array(r), pa.nulls(len(r), whole["doc_id"].type), pa.nulls(len(r), pa.int64()), *sums]
+    theirs = [whole["r"].combine_chunks(), whole["doc_id"].combine_chunks(), pa.array(tokens), *[whole[c].combine_chunks() for c in ("lb", "lt")]]
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(pair) for pair in zip(theirs, mine)], ["r", "doc_id", "n", "lb", "lt"])
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, spec: Bigrams = Bigrams(), doc_id: str = "doc_id",
@@ -260,8 +261,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, spec: Bigrams =
     shared = docs.sparkSession.sparkContext.broadcast(_fit(corpus, aim, spec))
     rows = _dealt_rows(corpus, shared, False).unionByName(_dealt_rows(aim, shared, True))
     # Rows of a rare word together, rows of a bigram of a frequent word together; not shipped, but computed on both sides.
-    cell = (F.when(F.col("marks") == WHOLE, F.xxhash64("r"))
-            .when(F.col("marks").bitwiseAND(KNOWN) != 0, F.xxhash64("wh", "vh")).otherwise(F.col("wh")))
+    cell = (F.when(F.col("counts").bitwiseAND(WHOLE) != 0, F.xxhash64("r"))
+            .when(F.col("counts").bitwiseAND(KNOWN) != 0, F.xxhash64("wh", "vh")).otherwise(F.col("wh")))
     cells = rows.repartition(cell).withColumn("cell", cell).sortWithinPartitions("cell")
 
     def work(batches):
