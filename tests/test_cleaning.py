@@ -110,3 +110,16 @@ def test_reject_reasons(spark):
     got = [r["why"] for r in raw.select(reject_reason().alias("why")).collect()]
     assert got == ["missing_id", "bad_date", "bad_label", "bad_label", "bad_customer", "bad_terminal",
                    "missing_amount", "nonpositive_amount", None]
+
+
+def test_derived_tables_follow_their_files(spark, folder, tmp_path):
+    """A table written anew in the same place and session is another table."""
+    from tillwatch.catalog import batch
+
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    path = f"{tmp_path}/events.parquet"
+    events.filter("event_id < 100").write.parquet(path)
+    few = batch.clean_table(spark, str(tmp_path)).count()
+    assert batch.clean_table(spark, str(tmp_path)).count() == few
+    events.write.mode("overwrite").parquet(path)
+    assert batch.clean_table(spark, str(tmp_path)).count() == batch.cleaned(spark, folder).count() > few
