@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from tillwatch.catalog import batch
 from tillwatch.operators import cleaning, entity_features, quality
+from tillwatch.operators import history
+from tillwatch.operators.skew import HotKeys
 from tillwatch.operators.asof import AsofTable, asof_carry_all, point_in_time_join
 from tillwatch.catalog.inputs import driver_spine, driver_stats
 
@@ -59,3 +61,14 @@ def test_one_shuffle_per_point_in_time_join(spark, folder):
                              "event_timestamp", "event_timestamp", ["conv_rate"], "created")
     plan = _plan(out)
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_four_shuffles_for_busy_keys(table):
+    """Seconds, their frames, the frames put together, and the rows: one shuffle each."""
+    frames = {"1d": 86_400, "7d": 7 * 86_400}
+    rows = table.withColumn("t", table["tx_time_seconds"].cast("bigint"))
+    out = history.past_only_features(rows, rows, "customer_id", frames, "c", HotKeys(), "t", "tx_amount", sliding_rows=1)
+    plan = _plan(out)
+    assert plan.count("Exchange") == 4 and plan.count("Join") == 1
+    without = history.past_only_features(rows, rows, "customer_id", frames, "c", HotKeys(), "t", "tx_amount", 10**9)
+    assert _plan(without).count("Exchange") == 1

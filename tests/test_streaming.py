@@ -71,6 +71,38 @@ def test_restart_continues(spark, tmp_path):
     assert _run(spark, _stream(spark, tmp_path / "in"), tmp_path).count() == 2
 
 
+def test_state_survives_a_restart(spark, tmp_path):
+    """A second run goes on from the checkpoint: ids and windows of the first are known, state is in RocksDB."""
+    folder, out, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    _files(spark, folder, [[(1, _at(10), 1, 5.0), (2, _at(10, 10), 1, 7.0)]], DDL)
+    unique = pipeline.dedupe_stream(_stream(spark, folder), "ts", "2 hours")
+    before = {k: spark.conf.get(k, None) for k in pipeline.STATE_CONF}
+    first = pipeline.run_available(unique, out, cp).lastProgress["stateOperators"][0]
+    _files(spark, str(tmp_path / "more"), [[], [(1, _at(10), 1, 5.0), (3, _at(10, 20), 1, 1.0), (3, _at(10, 20), 1, 1.0)]], DDL)
+    os.replace(tmp_path / "more" / "001.parquet", tmp_path / "in" / "001.parquet")
+    second = pipeline.run_available(pipeline.dedupe_stream(_stream(spark, folder), "ts", "2 hours"), out, cp)
+    assert sorted(r["transaction_id"] for r in spark.read.schema(unique.schema).parquet(out).collect()) == [1, 2, 3]
+    state = [p["stateOperators"][0] for p in second.recentProgress]
+    assert first["numRowsTotal"] == 2 and state[-1]["numRowsTotal"] == 3
+    assert sum(s["customMetrics"]["numDroppedDuplicateRows"] for s in state) == 2
+    assert "rocksdbCommitFlushLatency" in state[-1]["customMetrics"]
+    files = [f for _, _, names in os.walk(os.path.join(cp, "state")) for f in names]
+    assert any(f.endswith(".changelog") for f in files)
+    assert {k: spark.conf.get(k, None) for k in pipeline.STATE_CONF} == before
+
+
+def test_own_state_store_wins(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    own = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(name, own)
+    try:
+        with pipeline.durable_state(spark):
+            assert spark.conf.get(name) == own
+        assert spark.conf.get(name) == own
+    finally:
+        spark.conf.unset(name)
+
+
 STATS = "driver_id BIGINT, event_timestamp TIMESTAMP, created TIMESTAMP, v BIGINT"
 PUSHED = [[(1, _at(10), _at(10), 1), (2, _at(9), _at(9), 2)], [(1, _at(12), _at(12), 3)],
           [(1, _at(11), _at(13), 4), (2, _at(9), _at(10), 5)]]

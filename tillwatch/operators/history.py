@@ -1,10 +1,10 @@
 """Counts and means over the recent past of a customer or terminal.
 
 Spark recomputes a sliding range frame for every row: cheap while a key has few rows, quadratic
-when it has many, and always the whole key in one task. So keys with few rows use the sliding
-frame, and keys with many rows use running sums: time is cut into buckets as long as the frame,
+when it has many, and always the whole key in one task. So where all keys have few rows, they use
+the sliding frame, and otherwise running sums: time is cut into buckets as long as the frame,
 a frame is then the end of one bucket plus the start of the next, and both are running sums,
-linear in the rows. Such a key is spread over its time buckets, and its rows are first added up
+linear in the rows. A key is spread over its time buckets, and its rows are first added up
 per second, so one bucket never has more rows than the frame has seconds.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_counted
+from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_join, plain_lookup
 
 # Above about this many rows of a key, running sums cost less than recomputed frames; both give the same.
 SLIDING_ROWS = 2_000
@@ -21,9 +21,8 @@ SLIDING_ROWS = 2_000
 
 def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int = -1,
                     time: str = "tx_time_seconds", amount: str = "tx_amount") -> DataFrame:
-    """Per (key, second): rows, known amounts and their sum in ``[t - frame, t + last]``.
-
-    ``_rows`` is the number of rows of that very second.
+    """Per (``_who``, ``_at``), the key in a struct and a second: rows, known amounts and their sum in
+    ``[t - frame, t + last]``.
 
     ``last`` is -1 (the past only) or 0 (up to and including the row's own second).
     """
@@ -32,7 +31,7 @@ def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int =
     if min(frames.values()) < 1:
         raise ValueError("frames are whole seconds, at least 1")
     seconds = (df.filter(F.col(time).isNotNull())
-               .groupBy(key, F.col(time).alias("_at"))
+               .groupBy(F.struct(key).alias("_who"), F.col(time).alias("_at"))
                .agg(F.count(F.lit(1)).alias("_n"),
                     F.count(amount).alias("_known"),
                     F.coalesce(F.sum(amount), F.lit(0.0)).alias("_sum")))
@@ -41,28 +40,38 @@ def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int =
     placed = per_frame.withColumn("_bucket", F.expr("(_at - pmod(_at, _frame)) div _frame"))
     measures = ["_n", "_known", "_sum"]
     # The row itself, and a marker where its frame starts: always in the bucket before.
-    entries = placed.select(key, "_at", "_frame", F.explode(F.array(
+    entries = placed.select("_who", "_at", "_frame", F.explode(F.array(
         F.struct(F.col("_bucket").alias("bucket"), F.col("_at").alias("pos"), F.lit(False).alias("start"),
-                 F.col("_n").alias("_rows"), *[F.col(m).alias(m) for m in measures]),
+                 *[F.col(m).alias(m) for m in measures]),
         F.struct((F.col("_bucket") - 1).alias("bucket"), (F.col("_at") - F.col("_frame")).alias("pos"),
-                 F.lit(True).alias("start"), F.lit(0).cast("bigint").alias("_rows"),
+                 F.lit(True).alias("start"),
                  F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_known"),
-                 F.lit(0.0).alias("_sum")))).alias("e")).select(key, "_at", "_frame", "e.*")
-    block = Window.partitionBy(key, "_frame", "bucket")
+                 F.lit(0.0).alias("_sum")))).alias("e")).select("_who", "_at", "_frame", "e.*")
+    block = Window.partitionBy("_who", "_frame", "bucket")
     up_to = block.orderBy("pos").rangeBetween(Window.unboundedPreceding, last)
     onwards = block.orderBy(F.col("pos").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    halves = entries.select(key, "_at", "_frame", "_rows", *[
+    halves = entries.select("_who", "_at", "_frame", *[
         F.when(F.col("start"), F.sum(m).over(onwards)).otherwise(F.sum(m).over(up_to)).alias(m)
         for m in measures])
-    return halves.groupBy(key, "_at").agg(F.max("_rows").alias("_rows"), *[
+    return halves.groupBy("_who", "_at").agg(*[
         F.coalesce(F.sum(F.when(F.col("_frame") == length, F.col(m))), F.lit(0)).alias(f"{m}_{name}")
         for name, length in frames.items() for m in measures])
 
 
-def _flag_busy(df: DataFrame, counts: DataFrame, key: str, limit: float | None) -> DataFrame:
-    """Add ``_busy``: the key is one of ``counts``."""
-    flagged = lookup_counted(df, counts.withColumn("_busy", F.lit(True)), [key], limit)
-    return flagged.withColumn("_busy", F.coalesce(F.col("_busy"), F.lit(False)))
+def _at_its_second(rows: DataFrame, summed: DataFrame, key: str, time: str, hot_seconds: DataFrame | None) -> DataFrame:
+    """Left join of rows to ``summed``, one row per (``_who``, ``_at``).
+
+    ``_who`` is the key in a struct: a NULL key equals itself there, and the join keeps the partitioning of the sums.
+    Seconds in ``hot_seconds`` (bounded) take their sums from a broadcast and pass the shuffle scattered.
+    """
+    keyed = rows.withColumn("_who", F.struct(key))
+    values = [c for c in summed.columns if c not in ("_who", "_at")]
+    if hot_seconds is None:
+        right = summed.select(F.col("_who").alias("_r_who"), "_at", *values)
+        return keyed.join(right, (F.col("_who") == F.col("_r_who")) & (F.col(time) == F.col("_at")), "left").drop("_who", "_r_who", "_at")
+    left, names = keyed.withColumn("_at", F.col(time)), ["_who", "_at"]
+    hot = plain_lookup(hot_seconds, summed.join(F.broadcast(hot_seconds), names, "left_semi"), names)
+    return lookup_join(left, summed, hot, names).drop(*names)
 
 
 def _over_frames(rows: DataFrame, history: DataFrame, key: str, frames: dict[str, int], last: int, time: str,
@@ -70,32 +79,24 @@ def _over_frames(rows: DataFrame, history: DataFrame, key: str, frames: dict[str
                  sliding_rows: int) -> DataFrame:
     """Attach measures, each given as frame name, aggregate to slide, the same from ``recent_activity``.
 
-    The rows per key are counted first, from the key column alone. Without a busy key, and so without a
-    hot one, everything is one window: one shuffle and one sort.
+    The rows of the fullest key are counted first, from the key column alone. Without a busy key, and so without a
+    hot one, everything is one window: one shuffle and one sort. With one, every key goes by running sums: three
+    shuffles of narrow rows, one per second, and one of the rows themselves to meet their second.
     """
-    counts = (history.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > sliding_rows))
-    if counts.isEmpty():
+    fullest = history.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+    if fullest <= sliding_rows:
         by_time = Window.partitionBy(key).orderBy(time)
         return rows.withColumns({
             name: F.when(F.col(time).isNotNull(), aggregate.over(by_time.rangeBetween(-frames[frame], last)))
             for name, (frame, aggregate, _) in measures.items()})
     limit = hot_keys.limit(history)
-    flagged = _flag_busy(rows, counts, key, limit)
-    # Rows of busy keys pass the window scattered: their frames come from the running sums.
-    content = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(1 << 30))
-    scatter = F.when(F.col("_busy"), content + F.spark_partition_id()).otherwise(F.lit(0))
-    by_time = Window.partitionBy(key, "_scatter").orderBy(time)
-    slid = flagged.withColumn("_scatter", scatter).withColumns({
-        f"_slid_{name}": aggregate.over(by_time.rangeBetween(-frames[frame], last))
-        for name, (frame, aggregate, _) in measures.items()}).drop("_scatter")
-    busy = _flag_busy(history.select(key, time, amount), counts, key, limit).filter("_busy")
-    summed = recent_activity(busy, key, frames, last, time, amount).select(
-        key, F.col("_at").alias(time), "_rows",
-        *[value.alias(f"_summed_{name}") for name, (_, _, value) in measures.items()])
-    both = lookup_counted(slid, summed, [key, time], limit)
-    return both.select(*rows.columns, *[
-        F.when(F.col("_busy"), F.col(f"_summed_{name}"))
-        .when(F.col(time).isNotNull(), F.col(f"_slid_{name}")).alias(name) for name in measures])
+    found = None
+    if limit is not None and fullest > limit:  # only a hot key can have a hot second
+        found = hot_keys.find([history.select(F.struct(key).alias("_who"), F.col(time).alias("_at"))], ["_who", "_at"],
+                              within=[history])
+    summed = recent_activity(history, key, frames, last, time, amount).select(
+        "_who", "_at", *[value.alias(name) for name, (_, _, value) in measures.items()])
+    return _at_its_second(rows, summed, key, time, found and found[0])
 
 
 def past_only_features(rows: DataFrame, history: DataFrame, key: str, frames: dict[str, int], prefix: str,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +25,44 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType | str, pa
     return reader.load(folder)
 
 
+#: State lies in RocksDB beside the JVM heap, within a bound for each executor; a commit uploads what has changed.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "500",
+}
+
+
+@contextmanager
+def durable_state(spark: SparkSession, conf: dict[str, str] | None = None) -> Iterator[None]:
+    """Streams started inside keep their state by ``STATE_CONF``; the session's own settings win.
+
+    A stream takes its settings when it starts, and one that goes on from a checkpoint keeps the state store it
+    began with, so the session is given back as it was.
+    """
+    chosen = {k: v for k, v in {**STATE_CONF, **(conf or {})}.items() if not _is_set(spark, k)}
+    for name, value in chosen.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in chosen:
+            spark.conf.unset(name)
+
+
+def _is_set(spark: SparkSession, name: str) -> bool:
+    return spark._jsparkSession.sessionState().conf().contains(name)
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Write everything that has arrived to a Parquet folder and stop."""
-    query = (stream.writeStream.format("parquet").outputMode(mode)
-             .option("path", path).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    with durable_state(stream.sparkSession):
+        query = (stream.writeStream.format("parquet").outputMode(mode)
+                 .option("path", path).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
     return query
 
 
@@ -106,8 +139,9 @@ def serve_batches(stream: DataFrame, serve: Callable[[DataFrame], DataFrame], pa
         finally:
             batch.unpersist()
 
-    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    with durable_state(stream.sparkSession):
+        query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
     return query
 
 
