@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tillwatch.functions.amounts import above_mean
 from tillwatch.operators.skew import HotKeys
 from tillwatch.plans import training
 from tillwatch.plans.amount_history import DAY, AmountHistory, EntityHistories
@@ -98,3 +99,17 @@ def test_features_are_those_of_training(spark, folder, tmp_path):
     ours, theirs = histories.features(clean).select(columns).collect(), training.past_features(clean).select(columns).collect()
     plain = {r[0]: [None if v is None else round(v, 6) for v in r[1:]] for r in theirs}
     assert {r[0]: [None if v is None else round(v, 6) for v in r[1:]] for r in ours} == plain
+
+
+def test_sums_and_limits_do_not_depend_on_the_order(spark, tmp_path):
+    """Ten times 0.1 are 1 whatever is added first, and three times their mean is not less than 0.3."""
+    rows = spark.createDataFrame([(1, i, 0.1) for i in range(10)] + [(2, 5, float("nan")), (2, 6, 1e300), (3, 7, None)],
+                                 "customer_id LONG, tx_time_seconds LONG, tx_amount DOUBLE").coalesce(1)
+    history = AmountHistory(spark, str(tmp_path), "customer_id", parts=2)
+    history.extend(rows, "all")
+    found = {r["customer_id"]: r for r in history.totals("mean", "n").withColumns({
+        "above": above_mean(F.lit(0.3), 3, F.col("total"), F.col("n")),
+        "beyond": above_mean(F.lit(0.300001), 3, F.col("total"), F.col("n"))}).collect()}
+    assert (found[1]["total"], found[1]["mean"], found[1]["n"], found[1]["above"], found[1]["beyond"]) == (1.0, 0.1, 10, False, True)
+    assert found[2]["total"] != found[2]["total"] and found[2]["n"] == 2 and found[2]["above"] is False
+    assert found[3]["n"] == 0 and found[3]["above"] is None

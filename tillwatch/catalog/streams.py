@@ -20,6 +20,7 @@ from tillwatch.catalog.inputs import (
     with_parts,
 )
 from tillwatch.catalog.registry import query
+from tillwatch.functions.amounts import above_mean
 from tillwatch.operators.entity_features import ENTITY_COLUMNS
 from tillwatch.plans import training
 from tillwatch.plans.feature_store.online import LatestTable
@@ -30,6 +31,7 @@ from tillwatch.streaming import monitoring, pipeline, push
 
 TX = ", ".join(TRANSACTION_COLUMNS)
 DELAY = "1 hour"
+TOTAL = "customer_total"
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,9 +133,9 @@ def served(spark: SparkSession, stream: DataFrame, serve, name: str) -> DataFram
 
 
 def customer_values(spark: SparkSession, folder: str) -> LatestTable:
-    """Latest mean and number of amounts per customer, pushed from the stored histories."""
+    """Latest sum, mean and number of amounts per customer, pushed from the stored histories."""
     mean, count = ENTITY_COLUMNS["customer_id"]
-    totals = batch.entity_histories(spark, folder).of["customer_id"].totals(mean, count)
+    totals = batch.entity_histories(spark, folder).of["customer_id"].totals(mean, count, TOTAL)
     rows = totals.withColumn("event_timestamp", F.timestamp_seconds(F.col("last_day") * batch.DAY)).drop("last_day")
     latest = LatestTable(spark, scratch_path(spark, "customer-values"), rows.schema, ["customer_id"], "event_timestamp", None)
     latest.push(rows, "totals")
@@ -147,14 +149,18 @@ def customer_values(spark: SparkSession, folder: str) -> LatestTable:
   FROM tx_scored LEFT JOIN (SELECT customer_id, avg(tx_amount) AS avg_customer_amount,
   count(tx_amount) AS customer_tx_count FROM tx_clean GROUP BY 1) USING (customer_id)""", "tx_scored", "tx_clean"))
 def stream_enrich_score_decide(spark, folder):
-    """Each micro-batch looks its customers up in the latest table, then a fixed score, thresholds and one rule."""
+    """Each micro-batch looks its customers up in the latest table, then a fixed score, thresholds and one rule.
+
+    The rule is counted in decimals: an amount of just three times the mean is not above it, in whatever order
+    the mean was added up.
+    """
     latest = customer_values(spark, folder)
     stream = transaction_stream(spark, folder)
 
     def serve(rows: DataFrame) -> DataFrame:
-        enriched = latest.lookup(rows, list(ENTITY_COLUMNS["customer_id"]))
-        decided = pipeline.score_and_decide(enriched, scored, 0.4, 0.7,
-                                            decline_rule=F.col("tx_amount") > 3 * F.col("avg_customer_amount"))
+        enriched = latest.lookup(rows, [*ENTITY_COLUMNS["customer_id"], TOTAL])
+        decided = pipeline.score_and_decide(enriched, scored, 0.4, 0.7, decline_rule=above_mean(
+            F.col("tx_amount"), 3, F.col(TOTAL), F.col("customer_tx_count")))
         return decided.select("transaction_id", "customer_id", "customer_tx_count", "score", "decision")
 
     return served(spark, stream, serve, "decided")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwatch.functions.amounts import safe_ratio
+from tillwatch.functions.amounts import as_money, exact_sum, safe_ratio
 from tillwatch.operators.entity_features import ENTITY_COLUMNS
 from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_any
 from tillwatch.plans.feature_store.parted import PARTS, Commit, PartedTable
@@ -33,6 +33,11 @@ def _day(at: Column) -> Column:
     return F.floor(at / F.lit(DAY)).cast("bigint")
 
 
+def _plus(a: Column, b: Column) -> Column:
+    """Sum of two amounts, in decimals where both are some."""
+    return F.coalesce((as_money(a) + as_money(b)).cast("double"), a + b)
+
+
 class AmountHistory:
     """The history of one key column (whole numbers); times are whole seconds."""
 
@@ -58,7 +63,7 @@ class AmountHistory:
         """
         key, at = F.col(self.key).cast("bigint"), F.col(self.time).cast("bigint")
         moments = (rows.filter(key.isNotNull() & at.isNotNull()).groupBy(key.alias("key"), at.alias("at"))
-                   .agg(F.coalesce(F.sum(self.amount), F.lit(0.0)).cast("double").alias("sum"), F.count(self.amount).alias("n"))
+                   .agg(F.coalesce(exact_sum(F.col(self.amount).cast("double")), F.lit(0.0)).alias("sum"), F.count(self.amount).alias("n"))
                    .withColumns({"day": _day(F.col("at")), "load": F.lit(load)}))
         (moments.repartition("day", self.days.part()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day", "load").parquet(f"{self.root}/moments"))
@@ -68,7 +73,7 @@ class AmountHistory:
             return
         pairs = mine.select("key", "day").distinct().persist()
         sums = (self._moments(days).join(pairs, ["key", "day"], "left_semi").groupBy("key", "day")
-                .agg(F.sum("sum").alias("sum"), F.sum("n").alias("n")))
+                .agg(exact_sum(F.col("sum")).alias("sum"), F.sum("n").alias("n")))
 
         def step(head: Commit) -> Commit:
             touched = self.days.parts_of(pairs)
@@ -78,7 +83,8 @@ class AmountHistory:
             both = both.withColumn("part", self.days.part()).repartition("part")
             merged = both.groupBy("part", "key", "day").agg(F.max("of").alias("of"))
             earlier = Window.partitionBy("part", "key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-            totals = [F.coalesce(F.sum(f"of.{c}").over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("sum", "n")]
+            totals = [F.coalesce(exact_sum(F.col("of.sum"), earlier), F.lit(0.0)).alias("sum_before"),
+                      F.coalesce(F.sum("of.n").over(earlier), F.lit(0)).alias("n_before")]
             out = merged.select("key", "day", "of.sum", "of.n", *totals)
             return self.days.commit(head, self.days.write(self.days.typed(out)), head.mark)
 
@@ -114,11 +120,13 @@ class AmountHistory:
         found = lookup_any(rows, answers, [self.key, self.time], hot_keys)
         return found.withColumn(count, F.coalesce(F.col(count), F.lit(0).cast("bigint")))
 
-    def totals(self, mean: str, count: str) -> DataFrame:
-        """One row per key: mean and number of all stored amounts, and the last day; from the day sums alone."""
-        last = F.max_by(F.struct((F.col("sum_before") + F.col("sum")).alias("sum"), (F.col("n_before") + F.col("n")).alias("n")), "day")
+    def totals(self, mean: str, count: str, total: str = "total") -> DataFrame:
+        """One row per key: sum, mean and number of all stored amounts, and the last day; from the day sums alone."""
+        both = _plus(F.col("sum_before"), F.col("sum"))
+        last = F.max_by(F.struct(both.alias("sum"), (F.col("n_before") + F.col("n")).alias("n")), "day")
         found = self.days.rows(self.days.head()).groupBy(F.col("key").alias(self.key)).agg(last.alias("all"), F.max("day").alias("last_day"))
-        return found.select(self.key, F.try_divide("all.sum", "all.n").alias(mean), F.col("all.n").alias(count), "last_day")
+        return found.select(self.key, F.col("all.sum").alias(total), F.try_divide("all.sum", "all.n").alias(mean),
+                            F.col("all.n").alias(count), "last_day")
 
     @staticmethod
     def _before(asked: DataFrame, days: DataFrame) -> DataFrame:
