@@ -81,3 +81,12 @@ def test_confident_metadata_teaches_the_content_view(spark):
         scores = quality.quality_scores(docs, spark.createDataFrame(labels, LABELS), quality.CoTraining(rounds=rounds)).collect()
         right = np.mean([(r["content_score"] >= 0.5) == (r["doc_id"] % 4 != 0) for r in scores])
         assert right >= 0.9
+
+
+def test_calibration_and_threshold_use_every_held_back_label(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    margin = draw.normal(size=30_000)
+    y = (draw.random(30_000) < 1 / (1 + np.exp(-(2.5 * margin - 1)))).astype(float)
+    rows = spark.createDataFrame([(float(a), float(-a), float(b)) for a, b in zip(margin, y)], "m double, n double, y double")
+    (a, b), (c, d) = quality.platt_of(rows, ["m", "n"])
+    assert (a, b) == pytest.approx(quality.platt(margin, y)) and (c, d) == pytest.approx((-a, b))

@@ -6,7 +6,7 @@ calibrated on labelled rows that no model was fitted on, their log-odds are adde
 and every document gets a score.
 
 The text is read once for a short list of numbers per document; all rounds run on that small table, over
-all of its rows. Only the calibration takes a bounded sample (``calibration_rows`` labelled rows).
+all of its rows. Calibration and threshold are those of all held-back labels.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import fresh, lists, stored
+from tillwatch.operators.quantiles import exact_quantiles
 
 #: Byte classes whose shares are content features.
 CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t", b".,;:'\"-()",
@@ -31,7 +32,6 @@ CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"01234
 N_CONTENT = len(CLASSES) + 1 + 11
 SOURCES, LANGS = 32, 16
 _OTHER = len(CLASSES)
-_SPACE = 1 << 40
 _CLASS_OF = np.full(256, _OTHER, np.uint8)
 for _i, _bytes in enumerate(CLASSES):
     _CLASS_OF[list(_bytes)] = _i
@@ -40,15 +40,13 @@ for _i, _bytes in enumerate(CLASSES):
 @dataclass(frozen=True)
 class CoTraining:
     """``sure_good``/``sure_bad``: calibrated probabilities that count as confident; ``pseudo_weight``: of
-    such a row in a fit; ``keep_good``: share of good labelled rows that the threshold must keep;
-    ``calibration_rows``: labelled rows that the calibration takes on average, chosen by a hash of the id."""
+    such a row in a fit; ``keep_good``: share of good held-back rows that the threshold must keep."""
 
     rounds: int = 2
     sure_good: float = 0.98
     sure_bad: float = 0.1
     pseudo_weight: float = 0.5
     keep_good: float = 0.995
-    calibration_rows: int = 20_000
     max_iter: int = 15
     reg: float = 1e-3
 
@@ -146,13 +144,38 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(at[0]), float(at[1])
 
 
+def platt_of(rows: DataFrame, margins: list[str], y: str = "y") -> list[tuple[float, float]]:
+    """``platt`` of each margin column over all rows of a stored table: every Newton step is one aggregation."""
+    at, going = [np.array([1.0, 0.0]) for _ in margins], set(range(len(margins)))
+    for _ in range(25):
+        sums = []
+        for i in sorted(going):
+            x = F.col(margins[i])
+            logit = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x * float(at[i][0]) + float(at[i][1])))
+            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
+            off, bend = p - F.col(y), p * (F.lit(1.0) - p)
+            sums += [F.coalesce(F.sum(c), F.lit(0.0)).alias(f"s{i}_{k}") for k, c in enumerate((x * off, off, x * x * bend, x * bend, bend))]
+        found = rows.agg(*sums).first()
+        for i in sorted(going):
+            a, b, xx, x1, one = (found[f"s{i}_{k}"] for k in range(5))
+            slope = np.array([a, b]) + 1e-3 * (at[i] - [1.0, 0.0])
+            step = np.linalg.solve(np.array([[xx, x1], [x1, one]]) + 1e-3 * np.eye(2), slope)
+            at[i] = at[i] - step
+            if np.abs(step).max() < 1e-8:
+                going.discard(i)
+        if not going:
+            break
+    return [(float(a), float(b)) for a, b in at]
+
+
 def _calibrate(views: tuple[View, View], rows: DataFrame, prior: float) -> None:
-    sample = rows.select("y", views[0].margin("content").alias("a"), views[1].margin("metadata").alias("b")).toPandas()
-    y = sample["y"].to_numpy(float)
-    for view, name in zip(views, "ab"):
+    judged = stored(rows.select("y", views[0].margin("content").alias("a"), views[1].margin("metadata").alias("b")), "calibration")
+    for view in views:
         view.scale, view.shift = 0.0, prior
-        if view.weights and len(set(y)) == 2:
-            view.scale, view.shift = platt(sample[name].to_numpy(float), y)
+    told = [(view, name) for view, name in zip(views, "ab") if view.weights]
+    if told and judged.select("y").distinct().count() == 2:
+        for (view, _), found in zip(told, platt_of(judged, [name for _, name in told])):
+            view.scale, view.shift = found
 
 
 def train(features: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining()) -> QualityModel:
@@ -170,9 +193,7 @@ def train(features: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(
     good, n = known.agg(F.coalesce(F.sum("y"), F.lit(0.0)), F.count("y")).first()
     prior = math.log((good + 1) / (n - good + 1))
     fitting = known.filter(~F.col("held")).select("doc_id", "y", F.lit(1.0).alias("weight"), "content", "metadata")
-    held_rows = known.filter("held").count()
-    taken = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(_SPACE)) < int(_SPACE * min(1.0, spec.calibration_rows / max(1, held_rows)))
-    tuning = known.filter("held").filter(taken)
+    tuning = known.filter("held")
     views = (_fit(fitting, "content", spec), _fit(fitting, "metadata", spec))
     _calibrate(views, tuning, prior)
     unknown = rows.filter("y IS NULL")
@@ -188,9 +209,9 @@ def train(features: DataFrame, labels: DataFrame, spec: CoTraining = CoTraining(
         _calibrate(views, tuning, prior)
     model = QualityModel(*views, prior, 0.0)
     if views[0].weights:
-        low = (tuning.filter("y = 1").select(model.score("content", "metadata").alias("score"))
-               .approxQuantile("score", [1 - spec.keep_good], 1e-4))
-        model.threshold = min(0.5, low[0]) if low else 0.0
+        scores = stored(tuning.filter("y = 1").select(model.score("content", "metadata").alias("score")), "held-scores")
+        low = exact_quantiles(scores, "score", {"low": round(1 - spec.keep_good, 12)}).first()["low"]
+        model.threshold = 0.0 if low is None else min(0.5, low)
     return model
 
 
