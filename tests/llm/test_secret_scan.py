@@ -164,3 +164,50 @@ def test_training_reads_whole_windows(monkeypatch):
     ss.train(rows, ss.SecretModel(epochs=1))
     assert max(n for _, n in seen) == 2 * 959 and sum(n for n, _ in seen) == 96
     assert all(a * b <= 128 * ss.SEGMENT for a, b in seen)
+
+
+def test_every_labelled_finding_trains_and_sets_the_threshold(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    draw = random.Random(8)
+    rows = []
+    for i in range(900):
+        for kind, body in (("free", "".join(draw.choice(MIXED) for _ in range(24)) + "1"), ("word", "".join(draw.choice("aeioulnrst") for _ in range(12)))):
+            rows.append((kind, "", body, "", i % 5, len(rows)))
+    each = spark.createDataFrame(rows, "kind string, before string, body string, after string, fold int, mark bigint")
+    seen, round_ = [], ss._round
+    monkeypatch.setattr(ss, "_round", lambda dealt, *a: (seen.append((dealt.count(), dealt.select("piece").distinct().count())), round_(dealt, *a))[1])
+    fields = ["kind", "before", "body", "after", "fold", "mark"]
+    spec = ss.SecretModel(piece=300, epochs=3)
+    net = ss.train_all(each, spec)
+    assert seen == [(1440, 6)] * 3
+    held = [dict(zip(fields, r)) for r in rows if r[4] == 0]
+    y = np.array([r["kind"] == "free" for r in held], float)
+    scale, shift = ss.platt(net.margins(held), y)
+    assert (net.scale, net.shift) == pytest.approx((scale, shift), rel=1e-6)
+    p = net.scores(held)
+    assert net.threshold == pytest.approx(ss._between(np.quantile(p[y == 1], 0.01, method="lower"), p[y == 0].max()))
+    assert (p[y == 1] >= net.threshold).mean() >= 0.99 and (p[y == 0] < net.threshold).mean() >= 0.95
+    again = ss.train_all(each.orderBy(F.desc("mark")), spec)
+    assert again.flat({"t": 0}).tolist() == net.flat({"t": 0}).tolist()
+
+
+def test_long_windows_train_in_segments(monkeypatch):
+    import numpy as np
+
+    net = ss.Network(ss.SecretModel(filters=4, embedding=3))
+    rows = [{"before": "a=", "body": "xY9z/" * 41, "after": ";"}]
+    chars, parts = ss._numbers(rows)[0]
+    state, long_state = {"t": 0}, {"t": 0}
+    net.step(*ss._padded([(chars, parts)]), np.array([1.0]), np.array([1.5]), state, rate=0.0)
+    monkeypatch.setattr(ss, "SEGMENT", 17)
+    net.step_long(chars, parts, 1.0, 1.5, long_state, rate=0.0)
+    for k in net.p:
+        assert np.allclose(state[k][0], long_state[k][0], atol=1e-12)
+
+
+def test_first_long_word_of_every_text_is_an_example(spark):
+    rows = [(i, f"some ordinary{chr(97 + i)} words here") for i in range(20)]
+    found = ss.find_candidates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert all([f["kind"] for f in r["found"]] == ["word"] for r in found)
