@@ -160,3 +160,22 @@ def test_enrich_keeps_unknown_keys(spark, tmp_path):
     known = spark.createDataFrame([(9, 1.0)], "customer_id BIGINT, avg_amount DOUBLE")
     out = _run(spark, pipeline.enrich_stream(_stream(spark, tmp_path / "in"), known, ["customer_id"]), tmp_path)
     assert out.filter(F.col("avg_amount").isNull()).count() == 2
+
+
+def test_a_stream_that_closes_nothing_needs_no_last_batch(spark, tmp_path):
+    """Neither a batch without rows nor a look-up per write; ids of the first run are still known in the second."""
+    folder, out, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    _files(spark, folder, [[(1, _at(10), 1, 5.0), (2, _at(12), 1, 7.0)]], DDL)
+
+    def run():
+        return pipeline.run_available(pipeline.dedupe_stream(_stream(spark, folder), "ts", "4 hours"), out, cp,
+                                      closing=False, conf=pipeline.UNCOUNTED)
+
+    assert [p["numInputRows"] for p in run().recentProgress] == [2]
+    _files(spark, str(tmp_path / "more"), [[], [(2, _at(12), 1, 7.0), (3, _at(13), 1, 1.0)]], DDL)
+    os.replace(tmp_path / "more" / "001.parquet", tmp_path / "in" / "001.parquet")
+    again = run()
+    assert [p["numInputRows"] for p in again.recentProgress] == [2] and again.lastProgress["stateOperators"][0]["numRowsTotal"] <= 0
+    assert sorted(r[0] for r in spark.read.parquet(out).select("transaction_id").collect()) == [1, 2, 3]
+    names = ("spark.sql.streaming.noDataMicroBatches.enabled", *pipeline.UNCOUNTED)
+    assert not any(pipeline._is_set(spark, n) for n in names)
