@@ -46,9 +46,9 @@ def transaction_stream(spark: SparkSession, folder: str) -> DataFrame:
     return as_transactions(event_stream(spark, folder)).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def written(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+def written(spark: SparkSession, stream: DataFrame, name: str, closing: bool = True) -> DataFrame:
     path = scratch_path(spark, name)
-    pipeline.run_available(stream, f"{path}/out", f"{path}/checkpoint")
+    pipeline.run_available(stream, f"{path}/out", f"{path}/checkpoint", closing=closing, conf=pipeline.UNCOUNTED)
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
@@ -71,7 +71,7 @@ def stream_validate(spark, folder):
 @query(with_parts(f"SELECT DISTINCT {TX} FROM tx_raw", "tx_raw"))
 def stream_dedupe(spark, folder):
     rows = pipeline.dedupe_stream(transaction_stream(spark, folder), "ts", DELAY)
-    return written(spark, rows, "deduped").select(*TRANSACTION_COLUMNS)
+    return written(spark, rows, "deduped", closing=False).select(*TRANSACTION_COLUMNS)
 
 
 # ----- windows -----
@@ -241,7 +241,7 @@ def stream_late_labels(spark, folder):
               .select("transaction_id", F.col("tx_fraud").alias("label"),
                       F.expr("ts + make_dt_interval(0, 0, CAST(transaction_id % 1200 AS INT), 0)").alias("label_ts")))
     joined = monitoring.join_late_labels(scores, labels, "transaction_id", "ts", "label_ts", DELAY, DELAY, "1 DAY")
-    return written(spark, joined.select("transaction_id", "score", "label"), "late-labels")
+    return written(spark, joined.select("transaction_id", "score", "label"), "late-labels", closing=False)
 
 
 LATE_SQL = MONITOR_SQL.replace("FROM tx_scored)\n", "FROM (SELECT DISTINCT transaction_id, ts, score, tx_fraud FROM tx_scored))\n").replace(
