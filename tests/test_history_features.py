@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tillwatch.operators import history
 from tillwatch.operators.entity_features import customer_terminal_features
 from tillwatch.operators.history import past_only_features, tx_frequency, with_earlier_amounts
 from tillwatch.operators.skew import HotKeys
@@ -75,3 +76,19 @@ def test_all_earlier_amounts(spark, bucket):
         past = [] if r["t"] is None or r["k"] is None else [
             a for _, k, t, a in rows if k == r["k"] and t is not None and a is not None and t < r["t"]]
         assert r["n"] == len(past) and r["mean"] == pytest.approx(_mean(past))
+
+
+@pytest.mark.parametrize("sliding", [0, 10 ** 6])
+def test_tasks_grow_with_the_rows(spark, tmp_path, monkeypatch, sliding):
+    """Beyond the rows of a task there are more tasks than Spark's own number, with the same results."""
+    path = str(tmp_path / "rows")
+    spark.range(4000).selectExpr("id", "id % 37 AS customer_id", "id * 50 AS tx_time_seconds", "CAST(id % 91 AS DOUBLE) AS tx_amount").write.parquet(path)
+    rows = spark.read.parquet(path)
+
+    def made():
+        return past_only_features(rows, rows, "customer_id", {"a": 4000, "b": 90_000}, "c", sliding_rows=sliding)
+
+    few = sorted(tuple(r) for r in made().collect())
+    monkeypatch.setattr(history, "ROWS_PER_PART", 100)
+    assert "REPARTITION_BY_NUM" in made()._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in made().collect()) == few

@@ -17,6 +17,14 @@ from tillwatch.operators.skew import DEFAULT_HOT_KEYS, HotKeys, lookup_join, pla
 
 # Above about this many rows of a key, running sums cost less than recomputed frames; both give the same.
 SLIDING_ROWS = 2_000
+#: Rows of a task: beyond that many in each of Spark's shuffle partitions, there are more partitions.
+ROWS_PER_PART = 500_000
+
+
+def _dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by its keys in as many parts as ``rows`` need; as Spark deals it where its own number is enough."""
+    parts = -(-rows // ROWS_PER_PART)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int = -1,
@@ -24,7 +32,8 @@ def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int =
     """Per (``_who``, ``_at``), the key in a struct and a second: rows, known amounts and their sum in
     ``[t - frame, t + last]``.
 
-    ``last`` is -1 (the past only) or 0 (up to and including the row's own second).
+    ``last`` is -1 (the past only) or 0 (up to and including the row's own second). ``df`` is a stored table,
+    whose rows are counted; the number of tasks grows with them.
     """
     if last not in (-1, 0):
         raise ValueError("last must be -1 or 0")
@@ -39,6 +48,7 @@ def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int =
     per_frame = seconds.withColumn("_frame", F.explode(lengths))
     placed = per_frame.withColumn("_bucket", F.expr("(_at - pmod(_at, _frame)) div _frame"))
     measures = ["_n", "_known", "_sum"]
+    n = df.count() * 2 * len(frames)
     # The row itself, and a marker where its frame starts: always in the bucket before.
     entries = placed.select("_who", "_at", "_frame", F.explode(F.array(
         F.struct(F.col("_bucket").alias("bucket"), F.col("_at").alias("pos"), F.lit(False).alias("start"),
@@ -47,13 +57,14 @@ def recent_activity(df: DataFrame, key: str, frames: dict[str, int], last: int =
                  F.lit(True).alias("start"),
                  F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_known"),
                  F.lit(0.0).alias("_sum")))).alias("e")).select("_who", "_at", "_frame", "e.*")
+    entries = _dealt(entries, n, "_who", "_frame", "bucket")
     block = Window.partitionBy("_who", "_frame", "bucket")
     up_to = block.orderBy("pos").rangeBetween(Window.unboundedPreceding, last)
     onwards = block.orderBy(F.col("pos").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     halves = entries.select("_who", "_at", "_frame", *[
         F.when(F.col("start"), F.sum(m).over(onwards)).otherwise(F.sum(m).over(up_to)).alias(m)
         for m in measures])
-    return halves.groupBy("_who", "_at").agg(*[
+    return _dealt(halves, n, "_who", "_at").groupBy("_who", "_at").agg(*[
         F.coalesce(F.sum(F.when(F.col("_frame") == length, F.col(m))), F.lit(0)).alias(f"{m}_{name}")
         for name, length in frames.items() for m in measures])
 
@@ -86,7 +97,7 @@ def _over_frames(rows: DataFrame, history: DataFrame, key: str, frames: dict[str
     fullest = history.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0
     if fullest <= sliding_rows:
         by_time = Window.partitionBy(key).orderBy(time)
-        return rows.withColumns({
+        return _dealt(rows, history.count(), key).withColumns({
             name: F.when(F.col(time).isNotNull(), aggregate.over(by_time.rangeBetween(-frames[frame], last)))
             for name, (frame, aggregate, _) in measures.items()})
     limit = hot_keys.limit(history)
