@@ -56,15 +56,35 @@ def test_frequency_counts_own_second(spark, hot, sliding):
 
 @pytest.mark.parametrize("hot", [HotKeys(), HotKeys(10, 1_000_000)])
 def test_entity_features_equal_windows(spark, hot):
+    _equal_windows(spark, hot)
+
+
+# scattered hot keys; a window as no key is hot; a small table of keys whose size Spark would not broadcast by itself
+@pytest.mark.parametrize("hot,joins,moves", [(HotKeys(10, 1_000_000, small_keys=1), 2, True),
+                                             (HotKeys(280, 1_000_000, small_keys=1), 0, True), (HotKeys(10, 1_000_000), 2, False)])
+def test_rows_stay_where_keys_are_few(spark, hot, joins, moves):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _equal_windows(spark, hot)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert ("Exchange hashpartitioning" in plan) == moves
+    assert plan.count("BroadcastHashJoin") == joins
+
+
+def _equal_windows(spark, hot):
     rng = random.Random(5)
     rows = [(i, rng.choice([1, 1, 2, None]), rng.choice([7, 7, 8, None]), rng.choice([None, float(rng.randrange(-3, 50))]))
             for i in range(300)]
     df = spark.createDataFrame(rows, "id BIGINT, customer_id BIGINT, terminal_id BIGINT, tx_amount DOUBLE")
-    one = customer_terminal_features(df, hot).orderBy("id").collect()
+    made = customer_terminal_features(df, hot)
+    one = made.orderBy("id").collect()
     two = customer_terminal_features(df, as_window=True).orderBy("id").collect()
     assert len(one) == 300
     for a, b in zip(one, two):
         assert a.asDict() == pytest.approx(b.asDict())
+    return made._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("bucket", [7, 1000])

@@ -22,10 +22,12 @@ from tillwatch.session import scratch_path
 
 @dataclass(frozen=True)
 class HotKeys:
-    """``rows_per_task``: what one task takes; ``max_keys``: bound of the broadcast tables."""
+    """``rows_per_task``: what one task takes; ``max_keys``: bound of the hot keys; ``small_keys``: a stored
+    table of at most that many keys, one short row each, is broadcast whole."""
 
     rows_per_task: int = 1_000_000
     max_keys: int = 100_000
+    small_keys: int = 1_000_000
 
     def limit(self, *tables: DataFrame) -> float | None:
         """Rows above which a key of the tables together is hot; None when none can be."""
@@ -69,9 +71,10 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str], flag: str = "_hot")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
-def plain_lookup(fact: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join to a table with one row per key, NULL-safe."""
-    return (fact.join(_prefixed(dim, "_r_"), _match(keys, "_r_"), "left")
+def plain_lookup(fact: DataFrame, dim: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
+    """Left join to a table with one row per key, NULL-safe. ``small``: the table is broadcast, so no row moves."""
+    right = _prefixed(dim, "_r_")
+    return (fact.join(F.broadcast(right) if small else right, _match(keys, "_r_"), "left")
             .select(*fact.columns, *[F.col(f"_r_{c}").alias(c) for c in dim.columns if c not in keys]))
 
 
