@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwatch.operators.entity_features import customer_terminal_features
+from tillwatch.operators.sampling import split_by_key
 from tillwatch.plans import tracking as TR
 from tillwatch.plans import training as T
 from tillwatch.schema import FEATURE_COLUMNS, MODEL_VERSIONS_DDL, RUNS_DDL, TRANSACTION_DDL
@@ -191,6 +192,26 @@ def test_training(spark, clean, tmp_path, compat):
     assert scores.columns == [*frame.columns, "score"] and scores.filter("score < 0 OR score > 1").isEmpty()
 
 
+def test_models_read_kept_vectors_and_curves_kept_scores(spark, clean, monkeypatch):
+    """Features, split and predictions are computed once; every later pass reads what is kept, and all is given up."""
+    kept = []
+
+    class Watching(T.LogisticRegression):
+        def fit(self, dataset, params=None):
+            kept.append(dataset.storageLevel.useDisk and dataset.columns == ["scaled_features", T.LABEL])
+            return super().fit(dataset, params)
+
+    curve = T.score_curve
+    monkeypatch.setattr(T, "candidate_models", lambda o: {
+        "logistic_regression": Watching(featuresCol="scaled_features", labelCol=T.LABEL, maxIter=o.max_iter, regParam=o.reg_param)})
+    monkeypatch.setattr(T, "score_curve", lambda scored: kept.append(scored.storageLevel.useDisk) or curve(scored))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    done = T.train_and_compare(clean, T.TrainingOptions(max_iter=5))
+    assert kept == [True, True] and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    train, test = split_by_key(T.training_frame(clean, T.TrainingOptions()), "transaction_id", 0.8, 42)
+    assert (done.train_rows, done.test_rows) == (train.count(), test.count())
+
+
 def test_null_amounts(spark, clean):
     frame = customer_terminal_features(clean)
     assert T.without_nulls(frame, "drop").count() == 588

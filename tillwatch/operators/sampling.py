@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.hashing import unit_hash
@@ -33,5 +33,9 @@ def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tup
 def split_by_key(df: DataFrame, key: str = "transaction_id", train_share: float = 0.8,
                  seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """A split that a retried or repeated job repeats exactly."""
-    place = unit_hash(key, seed)
+    return split_by_place(df, unit_hash(key, seed), train_share)
+
+
+def split_by_place(df: DataFrame, place: Column, train_share: float) -> tuple[DataFrame, DataFrame]:
+    """The split of ``split_by_key`` where the rows know their ``unit_hash``."""
     return df.filter(place < train_share), df.filter(place >= train_share)

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.functions.amounts import safe_ratio
+from tillwatch.functions.hashing import unit_hash
 from tillwatch.operators.entity_features import ENTITY_COLUMNS, customer_terminal_features
 from tillwatch.operators.evaluation import confusion_matrix, curve_areas, score_curve, weighted_prf
 from tillwatch.operators.history import with_earlier_amounts
 from tillwatch.operators.ordered import ranked
-from tillwatch.operators.sampling import random_split, sample_by_key, sample_fraction, split_by_key
+from tillwatch.operators.sampling import random_split, sample_by_key, sample_fraction, split_by_place
 from tillwatch.plans.tracking import best_of_models
 from tillwatch.schema import FEATURE_COLUMNS
 
@@ -95,7 +96,11 @@ class Trained:
 
 def evaluate_curve(predictions: DataFrame, label: str = LABEL) -> dict[str, float]:
     """Areas under the ROC and the precision/recall curve over every distinct score, in one pass."""
-    scored = predictions.select(vector_to_array(F.col("probability"))[1].alias("score"), F.col(label).alias("label"))
+    return score_areas(predictions.select(vector_to_array(F.col("probability"))[1].alias("score"), F.col(label).alias("label")))
+
+
+def score_areas(scored: DataFrame) -> dict[str, float]:
+    """Both areas of scored rows (``score``, ``label``)."""
     areas = curve_areas(score_curve(scored)).first()
     return {"auc": areas["roc_auc"] or 0.0, "pr_auc": areas["pr_auc"] or 0.0}
 
@@ -155,11 +160,19 @@ def train_and_compare(clean: DataFrame, options: TrainingOptions = TrainingOptio
     if options.compat:
         prepared = preparation().fit(frame)
         frame = prepared.transform(frame)
-    # Read again by every iteration; spills to disk, and a lost block is computed again.
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    if not options.compat:
+        frame = frame.withColumn("_place", unit_hash("transaction_id", options.seed))  # hashed once, not in every pass
+    held: list[DataFrame] = []
+
+    def hold(rows: DataFrame) -> DataFrame:
+        """Rows that are read again and again; they spill to disk, and a lost block is computed again."""
+        held.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
+    frame = hold(frame)
     try:
         train, test = (random_split(frame, options.train_share, options.seed) if options.compat else
-                       split_by_key(frame, "transaction_id", options.train_share, options.seed))
+                       split_by_place(frame, F.col("_place"), options.train_share))
         train_rows, test_rows = train.count(), test.count()
         if train_rows == 0:
             raise ValueError("empty training data: run the cleaning job first")
@@ -169,22 +182,31 @@ def train_and_compare(clean: DataFrame, options: TrainingOptions = TrainingOptio
             stages = [imputer(train)] if options.handle_null == "impute" else []
             columns = [f"{c}{FILLED}" for c in FEATURE_COLUMNS] if stages else FEATURE_COLUMNS
             ready = Pipeline(stages=[*stages, assembler(columns), scaler()]).fit(train)
-            ready_train, ready_test = ready.transform(train), ready.transform(test)
+            # Vectors are made once, not in every pass of the models; then the rows behind them are given up.
+            ready_train, ready_test = [hold(ready.transform(part).select("scaled_features", LABEL)) for part in (train, test)]
+            for part in (ready_train, ready_test):
+                part.count()
+            frame.unpersist()
         models: dict[str, Model] = {}
+        scores: dict[str, DataFrame] = {}
         results: dict[str, dict[str, float]] = {}
         for name, estimator in candidate_models(options).items():
             models[name] = estimator.fit(ready_train)
-            results[name] = evaluate_curve(models[name].transform(ready_test))
+            # Each model predicts once; the curve reads its scores several times.
+            scores[name] = hold(models[name].transform(ready_test).select(
+                vector_to_array(F.col("probability"))[1].alias("score"), "prediction", F.col(LABEL).alias("label")))
+            results[name] = score_areas(scores[name])
         comparison = spark.createDataFrame(
             [(i, n, r["auc"], r["pr_auc"]) for i, (n, r) in enumerate(results.items())],
             "rank INT, model STRING, auc DOUBLE, pr_auc DOUBLE")
         best = best_of_models(comparison).first()
         metrics = {f"{SHORT[n]}_{k}": v for n, r in results.items() for k, v in r.items()}
         metrics |= {"best_auc": best["auc"], "best_pr_auc": best["pr_auc"]}
-        metrics |= evaluate_labels(models[best["model"]].transform(ready_test))
+        metrics |= evaluate_labels(scores[best["model"]], "label")
         metrics["test_rows"] = float(test_rows)
     finally:
-        frame.unpersist()
+        for rows in held:
+            rows.unpersist()
     params = {"n_rows": train_rows + test_rows, "sample_fraction": options.sample_fraction,
               "seed": options.seed, "feature_cols": ",".join(FEATURE_COLUMNS),
               "lr_max_iter": options.max_iter, "lr_reg_param": options.reg_param,
@@ -219,12 +241,14 @@ def score(features: DataFrame, pipeline: Transformer, column: str = "score",
 
 @dataclass
 class Searched:
-    """``candidates``: number, parameters and ROC area of each; ``best``: the pipeline of the first best one."""
+    """``candidates``: number, parameters and ROC area of each; ``best``: the pipeline of the first best one;
+    ``cut``: the last time of the training rows."""
 
     candidates: DataFrame
     best: PipelineModel
     train_rows: int
     test_rows: int
+    cut: float
 
 
 def roc_areas(scored: DataFrame, group: str, score: str, label: str) -> DataFrame:
@@ -281,7 +305,7 @@ def grid_search(frame: DataFrame, options: TrainingOptions = TrainingOptions(),
     rows = [(i, r, e, areas.get(i)) for i, (r, e) in enumerate(grid)]
     best = max(range(len(grid)), key=lambda i: (areas.get(i) if areas.get(i) is not None else -1.0, -i))
     found = spark.createDataFrame(rows, "candidate INT, reg_param DOUBLE, elastic DOUBLE, auc DOUBLE")
-    return Searched(found, PipelineModel(stages=[*ready.stages, fitted[best]]), *counted)
+    return Searched(found, PipelineModel(stages=[*ready.stages, fitted[best]]), *counted, cut)
 
 
 def run_training(spark: SparkSession, clean_path: str, tracker, model_root: str, metrics_path: str, run_id: str,
