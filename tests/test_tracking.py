@@ -212,6 +212,17 @@ def test_models_read_kept_vectors_and_curves_kept_scores(spark, clean, monkeypat
     assert (done.train_rows, done.test_rows) == (train.count(), test.count())
 
 
+def test_search_query_makes_its_features_once(spark, folder, monkeypatch):
+    """The evaluator reads the stored model rows, not the windows behind them."""
+    from tillwatch.catalog import batch
+
+    plans, evaluate = [], batch.BinaryClassificationEvaluator.evaluate
+    monkeypatch.setattr(batch.BinaryClassificationEvaluator, "evaluate", lambda self, rows, params=None: (
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or evaluate(self, rows, params)))
+    assert batch.grid_search(spark, folder).count() == 4
+    assert len(plans) == 1 and "Window" not in plans[0]
+
+
 def test_null_amounts(spark, clean):
     frame = customer_terminal_features(clean)
     assert T.without_nulls(frame, "drop").count() == 588
