@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.amounts import above_mean
 from tillwatch.operators.skew import HotKeys
-from tillwatch.plans import training
+from tillwatch.plans import amount_history, training
 from tillwatch.plans.amount_history import DAY, AmountHistory, EntityHistories
 
 DDL = "id BIGINT, k BIGINT, t BIGINT, a DOUBLE"
@@ -113,3 +113,40 @@ def test_sums_and_limits_do_not_depend_on_the_order(spark, tmp_path):
     assert (found[1]["total"], found[1]["mean"], found[1]["n"], found[1]["above"], found[1]["beyond"]) == (1.0, 0.1, 10, False, True)
     assert found[2]["total"] != found[2]["total"] and found[2]["n"] == 2 and found[2]["above"] is False
     assert found[3]["n"] == 0 and found[3]["above"] is None
+
+
+def test_many_pairs_and_many_tasks(spark, tmp_path, monkeypatch):
+    """Moments that are not cut to what is asked, and more tasks than one: the same features."""
+    monkeypatch.setattr(amount_history, "FEW_PAIRS", 0)
+    monkeypatch.setattr(amount_history, "ASKING_ROWS", 50)
+    rows = _made(3)
+    history = AmountHistory(spark, str(tmp_path), "k", "t", "a", parts=4)
+    history.extend(spark.createDataFrame(rows, DDL), "all")
+    asked = [r for r in rows if r[1] != 1]  # days that are stored for other keys too
+    found = history.attach(spark.createDataFrame(asked, DDL), "mean", "count")
+    assert "hashpartitioning(_h_key" in found._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"]: (r["mean"] and round(r["mean"], 9), r["count"]) for r in found.collect()} == _plain(rows, asked)
+
+
+def test_features_do_not_repeat_the_look_up_before(spark, folder, tmp_path):
+    """Each entity asks in the rows themselves: the first look-up stands once in the plan, and no row is joined."""
+    from tillwatch.catalog import batch
+
+    clean = batch.clean_table(spark, folder)
+    histories = EntityHistories(spark, str(tmp_path), parts=4)
+    histories.extend(clean, "all")
+    found = histories.features(clean)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [transaction_id") <= 5  # the rows once, and the keys and days of each entity twice
+    assert "LeftOuter" not in plan
+
+
+def test_a_load_leaves_the_other_keys_of_its_days(spark, tmp_path):
+    history = AmountHistory(spark, str(tmp_path), "k", "t", "a", parts=16)
+    history.extend(spark.range(3000).selectExpr("id", "id % 200 AS k", "id * 500 AS t", "1.5D AS a"), "all")
+    before = history.days.head().runs
+    history.extend(spark.createDataFrame([(1, 5, 3 * DAY + 7, 1.0), (2, 6, 3 * DAY + 9, 1.0)], DDL), "two")
+    after = history.days.head().runs
+    assert 1 <= len([p for p in after if after[p] != before[p]]) <= 2
+    sums = {r["k"]: (r["total"], r["n"]) for r in history.totals("mean", "n").collect()}
+    assert sums[5] == sums[6] == (23.5, 16) and sums[7] == (22.5, 15)

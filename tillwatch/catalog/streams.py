@@ -191,7 +191,9 @@ def stream_model_decisions(spark, folder):
         return pipeline.score_and_decide(histories.features(rows), lambda df: training.score(df, trained.pipeline), 0.3, 0.6).select(
             "transaction_id", *batch.COUNTS, *batch.MEANS, "score", "decision")
 
-    out = served(spark, transaction_stream(spark, folder), serve, "model-decided")
+    # The columns that features, score and decision need: a batch is kept while it is served.
+    arriving = transaction_stream(spark, folder).select("transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days")
+    out = served(spark, arriving, serve, "model-decided")
     known = F.col("score").isNotNull()
     return out.select("transaction_id", *batch.COUNTS, *[steady(F.col(c), 5).alias(c) for c in batch.MEANS], known.alias("is_scored"),
                       F.col("decision").isin("approve", "manual_review", "decline").alias("decided"),

@@ -31,7 +31,10 @@ class HotKeys:
 
     def limit(self, *tables: DataFrame) -> float | None:
         """Rows above which a key of the tables together is hot; None when none can be."""
-        total = sum(t.count() for t in tables)
+        return self.limit_of(sum(t.count() for t in tables))
+
+    def limit_of(self, total: int) -> float | None:
+        """``limit`` of tables whose rows are counted already."""
         return float(max(self.rows_per_task, total / self.max_keys)) if total > self.rows_per_task else None
 
     def find(self, tables: list[DataFrame], keys: list[str],

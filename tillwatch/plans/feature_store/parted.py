@@ -55,8 +55,8 @@ class PartedTable:
         """Parts that the rows' keys fall into: ``parts`` numbers at most."""
         return sorted(r[0] for r in rows.select(self.part().alias("p")).distinct().collect())
 
-    def typed(self, rows: DataFrame) -> DataFrame:
-        return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+    def typed(self, rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields] + [F.col(c) for c in more])
 
     def _versions(self) -> list[int]:
         names = folders(self.spark, f"{self.root}/commits")
@@ -89,9 +89,13 @@ class PartedTable:
 
     def write(self, rows: DataFrame) -> dict[int, str]:
         """Write rows part by part under a run of their own; (part, run) of the parts that got rows."""
+        return self.write_dealt(rows.withColumn(PART, self.part()).repartition(PART))
+
+    def write_dealt(self, rows: DataFrame) -> dict[int, str]:
+        """``write`` of rows that know their part (``PART``) and were dealt by it: they are not shuffled again."""
         run = uuid.uuid4().hex
         path = f"{self.root}/values/run={run}"
-        rows.withColumn(PART, self.part()).repartition(PART).write.partitionBy(PART).parquet(path)
+        rows.write.partitionBy(PART).parquet(path)
         return {int(name.split("=")[1]): run for name in folders(self.spark, path) if name.startswith(f"{PART}=")}
 
     def commit(self, head: Commit, runs: dict[int, str], mark: datetime | None, folded: Iterable[str] = ()) -> Commit:
